@@ -632,4 +632,15 @@ ORACLES: dict[str, str] = {
     "recommend_batch": O_RECOMMEND_BATCH,
     "size_profile": O_SIZE_PROFILE,
 }
-FLAGSHIP = "plan_batches"
+
+
+def _merge_file_queries():
+    from . import catalog_files
+    QUERIES.update(catalog_files.QUERIES)
+    ORACLES.update(catalog_files.ORACLES)
+
+
+_merge_file_queries()
+
+# The flagship: a full ingest cycle (stage, list, manifest, plan, load, record).
+FLAGSHIP = "ingest_job"
