@@ -26,14 +26,13 @@ def _dir_key(c: Column | str) -> Column:
     return F.regexp_extract(c, r"(TPCH/[^/]+/month=[^/]+)/[^/]*$", 1)
 
 
-def _stage(spark, sf):
+def _stage(spark, sf, routes=("ORDERS", "JORDERS", "OTHER", "LINEITEM")):
     root = work_dir(spark, "stage")
-    return root, staging.stage_tables(spark, sf, root)
+    return root, staging.stage_tables(spark, sf, root, routes)
 
 
 def _template(spark, name) -> LoadTemplate:
-    row = staging.load_templates(spark).where(F.col("statement_name") == name).first()
-    return LoadTemplate.from_row(row)
+    return staging.template(name)
 
 
 def _paths(spark, stage, route) -> list[str]:
@@ -71,7 +70,7 @@ _ORDER_COLS = "o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderdate,
 
 
 def _load_route(spark, sf, route):
-    root, stage = _stage(spark, sf)
+    root, stage = _stage(spark, sf, (route,))
     tpl = _template(spark, route)
     target = f"{root}/target/{tpl.target}"
     load_files(spark, _paths(spark, stage, route), tpl, target, f"q-{route}").collect()
@@ -97,7 +96,7 @@ O_LOAD_JSON_FILES = f"select {_ORDER_COLS} from orders where o_orderpriority = '
 
 
 def _history(spark, sf, routes):
-    root, stage = _stage(spark, sf)
+    root, stage = _stage(spark, sf, tuple(routes))
     parts = []
     for route in routes:
         tpl = _template(spark, route)

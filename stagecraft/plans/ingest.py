@@ -59,6 +59,10 @@ def check_parameters(files_to_process, files_at_once, sort_order, max_run_minute
     return NO_ERRORS
 
 
+def _utc_now() -> dt.datetime:
+    return dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
+
+
 def _stamp(t: dt.datetime) -> str:
     return t.strftime("%Y-%m-%d %H:%M:%S")
 
@@ -106,7 +110,7 @@ def file_ingest(spark: SparkSession, store: ManifestStore, templates: DataFrame,
     four files per core when that is more). ``clock`` returns the current
     time (tests pass a fixed one).
     """
-    clock = clock or dt.datetime.utcnow
+    clock = clock or _utc_now
     summary = RunSummary()
     run = IngestRun(summary, history_path, target_root)
     err = check_parameters(files_to_process, files_at_once, sort_order, max_run_minutes, tries)

@@ -18,9 +18,12 @@ data (status 'P'): in ORDERS, 1-URGENT rows lose all but two fields and
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from . import fixtures as fx
+from .sources.loader import LoadTemplate
 from .sources.tables import templates_table
 
 ORDERS_DDL = ("o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double, "
@@ -40,11 +43,10 @@ STAGE_ROUTES = [
 ]
 
 
-def load_templates(spark: SparkSession, on_error: str = "continue") -> DataFrame:
+def template_rows(on_error: str = "continue") -> list[dict]:
     """Templates for the staged layout, valid since 1990."""
-    import datetime as dt
     since = dt.datetime(1990, 1, 1)
-    return templates_table(spark, [
+    return [
         {"statement_name": "ORDERS", "target": "ORDERS", "file_format": "csv",
          "schema_ddl": ORDERS_DDL, "on_error": on_error, "effective": since},
         {"statement_name": "JORDERS", "target": "JORDERS", "file_format": "json",
@@ -52,7 +54,16 @@ def load_templates(spark: SparkSession, on_error: str = "continue") -> DataFrame
          "on_error": on_error, "effective": since},
         {"statement_name": "LINEITEM", "target": "LINEITEM", "file_format": "csv",
          "schema_ddl": LINEITEM_DDL, "on_error": on_error, "effective": since},
-    ])
+    ]
+
+
+def load_templates(spark: SparkSession, on_error: str = "continue") -> DataFrame:
+    return templates_table(spark, template_rows(on_error))
+
+
+def template(name: str, on_error: str = "continue") -> LoadTemplate:
+    row = next(r for r in template_rows(on_error) if r["statement_name"] == name)
+    return LoadTemplate.from_row(row)
 
 
 def _text(c: str) -> Column:
@@ -93,26 +104,32 @@ def _write_dirs(lines: DataFrame, path: str) -> None:
      .select("value", "month").write.mode("overwrite").partitionBy("month").text(path))
 
 
-def stage_tables(spark: SparkSession, sf_dir: str, root: str) -> str:
-    """Write the staged layout below ``root``; returns the stage prefix."""
+def stage_tables(spark: SparkSession, sf_dir: str, root: str,
+                 routes: tuple[str, ...] = ("ORDERS", "JORDERS", "OTHER", "LINEITEM")) -> str:
+    """Write the staged layout (the given route directories) below ``root``;
+    returns the stage prefix."""
     orders = fx.base_table(spark, sf_dir, "orders")
-    lineitem = fx.base_table(spark, sf_dir, "lineitem")
     month = F.date_format("o_orderdate", "yyyy-MM")
+    key = F.col("o_orderkey").alias("_key")
     stage = f"{root.rstrip('/')}/TPCH"
-
-    routed = orders.where(F.col("o_orderpriority").isin("1-URGENT", "5-LOW"))
-    _write_dirs(routed.select(orders_csv_line().alias("value"), month.alias("month"),
-                              F.col("o_orderkey").alias("_key")), f"{stage}/ORDERS")
-    jorders = orders.where(F.col("o_orderpriority") == "2-HIGH")
-    _write_dirs(jorders.select(orders_json_line().alias("value"), month.alias("month"),
-                               F.col("o_orderkey").alias("_key")), f"{stage}/JORDERS")
-    other = orders.where(F.col("o_orderpriority").isin("3-MEDIUM", "4-NOT SPECIFIED"))
-    _write_dirs(other.select(orders_csv_line(bad=False).alias("value"), month.alias("month"),
-                             F.col("o_orderkey").alias("_key")), f"{stage}/OTHER")
-    li_key = F.col("l_orderkey") * 8 + F.col("l_linenumber")
-    _write_dirs(lineitem.select(lineitem_csv_line().alias("value"),
-                                F.date_format("l_shipdate", "yyyy-MM").alias("month"), li_key.alias("_key")),
-                f"{stage}/LINEITEM")
+    if "ORDERS" in routes:
+        routed = orders.where(F.col("o_orderpriority").isin("1-URGENT", "5-LOW"))
+        _write_dirs(routed.select(orders_csv_line().alias("value"), month.alias("month"), key),
+                    f"{stage}/ORDERS")
+    if "JORDERS" in routes:
+        jorders = orders.where(F.col("o_orderpriority") == "2-HIGH")
+        _write_dirs(jorders.select(orders_json_line().alias("value"), month.alias("month"), key),
+                    f"{stage}/JORDERS")
+    if "OTHER" in routes:
+        other = orders.where(F.col("o_orderpriority").isin("3-MEDIUM", "4-NOT SPECIFIED"))
+        _write_dirs(other.select(orders_csv_line(bad=False).alias("value"), month.alias("month"), key),
+                    f"{stage}/OTHER")
+    if "LINEITEM" in routes:
+        lineitem = fx.base_table(spark, sf_dir, "lineitem")
+        li_key = F.col("l_orderkey") * 8 + F.col("l_linenumber")
+        _write_dirs(lineitem.select(lineitem_csv_line().alias("value"),
+                                    F.date_format("l_shipdate", "yyyy-MM").alias("month"), li_key.alias("_key")),
+                    f"{stage}/LINEITEM")
     return stage
 
 
