@@ -56,18 +56,24 @@ def _decoded_path(c: Column) -> Column:
     return F.url_decode(F.regexp_replace(c, r"\+", "%2B"))
 
 
+def _raw_fields(tpl: LoadTemplate, schema: T.StructType) -> Column:
+    """A bad CSV line re-read with every field as text (one more field than the
+    schema, to see extra fields)."""
+    m = len(schema.fields)
+    raw_ddl = ", ".join(f"c{i} string" for i in range(m + 1))
+    return F.from_csv(F.col("value"), raw_ddl, {**_csv_options(tpl), "mode": "PERMISSIVE"})
+
+
 def _error_details(tpl: LoadTemplate, schema: T.StructType) -> tuple[Column, Column, Column]:
-    """(message, column name, 1-based character position) of a bad CSV line.
+    """(message, column name, 1-based character position) of a bad CSV line,
+    from its text fields (column ``_raw``) and typed fields (``_row``).
 
-    The line is re-read with every field as text: the first field whose text
-    is present but whose typed value is not is the bad one; otherwise the
-    field count is wrong.
+    The first field whose text is present but whose typed value is not is
+    the bad one; otherwise the field count is wrong.
     """
     m = len(schema.fields)
     sep = tpl.options.get("sep", tpl.options.get("delimiter", ","))
-    raw_ddl = ", ".join(f"c{i} string" for i in range(m + 1))
-    raw = F.from_csv(F.col("value"), raw_ddl, {**tpl.options, "mode": "PERMISSIVE"})
-    raws = [raw[f"c{i}"] for i in range(m + 1)]
+    raws = [F.col("_raw")[f"c{i}"] for i in range(m + 1)]
     typed = [F.col("_row")[f.name] for f in schema.fields]
     bad_idx = F.coalesce(*[F.when(raws[i].isNotNull() & typed[i].isNull(), F.lit(i)) for i in range(m)],
                          F.lit(None).cast("int"))
@@ -93,6 +99,18 @@ def _error_details(tpl: LoadTemplate, schema: T.StructType) -> tuple[Column, Col
     return msg, col, pos.cast("long")
 
 
+# Read-ahead buffer of the CSV parser, in characters. The parser allocates it
+# for every parsed line, so the library default (a million characters) turns
+# into gigabytes of garbage per million lines. Long lines still parse.
+CSV_INPUT_BUFFER = "4096"
+
+
+def _csv_options(tpl: LoadTemplate) -> dict[str, str]:
+    opts = {k: v for k, v in tpl.options.items() if k != "lineSep"}
+    opts.setdefault("inputBufferSize", CSV_INPUT_BUFFER)
+    return opts
+
+
 def parse_staged(spark: SparkSession, paths: list[str], tpl: LoadTemplate) -> DataFrame:
     """One row per line (record): _file, _block, _mid, _blank, _bad, _row (typed
     struct) and, for bad rows, _err (message, column, position)."""
@@ -114,7 +132,7 @@ def parse_staged(spark: SparkSession, paths: list[str], tpl: LoadTemplate) -> Da
     if fmt == "csv":
         ddl_c = T.StructType(schema.fields + [T.StructField(CORRUPT, T.StringType())])
         df = (spark.read.schema(ddl_c)
-              .options(**{**tpl.options, "mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT})
+              .options(**{**_csv_options(tpl), "mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT})
               .csv(paths))
         bad = F.col(CORRUPT).isNotNull()
     else:
@@ -133,7 +151,7 @@ def parse_lines(lines: DataFrame, tpl: LoadTemplate, schema: T.StructType | None
     schema = schema or schema_of(lines.sparkSession, tpl.schema_ddl)
     fmt = tpl.file_format
     ddl_c = T.StructType(schema.fields + [T.StructField(CORRUPT, T.StringType())])
-    opts = {k: v for k, v in tpl.options.items() if k != "lineSep"}
+    opts = _csv_options(tpl) if fmt == "csv" else {k: v for k, v in tpl.options.items() if k != "lineSep"}
     opts.update({"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT})
     parsed = (F.from_csv(F.col("value"), tpl.schema_ddl + f", {CORRUPT} string", opts) if fmt == "csv"
               else F.from_json(F.col("value"), ddl_c, opts))
@@ -142,11 +160,13 @@ def parse_lines(lines: DataFrame, tpl: LoadTemplate, schema: T.StructType | None
     bad = (~F.col("_blank")) & F.col(f"_row.{CORRUPT}").isNotNull()
     rows = rows.withColumn("_bad", bad)
     if fmt == "csv":
+        # Text fields of bad lines only, computed once and then referenced.
+        rows = rows.withColumn("_raw", F.when(F.col("_bad"), _raw_fields(tpl, schema)))
         msg, col, pos = _error_details(tpl, schema)
     else:
         msg, col, pos = F.lit("Invalid JSON record"), F.lit(None).cast("string"), F.lit(None).cast("long")
     err = F.when(F.col("_bad"), F.struct(msg.alias("message"), col.alias("col_name"), pos.alias("position")))
-    return rows.withColumn("_err", err).drop("value")
+    return rows.withColumn("_err", err).drop("value", "_raw")
 
 
 def file_statistics(lines: DataFrame, with_line_numbers: bool = True) -> DataFrame:
