@@ -242,7 +242,7 @@ def q_stream_ingest(spark, sf):
                        {"escape": '"', "timestampNTZFormat": staging.TS_TEXT})
     q = start_stream_ingest(spark, stage, tpl, target_path=f"{root}/target/EVENTS",
                             history_path=f"{root}/history", checkpoint_path=f"{root}/checkpoint",
-                            run_id="stream-q", max_files_per_trigger=50, available_now=True)
+                            run_id="stream-q", max_files_per_trigger=8, available_now=True)
     q.awaitTermination()
     if q.exception() is not None:
         raise RuntimeError(str(q.exception()))

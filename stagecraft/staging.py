@@ -134,12 +134,12 @@ def stage_tables(spark: SparkSession, sf_dir: str, root: str,
 
 
 def stage_events(spark: SparkSession, sf_dir: str, root: str) -> str:
-    """Events as CSV files, one per hour directory (input of the stream run)."""
+    """Events as CSV files, one per day directory (input of the stream run)."""
     ev = fx.base_table(spark, sf_dir, "events")
     line = F.concat_ws(",", _text("event_id"), F.date_format("ts", TS_TEXT), _text("user_id"),
                        F.col("event_type"), _text("value"),
                        F.concat(F.lit('"'), F.regexp_replace("props", '"', '""'), F.lit('"')))
     path = f"{root.rstrip('/')}/EVENTS"
-    _write_dirs(ev.select(line.alias("value"), F.date_format("ts", "yyyy-MM-dd-HH").alias("month"),
+    _write_dirs(ev.select(line.alias("value"), F.date_format("ts", "yyyy-MM-dd").alias("month"),
                           F.col("event_id").alias("_key")), path)
     return path
