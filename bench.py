@@ -30,6 +30,7 @@ HEADLINE = [
     "progress_eta",       # O28
     "size_profile",       # O26
     "unload_roundtrip",   # O06 unload orders to CSV and read back
+    "lineitem_roundtrip", # O06 + O01 + O03: unload lineitem, list, load back with error capture
     "load_files",         # O03 CSV load with bad-row capture
     "load_history",       # O05 per-file history of three targets
     "ingest_job",         # O35 the whole cycle
@@ -49,6 +50,10 @@ def main() -> None:
         df.write.format("noop").mode("overwrite").save()
         times[name] = round(time.perf_counter() - t0, 3)
     m = re.search(r"sf([0-9.]+)", sf_dir)
+    extra = {}
+    if "lineitem_roundtrip" in times:
+        n = spark.read.parquet(f"{sf_dir}/lineitem.parquet").count()
+        extra["lineitem_roundtrip_rows_per_sec_per_core"] = round(n / times["lineitem_roundtrip"] / int(cpus))
     print(json.dumps({
         "metric": "headline_queries_total",
         "value": round(sum(times.values()), 3),
@@ -56,6 +61,7 @@ def main() -> None:
         "queries": times,
         "sf": float(m.group(1)) if m else sf_dir,
         "cpus": int(cpus),
+        **extra,
     }))
 
 

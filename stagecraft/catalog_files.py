@@ -182,6 +182,28 @@ def q_unload_roundtrip(spark, sf):
 
 O_UNLOAD_ROUNDTRIP = f"select {_ORDER_COLS} from orders"
 
+def q_lineitem_roundtrip(spark, sf):
+    """Unload lineitem to CSV in parallel (O06), list the stage (O01) and load
+    every listed file back with the LINEITEM template (O03)."""
+    root = work_dir(spark, "roundtrip")
+    stage = f"{root}/TPCH/LINEITEM"
+    unload(fx.base_table(spark, sf, "lineitem"), stage, "csv")
+    tpl = staging.template("LINEITEM")
+    target = f"{root}/target/{tpl.target}"
+    hist = load_files(spark, [r.path for r in list_stage(spark, stage).select("path").collect()], tpl,
+                      target, "roundtrip")
+    bad = hist.where(F.col("error_count") > 0).count()
+    if bad:
+        raise RuntimeError(f"{bad} files with rejected rows in a clean round trip")
+    return read_target(spark, target, tpl.schema_ddl)
+
+
+O_LINEITEM_ROUNDTRIP = """
+select l_orderkey, l_partkey, l_suppkey, l_linenumber, l_quantity, l_extendedprice, l_discount, l_tax,
+       l_returnflag, l_linestatus, l_shipdate
+from lineitem
+"""
+
 # ---------------------------------------------------------------- O35 ingest job
 
 
@@ -259,6 +281,7 @@ QUERIES = {
     "load_results": q_load_results,
     "load_history": q_load_history,
     "unload_roundtrip": q_unload_roundtrip,
+    "lineitem_roundtrip": q_lineitem_roundtrip,
     "ingest_job": q_ingest_job,
     "ingest_summary": q_ingest_summary,
     "stream_ingest": q_stream_ingest,
@@ -271,6 +294,7 @@ ORACLES = {
     "load_results": O_LOAD_RESULTS,
     "load_history": O_LOAD_HISTORY,
     "unload_roundtrip": O_UNLOAD_ROUNDTRIP,
+    "lineitem_roundtrip": O_LINEITEM_ROUNDTRIP,
     "ingest_job": O_INGEST_JOB,
     "ingest_summary": O_INGEST_SUMMARY,
     "stream_ingest": O_STREAM_INGEST,

@@ -12,6 +12,14 @@ from ..schemas import LOADING, WAITING
 from .ranking import number_within
 
 MAX_FILES_AT_ONCE = 1000
+# Template tables are configuration; above this many rows they are joined
+# without a broadcast hint (the planner and AQE then decide).
+MAX_BROADCAST_TEMPLATES = 100_000
+
+
+def broadcast_if_small(df: DataFrame, max_rows: int) -> DataFrame:
+    """Broadcast hint only after checking the row count."""
+    return F.broadcast(df) if df.limit(max_rows + 1).count() <= max_rows else df
 
 
 def order_columns(sort_order: str = "ASC", order_col: str = "ingestion_order",
@@ -49,7 +57,7 @@ def routable_files(control: DataFrame, tries: int, templates: DataFrame | None =
     files = eligible_files(control, tries).where(F.col("copy_into_name").isNotNull())
     if templates is not None:
         names = valid_templates(templates, now).select(F.col("statement_name").alias("copy_into_name"))
-        files = files.join(F.broadcast(names), "copy_into_name", "left_semi")
+        files = files.join(broadcast_if_small(names, MAX_BROADCAST_TEMPLATES), "copy_into_name", "left_semi")
     return files
 
 
@@ -57,7 +65,7 @@ def unplannable_files(control: DataFrame, tries: int, templates: DataFrame, now:
     """Eligible files that planning leaves out: no route, or no template in force."""
     elig = eligible_files(control, tries)
     names = valid_templates(templates, now).select(F.col("statement_name").alias("copy_into_name"))
-    return (elig.join(F.broadcast(names), "copy_into_name", "left_anti")
+    return (elig.join(broadcast_if_small(names, MAX_BROADCAST_TEMPLATES), "copy_into_name", "left_anti")
             .withColumn("reason", F.when(F.col("copy_into_name").isNull(), F.lit("NO_ROUTE"))
                         .otherwise(F.lit("NO_TEMPLATE"))))
 
@@ -112,7 +120,9 @@ def plan_batches(control: DataFrame, *, tries: int, files_at_once: int, sort_ord
     order = order_columns(sort_order)
     files = routable_files(control, tries, templates, now).select(
         "file_path", "copy_into_name", "ingestion_order", "try_count", "file_size")
-    ranked = number_within(files, ["copy_into_name"], order, "file_rank", name="plan-rank")
+    # One group per template: the template table bounds the groups.
+    ranked = number_within(files, ["copy_into_name"], order, "file_rank", name="plan-rank",
+                           few_groups=templates is not None)
     chunked = ranked.withColumn("chunk_no", F.floor((F.col("file_rank") - 1) / F.lit(n)).cast("long"))
     heads = (chunked.where((F.col("file_rank") - 1) % F.lit(n) == 0)
              .select("copy_into_name", "chunk_no", "ingestion_order", "file_path"))
@@ -147,8 +157,8 @@ def batch_file_lists(plan: DataFrame, templates: DataFrame | None = None,
                   F.array_join(F.transform(entries, lambda e: e["entry"]), ",").alias("file_list")))
     if templates is not None:
         live = valid_templates(templates, now).withColumnRenamed("statement_name", "copy_into_name")
-        lists = lists.join(F.broadcast(live.select("copy_into_name", "statement_text")),
-                           "copy_into_name", "left")
+        lists = lists.join(broadcast_if_small(live.select("copy_into_name", "statement_text"),
+                                              MAX_BROADCAST_TEMPLATES), "copy_into_name", "left")
     return lists
 
 

@@ -22,11 +22,13 @@ OFFSETS_BROADCAST_ROWS = 200_000
 
 
 def number_within(df: DataFrame, group_cols: Sequence[str], order_cols: Sequence[Column],
-                  out_col: str, name: str = "numbered") -> DataFrame:
+                  out_col: str, name: str = "numbered", few_groups: bool = False) -> DataFrame:
     """Add ``out_col``: 1-based position of each row inside its group, in ``order_cols`` order.
 
     Ties in ``order_cols`` must be broken by the caller (give a unique last key).
-    Rows with null group values form their own group.
+    Rows with null group values form their own group. ``few_groups`` says the
+    number of groups is bounded by configuration (for example one group per
+    load template), so the offset table is broadcast without counting it.
     """
     group_cols = list(group_cols)
     sort_keys = [F.col(g).asc_nulls_first() for g in group_cols] + list(order_cols)
@@ -42,7 +44,8 @@ def number_within(df: DataFrame, group_cols: Sequence[str], order_cols: Sequence
     if group_cols:
         w = Window.partitionBy(*group_cols).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
     offsets = stats.withColumn("_before", F.coalesce(F.sum("_n").over(w), F.lit(0))).drop("_n")
-    if offsets.count() <= OFFSETS_BROADCAST_ROWS:
+    if not group_cols or few_groups or offsets.count() <= OFFSETS_BROADCAST_ROWS:
+        # Without groups the table has one row per partition.
         offsets = F.broadcast(offsets)
 
     k, o = keyed.alias("k"), offsets.alias("o")
