@@ -14,7 +14,6 @@ import re
 from dataclasses import dataclass, field
 from typing import Any
 
-from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F, types as T
 
 from ..schemas import LOAD_FAILED, LOAD_HISTORY_SCHEMA, LOADED, PARTIALLY_LOADED
@@ -166,7 +165,7 @@ def parse_lines(lines: DataFrame, tpl: LoadTemplate, schema: T.StructType | None
     else:
         msg, col, pos = F.lit("Invalid JSON record"), F.lit(None).cast("string"), F.lit(None).cast("long")
     err = F.when(F.col("_bad"), F.struct(msg.alias("message"), col.alias("col_name"), pos.alias("position")))
-    return rows.withColumn("_err", err).drop("value", "_raw")
+    return rows.withColumn("_err", err).drop("_raw")
 
 
 def file_statistics(lines: DataFrame, with_line_numbers: bool = True) -> DataFrame:
@@ -197,6 +196,13 @@ def file_statistics(lines: DataFrame, with_line_numbers: bool = True) -> DataFra
                  first.alias("_first")))
 
 
+# Kinds of landed lines (partition ``_kind`` of a target).
+KIND_LOADED = "loaded"
+KIND_REJECTED = "rejected"
+KIND_SKIPPED = "skipped"      # good rows of files (or batches) an on_error rule rejected
+KIND_BLANK = "blank"
+
+
 def load_files(spark: SparkSession, paths: list[str], tpl: LoadTemplate, target_path: str,
                load_id: str) -> DataFrame:
     """Load ``paths`` with ``tpl`` into ``target_path`` (partition ``_load_id=load_id``).
@@ -211,56 +217,94 @@ def load_files(spark: SparkSession, paths: list[str], tpl: LoadTemplate, target_
     return load_parsed(parse_staged(spark, paths, tpl), requested, tpl, target_path, load_id)
 
 
-def load_parsed(parsed: DataFrame, requested: DataFrame, tpl: LoadTemplate, target_path: str,
+def _landing(parsed: DataFrame, schema: T.StructType, load_id: str, kind: Column) -> DataFrame:
+    """Every line as one row: typed columns (set for loaded rows), lineage
+    (source file, split, line key), the error and raw text of rejected lines."""
+    loaded = kind == F.lit(KIND_LOADED)
+    skipped = kind == F.lit(KIND_SKIPPED)
+    values = [F.when(loaded | skipped, F.col(f"_row.{f.name}")).alias(f.name) for f in schema.fields]
+    raw = F.col("value") if "value" in parsed.columns else F.lit(None).cast("string")
+    return parsed.select(*values,
+                         F.col("_file").alias("_source_file"), F.col("_block").alias("_split_start"),
+                         F.col("_mid").alias("_line_key"), F.col("_err").alias("_error"),
+                         F.when(kind == F.lit(KIND_REJECTED), raw).alias("_raw_line"),
+                         F.lit(load_id).alias("_load_id"), kind.alias("_kind"))
+
+
+def _write_landing(df: DataFrame, target_path: str) -> None:
+    (df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+     .partitionBy("_load_id", "_kind").parquet(target_path))
+
+
+def _landed_lines(spark: SparkSession, target_path: str, load_id: str) -> DataFrame:
+    """The lines of one load, read back narrowly (lineage columns only)."""
+    part = spark.read.option("basePath", target_path).parquet(f"{target_path}/_load_id={load_id}")
+    return part.select(F.col("_source_file").alias("_file"), F.col("_split_start").alias("_block"),
+                       F.col("_line_key").alias("_mid"), (F.col("_kind") == KIND_BLANK).alias("_blank"),
+                       (F.col("_kind") == KIND_REJECTED).alias("_bad"), F.col("_error").alias("_err"))
+
+
+def load_parsed(parsed: DataFrame, requested: DataFrame | None, tpl: LoadTemplate, target_path: str,
                 load_id: str) -> DataFrame:
-    """Write the good rows of parsed lines to the target and report per requested file."""
+    """Land parsed lines in the target and report per requested file.
+
+    With ``on_error=continue`` this is one pass over the input: every line is
+    written once (loaded rows, rejected lines with their error and text, blank
+    lines as markers) to ``_load_id=<id>/_kind=<kind>``, and the per-file
+    figures are then computed from a narrow columnar read of what was written.
+    ``skip_file`` and ``abort_statement`` must know every file's errors before
+    deciding what is loaded, so they count first and land in a second pass.
+    ``requested`` lists the files to report (None: the files that had lines).
+    """
     spark = parsed.sparkSession
     schema = schema_of(spark, tpl.schema_ddl)
     multiline = tpl.file_format == "csv" and \
         str(tpl.options.get("multiLine", tpl.options.get("multiline", "false"))).lower() == "true"
-    lines = parsed.persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        stats = materialize(file_statistics(lines, with_line_numbers=not multiline), f"load-stats-{tpl.name}")
-        mode = tpl.on_error
-        good = lines.where(~F.col("_blank") & ~F.col("_bad"))
-        abort = False
+    mode = tpl.on_error
+    kind = (F.when(F.col("_blank"), F.lit(KIND_BLANK)).when(F.col("_bad"), F.lit(KIND_REJECTED))
+            .otherwise(F.lit(KIND_LOADED)))
+    abort = False
+    if mode == "continue":
+        _write_landing(_landing(parsed, schema, load_id, kind), target_path)
+        stats = materialize(file_statistics(_landed_lines(spark, target_path, load_id),
+                                            with_line_numbers=not multiline), f"load-stats-{tpl.name}")
+    else:
+        stats = materialize(file_statistics(parsed, with_line_numbers=not multiline), f"load-stats-{tpl.name}")
         if mode == "skip_file":
-            failed = stats.where(F.col("error_count") > 0).select("_file")
-            good = good.join(failed, "_file", "left_anti")
-        elif mode == "abort_statement":
+            failed = stats.where(F.col("error_count") > 0).select(F.col("_file").alias("_failed"))
+            parsed = parsed.join(failed, parsed["_file"] == failed["_failed"], "left")
+            kind = F.when(F.col("_failed").isNotNull() & (kind == KIND_LOADED), F.lit(KIND_SKIPPED)).otherwise(kind)
+        else:
             abort = stats.where(F.col("error_count") > 0).limit(1).count() > 0
-        if not abort:
-            (good.select(*[F.col(f"_row.{f.name}").alias(f.name) for f in schema.fields],
-                         F.lit(load_id).alias("_load_id"))
-             .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-             .partitionBy("_load_id").parquet(target_path))
-    finally:
-        lines.unpersist()
+            if abort:
+                kind = F.when(kind == KIND_LOADED, F.lit(KIND_SKIPPED)).otherwise(kind)
+        _write_landing(_landing(parsed, schema, load_id, kind), target_path)
 
+    if requested is None:
+        requested = stats.select(F.col("_file").alias("file_name"))
     j = requested.join(stats, requested["file_name"] == stats["_file"], "left")
-    parsed = F.coalesce(F.col("row_parsed"), F.lit(0))
+    n_parsed = F.coalesce(F.col("row_parsed"), F.lit(0))
     errors = F.coalesce(F.col("error_count"), F.lit(0))
     if abort:
         status, loaded = F.lit(LOAD_FAILED), F.lit(0)
     elif mode == "skip_file":
         status = F.when(errors > 0, F.lit(LOAD_FAILED)).otherwise(F.lit(LOADED))
-        loaded = F.when(errors > 0, F.lit(0)).otherwise(parsed)
+        loaded = F.when(errors > 0, F.lit(0)).otherwise(n_parsed)
     else:
-        status = (F.when(errors == 0, F.lit(LOADED)).when(errors < parsed, F.lit(PARTIALLY_LOADED))
+        status = (F.when(errors == 0, F.lit(LOADED)).when(errors < n_parsed, F.lit(PARTIALLY_LOADED))
                   .otherwise(F.lit(LOAD_FAILED)))
-        loaded = parsed - errors
+        loaded = n_parsed - errors
     message = F.col("_first.err.message")
     if abort:
         message = F.coalesce(message, F.lit("Load aborted: another file of the batch has errors"))
-    out = j.select(
+    return j.select(
         F.col("file_name"), status.alias("status"), loaded.cast("long").alias("row_count"),
-        parsed.cast("long").alias("row_parsed"), message.alias("first_error_message"),
+        n_parsed.cast("long").alias("row_parsed"), message.alias("first_error_message"),
         F.col("_first.line").cast("long").alias("first_error_line_number"),
         F.col("_first.err.position").cast("long").alias("first_error_character_position"),
         F.col("_first.err.col_name").alias("first_error_col_name"),
         errors.cast("long").alias("error_count"),
         F.lit(load_id).alias("load_id"), F.lit(tpl.target).alias("target"))
-    return out
 
 
 def load_results(history_rows: DataFrame) -> DataFrame:
@@ -270,8 +314,15 @@ def load_results(history_rows: DataFrame) -> DataFrame:
 
 
 def read_target(spark: SparkSession, target_path: str, schema_ddl: str | None = None) -> DataFrame:
-    """Rows loaded into a target (all load batches)."""
-    df = spark.read.parquet(target_path)
+    """Rows loaded into a target (all loads). ``_kind`` is a partition column,
+    so the other kinds of lines are never read."""
+    df = spark.read.parquet(target_path).where(F.col("_kind") == KIND_LOADED)
     if schema_ddl:
         df = df.select(*[f.name for f in schema_of(spark, schema_ddl).fields])
     return df
+
+
+def read_rejects(spark: SparkSession, target_path: str) -> DataFrame:
+    """Rejected lines of a target: source file, error and raw text, per load."""
+    return (spark.read.parquet(target_path).where(F.col("_kind") == KIND_REJECTED)
+            .select("_load_id", "_source_file", "_split_start", "_line_key", "_error", "_raw_line"))

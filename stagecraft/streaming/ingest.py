@@ -34,15 +34,11 @@ def ingest_batch(tpl: LoadTemplate, target_path: str, history_path: str, run_id:
 
     def run(batch: DataFrame, batch_id: int) -> None:
         load_id = f"{run_id}-s{batch_id:08d}"
-        # Numbered once and kept: line positions must not change between uses.
-        lines = batch.withColumn("_mid", F.monotonically_increasing_id()).persist()
-        try:
-            requested = lines.select(F.col("_file").alias("file_name")).distinct()
-            hist = load_parsed(parse_lines(lines, tpl), requested, tpl, target_path, load_id)
-            (hist.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-             .partitionBy("load_id").parquet(history_path))
-        finally:
-            lines.unpersist()
+        lines = batch.withColumn("_mid", F.monotonically_increasing_id())
+        # Files of the batch are those that had lines (a stream cannot see empty files).
+        hist = load_parsed(parse_lines(lines, tpl), None, tpl, target_path, load_id)
+        (hist.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+         .partitionBy("load_id").parquet(history_path))
 
     return run
 

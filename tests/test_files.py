@@ -12,7 +12,7 @@ from stagecraft.plans.ingest import (ALL_DONE, FILE_LIMIT, MSG_DUPLICATES, MSG_F
                                      PASS_LIMIT, TIME_LIMIT, check_parameters, file_ingest)
 from stagecraft.schemas import CONTROL_COLUMNS, control_schema
 from stagecraft.session import local_path, work_dir
-from stagecraft.sources.loader import LoadTemplate, load_files, load_results
+from stagecraft.sources.loader import LoadTemplate, load_files, load_results, read_rejects, read_target
 from stagecraft.sources.stage import list_stage
 from stagecraft.sources.tables import ManifestStore, clone_schema, empty_manifest
 
@@ -51,11 +51,13 @@ def test_load_bad_rows_and_empty_file(spark, tmp_stage):
     assert (empty.row_parsed, empty.row_count, empty.error_count, empty.status) == (0, 0, 0, "LOADED")
     blank = hist["blank lines+x.csv"]
     assert (blank.row_parsed, blank.row_count, blank.status) == (1, 1, "LOADED")
-    target = spark.read.parquet(f"{tmp_stage}/t")
+    target = read_target(spark, f"{tmp_stage}/t")
     assert sorted(r.o_orderkey for r in target.collect()) == [1, 5]
+    rejects = read_rejects(spark, f"{tmp_stage}/t").collect()
+    assert sorted(r._raw_line for r in rejects) == ["1,2", "x,1,F,2.0,1998-01-01T00:00:00.000,LOW"]
     # same load id again: the partition is replaced, not appended
     load_files(spark, paths, tpl, f"{tmp_stage}/t", "L1").collect()
-    assert spark.read.parquet(f"{tmp_stage}/t").count() == 2
+    assert read_target(spark, f"{tmp_stage}/t").count() == 2
     res = load_results(spark.createDataFrame([bad])).first()
     assert (res.status, res.first_error) == ("PARTIALLY_LOADED", bad.first_error_message)
 
@@ -84,8 +86,7 @@ def test_on_error_modes(spark, tmp_stage, mode, statuses, rows):
     hist = load_files(spark, [f"file:{d}/in/bad.csv", f"file:{d}/in/good.csv"], tpl, f"{tmp_stage}/t", "L")
     got = {r.file_name.rsplit("/", 1)[1]: r.status for r in hist.collect()}
     assert got == statuses
-    n = spark.read.parquet(f"{tmp_stage}/t").count() if rows else 0
-    assert n == rows
+    assert read_target(spark, f"{tmp_stage}/t").count() == rows
 
 
 def test_manifest_store_changes_and_compact(spark, tmp_stage):
@@ -162,7 +163,7 @@ def test_ingest_job_cycle(spark, tmp_stage):
     assert final.where("copy_into_name is not null and ingestion_status = 'WAITING'").count() == 0
     orders = spark.read.parquet(f"{SF}/orders.parquet")
     good = orders.where("o_orderpriority in ('1-URGENT', '5-LOW') and o_orderstatus <> 'P'").count()
-    assert spark.read.parquet(f"{tmp_stage}/target/ORDERS").count() == good
+    assert read_target(spark, f"{tmp_stage}/target/ORDERS").count() == good
 
 
 def test_ingest_job_guards(spark, tmp_stage):
