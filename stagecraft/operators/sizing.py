@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from ..functions.warehouse import CORES_PER_NODE, nodes_per_warehouse
 
@@ -59,7 +59,3 @@ def size_profile(control: DataFrame) -> DataFrame:
 def size_advice_rows(spark, rows) -> DataFrame:
     """A small (size, workers) table for ``recommend_batch``."""
     return spark.createDataFrame(rows, "warehouse_size string, number_of_warehouses int")
-
-
-def file_cores(size: Column) -> Column:
-    return nodes_per_warehouse(size) * F.lit(CORES_PER_NODE)

@@ -103,12 +103,14 @@ def file_ingest(spark: SparkSession, store: ManifestStore, templates: DataFrame,
                 target_root: str, history_path: str, sort_order: str = "ASC",
                 files_to_process: int = 1000, files_at_once: int = 100, max_run_minutes: float = 60,
                 tries: int = 3, run_id: str | None = None, owner_session: int | None = None,
-                wave_files: int | None = None, clock=None) -> IngestRun:
+                wave_files: int | None = None, compact_after: int = 64, clock=None) -> IngestRun:
     """Run one ingest job over the manifest in ``store``; see the module text.
 
     ``wave_files`` bounds the files of one wave (default: one batch, or about
-    four files per core when that is more). ``clock`` returns the current
-    time (tests pass a fixed one).
+    four files per core when that is more). Once the store holds
+    ``compact_after`` change records, the run ends by folding them into a
+    new base (one manifest rewrite per many waves, never per batch).
+    ``clock`` returns the current time (tests pass a fixed one).
     """
     clock = clock or _utc_now
     summary = RunSummary()
@@ -164,6 +166,8 @@ def file_ingest(spark: SparkSession, store: ManifestStore, templates: DataFrame,
         reason = FILE_LIMIT
     summary.termination_reason = reason
     summary.files_processed = processed
+    if store.seq >= compact_after:
+        store.compact()
     summary.end_time = _stamp(clock())
     return run
 

@@ -7,17 +7,20 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 
-def list_stage(spark: SparkSession, stage_path: str, glob: str | None = None) -> DataFrame:
-    """Recursive listing of a stage prefix: path, modificationTime, length.
+def list_stage(spark: SparkSession, stage_path: str | Sequence[str], glob: str | None = None) -> DataFrame:
+    """Recursive listing of one or more stage prefixes: path, modificationTime, length.
 
     Uses the ``binaryFile`` source with only metadata columns selected, so
-    file contents are never read. Listing itself is Spark's parallel file
-    discovery (``spark.sql.sources.parallelPartitionDiscovery.threshold``).
+    file contents are never read. With many prefixes the listing runs as a
+    Spark job (``spark.sql.sources.parallelPartitionDiscovery.threshold``);
+    very large stages are best listed as several prefixes. Zero-length files
+    are skipped by Spark's file scan and so never listed.
     """
     reader = spark.read.format("binaryFile").option("recursiveFileLookup", "true")
     if glob:
         reader = reader.option("pathGlobFilter", glob)
-    return reader.load(stage_path).select("path", "modificationTime", "length")
+    paths = [stage_path] if isinstance(stage_path, str) else list(stage_path)
+    return reader.load(paths).select("path", "modificationTime", "length")
 
 
 def unload(df: DataFrame, stage_path: str, file_format: str = "csv",
@@ -34,17 +37,3 @@ def unload(df: DataFrame, stage_path: str, file_format: str = "csv",
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     writer.save(stage_path)
-
-
-def stage_text_lines(lines: DataFrame, stage_path: str, partition_by: Sequence[str] = (),
-                     mode: str = "overwrite") -> None:
-    """Write prepared text lines (column ``value``) as staged files."""
-    writer = lines.write.mode(mode)
-    if partition_by:
-        writer = writer.partitionBy(*partition_by)
-    writer.text(stage_path)
-
-
-def staged_dir_of(path_col: str = "path") -> F.Column:
-    """Directory part of a listed path."""
-    return F.regexp_replace(F.col(path_col), r"/[^/]*$", "")

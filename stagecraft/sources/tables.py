@@ -9,7 +9,6 @@ its latest change applied; ``compact`` folds the changes into a new base.
 
 from __future__ import annotations
 
-import json
 from collections.abc import Iterable, Mapping
 
 from pyspark.errors import AnalysisException
@@ -131,10 +130,3 @@ def clone_schema(spark: SparkSession, source: DataFrame) -> DataFrame:
 def empty_manifest(spark: SparkSession, order_type: T.DataType = T.TimestampNTZType()) -> DataFrame:
     """A manifest with no rows (the reset state)."""
     return spark.createDataFrame([], control_schema(order_type))
-
-
-def template_spec_json(row) -> str:
-    """Readable one-line text of a template row (for logs and summaries)."""
-    d = row.asDict(recursive=True)
-    return json.dumps({k: d.get(k) for k in ("target", "file_format", "schema_ddl", "options", "on_error")},
-                      default=str, sort_keys=True)

@@ -99,7 +99,12 @@ def lineitem_csv_line() -> Column:
 
 
 def _write_dirs(lines: DataFrame, path: str) -> None:
-    """One file per month directory, lines in key order."""
+    """One file per month directory, lines in key order.
+
+    This builds test input with a fixed layout (one file per month, so that
+    per-file results can be checked); it is not a library operator. Unloads
+    use ``sources.stage.unload``, which writes one file per task.
+    """
     (lines.repartition("month").sortWithinPartitions("month", "_key")
      .select("value", "month").write.mode("overwrite").partitionBy("month").text(path))
 
