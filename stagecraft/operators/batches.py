@@ -107,14 +107,15 @@ def claim_next(control: DataFrame, *, tries: int, files_at_once: int, sort_order
 
 def plan_batches(control: DataFrame, *, tries: int, files_at_once: int, sort_order: str,
                  templates: DataFrame | None = None, now: Column | None = None,
-                 files_to_process: int | None = None) -> DataFrame:
+                 files_to_process: int | None = None, single_task_rows: int | None = None) -> DataFrame:
     """Every batch that repeated ``claim_next`` would produce, as one query.
 
     Files are numbered per template in order (``file_rank``); each run of
     ``files_at_once`` files is a chunk; chunks are numbered by their first
     file in the global order (``batch_no``). With ``files_to_process`` only
     the first ceil(files_to_process / files_at_once) batches are kept, as
-    the run's pass count.
+    the run's pass count. Numbering is skew-safe above ``single_task_rows``
+    files (see ``number_within``).
     """
     n = check_files_at_once(files_at_once)
     order = order_columns(sort_order)
@@ -122,11 +123,12 @@ def plan_batches(control: DataFrame, *, tries: int, files_at_once: int, sort_ord
         "file_path", "copy_into_name", "ingestion_order", "try_count", "file_size")
     # One group per template: the template table bounds the groups.
     ranked = number_within(files, ["copy_into_name"], order, "file_rank", name="plan-rank",
-                           few_groups=templates is not None)
+                           few_groups=templates is not None, single_task_rows=single_task_rows)
     chunked = ranked.withColumn("chunk_no", F.floor((F.col("file_rank") - 1) / F.lit(n)).cast("long"))
     heads = (chunked.where((F.col("file_rank") - 1) % F.lit(n) == 0)
              .select("copy_into_name", "chunk_no", "ingestion_order", "file_path"))
-    batch_nos = number_within(heads, [], order, "batch_no", name="plan-heads").select(
+    batch_nos = number_within(heads, [], order, "batch_no", name="plan-heads",
+                              single_task_rows=single_task_rows).select(
         "copy_into_name", "chunk_no", "batch_no")
     plan = chunked.join(batch_nos, ["copy_into_name", "chunk_no"], "inner")
     if files_to_process is not None:
