@@ -15,7 +15,7 @@ from . import staging
 from .operators.manifest import build_manifest, listing_from_stage
 from .plans.ingest import file_ingest
 from .session import work_dir
-from .sources.loader import LoadTemplate, load_files, load_results, read_target
+from .sources.loader import LoadTemplate, load_results, load_stage, read_target
 from .sources.stage import list_stage, unload
 from .sources.tables import ManifestStore
 from .streaming.ingest import start_stream_ingest
@@ -35,11 +35,6 @@ def _template(spark, name) -> LoadTemplate:
     return staging.template(name)
 
 
-def _paths(spark, stage, route) -> list[str]:
-    # The listing of one route directory: the file list handed to the reader.
-    return [r.path for r in list_stage(spark, f"{stage}/{route}").select("path").collect()]
-
-
 # ---------------------------------------------------------------- O01 list stage
 
 def q_list_stage(spark, sf):
@@ -73,7 +68,7 @@ def _load_route(spark, sf, route):
     root, stage = _stage(spark, sf, (route,))
     tpl = _template(spark, route)
     target = f"{root}/target/{tpl.target}"
-    load_files(spark, _paths(spark, stage, route), tpl, target, f"q-{route}").collect()
+    load_stage(spark, f"{stage}/{route}", tpl, target, f"q-{route}")  # lands the rows eagerly
     return read_target(spark, target, tpl.schema_ddl)
 
 
@@ -100,8 +95,7 @@ def _history(spark, sf, routes):
     parts = []
     for route in routes:
         tpl = _template(spark, route)
-        parts.append(load_files(spark, _paths(spark, stage, route), tpl, f"{root}/target/{tpl.target}",
-                                f"q-{route}"))
+        parts.append(load_stage(spark, f"{stage}/{route}", tpl, f"{root}/target/{tpl.target}", f"q-{route}"))
     hist = parts[0]
     for p in parts[1:]:
         hist = hist.unionByName(p)
@@ -190,8 +184,7 @@ def q_lineitem_roundtrip(spark, sf):
     unload(fx.base_table(spark, sf, "lineitem"), stage, "csv")
     tpl = staging.template("LINEITEM")
     target = f"{root}/target/{tpl.target}"
-    hist = load_files(spark, [r.path for r in list_stage(spark, stage).select("path").collect()], tpl,
-                      target, "roundtrip")
+    hist = load_stage(spark, stage, tpl, target, "roundtrip")
     bad = hist.where(F.col("error_count") > 0).count()
     if bad:
         raise RuntimeError(f"{bad} files with rejected rows in a clean round trip")

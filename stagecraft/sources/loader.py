@@ -110,9 +110,11 @@ def _csv_options(tpl: LoadTemplate) -> dict[str, str]:
     return opts
 
 
-def parse_staged(spark: SparkSession, paths: list[str], tpl: LoadTemplate) -> DataFrame:
+def parse_staged(spark: SparkSession, paths: list[str] | str, tpl: LoadTemplate) -> DataFrame:
     """One row per line (record): _file, _block, _mid, _blank, _bad, _row (typed
-    struct) and, for bad rows, _err (message, column, position)."""
+    struct) and, for bad rows, _err (message, column, position).
+
+    ``paths`` is an explicit file list, or one prefix read recursively."""
     schema = schema_of(spark, tpl.schema_ddl)
     fmt = tpl.file_format
     multiline = str(tpl.options.get("multiLine", tpl.options.get("multiline", "false"))).lower() == "true"
@@ -121,6 +123,8 @@ def parse_staged(spark: SparkSession, paths: list[str], tpl: LoadTemplate) -> Da
 
     if fmt in TEXT_FORMATS and not multiline:
         reader = spark.read
+        if isinstance(paths, str):
+            reader = reader.option("recursiveFileLookup", "true")
         if "lineSep" in tpl.options:
             reader = reader.option("lineSep", tpl.options["lineSep"])
         lines = (reader.text(paths)
@@ -130,12 +134,12 @@ def parse_staged(spark: SparkSession, paths: list[str], tpl: LoadTemplate) -> Da
     # Record readers: multi-line CSV (needs the corrupt column cached) or columnar formats.
     if fmt == "csv":
         ddl_c = T.StructType(schema.fields + [T.StructField(CORRUPT, T.StringType())])
-        df = (spark.read.schema(ddl_c)
+        df = (spark.read.schema(ddl_c).options(**_prefix_option(paths))
               .options(**{**_csv_options(tpl), "mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT})
               .csv(paths))
         bad = F.col(CORRUPT).isNotNull()
     else:
-        df = spark.read.format(fmt).schema(schema).options(**tpl.options).load(paths)
+        df = spark.read.format(fmt).schema(schema).options(**_prefix_option(paths)).options(**tpl.options).load(paths)
         bad = F.lit(False)
     row = F.struct(*[F.col(f.name) for f in schema.fields], F.lit(None).cast("string").alias(CORRUPT))
     return df.select(*meta, F.monotonically_increasing_id().alias("_mid"), row.alias("_row"),
@@ -145,6 +149,10 @@ def parse_staged(spark: SparkSession, paths: list[str], tpl: LoadTemplate) -> Da
                                           F.lit(None).cast("long").alias("position"))).alias("_err"))
 
 
+def _prefix_option(paths) -> dict[str, str]:
+    return {"recursiveFileLookup": "true"} if isinstance(paths, str) else {}
+
+
 def parse_lines(lines: DataFrame, tpl: LoadTemplate, schema: T.StructType | None = None) -> DataFrame:
     """Parse text lines (value, _file, _block, _mid) of a CSV or JSON-lines template."""
     schema = schema or schema_of(lines.sparkSession, tpl.schema_ddl)
@@ -217,6 +225,15 @@ def load_files(spark: SparkSession, paths: list[str], tpl: LoadTemplate, target_
     return load_parsed(parse_staged(spark, paths, tpl), requested, tpl, target_path, load_id)
 
 
+def load_stage(spark: SparkSession, prefix: str, tpl: LoadTemplate, target_path: str,
+               load_id: str) -> DataFrame:
+    """Load every file below ``prefix``. The files to report come from the
+    stage listing as a DataFrame: no file list passes through the driver."""
+    from .stage import list_stage
+    requested = list_stage(spark, prefix).select(F.col("path").alias("file_name"))
+    return load_parsed(parse_staged(spark, prefix, tpl), requested, tpl, target_path, load_id)
+
+
 def _landing(parsed: DataFrame, schema: T.StructType, load_id: str, kind: Column) -> DataFrame:
     """Every line as one row: typed columns (set for loaded rows), lineage
     (source file, split, line key), the error and raw text of rejected lines."""
