@@ -16,6 +16,7 @@ from __future__ import annotations
 
 import datetime as dt
 import math
+from concurrent.futures import ThreadPoolExecutor
 import time
 import uuid
 from dataclasses import dataclass
@@ -44,6 +45,9 @@ TIME_LIMIT = "Time_Limit"
 FILE_LIMIT = "File_Limit"
 PASS_LIMIT = "Pass_Limit"
 
+# Loads of different templates in one wave that may run at the same time.
+MAX_PARALLEL_TEMPLATES = 8
+
 
 def check_parameters(files_to_process, files_at_once, sort_order, max_run_minutes, tries) -> str:
     if files_to_process <= 0:
@@ -184,17 +188,26 @@ def _run_wave(spark: SparkSession, store: ManifestStore, wave: DataFrame, live:
     by_template: dict[str, list[str]] = {}
     for r in wave.select("copy_into_name", "file_path").orderBy("batch_no", "file_path").collect():
         by_template.setdefault(r["copy_into_name"], []).append(r["file_path"])
-    histories = []
-    for name, paths in by_template.items():
+    def load(item):
+        name, paths = item
         tpl = live[name]
         load_id = f"{run_id}-b{first_batch:08d}-{name}"
-        histories.append(load_files(spark, paths, tpl, f"{run.target_root}/{tpl.target}", load_id))
+        return load_files(spark, paths, tpl, f"{run.target_root}/{tpl.target}", load_id)
+
+    # Templates of a wave load into different targets: run their jobs side by
+    # side so a small template does not leave the cluster idle.
+    items = list(by_template.items())
+    if len(items) == 1:
+        histories = [load(items[0])]
+    else:
+        with ThreadPoolExecutor(max_workers=min(len(items), MAX_PARALLEL_TEMPLATES)) as pool:
+            histories = list(pool.map(load, items))
     hist = histories[0]
     for h in histories[1:]:
         hist = hist.unionByName(h)
+    # The history rows are final (per-file figures were written by the loads).
     hist.write.mode("append").parquet(run.history_path)
-    recorded = spark.read.parquet(run.history_path).where(
-        F.col("load_id").startswith(f"{run_id}-b{first_batch:08d}-"))
+    recorded = hist
 
     done_at = F.lit(clock()).cast("timestamp_ntz")
     res = load_results(recorded)
