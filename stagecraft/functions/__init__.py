@@ -2,10 +2,11 @@
 
 from .paths import last_modified_to_timestamp, parent_dir, stage_path_shorten, timestamp_to_listing_text
 from .text import progress_bar, thousands_text
-from .timing import minutes_between, seconds_between
+from .timing import minutes_between, ntz_literal, seconds_between
 from .warehouse import nodes_per_warehouse
 
 __all__ = [
     "last_modified_to_timestamp", "parent_dir", "stage_path_shorten", "timestamp_to_listing_text",
-    "progress_bar", "thousands_text", "minutes_between", "seconds_between", "nodes_per_warehouse",
+    "progress_bar", "thousands_text", "minutes_between", "ntz_literal", "seconds_between",
+    "nodes_per_warehouse",
 ]

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import Column, functions as F
 
 
@@ -19,3 +21,8 @@ def seconds_between(start: Column | str, end: Column | str) -> Column:
     """Second boundaries crossed from ``start`` to ``end``."""
     return F.timestamp_diff("SECOND", F.date_trunc("second", _col(start)),
                            F.date_trunc("second", _col(end)))
+
+
+def ntz_literal(t: dt.datetime) -> Column:
+    """A wall-clock timestamp literal, independent of any time zone setting."""
+    return F.lit(t.strftime("%Y-%m-%d %H:%M:%S.%f")).cast("timestamp_ntz")

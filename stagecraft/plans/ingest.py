@@ -23,6 +23,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+from ..functions.timing import ntz_literal
 from ..operators.batches import plan_batches, valid_templates
 from ..operators.manifest import count_duplicates
 from ..operators.transitions import claim_rows
@@ -135,7 +136,7 @@ def file_ingest(spark: SparkSession, store: ManifestStore, templates: DataFrame,
     started = clock()
     summary.start_time = _stamp(started)
     deadline = time.monotonic() + float(max_run_minutes) * 60.0
-    now = F.lit(started).cast("timestamp_ntz")
+    now = ntz_literal(started)
     passes = math.ceil(float(files_to_process) / files_at_once)
 
     live = _templates_at(templates, now)
@@ -179,7 +180,7 @@ def file_ingest(spark: SparkSession, store: ManifestStore, templates: DataFrame,
 def _run_wave(spark: SparkSession, store: ManifestStore, wave: DataFrame, live: dict[str, LoadTemplate],
               run: IngestRun, run_id: str, owner_session, clock, first_batch: int) -> int:
     """Claim, load and record one wave; returns the number of files claimed."""
-    claim_at = F.lit(clock()).cast("timestamp_ntz")
+    claim_at = ntz_literal(clock())
     claimed = claim_rows(wave.select(*CONTROL_COLUMNS), run_id=run_id,
                          owner_session=owner_session if owner_session is not None else 0, now=claim_at)
     store.append_changes(claimed)
@@ -209,7 +210,7 @@ def _run_wave(spark: SparkSession, store: ManifestStore, wave: DataFrame, live:
     hist.write.mode("append").parquet(run.history_path)
     recorded = hist
 
-    done_at = F.lit(clock()).cast("timestamp_ntz")
+    done_at = ntz_literal(clock())
     res = load_results(recorded)
     done = (claimed.join(res, claimed["file_path"] == res["file"], "inner")
             .select("file_path", "copy_into_name", "ingestion_order",
