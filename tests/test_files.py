@@ -196,3 +196,43 @@ def test_stream_ingest_matches_events(spark):
     events = spark.read.parquet(f"{SF}/events.parquet")
     assert got.count() == events.count()
     assert got.exceptAll(events.select(*got.columns)).count() == 0
+
+
+def test_ingest_error_leaves_claimed_files_loading(spark, tmp_stage):
+    from stagecraft.operators.transitions import reset_stuck
+    store = _staged_store(spark, tmp_stage)
+    broken = staging.template_rows()
+    for r in broken:
+        r["schema_ddl"] = "o_orderkey not_a_type"
+    from stagecraft.sources.tables import templates_table
+    run = file_ingest(spark, store, templates_table(spark, broken), target_root=f"{tmp_stage}/t",
+                      history_path=f"{tmp_stage}/h", files_to_process=4, files_at_once=4,
+                      max_run_minutes=20, tries=3, run_id="bad", wave_files=4)
+    assert run.summary.termination_reason.startswith("ERROR: ")
+    assert run.summary.files_processed == 0
+    cur = store.read()
+    stuck = cur.where("ingestion_status = 'LOADING' and exec_uuid = 'bad'")
+    assert stuck.count() == 4
+    # a stuck reset makes them eligible again (tries stay spent)
+    later = F.lit(dt.datetime(2100, 1, 1)).cast("timestamp_ntz")
+    reset = reset_stuck(cur, later, 60)
+    assert reset.where("exec_uuid = 'bad' and ingestion_status = 'WAITING' and try_count = 1").count() == 4
+
+
+def test_monitoring_over_a_real_run(spark, tmp_stage):
+    from stagecraft.operators import monitor
+    store = _staged_store(spark, tmp_stage)
+    run = file_ingest(spark, store, staging.load_templates(spark), target_root=f"{tmp_stage}/t",
+                      history_path=f"{tmp_stage}/h", files_to_process=100000, files_at_once=100,
+                      max_run_minutes=20, tries=3, run_id="m")
+    control, hist = store.read(), spark.read.parquet(run.history_path)
+    stats = {r.ingestion_status: r for r in monitor.load_stats(control, hist).collect()}
+    assert set(stats) <= {"LOADED", "PARTIALLY_LOADED", "LOAD_FAILED"}
+    assert sum(r.files for r in stats.values()) == hist.count()
+    assert sum(r.row_parsed for r in stats.values()) == hist.agg(F.sum("row_parsed")).first()[0]
+    pct = monitor.percent_complete(control).first()[0]
+    assert 0 < pct < 100   # unrouted files are still waiting
+    eta = monitor.progress_eta(control, F.lit(dt.datetime(2100, 1, 1)).cast("timestamp_ntz")).first()
+    assert eta.progress.endswith("%") and eta.estimated_total_runtime_minutes >= eta.running_minutes
+    log = monitor.load_log(control, hist)
+    assert log.count() == hist.count()
