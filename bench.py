@@ -17,7 +17,8 @@ from pathlib import Path
 sys.path.insert(0, str(Path(__file__).resolve().parent))
 
 from stagecraft import catalog  # noqa: E402
-from stagecraft.session import build_session  # noqa: E402
+from stagecraft.session import build_session, work_dir  # noqa: E402
+from stagecraft.sources.stage import unload  # noqa: E402
 
 HEADLINE = [
     "route_files",        # O11 routing over the listing
@@ -51,8 +52,20 @@ def main() -> None:
         df = fn(spark, sf_dir)
         df.write.format("noop").mode("overwrite").save()
         times[name] = round(time.perf_counter() - t0, 3)
-    m = re.search(r"sf([0-9.]+)", sf_dir)
+    # Pure unloads (O06), the one kind of figure the original publishes
+    # (rows per second per core, to compare with its TPC-H unload timings).
     extra = {}
+    if not sys.argv[1:]:
+        for table in ("orders", "lineitem"):
+            df = spark.read.parquet(f"{sf_dir}/{table}.parquet")
+            n = df.count()
+            t0 = time.perf_counter()
+            unload(df, work_dir(spark, f"bench-unload-{table}"), "csv")
+            times[f"unload_{table}"] = round(time.perf_counter() - t0, 3)
+            extra[f"unload_{table}_rows_per_sec_per_core"] = round(n / times[f"unload_{table}"] / int(cpus))
+            # Input splits bound the writer tasks (one CSV file per task).
+            extra[f"unload_{table}_tasks"] = df.rdd.getNumPartitions()
+    m = re.search(r"sf([0-9.]+)", sf_dir)
     if "lineitem_roundtrip" in times:
         n = spark.read.parquet(f"{sf_dir}/lineitem.parquet").count()
         extra["lineitem_roundtrip_rows_per_sec_per_core"] = round(n / times["lineitem_roundtrip"] / int(cpus))
