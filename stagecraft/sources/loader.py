@@ -105,7 +105,8 @@ CSV_INPUT_BUFFER = "4096"
 
 
 def _csv_options(tpl: LoadTemplate) -> dict[str, str]:
-    opts = {k: v for k, v in tpl.options.items() if k != "lineSep"}
+    """Options for parsing one line: no line separator, no header."""
+    opts = {k: v for k, v in tpl.options.items() if k not in ("lineSep", "header", "multiLine", "multiline")}
     opts.setdefault("inputBufferSize", CSV_INPUT_BUFFER)
     return opts
 
@@ -117,11 +118,12 @@ def parse_staged(spark: SparkSession, paths: list[str] | str, tpl: LoadTemplate)
     ``paths`` is an explicit file list, or one prefix read recursively."""
     schema = schema_of(spark, tpl.schema_ddl)
     fmt = tpl.file_format
-    multiline = str(tpl.options.get("multiLine", tpl.options.get("multiline", "false"))).lower() == "true"
+    multiline = _flag(tpl, "multiLine")
+    header = fmt == "csv" and _flag(tpl, "header")
     meta = [_decoded_path(F.col("_metadata.file_path")).alias("_file"),
             F.col("_metadata.file_block_start").alias("_block")]
 
-    if fmt in TEXT_FORMATS and not multiline:
+    if fmt in TEXT_FORMATS and not multiline and not header:
         reader = spark.read
         if isinstance(paths, str):
             reader = reader.option("recursiveFileLookup", "true")
@@ -131,22 +133,34 @@ def parse_staged(spark: SparkSession, paths: list[str] | str, tpl: LoadTemplate)
                  .select("value", *meta, F.monotonically_increasing_id().alias("_mid")))
         return parse_lines(lines, tpl, schema)
 
-    # Record readers: multi-line CSV (needs the corrupt column cached) or columnar formats.
+    # Record readers: CSV with a header line (skipped in each file's first
+    # split) or multi-line records, and columnar formats.
     if fmt == "csv":
         ddl_c = T.StructType(schema.fields + [T.StructField(CORRUPT, T.StringType())])
-        df = (spark.read.schema(ddl_c).options(**_prefix_option(paths))
-              .options(**{**_csv_options(tpl), "mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT})
-              .csv(paths))
+        opts = {**tpl.options, **_csv_options(tpl), "mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT}
+        df = spark.read.schema(ddl_c).options(**_prefix_option(paths)).options(**opts).csv(paths)
         bad = F.col(CORRUPT).isNotNull()
-    else:
-        df = spark.read.format(fmt).schema(schema).options(**_prefix_option(paths)).options(**tpl.options).load(paths)
-        bad = F.lit(False)
+        row = F.struct(*[F.col(f.name) for f in schema.fields], F.col(CORRUPT))
+        rows = df.select(*meta, F.monotonically_increasing_id().alias("_mid"), row.alias("_row"),
+                         F.lit(False).alias("_blank"), bad.alias("_bad"), F.col(CORRUPT).alias("value"))
+        if multiline:
+            msg, col, pos = F.lit("Malformed record"), F.lit(None).cast("string"), F.lit(None).cast("long")
+        else:
+            # One record per line: the record text gives the same details as the line reader.
+            rows = rows.withColumn("_raw", F.when(F.col("_bad"), _raw_fields(tpl, schema)))
+            msg, col, pos = _error_details(tpl, schema)
+        err = F.when(F.col("_bad"), F.struct(msg.alias("message"), col.alias("col_name"), pos.alias("position")))
+        return rows.withColumn("_err", err).drop("_raw")
+    df = spark.read.format(fmt).schema(schema).options(**_prefix_option(paths)).options(**tpl.options).load(paths)
     row = F.struct(*[F.col(f.name) for f in schema.fields], F.lit(None).cast("string").alias(CORRUPT))
     return df.select(*meta, F.monotonically_increasing_id().alias("_mid"), row.alias("_row"),
-                     F.lit(False).alias("_blank"), bad.alias("_bad"),
-                     F.when(bad, F.struct(F.lit("Malformed record").alias("message"),
-                                          F.lit(None).cast("string").alias("col_name"),
-                                          F.lit(None).cast("long").alias("position"))).alias("_err"))
+                     F.lit(False).alias("_blank"), F.lit(False).alias("_bad"),
+                     F.lit(None).cast("struct<message:string,col_name:string,position:bigint>").alias("_err"))
+
+
+def _flag(tpl: LoadTemplate, name: str) -> bool:
+    value = tpl.options.get(name, tpl.options.get(name.lower(), "false"))
+    return str(value).lower() == "true"
 
 
 def _prefix_option(paths) -> dict[str, str]:
@@ -176,7 +190,7 @@ def parse_lines(lines: DataFrame, tpl: LoadTemplate, schema: T.StructType | None
     return rows.withColumn("_err", err).drop("_raw")
 
 
-def file_statistics(lines: DataFrame, with_line_numbers: bool = True) -> DataFrame:
+def file_statistics(lines: DataFrame, with_line_numbers: bool = True, line_offset: int = 0) -> DataFrame:
     """Per file: rows parsed, rejected, and the first error with its line number.
 
     Lines are counted per (file, split); a split's lines are contiguous in
@@ -193,7 +207,7 @@ def file_statistics(lines: DataFrame, with_line_numbers: bool = True) -> DataFra
                    first_bad.alias("_fb")))
     w = Window.partitionBy("_file").orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
     before = F.coalesce(F.sum("_lines").over(w), F.lit(0))
-    line_no = (before + F.col("_fb._mid") - F.col("_first_mid") + F.lit(1)) if with_line_numbers \
+    line_no = (before + F.col("_fb._mid") - F.col("_first_mid") + F.lit(1 + line_offset)) if with_line_numbers \
         else F.lit(None).cast("long")
     blocks = blocks.withColumn("_bad_line", F.when(F.col("_fb").isNotNull(), line_no))
     first = F.min(F.when(F.col("_fb").isNotNull(),
@@ -275,8 +289,9 @@ def load_parsed(parsed: DataFrame, requested: DataFrame | None, tpl: LoadTemplat
     """
     spark = parsed.sparkSession
     schema = schema_of(spark, tpl.schema_ddl)
-    multiline = tpl.file_format == "csv" and \
-        str(tpl.options.get("multiLine", tpl.options.get("multiline", "false"))).lower() == "true"
+    multiline = tpl.file_format == "csv" and _flag(tpl, "multiLine")
+    # A skipped header line comes before the first counted line of a file.
+    offset = 1 if tpl.file_format == "csv" and _flag(tpl, "header") else 0
     mode = tpl.on_error
     kind = (F.when(F.col("_blank"), F.lit(KIND_BLANK)).when(F.col("_bad"), F.lit(KIND_REJECTED))
             .otherwise(F.lit(KIND_LOADED)))
@@ -284,9 +299,11 @@ def load_parsed(parsed: DataFrame, requested: DataFrame | None, tpl: LoadTemplat
     if mode == "continue":
         _write_landing(_landing(parsed, schema, load_id, kind), target_path)
         stats = materialize(file_statistics(_landed_lines(spark, target_path, load_id),
-                                            with_line_numbers=not multiline), f"load-stats-{tpl.name}")
+                                            with_line_numbers=not multiline, line_offset=offset),
+                            f"load-stats-{tpl.name}")
     else:
-        stats = materialize(file_statistics(parsed, with_line_numbers=not multiline), f"load-stats-{tpl.name}")
+        stats = materialize(file_statistics(parsed, with_line_numbers=not multiline, line_offset=offset),
+                            f"load-stats-{tpl.name}")
         if mode == "skip_file":
             failed = stats.where(F.col("error_count") > 0).select(F.col("_file").alias("_failed"))
             parsed = parsed.join(failed, parsed["_file"] == failed["_failed"], "left")

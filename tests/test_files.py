@@ -236,3 +236,21 @@ def test_monitoring_over_a_real_run(spark, tmp_stage):
     assert eta.progress.endswith("%") and eta.estimated_total_runtime_minutes >= eta.running_minutes
     log = monitor.load_log(control, hist)
     assert log.count() == hist.count()
+
+
+def test_header_template_skips_first_line(spark, tmp_stage):
+    d = local_path(tmp_stage)
+    head = "o_orderkey,o_custkey,o_orderstatus,o_totalprice,o_orderdate,o_orderpriority\n"
+    _write(f"{d}/in/h1.csv", head + "1,1,F,2.0,1998-01-01T00:00:00.000,LOW\n"
+           "2,1,F,2.5,1998-01-01T00:00:00.000,LOW\n" "3,1,F,oops,1998-01-01T00:00:00.000,LOW\n")
+    _write(f"{d}/in/h2.csv", head + "4,1,F,2.0,1998-01-01T00:00:00.000,LOW\n")
+    tpl = LoadTemplate("ORDERS", "ORDERS", staging.ORDERS_DDL, options={"header": "true"})
+    hist = {r.file_name.rsplit("/", 1)[1]: r
+            for r in load_files(spark, [f"file:{d}/in/h1.csv", f"file:{d}/in/h2.csv"], tpl,
+                                f"{tmp_stage}/t", "H").collect()}
+    h1 = hist["h1.csv"]
+    assert (h1.row_parsed, h1.row_count, h1.error_count, h1.status) == (3, 2, 1, "PARTIALLY_LOADED")
+    assert h1.first_error_line_number == 4 and h1.first_error_col_name == "O_TOTALPRICE"
+    assert h1.first_error_character_position == len("3,1,F,") + 1
+    assert (hist["h2.csv"].row_parsed, hist["h2.csv"].status) == (1, "LOADED")
+    assert sorted(r.o_orderkey for r in read_target(spark, f"{tmp_stage}/t").collect()) == [1, 2, 4]
