@@ -107,7 +107,8 @@ def claim_next(control: DataFrame, *, tries: int, files_at_once: int, sort_order
 
 def plan_batches(control: DataFrame, *, tries: int, files_at_once: int, sort_order: str,
                  templates: DataFrame | None = None, now: Column | None = None,
-                 files_to_process: int | None = None, single_task_rows: int | None = None) -> DataFrame:
+                 files_to_process: int | None = None, single_task_rows: int | None = None,
+                 extra_columns: tuple[str, ...] = ()) -> DataFrame:
     """Every batch that repeated ``claim_next`` would produce, as one query.
 
     Files are numbered per template in order (``file_rank``); each run of
@@ -115,12 +116,14 @@ def plan_batches(control: DataFrame, *, tries: int, files_at_once: int, sort_ord
     file in the global order (``batch_no``). With ``files_to_process`` only
     the first ceil(files_to_process / files_at_once) batches are kept, as
     the run's pass count. Numbering is skew-safe above ``single_task_rows``
-    files (see ``number_within``).
+    files (see ``number_within``). ``extra_columns`` are carried through from
+    the manifest (the ingest job keeps every column, so it needs no join back).
     """
     n = check_files_at_once(files_at_once)
     order = order_columns(sort_order)
-    files = routable_files(control, tries, templates, now).select(
-        "file_path", "copy_into_name", "ingestion_order", "try_count", "file_size")
+    base_cols = ["file_path", "copy_into_name", "ingestion_order", "try_count", "file_size"]
+    carried = [c for c in extra_columns if c not in base_cols]
+    files = routable_files(control, tries, templates, now).select(*base_cols, *carried)
     # One group per template: the template table bounds the groups.
     ranked = number_within(files, ["copy_into_name"], order, "file_rank", name="plan-rank",
                            few_groups=templates is not None, single_task_rows=single_task_rows)
@@ -135,7 +138,7 @@ def plan_batches(control: DataFrame, *, tries: int, files_at_once: int, sort_ord
         passes = math.ceil(float(files_to_process) / n)
         plan = plan.where(F.col("batch_no") <= F.lit(passes))
     return plan.select("batch_no", "copy_into_name", "file_path", "ingestion_order", "file_rank",
-                       "try_count", "file_size")
+                       "try_count", "file_size", *carried)
 
 
 def quoted_short_path(path: Column | str) -> Column:

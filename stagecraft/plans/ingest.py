@@ -124,6 +124,9 @@ def file_ingest(spark: SparkSession, store: ManifestStore, templates: DataFrame,
     if err != NO_ERRORS:
         summary.parameter_error = err
         return run
+    if store.seq > 0:
+        # Start from one folded base: the run reads the manifest three times.
+        store.compact()
     control = store.read()
     if count_duplicates(control) > 0:
         summary.duplicate_files_error = MSG_DUPLICATES
@@ -140,10 +143,10 @@ def file_ingest(spark: SparkSession, store: ManifestStore, templates: DataFrame,
     passes = math.ceil(float(files_to_process) / files_at_once)
 
     live = _templates_at(templates, now)
+    # Every manifest column is kept: claim records are built from the plan rows.
     plan = plan_batches(control, tries=tries, files_at_once=files_at_once, sort_order=sort_order,
-                        templates=templates, now=now, files_to_process=files_to_process)
-    # Keep every manifest column: claim records are built from the plan rows.
-    plan = plan.select("batch_no", "file_path").join(control, "file_path", "inner")
+                        templates=templates, now=now, files_to_process=files_to_process,
+                        extra_columns=tuple(CONTROL_COLUMNS))
     plan = materialize(plan, "ingest-plan")
     n_batches = int(plan.agg(F.max("batch_no")).first()[0] or 0)
     if wave_files is None:
