@@ -456,10 +456,11 @@ def q_load_log(spark, sf):
 
 
 O_LOAD_LOG = _with("control", "history") + f"""
-select c.file_path, h.file_name, h.row_count, h.row_parsed, cast(null as varchar) as first_error_message,
+select c.file_path, h.file_name, cast(h.row_count as bigint) as row_count, h.row_parsed,
+       cast(null as varchar) as first_error_message,
        h.first_error_line_number, cast(null as bigint) as first_error_character_position,
        cast(null as varchar) as first_error_col_name,
-       h.error_count, c.ingestion_order, c.ingestion_status, c.owner_session, c.exec_uuid, c.try_count,
+       cast(h.error_count as bigint) as error_count, c.ingestion_order, c.ingestion_status, c.owner_session, c.exec_uuid, c.try_count,
        c.start_time, c.end_time, c.file_size, c.error_msg
 from control c join history h on ({_short('c.file_path')}) = ({_short('h.file_name')})
 """
