@@ -255,3 +255,25 @@ def test_header_template_skips_first_line(spark, tmp_stage):
     assert h1.first_error_character_position == len("3,1,F,") + 1
     assert (hist["h2.csv"].row_parsed, hist["h2.csv"].status) == (1, "LOADED")
     assert sorted(r.o_orderkey for r in read_target(spark, f"{tmp_stage}/t").collect()) == [1, 2, 4]
+
+
+def test_stream_newest_first_each_file_once(spark, tmp_stage):
+    from stagecraft.streaming.ingest import start_stream_ingest
+    stage = staging.stage_events(spark, SF, tmp_stage)
+    tpl = LoadTemplate("EVENTS", "EVENTS", staging.EVENTS_DDL, "csv",
+                       {"escape": '"', "timestampNTZFormat": staging.TS_TEXT})
+    kw = dict(target_path=f"{tmp_stage}/target", history_path=f"{tmp_stage}/history",
+              checkpoint_path=f"{tmp_stage}/checkpoint", run_id="s", max_files_per_trigger=1,
+              latest_first=True)
+    q = start_stream_ingest(spark, stage, tpl, **kw)
+    q.awaitTermination()
+    hist = spark.read.parquet(f"{tmp_stage}/history")
+    days = {r.load_id: r.file_name.split("month=")[1][:10] for r in hist.collect()}
+    assert len(days) == hist.count()            # one file per micro-batch
+    ordered = [days[k] for k in sorted(days)]
+    assert ordered == sorted(ordered, reverse=True)   # newest day first
+    n = read_target(spark, f"{tmp_stage}/target").count()
+    # restarting on the same checkpoint loads nothing twice
+    q2 = start_stream_ingest(spark, stage, tpl, **kw)
+    q2.awaitTermination()
+    assert read_target(spark, f"{tmp_stage}/target").count() == n == spark.read.parquet(f"{SF}/events.parquet").count()
