@@ -147,16 +147,18 @@ def file_ingest(spark: SparkSession, store: ManifestStore, templates: DataFrame,
     plan = plan_batches(control, tries=tries, files_at_once=files_at_once, sort_order=sort_order,
                         templates=templates, now=now, files_to_process=files_to_process,
                         extra_columns=tuple(CONTROL_COLUMNS))
-    plan = materialize(plan, "ingest-plan")
-    n_batches = int(plan.agg(F.max("batch_no")).first()[0] or 0)
     if wave_files is None:
         wave_files = max(files_at_once, 4 * spark.sparkContext.defaultParallelism)
     per_wave = max(1, int(wave_files) // files_at_once)
+    # One folder per wave: each wave reads its own rows, not the whole plan.
+    plan = plan.withColumn("_wave", F.floor((F.col("batch_no") - 1) / F.lit(per_wave)).cast("long"))
+    plan = materialize(plan, "ingest-plan", partition_by="_wave")
+    n_batches = int(plan.agg(F.max("batch_no")).first()[0] or 0)
 
     processed, reason, batch = 0, None, 0
     while batch < n_batches:
         lo, hi = batch + 1, min(batch + per_wave, n_batches)
-        wave = plan.where(F.col("batch_no").between(lo, hi))
+        wave = plan.where(F.col("_wave") == F.lit((lo - 1) // per_wave))
         try:
             processed += _run_wave(spark, store, wave, live, run, run_id, owner_session, clock, lo)
         except Exception as e:  # noqa: BLE001 - the run reports the error and stops

@@ -72,15 +72,20 @@ def work_dir(spark: SparkSession, name: str) -> str:
     return f"{shared_root(spark)}/stagecraft/{name}-{uuid.uuid4().hex[:12]}"
 
 
-def materialize(df: DataFrame, name: str) -> DataFrame:
+def materialize(df: DataFrame, name: str, partition_by: str | None = None) -> DataFrame:
     """Write ``df`` as a table in the shared folder and read it back.
 
     Cuts the lineage (so values computed with non-deterministic expressions
-    are frozen) and survives executor loss, unlike a local checkpoint.
+    are frozen) and survives executor loss, unlike a local checkpoint. With
+    ``partition_by`` the rows are range-partitioned on that column and written
+    one folder per value, so a later filter on it reads only its folder.
     """
     spark = df.sparkSession
     path = work_dir(spark, name)
-    df.write.mode("overwrite").parquet(path)
+    writer = df.write.mode("overwrite")
+    if partition_by:
+        writer = df.repartitionByRange(partition_by).write.mode("overwrite").partitionBy(partition_by)
+    writer.parquet(path)
     return spark.read.parquet(path)
 
 
