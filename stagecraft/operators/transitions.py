@@ -27,7 +27,9 @@ def _update(control: DataFrame, cond: Column, changes: dict[str, Column]) -> Dat
 def mark_complete(control: DataFrame, results: DataFrame, now: Column) -> DataFrame:
     """Record load results (file, status, first_error) on the matching files:
     status, error (empty text when none), end time; the run id is cleared.
-    Results for unknown files and files without results are left alone."""
+    Results for unknown files and files without results are left alone.
+    As in a merge, ``results`` holds at most one row per file (the loader
+    reports each file once per load)."""
     res = results.select(F.col("file").alias("_file"), F.col("status").alias("_status"),
                          F.col("first_error").alias("_error"))
     joined = control.join(res, control["file_path"] == res["_file"], "left")
