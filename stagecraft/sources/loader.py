@@ -235,7 +235,8 @@ def load_files(spark: SparkSession, paths: list[str], tpl: LoadTemplate, target_
     """
     if not paths:
         return spark.createDataFrame([], LOAD_HISTORY_SCHEMA)
-    requested = spark.createDataFrame([(p,) for p in paths], "file_name string")
+    # One array literal exploded on the JVM: no Python workers for the list.
+    requested = spark.range(1).select(F.explode(F.lit(list(paths)).cast("array<string>")).alias("file_name"))
     return load_parsed(parse_staged(spark, paths, tpl), requested, tpl, target_path, load_id)
 
 
