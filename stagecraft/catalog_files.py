@@ -8,6 +8,8 @@ the seeding rule of ``staging``.
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
+
 from pyspark.sql import Column, DataFrame, functions as F
 
 from . import fixtures as fx
@@ -92,10 +94,14 @@ O_LOAD_JSON_FILES = f"select {_ORDER_COLS} from orders where o_orderpriority = '
 
 def _history(spark, sf, routes):
     root, stage = _stage(spark, sf, tuple(routes))
-    parts = []
-    for route in routes:
+
+    def load(route):
         tpl = _template(spark, route)
-        parts.append(load_stage(spark, f"{stage}/{route}", tpl, f"{root}/target/{tpl.target}", f"q-{route}"))
+        return load_stage(spark, f"{stage}/{route}", tpl, f"{root}/target/{tpl.target}", f"q-{route}")
+
+    # Different targets: the loads run side by side.
+    with ThreadPoolExecutor(max_workers=len(routes)) as pool:
+        parts = list(pool.map(load, routes))
     hist = parts[0]
     for p in parts[1:]:
         hist = hist.unionByName(p)
