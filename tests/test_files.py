@@ -163,6 +163,11 @@ def test_ingest_job_cycle(spark, tmp_stage):
     assert run2.summary.files_processed == routed - 16
     final = store.read()
     assert final.where("copy_into_name is not null and ingestion_status = 'WAITING'").count() == 0
+    # nothing left: the next run ends at once
+    run3 = file_ingest(spark, store, staging.load_templates(spark), target_root=f"{tmp_stage}/target",
+                       history_path=f"{tmp_stage}/history", files_to_process=10, files_at_once=5,
+                       max_run_minutes=20, tries=3, run_id="r3")
+    assert (run3.summary.termination_reason, run3.summary.files_processed) == (ALL_DONE, 0)
     orders = spark.read.parquet(f"{SF}/orders.parquet")
     good = orders.where("o_orderpriority in ('1-URGENT', '5-LOW') and o_orderstatus <> 'P'").count()
     assert read_target(spark, f"{tmp_stage}/target/ORDERS").count() == good
