@@ -86,7 +86,8 @@ def materialize(df: DataFrame, name: str, partition_by: str | None = None) -> Da
     if partition_by:
         writer = df.repartitionByRange(partition_by).write.mode("overwrite").partitionBy(partition_by)
     writer.parquet(path)
-    return spark.read.parquet(path)
+    # The schema is known: no inference (an empty partitioned write has no files).
+    return spark.read.schema(df.schema).parquet(path)
 
 
 def local_path(path: str) -> str:

@@ -14,6 +14,7 @@ import re
 from dataclasses import dataclass, field
 from typing import Any
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F, types as T
 
 from ..schemas import LOAD_FAILED, LOAD_HISTORY_SCHEMA, LOADED, PARTIALLY_LOADED
@@ -270,7 +271,12 @@ def _write_landing(df: DataFrame, target_path: str) -> None:
 
 def _landed_lines(spark: SparkSession, target_path: str, load_id: str) -> DataFrame:
     """The lines of one load, read back narrowly (lineage columns only)."""
-    part = spark.read.option("basePath", target_path).parquet(f"{target_path}/_load_id={load_id}")
+    try:
+        part = spark.read.option("basePath", target_path).parquet(f"{target_path}/_load_id={load_id}")
+    except AnalysisException:
+        # Nothing landed (every file empty): no lines.
+        return spark.createDataFrame([], "_file string, _block bigint, _mid bigint, _blank boolean, _bad boolean, "
+                                         "_err struct<message:string,col_name:string,position:bigint>")
     return part.select(F.col("_source_file").alias("_file"), F.col("_split_start").alias("_block"),
                        F.col("_line_key").alias("_mid"), (F.col("_kind") == KIND_BLANK).alias("_blank"),
                        (F.col("_kind") == KIND_REJECTED).alias("_bad"), F.col("_error").alias("_err"))

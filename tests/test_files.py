@@ -282,3 +282,12 @@ def test_stream_newest_first_each_file_once(spark, tmp_stage):
     q2 = start_stream_ingest(spark, stage, tpl, **kw)
     q2.awaitTermination()
     assert read_target(spark, f"{tmp_stage}/target").count() == n == spark.read.parquet(f"{SF}/events.parquet").count()
+
+
+def test_load_of_only_empty_files(spark, tmp_stage):
+    d = local_path(tmp_stage)
+    _write(f"{d}/in/e1.csv", "")
+    _write(f"{d}/in/e2.csv", "")
+    tpl = LoadTemplate("ORDERS", "ORDERS", staging.ORDERS_DDL)
+    hist = load_files(spark, [f"file:{d}/in/e1.csv", f"file:{d}/in/e2.csv"], tpl, f"{tmp_stage}/t", "E").collect()
+    assert sorted((r.status, r.row_parsed, r.row_count) for r in hist) == [("LOADED", 0, 0)] * 2
