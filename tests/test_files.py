@@ -291,3 +291,16 @@ def test_load_of_only_empty_files(spark, tmp_stage):
     tpl = LoadTemplate("ORDERS", "ORDERS", staging.ORDERS_DDL)
     hist = load_files(spark, [f"file:{d}/in/e1.csv", f"file:{d}/in/e2.csv"], tpl, f"{tmp_stage}/t", "E").collect()
     assert sorted((r.status, r.row_parsed, r.row_count) for r in hist) == [("LOADED", 0, 0)] * 2
+
+
+def test_parquet_template_loads_every_row(spark, tmp_stage):
+    from stagecraft.sources.stage import unload
+    from stagecraft.sources.loader import load_stage
+    orders = spark.read.parquet(f"{SF}/orders.parquet")
+    unload(orders, f"{tmp_stage}/pq", "parquet")
+    tpl = LoadTemplate("ORDERS", "ORDERS", staging.ORDERS_DDL, file_format="parquet")
+    hist = load_stage(spark, f"{tmp_stage}/pq", tpl, f"{tmp_stage}/t", "P").collect()
+    assert all(r.status == "LOADED" and r.error_count == 0 for r in hist)
+    assert sum(r.row_parsed for r in hist) == orders.count()
+    got = read_target(spark, f"{tmp_stage}/t", staging.ORDERS_DDL)
+    assert got.exceptAll(orders).count() == 0 and got.count() == orders.count()
