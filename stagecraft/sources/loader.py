@@ -112,51 +112,71 @@ def _csv_options(tpl: LoadTemplate) -> dict[str, str]:
     return opts
 
 
+def reads_lines(tpl: LoadTemplate) -> bool:
+    """Whether the template is read line by line (CSV / JSON lines) rather than
+    with a record reader (CSV with a header line, multi-line records, columnar)."""
+    if tpl.file_format not in TEXT_FORMATS or _flag(tpl, "multiLine"):
+        return False
+    return not (tpl.file_format == "csv" and _flag(tpl, "header"))
+
+
+def record_reader(reader, tpl: LoadTemplate, schema: T.StructType):
+    """Set up a batch or streaming reader for a record-reading template."""
+    if tpl.file_format == "csv":
+        ddl_c = T.StructType(schema.fields + [T.StructField(CORRUPT, T.StringType())])
+        opts = {**tpl.options, **_csv_options(tpl), "mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT}
+        return reader.format("csv").schema(ddl_c).options(**opts)
+    return reader.format(tpl.file_format).schema(schema).options(**tpl.options)
+
+
+def file_columns() -> list[Column]:
+    """Source file (decoded like a listing path) and split start of each row."""
+    return [_decoded_path(F.col("_metadata.file_path")).alias("_file"),
+            F.col("_metadata.file_block_start").alias("_block")]
+
+
 def parse_staged(spark: SparkSession, paths: list[str] | str, tpl: LoadTemplate) -> DataFrame:
     """One row per line (record): _file, _block, _mid, _blank, _bad, _row (typed
     struct) and, for bad rows, _err (message, column, position).
 
     ``paths`` is an explicit file list, or one prefix read recursively."""
     schema = schema_of(spark, tpl.schema_ddl)
-    fmt = tpl.file_format
-    multiline = _flag(tpl, "multiLine")
-    header = fmt == "csv" and _flag(tpl, "header")
-    meta = [_decoded_path(F.col("_metadata.file_path")).alias("_file"),
-            F.col("_metadata.file_block_start").alias("_block")]
-
-    if fmt in TEXT_FORMATS and not multiline and not header:
+    if reads_lines(tpl):
         reader = spark.read
         if isinstance(paths, str):
             reader = reader.option("recursiveFileLookup", "true")
         if "lineSep" in tpl.options:
             reader = reader.option("lineSep", tpl.options["lineSep"])
         lines = (reader.text(paths)
-                 .select("value", *meta, F.monotonically_increasing_id().alias("_mid")))
+                 .select("value", *file_columns(), F.monotonically_increasing_id().alias("_mid")))
         return parse_lines(lines, tpl, schema)
-
-    # Record readers: CSV with a header line (skipped in each file's first
-    # split) or multi-line records, and columnar formats.
-    if fmt == "csv":
-        ddl_c = T.StructType(schema.fields + [T.StructField(CORRUPT, T.StringType())])
-        opts = {**tpl.options, **_csv_options(tpl), "mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT}
-        df = spark.read.schema(ddl_c).options(**_prefix_option(paths)).options(**opts).csv(paths)
-        bad = F.col(CORRUPT).isNotNull()
-        row = F.struct(*[F.col(f.name) for f in schema.fields], F.col(CORRUPT))
-        rows = df.select(*meta, F.monotonically_increasing_id().alias("_mid"), row.alias("_row"),
-                         F.lit(False).alias("_blank"), bad.alias("_bad"), F.col(CORRUPT).alias("value"))
-        if multiline:
-            msg, col, pos = F.lit("Malformed record"), F.lit(None).cast("string"), F.lit(None).cast("long")
-        else:
-            # One record per line: the record text gives the same details as the line reader.
-            rows = rows.withColumn("_raw", F.when(F.col("_bad"), _raw_fields(tpl, schema)))
-            msg, col, pos = _error_details(tpl, schema)
-        err = F.when(F.col("_bad"), F.struct(msg.alias("message"), col.alias("col_name"), pos.alias("position")))
-        return rows.withColumn("_err", err).drop("_raw")
-    df = spark.read.format(fmt).schema(schema).options(**_prefix_option(paths)).options(**tpl.options).load(paths)
-    row = F.struct(*[F.col(f.name) for f in schema.fields], F.lit(None).cast("string").alias(CORRUPT))
-    return df.select(*meta, F.monotonically_increasing_id().alias("_mid"), row.alias("_row"),
-                     F.lit(False).alias("_blank"), F.lit(False).alias("_bad"),
-                     F.lit(None).cast("struct<message:string,col_name:string,position:bigint>").alias("_err"))
+    df = record_reader(spark.read.options(**_prefix_option(paths)), tpl, schema).load(paths)
+    records = df.select("*", *file_columns(), F.monotonically_increasing_id().alias("_mid"))
+    return parse_records(records, tpl, schema)
+
+
+def parse_records(records: DataFrame, tpl: LoadTemplate, schema: T.StructType | None = None) -> DataFrame:
+    """Rows of a record reader (data columns, _file, _block, _mid) in the shape
+    of ``parse_lines``: CSV keeps its corrupt records; columnar formats have none."""
+    schema = schema or schema_of(records.sparkSession, tpl.schema_ddl)
+    keys = [F.col("_file"), F.col("_block"), F.col("_mid")]
+    if tpl.file_format != "csv":
+        row = F.struct(*[F.col(f.name) for f in schema.fields], F.lit(None).cast("string").alias(CORRUPT))
+        return records.select(*keys, row.alias("_row"), F.lit(False).alias("_blank"), F.lit(False).alias("_bad"),
+                              F.lit(None).cast("struct<message:string,col_name:string,position:bigint>")
+                              .alias("_err"))
+    bad = F.col(CORRUPT).isNotNull()
+    row = F.struct(*[F.col(f.name) for f in schema.fields], F.col(CORRUPT))
+    rows = records.select(*keys, row.alias("_row"), F.lit(False).alias("_blank"), bad.alias("_bad"),
+                          F.col(CORRUPT).alias("value"))
+    if _flag(tpl, "multiLine"):
+        msg, col, pos = F.lit("Malformed record"), F.lit(None).cast("string"), F.lit(None).cast("long")
+    else:
+        # One record per line: the record text gives the same details as the line reader.
+        rows = rows.withColumn("_raw", F.when(F.col("_bad"), _raw_fields(tpl, schema)))
+        msg, col, pos = _error_details(tpl, schema)
+    err = F.when(F.col("_bad"), F.struct(msg.alias("message"), col.alias("col_name"), pos.alias("position")))
+    return rows.withColumn("_err", err).drop("_raw")
 
 
 def _flag(tpl: LoadTemplate, name: str) -> bool:

@@ -304,3 +304,18 @@ def test_parquet_template_loads_every_row(spark, tmp_stage):
     assert sum(r.row_parsed for r in hist) == orders.count()
     got = read_target(spark, f"{tmp_stage}/t", staging.ORDERS_DDL)
     assert got.exceptAll(orders).count() == 0 and got.count() == orders.count()
+
+
+def test_stream_of_parquet_files(spark, tmp_stage):
+    from stagecraft.sources.stage import unload
+    from stagecraft.streaming.ingest import start_stream_ingest
+    orders = spark.read.parquet(f"{SF}/orders.parquet")
+    unload(orders.repartition(4), f"{tmp_stage}/pq", "parquet")
+    tpl = LoadTemplate("ORDERS", "ORDERS", staging.ORDERS_DDL, file_format="parquet")
+    q = start_stream_ingest(spark, f"{tmp_stage}/pq", tpl, target_path=f"{tmp_stage}/t",
+                            history_path=f"{tmp_stage}/h", checkpoint_path=f"{tmp_stage}/c",
+                            max_files_per_trigger=2)
+    q.awaitTermination()
+    got = read_target(spark, f"{tmp_stage}/t", staging.ORDERS_DDL)
+    assert got.count() == orders.count() and got.exceptAll(orders).count() == 0
+    assert spark.read.parquet(f"{tmp_stage}/h").select("load_id").distinct().count() == 2
