@@ -15,14 +15,16 @@ LARGE_FILE_RATIO = 2.00                 # size / average above this: abnormally
 
 
 def recommend_batch(control: DataFrame, sizes: DataFrame, size_col: str = "warehouse_size",
-                    workers_col: str = "number_of_warehouses") -> DataFrame:
+                    workers_col: str = "number_of_warehouses",
+                    mb_divisor: int = ADVICE_MB_DIVISOR) -> DataFrame:
     """Files to process and files per batch for each (size, workers) row of ``sizes``.
 
     The manifest figures are two scalar subqueries (count, average size);
-    each advice row is then plain arithmetic.
+    each advice row is then plain arithmetic. ``mb_divisor`` is the bytes per
+    "MB" of the rule (2,000,000 as the rule has it; 1,000,000 elsewhere).
     """
     files = control.select(F.count(F.lit(1))).scalar()
-    avg_mb = control.select(F.avg("file_size") / F.lit(ADVICE_MB_DIVISOR)).scalar()
+    avg_mb = control.select(F.avg("file_size") / F.lit(mb_divisor)).scalar()
     cores = nodes_per_warehouse(size_col) * F.lit(CORES_PER_NODE)
     w = F.col(workers_col).cast("double")
     per8 = F.ceil((F.lit(float(TARGET_MB_PER_CORE_ROUND)) / avg_mb) / cores) * cores
