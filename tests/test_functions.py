@@ -3,7 +3,6 @@
 import datetime as dt
 
 import pytest
-from pyspark.sql import functions as F
 
 from stagecraft.functions import (last_modified_to_timestamp, minutes_between, nodes_per_warehouse,
                                   progress_bar, seconds_between, stage_path_shorten, thousands_text)
