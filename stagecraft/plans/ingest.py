@@ -64,6 +64,14 @@ def check_parameters(files_to_process, files_at_once, sort_order, max_run_minute
     return NO_ERRORS
 
 
+def _cores(spark: SparkSession) -> int:
+    """Task slots of the cluster (the configured default without a SparkContext)."""
+    try:
+        return int(spark.sparkContext.defaultParallelism)
+    except Exception:  # noqa: BLE001 - e.g. a Connect session
+        return int(spark.conf.get("spark.default.parallelism", "8") or 8)
+
+
 def _utc_now() -> dt.datetime:
     return dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
 
@@ -148,7 +156,7 @@ def file_ingest(spark: SparkSession, store: ManifestStore, templates: DataFrame,
                         templates=templates, now=now, files_to_process=files_to_process,
                         extra_columns=tuple(CONTROL_COLUMNS))
     if wave_files is None:
-        wave_files = max(files_at_once, 4 * spark.sparkContext.defaultParallelism)
+        wave_files = max(files_at_once, 4 * _cores(spark))
     per_wave = max(1, int(wave_files) // files_at_once)
     # One folder per wave: each wave reads its own rows, not the whole plan.
     plan = plan.withColumn("_wave", F.floor((F.col("batch_no") - 1) / F.lit(per_wave)).cast("long"))
