@@ -15,15 +15,6 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
-# Settings a job of this library expects; set only where the session has no value.
-SESSION_DEFAULTS = {
-    "spark.sql.session.timeZone": "UTC",
-    "spark.sql.adaptive.enabled": "true",
-    "spark.sql.adaptive.coalescePartitions.enabled": "true",
-    "spark.sql.adaptive.skewJoin.enabled": "true",
-}
-
-
 def build_session(master: str | None = None, app: str = "stagecraft",
                   shuffle_partitions: int | None = None) -> SparkSession:
     """Session for tests and the bench: UI off, UTC, AQE on."""
@@ -41,14 +32,6 @@ def build_session(master: str | None = None, app: str = "stagecraft",
     return spark
 
 
-def apply_defaults(spark: SparkSession) -> None:
-    for key, value in SESSION_DEFAULTS.items():
-        if spark.conf.get(key, None) in (None, ""):
-            spark.conf.set(key, value)
-    # Timestamps are compared as UTC wall time everywhere.
-    spark.conf.set("spark.sql.session.timeZone", "UTC")
-
-
 def shared_root(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``; a fresh one only if unset."""
     root = spark.conf.get("spark.checkpoint.dir", None)
