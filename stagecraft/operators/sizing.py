@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F, types as T
 
 from ..functions.warehouse import CORES_PER_NODE, nodes_per_warehouse
+from ..session import literal_rows
 
 # Fixed values of the advice rules.
 TARGET_MB_PER_CORE_ROUND = 512          # megabytes a full round of cores should take
@@ -60,4 +61,6 @@ def size_profile(control: DataFrame) -> DataFrame:
 
 def size_advice_rows(spark, rows) -> DataFrame:
     """A small (size, workers) table for ``recommend_batch``."""
-    return spark.createDataFrame(rows, "warehouse_size string, number_of_warehouses int")
+    schema = T.StructType([T.StructField("warehouse_size", T.StringType()),
+                           T.StructField("number_of_warehouses", T.IntegerType())])
+    return literal_rows(spark, rows, schema)

@@ -28,7 +28,7 @@ from ..operators.batches import plan_batches, valid_templates
 from ..operators.manifest import count_duplicates
 from ..operators.transitions import claim_rows
 from ..schemas import CONTROL_COLUMNS, RUN_SUMMARY_SCHEMA
-from ..session import materialize
+from ..session import literal_rows, materialize
 from ..sources.loader import LoadTemplate, load_files, load_results
 from ..sources.tables import ManifestStore
 
@@ -92,9 +92,9 @@ class RunSummary:
     uuid: str | None = None
 
     def to_df(self, spark: SparkSession) -> DataFrame:
-        return spark.createDataFrame([(self.parameter_error, self.duplicate_files_error, self.session_id,
-                                       self.start_time, self.termination_reason, self.files_processed,
-                                       self.end_time, self.uuid)], RUN_SUMMARY_SCHEMA)
+        return literal_rows(spark, [(self.parameter_error, self.duplicate_files_error, self.session_id,
+                                     self.start_time, self.termination_reason, self.files_processed,
+                                     self.end_time, self.uuid)], RUN_SUMMARY_SCHEMA)
 
 
 @dataclass

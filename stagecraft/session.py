@@ -13,7 +13,7 @@ import os
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 def build_session(master: str | None = None, app: str = "stagecraft",
                   shuffle_partitions: int | None = None) -> SparkSession:
@@ -73,6 +73,32 @@ def materialize(df: DataFrame, name: str, partition_by: str | None = None) -> Da
     return spark.read.schema(df.schema).parquet(path)
 
 
+def literal_rows(spark: SparkSession, rows, schema: T.StructType) -> DataFrame:
+    """A DataFrame of a few literal rows (configuration), built on the JVM.
+
+    ``createDataFrame`` from a Python list is a Python-backed RDD whose every
+    use starts Python workers; a handful of configuration rows does not need that.
+    """
+    rows = list(rows)
+    if not rows:
+        return spark.createDataFrame([], schema)
+
+    def lit(value, dtype):
+        if value is None:
+            return F.lit(None).cast(dtype)
+        if isinstance(dtype, T.MapType):
+            if not value:
+                return F.create_map().cast(dtype)
+            kv = [c for k, v in value.items() for c in (F.lit(k), F.lit(v))]
+            return F.create_map(*kv).cast(dtype)
+        if isinstance(dtype, T.TimestampNTZType):
+            return F.lit(value.strftime("%Y-%m-%d %H:%M:%S.%f")).cast(dtype)
+        return F.lit(value).cast(dtype)
+
+    structs = [F.struct(*[lit(v, f.dataType).alias(f.name) for v, f in zip(r, schema.fields)]) for r in rows]
+    return spark.range(1).select(F.inline(F.array(*structs)))
+
+
 def local_path(path: str) -> str:
     """Strip a ``file:`` scheme for code that needs a plain local path (tests)."""
     if path.startswith("file:"):

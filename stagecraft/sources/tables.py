@@ -15,6 +15,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from ..schemas import CONTROL_COLUMNS, TEMPLATE_SCHEMA, control_schema
+from ..session import literal_rows
 
 
 class ManifestStore:
@@ -112,7 +113,7 @@ def templates_table(spark: SparkSession, rows: Iterable[Mapping]) -> DataFrame:
         data.append((r["statement_name"], r.get("target", r["statement_name"]),
                      r.get("file_format", "csv"), r["schema_ddl"], dict(r.get("options") or {}),
                      r.get("on_error", "continue"), r.get("effective"), r.get("superseded")))
-    df = spark.createDataFrame(data, TEMPLATE_SCHEMA)
+    df = literal_rows(spark, data, TEMPLATE_SCHEMA)
     return df.withColumn("effective", F.coalesce(F.col("effective"),
                                                  F.current_timestamp().cast("timestamp_ntz")))
 
