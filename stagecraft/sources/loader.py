@@ -1,11 +1,15 @@
-"""Load an explicit list of staged files into a target, keeping bad rows out
-and reporting per file: rows parsed, loaded, rejected and the first error.
-
-Text formats (CSV, JSON lines) are read as lines and parsed with
-``from_csv`` / ``from_json`` in PERMISSIVE mode with a corrupt-record column,
-so every line is validated and can be traced to its file, split and
-position. Multi-line CSV falls back to the CSV reader. Other formats
-(Parquet, ORC, ...) are read with the template schema and have no bad rows.
+"""Load staged files into a target, keeping bad rows out and reporting per
+file: rows parsed, loaded, rejected and the first error (text, line,
+character position, column).
+
+CSV and JSON lines are read as text lines and parsed with ``from_csv`` /
+``from_json`` in PERMISSIVE mode with a corrupt-record column, so every line
+is validated inside Spark and can be traced to its file, split and position.
+CSV with a header line or multi-line records uses Spark's CSV record reader;
+other formats (Parquet, ORC, ...) are read with the template schema and have
+no bad rows. Every line lands once in the target (``_kind`` = loaded,
+rejected, blank or skipped) and the per-file figures are computed from the
+landed lineage columns.
 """
 
 from __future__ import annotations
