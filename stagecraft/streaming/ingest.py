@@ -2,9 +2,9 @@
 
 New files under a stage prefix are picked up in bounded micro-batches
 (``maxFilesPerTrigger``), oldest or newest first (``latestFirst``). Each
-micro-batch is parsed with the template and written like a batch load: good
-rows to ``target/_load_id=<batch id>`` (dynamic overwrite), one history row
-per file. The source's checkpoint records which files each batch took, and
+micro-batch is parsed with the template and landed like a batch load: every
+line to ``target/_load_id=<run>-s<batch id>/_kind=...`` (dynamic overwrite),
+one history row per file. The source's checkpoint records which files each batch took, and
 a replayed batch overwrites its own partitions, so every file is loaded
 exactly once even if the query restarts. This replaces claiming files with a
 status and a run id.
