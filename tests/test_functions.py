@@ -84,3 +84,17 @@ def test_thousands_text(spark):
     df = spark.createDataFrame([(0,), (1234567,)], "n long")
     got = [r[0] for r in df.select(thousands_text("n")).collect()]
     assert got == [" " * 22 + "0", " " * 14 + "1,234,567"]
+
+
+def test_progress_bar_matches_sql_on_random_values(spark, duck_small):
+    import random
+    from stagecraft.functions.text import progress_bar_sql
+    rng = random.Random(2)
+    values = [rng.random() * 200 - 50 for _ in range(300)] + [0.0, 100.0, -1.0, 101.0]
+    df = spark.createDataFrame([(v,) for v in values], "p double")
+    for decimals, segments in ((2, 10), (0, 12), (3, 100)):
+        got = [r[0] for r in df.select(progress_bar("p", decimals, segments)).collect()]
+        rows = ", ".join(f"({i}, {v!r}::double)" for i, v in enumerate(values))
+        sql = (f"select {progress_bar_sql('p', decimals, segments)} from (values {rows}) t(i, p) order by i")
+        want = [r[0] for r in duck_small.sql(sql).fetchall()]
+        assert got == want, (decimals, segments)
