@@ -98,3 +98,17 @@ def test_progress_bar_matches_sql_on_random_values(spark, duck_small):
         sql = (f"select {progress_bar_sql('p', decimals, segments)} from (values {rows}) t(i, p) order by i")
         want = [r[0] for r in duck_small.sql(sql).fetchall()]
         assert got == want, (decimals, segments)
+
+
+def test_stage_path_shorten_matches_sql_on_random_paths(spark, duck_small):
+    import random
+    from stagecraft.functions.paths import stage_path_shorten_sql
+    rng = random.Random(4)
+    tokens = ["s3://", "S3://", "azure://", "AZURE://", "stages/", "Stages/", "/", "a", "bc", "x.csv", "@~",
+              "stagesab12-ab12-ab12-ab12-abcdefabcdef/", "stagesABCD12-ab12-ab12-ab12-abcdefabcdef", "gcs://"]
+    paths = sorted({"".join(rng.choice(tokens) for _ in range(rng.randint(1, 6))) for _ in range(500)})
+    df = spark.createDataFrame([(p,) for p in paths], "p string")
+    got = {r.p: r.k for r in df.select("p", stage_path_shorten("p").alias("k")).collect()}
+    rows = ", ".join("('" + p.replace("'", "''") + "')" for p in paths)
+    want = {p: k for p, k in duck_small.sql(f"select p, {stage_path_shorten_sql('p')} from (values {rows}) t(p)").fetchall()}
+    assert got == want
