@@ -148,3 +148,14 @@ def test_state_transitions_keep_files(spark):
         p: ("WAITING" if s in ("WAITING", "SUSPENDED") else s) for p, s in orig.items()}
     for df in (claimed, done, requeued, reset, sus, back):
         assert df.count() == m.count() and df.columns == CONTROL_COLUMNS
+
+
+def test_number_within_nulls_desc_and_few_groups(spark):
+    rng = random.Random(9)
+    rows = [(rng.choice(["t1"] * 6 + ["t2", None]), None if rng.random() < 0.1 else rng.randint(0, 20), i)
+            for i in range(2000)]
+    df = spark.createDataFrame(rows, "g string, o int, k int").repartition(7)
+    order = [F.col("o").desc_nulls_last(), F.col("k").asc()]
+    ours = number_within(df, ["g"], order, "rn", few_groups=True, single_task_rows=0)
+    ref = df.withColumn("rn", F.row_number().over(Window.partitionBy("g").orderBy(*order)))
+    assert sorted(map(repr, ours.collect())) == sorted(map(repr, ref.collect()))
