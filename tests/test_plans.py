@@ -57,3 +57,20 @@ def test_target_read_prunes_kinds(spark):
     t = read_target(spark, root)
     assert "PartitionFilters: [isnotnull(_kind" in _plan(t)
     assert [r.a for r in t.collect()] == [1]
+
+
+def test_claim_is_distributed_top_k(spark):
+    import datetime as dt
+    from stagecraft import catalog
+    from stagecraft.operators.batches import claim_next
+    control = fx.fixture(spark, SF, "control")
+    out = claim_next(control, tries=3, files_at_once=8, sort_order="ASC", run_id="r", owner_session=1,
+                     now=F.lit(dt.datetime(2001, 8, 1)).cast("timestamp_ntz"),
+                     templates=fx.fixture(spark, SF, "templates"))
+    plan = _plan(out, "simple")
+    # head (top 1) and batch (top N): no global sort of the manifest
+    assert plan.count("TakeOrderedAndProject") == 2
+    assert "rangepartitioning" not in plan
+    # the claimed batch is broadcast into the manifest
+    assert "BroadcastHashJoin" in plan and "LeftOuter" in plan
+    assert catalog.FILES_AT_ONCE == 8
