@@ -74,3 +74,17 @@ def test_claim_is_distributed_top_k(spark):
     # the claimed batch is broadcast into the manifest
     assert "BroadcastHashJoin" in plan and "LeftOuter" in plan
     assert catalog.FILES_AT_ONCE == 8
+
+
+def test_path_key_join_drops_keyless_rows_first(spark):
+    from stagecraft.operators.monitor import load_log
+    out = load_log(fx.fixture(spark, SF, "control"), fx.fixture(spark, SF, "history"))
+    plan = _plan(out, "simple")
+    join_at = plan.index("HashJoin")
+    # both inputs are filtered on a non-null key below the join (pushed into the scans)
+    below = plan[join_at:]
+    filters = [ln for ln in below.splitlines() if "Filter" in ln and "isnotnull(CASE WHEN RLIKE" in ln
+               and "DataFilters" not in ln]
+    assert len(filters) >= 2
+    assert "DataFilters: [isnotnull(CASE WHEN RLIKE" in below
+    assert out.where("file_name is null").count() == 0
