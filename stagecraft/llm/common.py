@@ -6,6 +6,7 @@ import re
 from collections.abc import Callable, Iterable, Iterator
 
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..session import shared_root, work_dir
@@ -30,7 +31,7 @@ def text_slices(batches: Iterable[pa.RecordBatch], limit: int = SLICE_BYTES) ->
     The first column holds the ids, the second the texts.
     """
     for batch in batches:
-        sizes = pa.compute.binary_length(batch.column(1)).to_pylist()
+        sizes = pc.binary_length(batch.column(1)).to_pylist()
         start, held = 0, 0
         for i, size in enumerate(sizes):
             if i > start and held + (size or 0) > limit:
