@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import op1_bpe, op6_token_counts
+from . import op1_bpe, op2_toxicity, op5_quality_rules, op6_token_counts, op9_quality
 from .common import read_table
 
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
@@ -18,13 +18,29 @@ def op1_bpe_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
                         F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
+def op2_toxicity_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return op2_toxicity.score(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
+
+
+def op5_quality_rules_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = op5_quality_rules.apply_rules(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
+    return rows.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "broken")
+
+
 def op6_token_counts_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op6_token_counts.token_report(read_table(spark, sf_dir, "documents"), TOKENIZER, TOKEN_LIMIT)
 
 
+def op9_quality_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return op9_quality.classify(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
+
+
 QUERIES = {
     "op1_bpe_codec": op1_bpe_codec,
+    "op2_toxicity": op2_toxicity_query,
+    "op5_quality_rules": op5_quality_rules_query,
     "op6_token_counts": op6_token_counts_query,
+    "op9_quality": op9_quality_query,
 }
 
 #: DuckDB SQL for the queries that SQL can express; the others have brute-force tests.
