@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import op1_bpe, op2_toxicity, op5_quality_rules, op6_token_counts, op9_quality
+from . import op1_bpe, op10_decontaminate, op2_toxicity, op5_quality_rules, op6_token_counts, op9_quality
 from .common import read_table
 
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
@@ -35,12 +35,17 @@ def op9_quality_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op9_quality.classify(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
 
 
+def op10_decontaminate_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return op10_decontaminate.leaks(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
+
+
 QUERIES = {
     "op1_bpe_codec": op1_bpe_codec,
     "op2_toxicity": op2_toxicity_query,
     "op5_quality_rules": op5_quality_rules_query,
     "op6_token_counts": op6_token_counts_query,
     "op9_quality": op9_quality_query,
+    "op10_decontaminate": op10_decontaminate_query,
 }
 
 #: DuckDB SQL for the queries that SQL can express; the others have brute-force tests.
