@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import op1_bpe, op10_decontaminate, op2_toxicity, op5_quality_rules, op6_token_counts, op9_quality
+from . import op1_bpe, op10_decontaminate, op2_toxicity, op3_secrets, op5_quality_rules, op6_token_counts, op7_pii, op9_quality
 from .common import read_table
 
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
@@ -31,6 +31,14 @@ def op6_token_counts_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op6_token_counts.token_report(read_table(spark, sf_dir, "documents"), TOKENIZER, TOKEN_LIMIT)
 
 
+def op3_secrets_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return op3_secrets.report(op3_secrets.scan(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels")))
+
+
+def op7_pii_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return op7_pii.report(op7_pii.scan(read_table(spark, sf_dir, "documents")))
+
+
 def op9_quality_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op9_quality.classify(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
 
@@ -42,8 +50,10 @@ def op10_decontaminate_query(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_bpe_codec": op1_bpe_codec,
     "op2_toxicity": op2_toxicity_query,
+    "op3_secrets": op3_secrets_query,
     "op5_quality_rules": op5_quality_rules_query,
     "op6_token_counts": op6_token_counts_query,
+    "op7_pii": op7_pii_query,
     "op9_quality": op9_quality_query,
     "op10_decontaminate": op10_decontaminate_query,
 }
