@@ -30,7 +30,7 @@ from .common import per_text
 from .word_bpe import WORD_END, WordBpe, load
 
 #: Chunks that a Python worker keeps (about 300 bytes each with their words).
-CACHE_CHUNKS = 600_000
+CACHE_CHUNKS = 400_000
 CACHE_PAIRS = 2_000_000
 
 

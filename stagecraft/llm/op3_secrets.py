@@ -9,7 +9,7 @@ secret too ("markov"), unless it touches a pattern's span, which always stays.
 
 Labelled samples: random strings are the values that the patterns matched, in
 all texts; identifiers are the words of ``ORDINARY_TEXTS`` labelled texts (a
-bounded sample, least hashes first) outside of the patterns' matches.
+bounded sample, least hashes first) outside of the patterns' matches and of candidates.
 
 SQL functions only. The models are a table of at most 66 x 66 numbers, which
 is that small by its alphabet and enters the scan as a constant.
@@ -71,7 +71,7 @@ def train(found: DataFrame, docs: DataFrame, labels: DataFrame) -> list[float]:
     ids = (labels.where("doc_id IS NOT NULL").select(F.col("doc_id").cast("long").alias("doc_id")).distinct()
            .orderBy(F.xxhash64("doc_id"), "doc_id").limit(ORDINARY_TEXTS))
     plain = docs.join(F.broadcast(ids), "doc_id", "left_semi").select(_text().alias("text"))  # at most ORDINARY_TEXTS ids
-    for pattern in (ASSIGN, ACCESS, HEX):
+    for pattern in (ASSIGN, ACCESS, HEX, CANDIDATE):
         plain = plain.withColumn("text", F.regexp_replace("text", pattern, " "))
     ordinary = _pairs(plain.select(F.explode(F.regexp_extract_all("text", F.lit("[A-Za-z_][A-Za-z0-9_-]{3,}"), F.lit(0))).alias("s")))
     rows = secret.withColumnRenamed("n", "a").join(ordinary.withColumnRenamed("n", "b"), "pair", "full").fillna(0).collect()  # 66 x 66 at most

@@ -10,7 +10,7 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, functions as F
 
-SPAN = "array<struct<start:long,end:long,ord:int,kind:string,value:string>>"
+SPAN = "array<struct<start:long,ord:int,end:long,kind:string,value:string>>"
 
 
 def none() -> Column:
@@ -35,7 +35,7 @@ def find(text: Column, pattern: str, kind: str, order: int, group: int = 0, hit:
     def step(acc: Column, x: Column) -> Column:
         begin = acc["at"] + x["gap"]
         end = begin + F.length(x["m"])
-        span = F.struct(begin.alias("start"), end.alias("end"), F.lit(order).alias("ord"), F.lit(kind).alias("kind"), x["v"].alias("value"))
+        span = F.struct(begin.alias("start"), F.lit(order).alias("ord"), end.alias("end"), F.lit(kind).alias("kind"), x["v"].alias("value"))
         good = keep(x["v"], x["m"]) if keep else F.lit(True)
         return F.struct(end.alias("at"), F.when(good, F.concat(acc["found"], F.array(span))).otherwise(acc["found"]).cast(SPAN).alias("found"))
 
