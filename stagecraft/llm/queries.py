@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import op1_bpe, op10_decontaminate, op2_toxicity, op3_secrets, op5_quality_rules, op6_token_counts, op7_pii, op9_quality
+from . import op1_bpe, op10_decontaminate, op2_toxicity, op3_secrets, op5_quality_rules, op6_token_counts, op7_pii, op8_jaccard_join, op9_quality
 from .common import read_table
 
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
@@ -39,6 +39,10 @@ def op7_pii_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op7_pii.report(op7_pii.scan(read_table(spark, sf_dir, "documents")))
 
 
+def op8_jaccard_join_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return op8_jaccard_join.join(read_table(spark, sf_dir, "documents"))
+
+
 def op9_quality_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op9_quality.classify(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
 
@@ -54,6 +58,7 @@ QUERIES = {
     "op5_quality_rules": op5_quality_rules_query,
     "op6_token_counts": op6_token_counts_query,
     "op7_pii": op7_pii_query,
+    "op8_jaccard_join": op8_jaccard_join_query,
     "op9_quality": op9_quality_query,
     "op10_decontaminate": op10_decontaminate_query,
 }
