@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import op1_bpe, op10_decontaminate, op2_toxicity, op3_secrets, op5_quality_rules, op6_token_counts, op7_pii, op8_jaccard_join, op9_quality
+from . import op1_bpe, op10_decontaminate, op2_toxicity, op3_secrets, op4_suffix_dedup, op5_quality_rules, op6_token_counts, op7_pii, op8_jaccard_join, op9_quality
 from .common import read_table
 
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
@@ -35,6 +35,11 @@ def op3_secrets_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op3_secrets.report(op3_secrets.scan(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels")))
 
 
+def op4_suffix_dedup_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    kept = op4_suffix_dedup.dedup(read_table(spark, sf_dir, "documents"))
+    return kept.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op7_pii_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op7_pii.report(op7_pii.scan(read_table(spark, sf_dir, "documents")))
 
@@ -55,6 +60,7 @@ QUERIES = {
     "op1_bpe_codec": op1_bpe_codec,
     "op2_toxicity": op2_toxicity_query,
     "op3_secrets": op3_secrets_query,
+    "op4_suffix_dedup": op4_suffix_dedup_query,
     "op5_quality_rules": op5_quality_rules_query,
     "op6_token_counts": op6_token_counts_query,
     "op7_pii": op7_pii_query,
