@@ -174,4 +174,4 @@ def leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
 
 def clean(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """The rows of ``docs`` that no benchmark item contaminates."""
-    return docs.join(leaks(docs, benchmark).select("doc_id").distinct(), "doc_id", "left_anti")
+    return docs.join(leaks(docs, benchmark).select("doc_id").distinct(), "doc_id", "left_anti").select(*docs.columns)

@@ -68,7 +68,7 @@ def _side(name: str, counts: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame
                      F.sum(F.when(F.col(name) == 1, 1).otherwise(0)).alias("n1"), F.sum(F.when(F.col(name) == 2, 1).otherwise(0)).alias("n2"),
                      F.count_distinct("stem").cast("double").alias(f"{name}_stems"))
     whole = whole.select(f"{name}_all", f"{name}_stems",
-                         F.expr("coalesce(least(greatest(n1 / nullif(n1 + 2 * n2, 0), 0.1), 0.9), 0.5)").alias(f"{name}_d"))
+                         F.expr("CASE WHEN n1 + n2 = 0 THEN 0.5 ELSE least(greatest(n1 / (n1 + 2 * n2), 0.1), 0.9) END").alias(f"{name}_d"))
     stems = seen.groupBy("stem").agg(F.sum(name).cast("double").alias(f"{name}_stem"), F.count("*").cast("double").alias(f"{name}_types"))
     return whole, stems
 

@@ -290,10 +290,12 @@ def join(docs: DataFrame) -> DataFrame:
 
 
 def one_of_each(docs: DataFrame) -> DataFrame:
-    """One row of ``docs`` for each near-duplicate class: its least id (of repeated ids, one row)."""
-    gone = join(docs).where("doc_id <> class_id").select("doc_id").distinct()
-    left = docs.join(gone, "doc_id", "left_anti")
-    # A repeated id is kept once if its rows are copies.
-    again = left.where("doc_id IS NOT NULL").groupBy("doc_id").agg(F.count("*").alias("m")).where("m > 1").select("doc_id")
-    once = left.join(again, "doc_id", "left_semi").dropDuplicates(["doc_id", "text"]).select(*docs.columns)
-    return left.join(again, "doc_id", "left_anti").select(*docs.columns).unionByName(once)
+    """One row of ``docs`` for each near-duplicate class: its least id.
+
+    Rows of a repeated id stay once if their texts are equal.
+    """
+    gone = stored(join(docs).where("doc_id <> class_id").select("doc_id").distinct(), "jaccard-gone")
+    again = stored(docs.where("doc_id IS NOT NULL").groupBy("doc_id").agg(F.count("*").alias("m")).where("m > 1").select("doc_id"), "jaccard-again")
+    once = docs.join(again, "doc_id", "left_semi").join(gone, "doc_id", "left_anti").dropDuplicates(["doc_id", "text"])
+    rest = docs.join(gone.union(again), "doc_id", "left_anti")
+    return rest.select(*docs.columns).unionByName(once.select(*docs.columns))

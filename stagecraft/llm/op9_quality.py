@@ -63,8 +63,12 @@ def _discounts(counts: DataFrame, column: str, prefix: str) -> DataFrame:
     """One row: the three discounts of one order, from its counts of counts."""
     n = counts.agg(*[F.sum(F.when(F.col(column) == i, 1).otherwise(0)).cast("double").alias(f"n{i}") for i in (1, 2, 3, 4)])
     y = "n1 / nullif(n1 + 2 * n2, 0)"
-    return n.selectExpr(*[f"coalesce(least(greatest({i} - {i + 1} * ({y}) * n{i + 1} / nullif(n{i}, 0), 0.05), {i} - 0.05), 0.5) AS {prefix}{i}"
-                          for i in (1, 2, 3)])
+
+    def discount(i: int) -> str:
+        raw = f"{i} - {i + 1} * ({y}) * n{i + 1} / nullif(n{i}, 0)"  # null: too few counts to tell
+        return f"CASE WHEN ({raw}) IS NULL THEN 0.5 ELSE least(greatest({raw}, 0.05), {i} - 0.05) END AS {prefix}{i}"
+
+    return n.selectExpr(*map(discount, (1, 2, 3)))
 
 
 def _discount(count: Column, prefix: str) -> Column:
@@ -143,3 +147,9 @@ def classify(docs: DataFrame, labels: DataFrame) -> DataFrame:
             .select("doc_id", "lang", F.col("n").alias("n_units"), F.exp(F.col("nll") / F.col("n")).alias("perplexity"), "score",
                     F.coalesce("limit", "limit_all").alias("limit"))
             .withColumn("kept", F.coalesce(F.col("score") <= F.col("limit"), F.lit(True))))
+
+
+def keep(docs: DataFrame, labels: DataFrame) -> DataFrame:
+    """The rows of ``docs`` that the classifier keeps."""
+    gone = classify(docs, labels).where("NOT kept").select("doc_id").distinct()
+    return docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
