@@ -67,7 +67,7 @@ def per_text(docs: DataFrame, schema: str, make: Callable[[], Callable[[list, li
 def stored(df: DataFrame, name: str) -> DataFrame:
     """``df`` written to the shared folder and read back: computed once, safe from lost executors."""
     path = work_dir(df.sparkSession, f"llm-{name}")
-    df.write.parquet(path)
+    df.write.option("compression", "zstd").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

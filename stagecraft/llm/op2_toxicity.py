@@ -4,9 +4,9 @@ A word (a run of letters, in lower case) is the 2-gram of its stem (the first
 ``STEM`` letters) and its ending (what follows). Each class, toxic and
 ordinary, has its own discounted counts of stems and of endings after a stem.
 What discounting leaves goes to distributions that both classes share: stems
-by their number of different endings, endings by their number of different
-stems. So a rare word is judged by its stem, and a word with a stem never seen
-says nearly nothing.
+by their number of different endings, endings after a stem by the counts of
+both classes together. So a rare word is judged by its stem, and a word with a
+stem never seen says nearly nothing.
 
 Both log-likelihoods are sums over words, so a word's difference of the two is
 one number. Words seen in training have theirs in a table; for other words the
@@ -61,51 +61,46 @@ def fold(doc_id: Column) -> Column:
     return F.crc32(doc_id.cast("string").cast("binary")) % 4
 
 
-def _side(name: str, counts: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """Of one class: its discount and the sums over all, and sums over each stem."""
-    seen = counts.where(F.col(name) > 0)
-    whole = seen.agg(F.sum(name).cast("double").alias(f"{name}_all"),
-                     F.sum(F.when(F.col(name) == 1, 1).otherwise(0)).alias("n1"), F.sum(F.when(F.col(name) == 2, 1).otherwise(0)).alias("n2"),
-                     F.count_distinct("stem").cast("double").alias(f"{name}_stems"))
-    whole = whole.select(f"{name}_all", f"{name}_stems",
-                         F.expr("CASE WHEN n1 + n2 = 0 THEN 0.5 ELSE least(greatest(n1 / (n1 + 2 * n2), 0.1), 0.9) END").alias(f"{name}_d"))
-    stems = seen.groupBy("stem").agg(F.sum(name).cast("double").alias(f"{name}_stem"), F.count("*").cast("double").alias(f"{name}_types"))
-    return whole, stems
-
-
-def evidence(counts: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
+def evidence(counts: DataFrame) -> tuple[DataFrame, DataFrame, float]:
     """Log-likelihood differences: by word, by stem for other words, and one for other stems.
 
     ``counts``: (unit, a, b), occurrences in toxic and in ordinary texts.
     """
-    counts = counts.select("unit", "a", "b", F.substring("unit", 1, STEM).alias("stem"), F.expr(f"substring(unit, {STEM + 1})").alias("ending"))
-    all_a, stem_a = _side("a", counts)
-    all_b, stem_b = _side("b", counts)
-    totals = all_a.crossJoin(F.broadcast(all_b)).crossJoin(F.broadcast(counts.agg(F.count("*").cast("double").alias("types"))))
-    shared_stem = counts.groupBy("stem").agg(F.count("*").cast("double").alias("stem_types"))
-    shared_ending = counts.groupBy("ending").agg(F.count("*").cast("double").alias("ending_types"))
-    stems = (shared_stem.join(stem_a, "stem", "left").join(stem_b, "stem", "left")
-             .fillna(0.0, ["a_stem", "a_types", "b_stem", "b_types"]).crossJoin(F.broadcast(totals)))
+    stem = F.substring("unit", 1, STEM)
+    sums = [F.count("*").cast("double").alias("types")]
+    for x in ("a", "b"):
+        sums += [F.sum(x).cast("double").alias(f"{x}_stem"), F.sum((F.col(x) > 0).cast("int")).cast("double").alias(f"{x}_types"),
+                 F.sum((F.col(x) == 1).cast("int")).alias(f"{x}_once"), F.sum((F.col(x) == 2).cast("int")).alias(f"{x}_twice")]
+    stems = stored(counts.groupBy(stem.alias("stem")).agg(*sums), "toxic-stems")
+    # One row of totals, used as constants.
+    whole = stems.agg(F.sum("types").alias("types"), *[f for x in ("a", "b") for f in (
+        F.sum(f"{x}_stem").alias(f"{x}_all"), F.sum((F.col(f"{x}_stem") > 0).cast("int")).alias(f"{x}_stems"),
+        F.sum(f"{x}_once").alias(f"{x}_once"), F.sum(f"{x}_twice").alias(f"{x}_twice"))]).first().asDict()
+    cut, spare, total = {}, {}, {}
+    for x in ("a", "b"):
+        once, twice = whole[f"{x}_once"] or 0, whole[f"{x}_twice"] or 0
+        cut[x] = min(max(once / (once + 2 * twice), 0.1), 0.9) if once + twice else 0.5
+        total[x] = whole[f"{x}_all"] or 0.0
+        spare[x] = cut[x] * (whole[f"{x}_stems"] or 0) / total[x] if total[x] else 1.0  # what discounting leaves of all
 
     def stem_share(x: str) -> Column:
-        d, n = F.col(f"{x}_d"), F.col(f"{x}_all")
-        return (F.greatest(F.col(f"{x}_stem") - d, F.lit(0.0)) + d * F.col(f"{x}_stems") * F.col("stem_types") / F.col("types")) / n
+        own = F.greatest(F.col(f"{x}_stem") - cut[x], F.lit(0.0)) / max(total[x], 1.0)
+        return own + spare[x] * F.col("types") / float(whole["types"] or 1)
 
     def left(x: str) -> Column:
-        return F.when(F.col(f"{x}_stem") > 0, F.col(f"{x}_d") * F.col(f"{x}_types") / F.col(f"{x}_stem")).otherwise(F.lit(1.0))
+        return F.when(F.col(f"{x}_stem") > 0, cut[x] * F.col(f"{x}_types") / F.col(f"{x}_stem")).otherwise(F.lit(1.0))
 
-    stems = stems.withColumns({"of_stem": F.log(stem_share("a") / stem_share("b")), "left_a": left("a"), "left_b": left("b")})
-    rows = counts.join(stems, "stem").join(shared_ending, "ending")
+    stems = stems.select("stem", "a_stem", "b_stem", F.log(stem_share("a") / stem_share("b")).alias("of_stem"),
+                         left("a").alias("a_left"), left("b").alias("b_left"))
+    rows = counts.join(stems, stem == F.col("stem"))
 
     def ending_share(x: str) -> Column:
-        seen = F.greatest(F.col(x) - F.col(f"{x}_d"), F.lit(0.0))
-        own = F.when(F.col(f"{x}_stem") > 0, seen / F.col(f"{x}_stem")).otherwise(F.lit(0.0))
-        return own + F.col(f"left_{x}") * F.col("ending_types") / F.col("types")
+        own = F.when(F.col(f"{x}_stem") > 0, F.greatest(F.col(x) - cut[x], F.lit(0.0)) / F.col(f"{x}_stem")).otherwise(F.lit(0.0))
+        return own + F.col(f"{x}_left") * (F.col("a") + F.col("b")) / (F.col("a_stem") + F.col("b_stem"))
 
-    by_word = rows.select("unit", (F.col("of_stem") + F.log(ending_share("a") / ending_share("b"))).alias("llr"))
-    by_stem = stems.select("stem", (F.col("of_stem") + F.log(F.col("left_a") / F.col("left_b"))).alias("llr"))
-    other = totals.select(F.log((F.col("a_d") * F.col("a_stems") / F.col("a_all")) / (F.col("b_d") * F.col("b_stems") / F.col("b_all"))).alias("other"))
-    return by_word, by_stem, other
+    by_word = rows.select("unit", (F.col("of_stem") + F.log(ending_share("a") / ending_share("b"))).cast("float").alias("llr"))
+    by_stem = stems.select("stem", (F.col("of_stem") + F.log(F.col("a_left") / F.col("b_left"))).cast("float").alias("llr"))
+    return by_word, by_stem, float(np.log(spare["a"] / spare["b"]))
 
 
 def features(docs: DataFrame, labels: DataFrame) -> DataFrame:
@@ -117,12 +112,12 @@ def features(docs: DataFrame, labels: DataFrame) -> DataFrame:
     bitmaps = stored(marks(index_rows(postings).join(group, "doc_id").select("block", "pos", "group")), "toxic-marks")
     counts = stored(marked_counts(postings, bitmaps, "string"), "toxic-counts")
     by_word, by_stem, other = evidence(counts)
-    by_word, by_stem = stored(by_word, "toxic-words"), stored(by_stem, "toxic-stems")
-    rows = postings.where("ids IS NULL").select("block", "unit", "post")
+    # Both joins read one shuffle of the postings; only words that training has not seen move on to their stems.
+    rows = postings.where("ids IS NULL AND unit IS NOT NULL").select("block", "unit", "post")
+    by_word = stored(by_word, "toxic-words").where("unit IS NOT NULL")
     known = rows.join(by_word, "unit").select("block", "post", "llr")
-    rest = (rows.join(by_word, "unit", "left_anti").withColumn("stem", F.substring("unit", 1, STEM))
-            .join(by_stem, "stem", "left").crossJoin(F.broadcast(other))
-            .select("block", "post", F.coalesce("llr", "other").alias("llr")))
+    rest = (rows.join(by_word, "unit", "left_anti").select("block", "post", F.substring("unit", 1, STEM).alias("stem"))
+            .join(by_stem, "stem", "left").select("block", "post", F.coalesce("llr", F.lit(other).cast("float")).alias("llr")))
     scored = known.unionByName(rest).withColumn("llr", F.coalesce("llr", F.lit(0.0)))
     scored = scored.withColumn("clear", F.greatest(F.col("llr") - CLEAR, F.lit(0.0)))
     return doc_sums(postings, scored, ["llr", "clear"])

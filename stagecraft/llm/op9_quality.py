@@ -130,8 +130,8 @@ def classify(docs: DataFrame, labels: DataFrame) -> DataFrame:
     trusted = labels.where("quality = 1").select(F.col("doc_id").cast("long").alias("doc_id"))
     rows = stored(perplexities(docs, trusted), "quality-sums")
     good = rows.where("trusted")
-    # Limits a language: as many rows as there are languages.
-    center = good.groupBy("lang").agg((F.sum("nll") / F.sum("n")).alias("mean"))
+    # A row a language, written first: the planner then knows that it is small and no text moves to its language's task.
+    center = stored(good.groupBy("lang").agg((F.sum("nll") / F.sum("n")).alias("mean")), "quality-means")
     center_all = good.agg((F.sum("nll") / F.sum("n")).alias("mean_all"))
     drawn = (rows.join(center, "lang", "left").crossJoin(F.broadcast(center_all))
              .withColumn("mean", F.coalesce("mean", "mean_all"))
@@ -141,7 +141,7 @@ def classify(docs: DataFrame, labels: DataFrame) -> DataFrame:
         q = F.percentile_approx("score", F.array(F.lit(0.5), F.lit(QUANTILE)), 10_000)
         return (q[1] + SLACK * (q[1] - q[0])).alias(name)
 
-    limits = drawn.where("trusted").groupBy("lang").agg(limit("limit"))
+    limits = stored(drawn.where("trusted").groupBy("lang").agg(limit("limit")), "quality-limits")
     limit_all = drawn.where("trusted").agg(limit("limit_all"))
     return (drawn.join(limits, "lang", "left").crossJoin(F.broadcast(limit_all))
             .select("doc_id", "lang", F.col("n").alias("n_units"), F.exp(F.col("nll") / F.col("n")).alias("perplexity"), "score",

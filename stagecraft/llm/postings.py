@@ -76,10 +76,20 @@ def pack_pairs(unit: np.ndarray, doc: np.ndarray) -> tuple[np.ndarray, pa.Array]
     unit, doc = (key >> np.uint64(13)).astype(np.int64), (key & np.uint64(8191)).astype(np.int64)
     new = np.concatenate([[True], unit[1:] != unit[:-1]]) if len(unit) else np.zeros(0, bool)
     gap = np.where(new, doc, doc - np.concatenate([[0], doc[:-1]])) if len(unit) else doc
-    data, ends = put_varints(np.stack([gap, count], 1).ravel())
-    last = np.flatnonzero(np.concatenate([new[1:], [True]])) if len(unit) else np.zeros(0, np.int64)
-    offsets = np.concatenate([[0], ends[1::2][last]]).astype(np.int32)
-    post = pa.Array.from_buffers(pa.binary(), len(last), [None, pa.py_buffer(offsets.tobytes()), pa.py_buffer(data.tobytes())])
+    # Of each unit: its number of texts, then gap and whether it counts more than one, then those counts.
+    row, more = np.cumsum(new) - 1, count > 1
+    rows = int(new.sum())
+    texts, many = np.bincount(row, minlength=rows), np.bincount(row[more], minlength=rows)
+    start = np.cumsum(1 + texts + many) - (1 + texts + many)
+    values = np.zeros(int((1 + texts + many).sum()), np.int64)
+    values[start] = texts
+    place = np.arange(len(row)) - (np.cumsum(texts) - texts)[row]
+    values[start[row] + 1 + place] = gap * 2 + more
+    at = np.arange(int(more.sum())) - (np.cumsum(many) - many)[row[more]]
+    values[start[row[more]] + 1 + texts[row[more]] + at] = count[more] - 2
+    data, ends = put_varints(values)
+    offsets = np.concatenate([[0], ends[start[1:] - 1], ends[-1:]]).astype(np.int32) if rows else np.zeros(1, np.int32)
+    post = pa.Array.from_buffers(pa.binary(), rows, [None, pa.py_buffer(offsets.tobytes()), pa.py_buffer(data.tobytes())])
     return unit[new], post
 
 
@@ -89,12 +99,18 @@ def unpack_pairs(column: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     offsets = np.frombuffer(column.buffers()[1], np.int32, len(column) + 1, column.offset * 4)
     data = np.frombuffer(column.buffers()[2] or b"", np.uint8)[offsets[0]:offsets[-1]]
     values, ends = get_varints(data)
-    gap, count = values[0::2], values[1::2]
-    row = np.searchsorted(offsets[1:] - offsets[0], ends[1::2], side="left")
+    row = np.searchsorted(offsets[1:] - offsets[0], ends, side="left")
+    first = np.flatnonzero(np.concatenate([[True], row[1:] != row[:-1]])) if len(row) else np.zeros(0, np.int64)
+    place = np.arange(len(row)) - np.repeat(first, np.diff(np.append(first, len(row))))
+    texts = np.repeat(values[first], np.diff(np.append(first, len(row))))
+    is_gap = (place > 0) & (place <= texts)
+    coded, of = values[is_gap], row[is_gap]
+    count = np.ones(len(coded), np.int64)
+    count[coded & 1 == 1] = values[place > texts] + 2
+    gap = coded >> 1
     total = np.cumsum(gap)
-    new = np.concatenate([[True], row[1:] != row[:-1]]) if len(row) else np.zeros(0, bool)
-    base = (total - gap)[new]
-    return row, total - np.repeat(base, np.diff(np.concatenate([np.flatnonzero(new), [len(row)]]))), count
+    new = np.flatnonzero(np.concatenate([[True], of[1:] != of[:-1]])) if len(of) else np.zeros(0, np.int64)
+    return of, total - np.repeat((total - gap)[new], np.diff(np.append(new, len(of)))), count
 
 
 def blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -102,10 +102,10 @@ def word_evidence(counts: dict[str, tuple[int, int]]):
     """The model of operator 2 in plain Python: log-likelihood difference of any word."""
     def cut(w):
         return w[:op2.STEM], w[op2.STEM:]
-    kinds, ends = Counter(), Counter()
-    for w in counts:
+    kinds, pooled = Counter(), Counter()
+    for w, c in counts.items():
         kinds[cut(w)[0]] += 1
-        ends[cut(w)[1]] += 1
+        pooled[cut(w)[0]] += sum(c)
     models = []
     for k in (0, 1):
         seen = {w: c[k] for w, c in counts.items() if c[k]}
@@ -118,7 +118,7 @@ def word_evidence(counts: dict[str, tuple[int, int]]):
         models.append((seen, d, stem, types, sum(seen.values())))
 
     def difference(word):
-        s, e = cut(word)
+        s = cut(word)[0]
         logs = []
         for seen, d, stem, types, n in models:
             left = d * len(stem) / n
@@ -128,7 +128,7 @@ def word_evidence(counts: dict[str, tuple[int, int]]):
             p = max(stem[s] - d, 0) / n + left * kinds[s] / len(counts)
             back = d * types[s] / stem[s] if stem[s] else 1.0
             own = max(seen.get(word, 0) - d, 0) / stem[s] if stem[s] else 0.0
-            share = ends[e] / len(counts) if word in counts else 1.0
+            share = sum(counts[word]) / pooled[s] if word in counts else 1.0
             logs.append(math.log(p) + math.log(own + back * share))
         return logs[0] - logs[1]
     return difference
