@@ -278,7 +278,6 @@ O_MANIFEST_PREVIEW = _with("control") + f"select {_CONTROL_COLS} from control or
 def q_template_join(spark, sf):
     c = _fix(spark, sf, "control")
     live = batches.valid_templates(_fix(spark, sf, "templates"), _now())
-    live = batches.broadcast_if_small(live, batches.MAX_BROADCAST_TEMPLATES)
     return (c.join(live, c["copy_into_name"] == live["statement_name"], "inner")
             .select("file_path", "copy_into_name", "statement_text"))
 

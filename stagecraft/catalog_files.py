@@ -17,7 +17,7 @@ from . import staging
 from .operators.manifest import build_manifest, listing_from_stage
 from .plans.ingest import file_ingest
 from .session import work_dir
-from .sources.loader import LoadTemplate, load_results, load_stage, read_target
+from .sources.loader import LoadTemplate, load_results, load_stage, read_history, read_target
 from .sources.stage import list_stage, unload
 from .sources.tables import ManifestStore
 from .streaming.ingest import start_stream_ingest
@@ -221,7 +221,7 @@ def run_ingest(spark, sf, *, files_at_once=100, wave_files=1000, files_to_proces
 def q_ingest_job(spark, sf):
     run, store = run_ingest(spark, sf)
     final = store.read()
-    hist = spark.read.parquet(run.history_path)
+    hist = read_history(spark, run.history_path)
     j = final.join(hist, final["file_path"] == hist["file_name"], "left")
     return (j.groupBy("copy_into_name", "ingestion_status")
             .agg(F.count(F.lit(1)).alias("files"),

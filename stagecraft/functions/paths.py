@@ -82,3 +82,14 @@ def timestamp_to_listing_text(ts: Column | str) -> Column:
 def parent_dir(path: Column | str) -> Column:
     """Path without its last segment."""
     return F.regexp_replace(_col(path), r"/[^/]*$", "")
+
+
+def path_key(path: Column | str, default_fs: str) -> Column:
+    """One spelling of a file path: with its file system and a single "/" behind the scheme.
+
+    ``/a/x``, ``file:/a/x`` and ``file:///a/x`` name one file; paths without a
+    file system belong to ``default_fs``.
+    """
+    c = _col(path)
+    full = F.when(c.startswith("/"), F.concat(F.lit(default_fs), c)).otherwise(c)
+    return F.regexp_replace(full, "^([A-Za-z][A-Za-z0-9+.-]*):/+", "$1:/")

@@ -25,7 +25,10 @@ def progress_bar(percentage: Column | str, decimals: int = 2, segments: int = 10
         raise ValueError("decimals and segments must be >= 0")
     p = _col(percentage).cast("double")
     clamped = F.least(F.greatest(F.when(F.isnan(p), F.lit(0.0)).otherwise(p), F.lit(0.0)), F.lit(100.0))
-    shown = F.format_string(f"%.{int(decimals)}f", clamped)
+    units = rounded_units(clamped, int(decimals))
+    scale = 10 ** int(decimals)
+    shown = F.format_string("%d", units) if not decimals else F.format_string(
+        f"%d.%0{int(decimals)}d", F.floor(units / scale).cast("long"), units % scale)
     filled = F.round(F.lit(float(segments)) * shown.cast("double") / F.lit(100.0)).cast("int")
     bar = F.concat(F.repeat(F.lit(FILLED), filled),
                    F.repeat(F.lit(EMPTY), F.lit(int(segments)) - filled),
@@ -33,6 +36,29 @@ def progress_bar(percentage: Column | str, decimals: int = 2, segments: int = 10
     return F.when(p.isNotNull(), bar)
 
 
+def rounded_units(value: Column, decimals: int) -> Column:
+    """``value`` (0 or more) in units of its last shown decimal, rounded by its exact binary value.
+
+    1.005 lies below its decimal text, so two decimals give 100 units, not 101.
+    The value is split in two halves of 26 bits: products of a half with the
+    scale are exact, so the sign of the distance to a middle is, too. Exact
+    middles go to the even unit.
+    """
+    scale = float(10 ** decimals)
+    wide = value * F.lit(134217729.0)
+    high = wide - (wide - value)
+    low = value - high
+
+    def beyond(units: Column) -> Column:
+        return (high * scale - units) + low * scale
+
+    near = F.floor(value * scale).cast("double")
+    base = F.when(beyond(near) < 0, near - 1).when(beyond(near + 1) >= 0, near + 1).otherwise(near)
+    half = beyond(base + 0.5)
+    up = (half > 0) | ((half == 0) & (base % 2 == 1))
+    return (base + F.when(up, F.lit(1.0)).otherwise(F.lit(0.0))).cast("long")
+
+
 def progress_bar_sql(pct_sql: str, decimals: int = 2, segments: int = 10) -> str:
     """DuckDB text of the same bar (oracle side)."""
     clamped = f"least(greatest(case when isnan({pct_sql}) then 0.0 else {pct_sql} end, 0.0), 100.0)"
@@ -43,5 +69,6 @@ def progress_bar_sql(pct_sql: str, decimals: int = 2, segments: int = 10) -> str
 
 
 def thousands_text(n: Column | str, width: int = COUNT_TEXT_WIDTH) -> Column:
-    """Whole number with thousands separators, right-aligned in ``width`` characters."""
-    return F.lpad(F.format_number(_col(n).cast("long"), 0), width, " ")
+    """Whole number with thousands separators, right-aligned in ``width`` characters (longer text stays whole)."""
+    text = F.format_number(_col(n).cast("long"), 0)
+    return F.lpad(text, F.greatest(F.lit(width), F.length(text)), F.lit(" "))

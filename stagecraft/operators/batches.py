@@ -9,17 +9,10 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..functions.paths import stage_path_shorten
 from ..schemas import LOADING, WAITING
+from ..session import materialize
 from .ranking import number_within
 
 MAX_FILES_AT_ONCE = 1000
-# Template tables are configuration; above this many rows they are joined
-# without a broadcast hint (the planner and AQE then decide).
-MAX_BROADCAST_TEMPLATES = 100_000
-
-
-def broadcast_if_small(df: DataFrame, max_rows: int) -> DataFrame:
-    """Broadcast hint only after checking the row count."""
-    return F.broadcast(df) if df.limit(max_rows + 1).count() <= max_rows else df
 
 
 def order_columns(sort_order: str = "ASC", order_col: str = "ingestion_order",
@@ -51,13 +44,13 @@ def routable_files(control: DataFrame, tries: int, templates: DataFrame | None =
                    now: Column | None = None) -> DataFrame:
     """Eligible files with a route and, if templates are given, a template in force.
 
-    The template table is configuration (one row per load statement), so its
-    valid names are broadcast into a semi join.
+    Whether the template names are broadcast is left to the planner, which
+    goes by their bytes.
     """
     files = eligible_files(control, tries).where(F.col("copy_into_name").isNotNull())
     if templates is not None:
         names = valid_templates(templates, now).select(F.col("statement_name").alias("copy_into_name"))
-        files = files.join(broadcast_if_small(names, MAX_BROADCAST_TEMPLATES), "copy_into_name", "left_semi")
+        files = files.join(names, "copy_into_name", "left_semi")
     return files
 
 
@@ -65,7 +58,7 @@ def unplannable_files(control: DataFrame, tries: int, templates: DataFrame, now:
     """Eligible files that planning leaves out: no route, or no template in force."""
     elig = eligible_files(control, tries)
     names = valid_templates(templates, now).select(F.col("statement_name").alias("copy_into_name"))
-    return (elig.join(broadcast_if_small(names, MAX_BROADCAST_TEMPLATES), "copy_into_name", "left_anti")
+    return (elig.join(names, "copy_into_name", "left_anti")
             .withColumn("reason", F.when(F.col("copy_into_name").isNull(), F.lit("NO_ROUTE"))
                         .otherwise(F.lit("NO_TEMPLATE"))))
 
@@ -107,7 +100,7 @@ def claim_next(control: DataFrame, *, tries: int, files_at_once: int, sort_order
 
 def plan_batches(control: DataFrame, *, tries: int, files_at_once: int, sort_order: str,
                  templates: DataFrame | None = None, now: Column | None = None,
-                 files_to_process: int | None = None, single_task_rows: int | None = None,
+                 files_to_process: int | None = None,
                  extra_columns: tuple[str, ...] = ()) -> DataFrame:
     """Every batch that repeated ``claim_next`` would produce, as one query.
 
@@ -115,8 +108,8 @@ def plan_batches(control: DataFrame, *, tries: int, files_at_once: int, sort_ord
     ``files_at_once`` files is a chunk; chunks are numbered by their first
     file in the global order (``batch_no``). With ``files_to_process`` only
     the first ceil(files_to_process / files_at_once) batches are kept, as
-    the run's pass count. Numbering is skew-safe above ``single_task_rows``
-    files (see ``number_within``). ``extra_columns`` are carried through from
+    the run's pass count. Numbering is skew-safe (see ``number_within``) and
+    done once: heads and plan read the numbered rows. ``extra_columns`` are carried through from
     the manifest (the ingest job keeps every column, so it needs no join back).
     """
     n = check_files_at_once(files_at_once)
@@ -124,14 +117,12 @@ def plan_batches(control: DataFrame, *, tries: int, files_at_once: int, sort_ord
     base_cols = ["file_path", "copy_into_name", "ingestion_order", "try_count", "file_size"]
     carried = [c for c in extra_columns if c not in base_cols]
     files = routable_files(control, tries, templates, now).select(*base_cols, *carried)
-    # One group per template: the template table bounds the groups.
-    ranked = number_within(files, ["copy_into_name"], order, "file_rank", name="plan-rank",
-                           few_groups=templates is not None, single_task_rows=single_task_rows)
-    chunked = ranked.withColumn("chunk_no", F.floor((F.col("file_rank") - 1) / F.lit(n)).cast("long"))
+    ranked = number_within(files, ["copy_into_name"], order, "file_rank", name="plan-rank")
+    chunked = materialize(ranked.withColumn("chunk_no", F.floor((F.col("file_rank") - 1) / F.lit(n)).cast("long")),
+                          "plan-chunks")
     heads = (chunked.where((F.col("file_rank") - 1) % F.lit(n) == 0)
              .select("copy_into_name", "chunk_no", "ingestion_order", "file_path"))
-    batch_nos = number_within(heads, [], order, "batch_no", name="plan-heads",
-                              single_task_rows=single_task_rows).select(
+    batch_nos = number_within(heads, [], order, "batch_no", name="plan-heads").select(
         "copy_into_name", "chunk_no", "batch_no")
     plan = chunked.join(batch_nos, ["copy_into_name", "chunk_no"], "inner")
     if files_to_process is not None:
@@ -162,8 +153,7 @@ def batch_file_lists(plan: DataFrame, templates: DataFrame | None = None,
                   F.array_join(F.transform(entries, lambda e: e["entry"]), ",").alias("file_list")))
     if templates is not None:
         live = valid_templates(templates, now).withColumnRenamed("statement_name", "copy_into_name")
-        lists = lists.join(broadcast_if_small(live.select("copy_into_name", "statement_text"),
-                                              MAX_BROADCAST_TEMPLATES), "copy_into_name", "left")
+        lists = lists.join(live.select("copy_into_name", "statement_text"), "copy_into_name", "left")
     return lists
 
 

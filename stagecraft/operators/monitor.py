@@ -48,11 +48,11 @@ def active_by_owner(control: DataFrame) -> DataFrame:
 def _keyed(control: DataFrame, history: DataFrame) -> DataFrame:
     """Manifest joined with history on the location-independent path key.
 
-    The key is computed once per side; rows without a key (no "/" in the
-    path) cannot match and are dropped before the shuffle.
+    Every key has a "/" before it in its path, so paths without one cannot
+    match: that plain test filters in the scan, and the key's patterns run once.
     """
-    c = control.withColumn("_key", stage_path_shorten("file_path")).where(F.col("_key").isNotNull())
-    h = history.withColumn("_key", stage_path_shorten("file_name")).where(F.col("_key").isNotNull())
+    c = control.where(F.col("file_path").contains("/")).withColumn("_key", stage_path_shorten("file_path"))
+    h = history.where(F.col("file_name").contains("/")).withColumn("_key", stage_path_shorten("file_name"))
     return c.alias("C").join(h.alias("L"), "_key", "inner")
 
 

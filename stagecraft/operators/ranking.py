@@ -17,31 +17,18 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..session import materialize
 
-# Rows of the offset table up to which it is broadcast (about 40 bytes a row).
-OFFSETS_BROADCAST_ROWS = 200_000
-# Inputs up to this many rows are numbered with a plain window: even if one
-# group holds all of them, one task sorts them in seconds, and the
-# distributed form's extra jobs would cost more than they save.
-SINGLE_TASK_ROWS = 1_000_000
-
 
 def number_within(df: DataFrame, group_cols: Sequence[str], order_cols: Sequence[Column],
-                  out_col: str, name: str = "numbered", few_groups: bool = False,
-                  single_task_rows: int | None = None) -> DataFrame:
+                  out_col: str, name: str = "numbered") -> DataFrame:
     """Add ``out_col``: 1-based position of each row inside its group, in ``order_cols`` order.
 
     Ties in ``order_cols`` must be broken by the caller (give a unique last key).
-    Rows with null group values form their own group. ``few_groups`` says the
-    number of groups is bounded by configuration (for example one group per
-    load template), so the offset table is broadcast without counting it.
-    Inputs of at most ``single_task_rows`` rows (default ``SINGLE_TASK_ROWS``)
-    use ``row_number()`` over a window; larger ones the skew-safe form.
+    Rows with null group values form their own group. There is one form for
+    every input size. The offsets join carries no hint: the planner broadcasts
+    the table if its bytes are few, and else shuffles on (partition, group),
+    which no hot group can fill.
     """
     group_cols = list(group_cols)
-    limit = SINGLE_TASK_ROWS if single_task_rows is None else single_task_rows
-    if limit > 0 and df.limit(limit + 1).count() <= limit:
-        w = Window.partitionBy(*group_cols).orderBy(*order_cols) if group_cols else Window.orderBy(*order_cols)
-        return df.withColumn(out_col, F.row_number().over(w).cast("long"))
     sort_keys = [F.col(g).asc_nulls_first() for g in group_cols] + list(order_cols)
     keyed = (df.orderBy(*sort_keys)
              .withColumn("_pid", F.spark_partition_id())
@@ -55,9 +42,6 @@ def number_within(df: DataFrame, group_cols: Sequence[str], order_cols: Sequence
     if group_cols:
         w = Window.partitionBy(*group_cols).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
     offsets = stats.withColumn("_before", F.coalesce(F.sum("_n").over(w), F.lit(0))).drop("_n")
-    if not group_cols or few_groups or offsets.count() <= OFFSETS_BROADCAST_ROWS:
-        # Without groups the table has one row per partition.
-        offsets = F.broadcast(offsets)
 
     k, o = keyed.alias("k"), offsets.alias("o")
     cond = F.col("k._pid") == F.col("o._pid")

@@ -50,7 +50,8 @@ def reset_stuck(control: DataFrame, now: Column, minutes: int = 60) -> DataFrame
 
 
 def suspend(control: DataFrame) -> DataFrame:
-    """Kill switch: every WAITING file -> SUSPENDED; running jobs find nothing new."""
+    """Kill switch: every WAITING file -> SUSPENDED. Recorded with ``ManifestStore.update``,
+    running jobs see it before their next wave and load nothing more."""
     return _update(control, F.col("ingestion_status") == WAITING, {"ingestion_status": F.lit(SUSPENDED)})
 
 
@@ -65,6 +66,21 @@ def requeue_failed(control: DataFrame, tries: int, statuses: Sequence[str] = (LO
     return _update(control, cond, {"ingestion_status": F.lit(WAITING)})
 
 
+def recover_results(control: DataFrame, history: DataFrame, now: Column) -> DataFrame:
+    """Finish files of a run that ended between its load and its record.
+
+    A file still carries the run id of its claim, and the history has its row
+    in a load of that run: the rows are in the target, so the result is
+    recorded instead of loading the file again.
+    """
+    open_files = control.where(F.col("exec_uuid").isNotNull()).select(F.col("file_path").alias("_f"), F.col("exec_uuid").alias("_run"))
+    done = (history.join(open_files, (F.col("file_name") == F.col("_f")) & F.col("load_id").startswith(F.concat("_run", F.lit("-"))))
+            .groupBy("file_name").agg(F.max_by(F.struct("status", "first_error_message"), "load_id").alias("_h"))
+            .select(F.col("file_name").alias("file"), F.col("_h.status").alias("status"),
+                    F.col("_h.first_error_message").alias("first_error")))
+    return mark_complete(control, done, now)
+
+
 def claim_rows(files: DataFrame, *, run_id: str, owner_session: int, now: Column) -> DataFrame:
     """The LOADING version of the given manifest rows (used for change records)."""
     return files.select(

@@ -24,12 +24,12 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from ..functions.timing import ntz_literal
-from ..operators.batches import plan_batches, valid_templates
+from ..operators.batches import plan_batches, routable_files, valid_templates
 from ..operators.manifest import count_duplicates
-from ..operators.transitions import claim_rows
-from ..schemas import CONTROL_COLUMNS, RUN_SUMMARY_SCHEMA
+from ..operators.transitions import claim_rows, recover_results
+from ..schemas import CONTROL_COLUMNS, RUN_SUMMARY_SCHEMA, WAITING
 from ..session import literal_rows, materialize
-from ..sources.loader import LoadTemplate, load_files, load_results
+from ..sources.loader import LoadTemplate, load_files, load_results, read_history, write_history
 from ..sources.tables import ManifestStore
 
 # Argument rules and their messages (the first failing rule wins).
@@ -116,14 +116,14 @@ def file_ingest(spark: SparkSession, store: ManifestStore, templates: DataFrame,
                 target_root: str, history_path: str, sort_order: str = "ASC",
                 files_to_process: int = 1000, files_at_once: int = 100, max_run_minutes: float = 60,
                 tries: int = 3, run_id: str | None = None, owner_session: int | None = None,
-                wave_files: int | None = None, compact_after: int = 64, clock=None) -> IngestRun:
+                wave_files: int | None = None, clock=None) -> IngestRun:
     """Run one ingest job over the manifest in ``store``; see the module text.
 
     ``wave_files`` bounds the files of one wave (default: one batch, or about
-    four files per core when that is more). Once the store holds
-    ``compact_after`` change records, the run ends by folding them into a
-    new base (one manifest rewrite per many waves, never per batch).
-    ``clock`` returns the current time (tests pass a fixed one).
+    four files per core when that is more). Before each wave the run looks at
+    what others have recorded since it planned and leaves out files that are
+    no longer WAITING (the kill switch). Change records are folded into a new
+    base by ``ManifestStore.compact`` while no run is active. ``clock`` returns the current time (tests pass a fixed one).
     """
     clock = clock or _utc_now
     summary = RunSummary()
@@ -132,10 +132,7 @@ def file_ingest(spark: SparkSession, store: ManifestStore, templates: DataFrame,
     if err != NO_ERRORS:
         summary.parameter_error = err
         return run
-    if store.seq > 0:
-        # Start from one folded base: the run reads the manifest three times.
-        store.compact()
-    control = store.read()
+    control = store.refresh().read()
     if count_duplicates(control) > 0:
         summary.duplicate_files_error = MSG_DUPLICATES
         return run
@@ -150,58 +147,84 @@ def file_ingest(spark: SparkSession, store: ManifestStore, templates: DataFrame,
     now = ntz_literal(started)
     passes = math.ceil(float(files_to_process) / files_at_once)
 
+    # Results that an earlier run loaded but did not record.
+    history = read_history(spark, history_path)
+    if not control.where("exec_uuid IS NOT NULL").isEmpty() and not history.isEmpty():
+        store.update(lambda c: recover_results(c, history, now))
+        control = store.read()
     live = _templates_at(templates, now)
-    # Every manifest column is kept: claim records are built from the plan rows.
-    plan = plan_batches(control, tries=tries, files_at_once=files_at_once, sort_order=sort_order,
-                        templates=templates, now=now, files_to_process=files_to_process,
-                        extra_columns=tuple(CONTROL_COLUMNS))
     if wave_files is None:
         wave_files = max(files_at_once, 4 * _cores(spark))
     per_wave = max(1, int(wave_files) // files_at_once)
-    # One folder per wave: each wave reads its own rows, not the whole plan.
-    plan = plan.withColumn("_wave", F.floor((F.col("batch_no") - 1) / F.lit(per_wave)).cast("long"))
-    plan = materialize(plan, "ingest-plan", partition_by="_wave")
-    n_batches = int(plan.agg(F.max("batch_no")).first()[0] or 0)
 
     processed, reason, batch = 0, None, 0
-    while batch < n_batches:
-        lo, hi = batch + 1, min(batch + per_wave, n_batches)
-        wave = plan.where(F.col("_wave") == F.lit((lo - 1) // per_wave))
-        try:
-            processed += _run_wave(spark, store, wave, live, run, run_id, owner_session, clock, lo)
-        except Exception as e:  # noqa: BLE001 - the run reports the error and stops
-            reason = "ERROR: " + str(e).split("\n")[0]
-            break
-        batch = hi
-        run.waves += 1
-        if time.monotonic() >= deadline:
-            reason = TIME_LIMIT
+    while reason is None and batch < passes:
+        # Every manifest column is kept: claim records are built from the plan rows.
+        plan = plan_batches(control, tries=tries, files_at_once=files_at_once, sort_order=sort_order,
+                            templates=templates, now=now, files_to_process=(passes - batch) * files_at_once,
+                            extra_columns=tuple(CONTROL_COLUMNS))
+        # One folder per wave: each wave reads its own rows, not the whole plan.
+        plan = plan.withColumn("_wave", F.floor((F.col("batch_no") - 1) / F.lit(per_wave)).cast("long"))
+        plan = materialize(plan, "ingest-plan", partition_by="_wave")
+        planned_at, n_batches = store.seq, int(plan.agg(F.max("batch_no")).first()[0] or 0)
+        if not n_batches:
             break
+        done = 0
+        while done < n_batches:
+            lo, hi = done + 1, min(done + per_wave, n_batches)
+            wave = _still_waiting(store, plan.where(F.col("_wave") == F.lit((lo - 1) // per_wave)), planned_at)
+            try:
+                claimed = _run_wave(spark, store, wave, live, run, run_id, owner_session, clock, batch + lo)
+            except Exception as e:  # noqa: BLE001 - the run reports the error and stops
+                reason = "ERROR: " + str(e).split("\n")[0]
+                break
+            processed += claimed
+            done = hi
+            run.waves += 1
+            if time.monotonic() >= deadline:
+                reason = TIME_LIMIT
+                break
+        batch += done
+        if reason is None:
+            # Files that became WAITING meanwhile are the next plan.
+            control = store.refresh().read()
+            if routable_files(control, tries, templates, now).isEmpty():
+                break
     run.batches = batch
     if reason is None:
-        reason = PASS_LIMIT if n_batches >= passes else ALL_DONE
+        reason = PASS_LIMIT if batch >= passes else ALL_DONE
     if processed >= files_to_process and not reason.startswith("ERROR"):
         reason = FILE_LIMIT
     summary.termination_reason = reason
     summary.files_processed = processed
-    if store.seq >= compact_after:
-        store.compact()
     summary.end_time = _stamp(clock())
     return run
 
 
+def _still_waiting(store: ManifestStore, wave: DataFrame, planned_at: int) -> DataFrame:
+    """The wave without the files that a record later than the plan has taken out of WAITING."""
+    newer = store.refresh().latest(planned_at)
+    if newer is None:
+        return wave
+    taken = newer.where(F.col("_c.ingestion_status") != WAITING).select(F.col("_f").alias("file_path"))
+    return wave.join(taken, "file_path", "left_anti")
+
+
 def _run_wave(spark: SparkSession, store: ManifestStore, wave: DataFrame, live: dict[str, LoadTemplate],
               run: IngestRun, run_id: str, owner_session, clock, first_batch: int) -> int:
     """Claim, load and record one wave; returns the number of files claimed."""
     claim_at = ntz_literal(clock())
-    claimed = claim_rows(wave.select(*CONTROL_COLUMNS), run_id=run_id,
-                         owner_session=owner_session if owner_session is not None else 0, now=claim_at)
-    store.append_changes(claimed)
-
+    claimed = materialize(claim_rows(wave.select(*CONTROL_COLUMNS), run_id=run_id,
+                                     owner_session=owner_session if owner_session is not None else 0, now=claim_at),
+                          "ingest-claim")
     # The wave's file list goes to the readers: at most wave_files paths.
     by_template: dict[str, list[str]] = {}
-    for r in wave.select("copy_into_name", "file_path").orderBy("batch_no", "file_path").collect():
+    for r in claimed.select("copy_into_name", "file_path").orderBy("file_path").collect():
         by_template.setdefault(r["copy_into_name"], []).append(r["file_path"])
+    if not by_template:
+        return 0
+    store.append_changes(claimed)
+
     def load(item):
         name, paths = item
         tpl = live[name]
@@ -220,11 +243,11 @@ def _run_wave(spark: SparkSession, store: ManifestStore, wave: DataFrame, live:
     for h in histories[1:]:
         hist = hist.unionByName(h)
     # The history rows are final (per-file figures were written by the loads).
-    hist.write.mode("append").parquet(run.history_path)
-    recorded = hist
+    # Writing them commits the wave's loads.
+    write_history(hist, run.history_path)
 
     done_at = ntz_literal(clock())
-    res = load_results(recorded)
+    res = load_results(hist)
     done = (claimed.join(res, claimed["file_path"] == res["file"], "inner")
             .select("file_path", "copy_into_name", "ingestion_order",
                     F.col("status").alias("ingestion_status"), "owner_session",

@@ -10,6 +10,7 @@ of our own is set only when the session has none (local tests).
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import uuid
 
@@ -24,7 +25,7 @@ def build_session(master: str | None = None, app: str = "stagecraft",
     builder = (builder.config("spark.ui.enabled", "false")
                .config("spark.sql.session.timeZone", "UTC")
                .config("spark.sql.adaptive.enabled", "true")
-               .config("spark.driver.memory", "16g"))
+               .config("spark.driver.memory", os.environ.get("SPARK_DRIVER_MEMORY", "8g")))
     if shuffle_partitions:
         builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
     spark = builder.getOrCreate()
@@ -33,7 +34,7 @@ def build_session(master: str | None = None, app: str = "stagecraft",
 
 
 def shared_root(spark: SparkSession) -> str:
-    """The shared folder named by ``spark.checkpoint.dir``; a fresh one only if unset."""
+    """The shared folder named by ``spark.checkpoint.dir``; a fresh one only in local mode."""
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
         try:
@@ -41,6 +42,9 @@ def shared_root(spark: SparkSession) -> str:
         except Exception:  # pragma: no cover - no SparkContext (Connect)
             root = None
     if not root:
+        master = spark.conf.get("spark.master", "")
+        if not re.fullmatch(r"local(\[.*\])?", master):
+            raise RuntimeError("spark.checkpoint.dir must name a folder that all executors share")
         root = tempfile.mkdtemp(prefix="stagecraft-")
         spark.conf.set("spark.checkpoint.dir", root)
         try:
@@ -73,6 +77,34 @@ def materialize(df: DataFrame, name: str, partition_by: str | None = None) -> Da
     return spark.read.schema(df.schema).parquet(path)
 
 
+def hadoop_path(spark: SparkSession, path: str):
+    """The Hadoop path object of ``path`` and its file system (driver-side metadata calls only)."""
+    jpath = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return jpath, jpath.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf())
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    jpath, fs = hadoop_path(spark, path)
+    return bool(fs.exists(jpath))
+
+
+def remove_path(spark: SparkSession, path: str) -> None:
+    """Delete a folder that this library wrote."""
+    jpath, fs = hadoop_path(spark, path)
+    fs.delete(jpath, True)
+
+
+def default_file_system(spark: SparkSession) -> str:
+    """Prefix of paths that name no file system, such as ``file://``."""
+    return spark._jsparkSession.sessionState().newHadoopConf().get("fs.defaultFS", "file:///").rstrip("/")
+
+
+def partition_folder(column: str, value: str) -> str:
+    """Folder name of a partition value, escaped as Spark's writers do (fixed set of characters)."""
+    special = set("\"#%'*/:=?\\\x7f{[]^") | {chr(i) for i in range(1, 32)}
+    return f"{column}=" + "".join(f"%{ord(c):02X}" if c in special else c for c in value)
+
+
 def literal_rows(spark: SparkSession, rows, schema: T.StructType) -> DataFrame:
     """A DataFrame of a few literal rows (configuration), built on the JVM.
 

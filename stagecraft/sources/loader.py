@@ -18,11 +18,11 @@ import re
 from dataclasses import dataclass, field
 from typing import Any
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F, types as T
 
 from ..schemas import LOAD_FAILED, LOAD_HISTORY_SCHEMA, LOADED, PARTIALLY_LOADED
-from ..session import materialize
+from ..functions.paths import path_key
+from ..session import default_file_system, literal_rows, materialize, partition_folder, path_exists
 
 ON_ERROR_MODES = ("continue", "skip_file", "abort_statement")
 TEXT_FORMATS = ("csv", "json")
@@ -68,6 +68,13 @@ def _raw_fields(tpl: LoadTemplate, schema: T.StructType) -> Column:
     return F.from_csv(F.col("value"), raw_ddl, {**_csv_options(tpl), "mode": "PERMISSIVE"})
 
 
+def _field_pattern(tpl: LoadTemplate, sep: str) -> str:
+    """One field of a CSV line, with the separator before it."""
+    quote, escape = (re.escape(tpl.options.get(k, d)) for k, d in (("quote", '"'), ("escape", "\\")))
+    s = re.escape(sep)
+    return f"(?s)(?:^|{s})(?:{quote}(?:{escape}.|{quote}{quote}|(?!{quote}).)*{quote}|(?!{s}).)*"
+
+
 def _error_details(tpl: LoadTemplate, schema: T.StructType) -> tuple[Column, Column, Column]:
     """(message, column name, 1-based character position) of a bad CSV line,
     from its text fields (column ``_raw``) and typed fields (``_row``).
@@ -83,12 +90,12 @@ def _error_details(tpl: LoadTemplate, schema: T.StructType) -> tuple[Column, Col
                          F.lit(None).cast("int"))
     names = F.array(*[F.lit(f.name.upper()) for f in schema.fields])
     types = F.array(*[F.lit(f.dataType.simpleString()) for f in schema.fields])
-    starts, acc = [], F.lit(1)
-    for i in range(m):
-        starts.append(acc)
-        acc = acc + F.coalesce(F.length(raws[i]), F.lit(0)) + F.lit(len(sep))
-    pos_arr = F.array(*starts)
-    n_fields = F.size(F.split(F.col("value"), re.escape(sep), -1))
+    # Fields as they stand in the line, each with the separator before it: a
+    # separator within quotes does not end a field, and quotes count for positions.
+    fields = F.regexp_extract_all(F.col("value"), F.lit(_field_pattern(tpl, sep)), F.lit(0))
+    n_fields = F.size(fields)
+    before = F.aggregate(F.slice(fields, 1, F.greatest(bad_idx, F.lit(0))), F.lit(0), lambda n, x: n + F.length(x))
+    start = before + F.when(bad_idx > 0, F.lit(len(sep))).otherwise(F.lit(0)) + F.lit(1)
     idx1 = (bad_idx + 1).cast("int")
     msg = F.when(bad_idx.isNotNull(),
                  F.concat(F.lit("Value '"), F.element_at(F.array(*raws[:m]), idx1),
@@ -98,7 +105,7 @@ def _error_details(tpl: LoadTemplate, schema: T.StructType) -> tuple[Column, Col
                             F.lit(") does not match that of the corresponding table ("),
                             F.lit(str(m)), F.lit(")")))
     col = F.when(bad_idx.isNotNull(), F.element_at(names, idx1))
-    pos = F.when(bad_idx.isNotNull(), F.element_at(pos_arr, idx1)) \
+    pos = F.when(bad_idx.isNotNull(), start) \
         .otherwise(F.length(F.col("value")) + F.lit(1))
     return msg, col, pos.cast("long")
 
@@ -139,22 +146,27 @@ def file_columns() -> list[Column]:
             F.col("_metadata.file_block_start").alias("_block")]
 
 
+def literal_path(path: str) -> str:
+    """``path`` as a reader pattern that matches this very name only."""
+    return re.sub(r"([\[\]{}*?\\])", r"\\\1", path)
+
+
 def parse_staged(spark: SparkSession, paths: list[str] | str, tpl: LoadTemplate) -> DataFrame:
     """One row per line (record): _file, _block, _mid, _blank, _bad, _row (typed
     struct) and, for bad rows, _err (message, column, position).
 
     ``paths`` is an explicit file list, or one prefix read recursively."""
     schema = schema_of(spark, tpl.schema_ddl)
+    prefix = _prefix_option(paths)
+    paths = literal_path(paths) if isinstance(paths, str) else [literal_path(p) for p in paths]
     if reads_lines(tpl):
-        reader = spark.read
-        if isinstance(paths, str):
-            reader = reader.option("recursiveFileLookup", "true")
+        reader = spark.read.options(**prefix)
         if "lineSep" in tpl.options:
             reader = reader.option("lineSep", tpl.options["lineSep"])
         lines = (reader.text(paths)
                  .select("value", *file_columns(), F.monotonically_increasing_id().alias("_mid")))
         return parse_lines(lines, tpl, schema)
-    df = record_reader(spark.read.options(**_prefix_option(paths)), tpl, schema).load(paths)
+    df = record_reader(spark.read.options(**prefix), tpl, schema).load(paths)
     records = df.select("*", *file_columns(), F.monotonically_increasing_id().alias("_mid"))
     return parse_records(records, tpl, schema)
 
@@ -255,14 +267,51 @@ def load_files(spark: SparkSession, paths: list[str], tpl: LoadTemplate, target_
     """Load ``paths`` with ``tpl`` into ``target_path`` (partition ``_load_id=load_id``).
 
     Returns one load-history row per requested file (files with no rows
-    included). A repeated call with the same ``load_id`` replaces that
+    included; missing and unreadable files are LOAD_FAILED with their error,
+    and the others load). A repeated call with the same ``load_id`` replaces that
     partition, so a retried batch never adds rows twice.
     """
     if not paths:
         return spark.createDataFrame([], LOAD_HISTORY_SCHEMA)
-    # One array literal exploded on the JVM: no Python workers for the list.
-    requested = spark.range(1).select(F.explode(F.lit(list(paths)).cast("array<string>")).alias("file_name"))
-    return load_parsed(parse_staged(spark, paths, tpl), requested, tpl, target_path, load_id)
+    schema_of(spark, tpl.schema_ddl)  # a template that cannot be read is no file's fault
+    failed = {p: "File not found" for p in paths if not path_exists(spark, p)}
+    while True:
+        good = [p for p in paths if p not in failed]
+        if not good:
+            return _failures(spark, failed, tpl, load_id)
+        # One array literal exploded on the JVM: no Python workers for the list.
+        requested = spark.range(1).select(F.explode(F.lit(good).cast("array<string>")).alias("file_name"))
+        try:
+            history = load_parsed(parse_staged(spark, good, tpl), requested, tpl, target_path, load_id)
+            return history.unionByName(_failures(spark, failed, tpl, load_id)) if failed else history
+        except Exception as e:
+            # Nothing was committed. Leave out the files that cannot be read; any other error is the caller's.
+            unreadable = unreadable_files(spark, good, tpl)
+            if not unreadable:
+                raise e
+            failed.update(unreadable)
+
+
+def unreadable_files(spark: SparkSession, paths: list[str], tpl: LoadTemplate) -> dict[str, str]:
+    """Files that cannot be read to their end, with the error's first line.
+
+    Only called after a failed load. Halves the list until the bad files are
+    alone: few jobs for few bad files.
+    """
+    try:
+        parse_staged(spark, paths, tpl).agg(F.count("_row"), F.sum(F.col("_bad").cast("int"))).collect()
+        return {}
+    except Exception as e:  # noqa: BLE001 - any error of a single file is that file's error
+        if len(paths) == 1:
+            lines = [x.strip() for x in str(e).splitlines() if x.strip()]
+            return {paths[0]: lines[0][:500] if lines else type(e).__name__}
+    half = len(paths) // 2
+    return {**unreadable_files(spark, paths[:half], tpl), **unreadable_files(spark, paths[half:], tpl)}
+
+
+def _failures(spark: SparkSession, failed: dict[str, str], tpl: LoadTemplate, load_id: str) -> DataFrame:
+    rows = [(p, LOAD_FAILED, 0, 0, message, None, None, None, 0, load_id, tpl.target) for p, message in failed.items()]
+    return literal_rows(spark, rows, LOAD_HISTORY_SCHEMA)
 
 
 def load_stage(spark: SparkSession, prefix: str, tpl: LoadTemplate, target_path: str,
@@ -270,7 +319,8 @@ def load_stage(spark: SparkSession, prefix: str, tpl: LoadTemplate, target_path:
     """Load every file below ``prefix``. The files to report come from the
     stage listing as a DataFrame: no file list passes through the driver."""
     from .stage import list_stage
-    requested = list_stage(spark, prefix).select(F.col("path").alias("file_name"))
+    # Written before the load starts: the report and the load see the same files.
+    requested = materialize(list_stage(spark, prefix).select(F.col("path").alias("file_name")), f"load-list-{tpl.name}")
     return load_parsed(parse_staged(spark, prefix, tpl), requested, tpl, target_path, load_id)
 
 
@@ -288,19 +338,41 @@ def _landing(parsed: DataFrame, schema: T.StructType, load_id: str, kind: Column
                          F.lit(load_id).alias("_load_id"), kind.alias("_kind"))
 
 
+# Partition writers that one task keeps open at a time (one for each kind of
+# line): with it, landing a load needs no sort of its rows by partition.
+OPEN_WRITERS = "16"
+
+
 def _write_landing(df: DataFrame, target_path: str) -> None:
+    conf = df.sparkSession.conf
+    if conf.get("spark.sql.maxConcurrentOutputFileWriters", "0") == "0":
+        conf.set("spark.sql.maxConcurrentOutputFileWriters", OPEN_WRITERS)
     (df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
      .partitionBy("_load_id", "_kind").parquet(target_path))
 
 
-def _landed_lines(spark: SparkSession, target_path: str, load_id: str) -> DataFrame:
+def landing_schema(schema: T.StructType) -> T.StructType:
+    """Columns of a target: the template's, the lineage and the two partition columns."""
+    error = T.StructType([T.StructField("message", T.StringType()), T.StructField("col_name", T.StringType()),
+                          T.StructField("position", T.LongType())])
+    return T.StructType([*schema.fields, T.StructField("_source_file", T.StringType()),
+                         T.StructField("_split_start", T.LongType()), T.StructField("_line_key", T.LongType()),
+                         T.StructField("_error", error), T.StructField("_raw_line", T.StringType()),
+                         T.StructField("_load_id", T.StringType()), T.StructField("_kind", T.StringType())])
+
+
+def _target(spark: SparkSession, target_path: str, schema: T.StructType, folder: str = "") -> DataFrame:
+    """A target (or one load's folder of it); without rows if nothing has landed there."""
+    columns = landing_schema(schema)
+    path = f"{target_path}/{folder}" if folder else target_path
+    if not path_exists(spark, path):
+        return spark.createDataFrame([], columns)
+    return spark.read.schema(columns).option("basePath", target_path).parquet(literal_path(path) if folder else path)
+
+
+def _landed_lines(spark: SparkSession, target_path: str, load_id: str, schema: T.StructType) -> DataFrame:
     """The lines of one load, read back narrowly (lineage columns only)."""
-    try:
-        part = spark.read.option("basePath", target_path).parquet(f"{target_path}/_load_id={load_id}")
-    except AnalysisException:
-        # Nothing landed (every file empty): no lines.
-        return spark.createDataFrame([], "_file string, _block bigint, _mid bigint, _blank boolean, _bad boolean, "
-                                         "_err struct<message:string,col_name:string,position:bigint>")
+    part = _target(spark, target_path, schema, partition_folder("_load_id", load_id))
     return part.select(F.col("_source_file").alias("_file"), F.col("_split_start").alias("_block"),
                        F.col("_line_key").alias("_mid"), (F.col("_kind") == KIND_BLANK).alias("_blank"),
                        (F.col("_kind") == KIND_REJECTED).alias("_bad"), F.col("_error").alias("_err"))
@@ -329,7 +401,7 @@ def load_parsed(parsed: DataFrame, requested: DataFrame | None, tpl: LoadTemplat
     abort = False
     if mode == "continue":
         _write_landing(_landing(parsed, schema, load_id, kind), target_path)
-        stats = materialize(file_statistics(_landed_lines(spark, target_path, load_id),
+        stats = materialize(file_statistics(_landed_lines(spark, target_path, load_id, schema),
                                             with_line_numbers=not multiline, line_offset=offset),
                             f"load-stats-{tpl.name}")
     else:
@@ -347,7 +419,10 @@ def load_parsed(parsed: DataFrame, requested: DataFrame | None, tpl: LoadTemplat
 
     if requested is None:
         requested = stats.select(F.col("_file").alias("file_name"))
-    j = requested.join(stats, requested["file_name"] == stats["_file"], "left")
+    default_fs = default_file_system(spark)
+    keyed = stats.withColumn("_key", path_key("_file", default_fs))
+    j = requested.withColumn("_name", path_key("file_name", default_fs))
+    j = j.join(keyed, j["_name"] == keyed["_key"], "left")
     n_parsed = F.coalesce(F.col("row_parsed"), F.lit(0))
     errors = F.coalesce(F.col("error_count"), F.lit(0))
     if abort:
@@ -378,12 +453,40 @@ def load_results(history_rows: DataFrame) -> DataFrame:
                                F.col("first_error_message").alias("first_error"))
 
 
-def read_target(spark: SparkSession, target_path: str, schema_ddl: str | None = None) -> DataFrame:
-    """Rows loaded into a target (all loads). ``_kind`` is a partition column,
-    so the other kinds of lines are never read."""
-    df = spark.read.parquet(target_path).where(F.col("_kind") == KIND_LOADED)
+def read_history(spark: SparkSession, history_path: str) -> DataFrame:
+    """Load-history rows below ``history_path`` (partitioned by load id); none if nothing was loaded yet."""
+    if not path_exists(spark, history_path):
+        return spark.createDataFrame([], LOAD_HISTORY_SCHEMA)
+    names = [f.name for f in LOAD_HISTORY_SCHEMA.fields]
+    return spark.read.schema(LOAD_HISTORY_SCHEMA).parquet(history_path).select(*names)
+
+
+def write_history(rows: DataFrame, history_path: str) -> None:
+    """Record loads: their rows count as committed from here on.
+
+    One partition a load id, replaced as a whole: a repeated write adds
+    nothing, and runs that write at the same time do not touch each other.
+    """
+    (rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+     .partitionBy("load_id").parquet(history_path))
+
+
+def read_target(spark: SparkSession, target_path: str, schema_ddl: str | None = None,
+                history: DataFrame | None = None) -> DataFrame:
+    """Rows loaded into a target. ``_kind`` is a partition column, so the other
+    kinds of lines are never read. With ``history``, committed loads only:
+    what a load that failed later has left behind is not seen."""
+    if schema_ddl:
+        schema = schema_of(spark, schema_ddl)
+        df = _target(spark, target_path, schema)
+    else:
+        df = spark.read.parquet(target_path)
+    df = df.where(F.col("_kind") == KIND_LOADED)
+    if history is not None:
+        committed = history.select(F.col("load_id").alias("_load_id")).distinct()
+        df = df.withColumn("_load_id", F.col("_load_id").cast("string")).join(committed, "_load_id", "left_semi")
     if schema_ddl:
-        df = df.select(*[f.name for f in schema_of(spark, schema_ddl).fields])
+        df = df.select(*[f.name for f in schema.fields])
     return df
 
 

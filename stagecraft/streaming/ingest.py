@@ -15,7 +15,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..sources.loader import (LoadTemplate, file_columns, load_parsed, parse_lines, parse_records,
-                              reads_lines, record_reader, schema_of)
+                              reads_lines, record_reader, schema_of, write_history)
 
 
 def stream_lines(spark: SparkSession, stage_path: str, *, max_files_per_trigger: int = 1000,
@@ -28,6 +28,8 @@ def stream_lines(spark: SparkSession, stage_path: str, *, max_files_per_trigger:
     if tpl is not None and not reads_lines(tpl):
         records = record_reader(reader, tpl, schema_of(spark, tpl.schema_ddl)).load(stage_path)
         return records.select("*", *file_columns())
+    if tpl is not None and "lineSep" in tpl.options:
+        reader = reader.option("lineSep", tpl.options["lineSep"])
     return reader.format("text").load(stage_path).select("value", *file_columns())
 
 
@@ -41,8 +43,7 @@ def ingest_batch(tpl: LoadTemplate, target_path: str, history_path: str, run_id:
         parsed = parse_lines(rows, tpl) if by_line else parse_records(rows, tpl)
         # Files of the batch are those that had rows (a stream cannot see empty files).
         hist = load_parsed(parsed, None, tpl, target_path, load_id)
-        (hist.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-         .partitionBy("load_id").parquet(history_path))
+        write_history(hist, history_path)
 
     return run
 

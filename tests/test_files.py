@@ -1,6 +1,7 @@
 """Files: loader error capture, manifest store, ingest job rules, stream ingest."""
 
 import datetime as dt
+import gzip
 import os
 
 import pytest
@@ -12,7 +13,7 @@ from stagecraft.plans.ingest import (ALL_DONE, FILE_LIMIT, MSG_DUPLICATES, MSG_F
                                      PASS_LIMIT, TIME_LIMIT, check_parameters, file_ingest)
 from stagecraft.schemas import CONTROL_COLUMNS, control_schema
 from stagecraft.session import local_path, work_dir
-from stagecraft.sources.loader import LoadTemplate, load_files, load_results, read_rejects, read_target
+from stagecraft.sources.loader import LoadTemplate, load_files, load_results, read_history, read_rejects, read_target
 from stagecraft.sources.stage import list_stage
 from stagecraft.sources.tables import ManifestStore, clone_schema, empty_manifest
 
@@ -102,7 +103,7 @@ def test_manifest_store_changes_and_compact(spark, tmp_stage):
     assert cur["f1"].ingestion_status == "LOADED" and cur["f1"].exec_uuid is None and cur["f1"].try_count == 1
     assert cur["f0"].ingestion_status == "WAITING" and len(cur) == 5
     reopened = ManifestStore.open(spark, f"{tmp_stage}/m")
-    assert (reopened.epoch, reopened.seq) == (1, 2)
+    assert (reopened.epoch, reopened.seq) == (1, store.seq) and store.seq > 2
     assert {r.file_path: r.ingestion_status for r in reopened.read().collect()} == \
         {p: r.ingestion_status for p, r in cur.items()}
     store.compact()
@@ -151,14 +152,13 @@ def test_ingest_job_cycle(spark, tmp_stage):
     done = after.where("exec_uuid is null and try_count = 1")
     assert done.count() == 16
     # the 16 loaded files are the first two planned batches, in ingestion order
-    hist = spark.read.parquet(run.history_path)
+    hist = read_history(spark, run.history_path)
     assert hist.count() == 16
     # second run: everything else
     run2 = file_ingest(spark, store, staging.load_templates(spark), target_root=f"{tmp_stage}/target",
                        history_path=f"{tmp_stage}/history", files_to_process=100000, files_at_once=50,
-                       max_run_minutes=20, tries=3, run_id="r2", owner_session=7, compact_after=1)
-    # folded at the start (changes of run 1) and at the end (compact_after=1)
-    assert store.epoch == 3 and store.seq == 0
+                       max_run_minutes=20, tries=3, run_id="r2", owner_session=7)
+    assert store.epoch == 1
     assert run2.summary.termination_reason == ALL_DONE
     assert run2.summary.files_processed == routed - 16
     final = store.read()
@@ -231,7 +231,7 @@ def test_monitoring_over_a_real_run(spark, tmp_stage):
     run = file_ingest(spark, store, staging.load_templates(spark), target_root=f"{tmp_stage}/t",
                       history_path=f"{tmp_stage}/h", files_to_process=100000, files_at_once=100,
                       max_run_minutes=20, tries=3, run_id="m")
-    control, hist = store.read(), spark.read.parquet(run.history_path)
+    control, hist = store.read(), read_history(spark, run.history_path)
     stats = {r.ingestion_status: r for r in monitor.load_stats(control, hist).collect()}
     assert set(stats) <= {"LOADED", "PARTIALLY_LOADED", "LOAD_FAILED"}
     assert sum(r.files for r in stats.values()) == hist.count()
@@ -319,3 +319,109 @@ def test_stream_of_parquet_files(spark, tmp_stage):
     got = read_target(spark, f"{tmp_stage}/t", staging.ORDERS_DDL)
     assert got.count() == orders.count() and got.exceptAll(orders).count() == 0
     assert spark.read.parquet(f"{tmp_stage}/h").select("load_id").distinct().count() == 2
+
+
+ODD_DDL = "a int, b string, c double"
+
+
+def _write_in(folder, name, text):
+    os.makedirs(folder, exist_ok=True)
+    data = text if isinstance(text, bytes) else text.encode()
+    with open(f"{folder}/{name}", "wb") as f:
+        f.write(data)
+    return f"{folder}/{name}"
+
+
+def test_odd_names_missing_and_cut_off_files(spark, tmp_stage):
+    d = tmp_stage.removeprefix("file:")
+    cut = gzip.compress(("1,x,1.0\n" * 5000).encode())
+    names = ["x[1].csv", "x1.csv", "a b.csv", "p+q%41.csv", "{s}.csv"]
+    paths = [_write_in(f"{d}/in", n, f"{i},{n},1.0\n{i},only\n") for i, n in enumerate(names)]
+    gz = _write_in(f"{d}/in", "cut.csv.gz", cut[:len(cut) // 2])
+    empty = _write_in(f"{d}/in", "empty.csv", "")
+    tpl = LoadTemplate("ODD", "ODD", ODD_DDL)
+    # Plain, file: and file:/// spellings; all but x1.csv, whose rows must not come in.
+    asked = [paths[0], "file:" + paths[2], "file://" + paths[3], paths[4], gz, empty, f"{d}/in/missing.csv"]
+    hist = {r.file_name: r for r in load_files(spark, asked, tpl, f"{tmp_stage}/t", "2026-12-02T10:00:00").collect()}
+    for p in (asked[0], asked[1], asked[2], asked[3]):
+        assert (hist[p].status, hist[p].row_count, hist[p].error_count) == ("PARTIALLY_LOADED", 1, 1), p
+    assert hist[gz].status == "LOAD_FAILED" and hist[gz].first_error_message
+    assert hist[asked[6]].status == "LOAD_FAILED" and hist[empty].status == "LOADED"
+    got = sorted(r.b for r in read_target(spark, f"{tmp_stage}/t", ODD_DDL).collect())
+    assert got == sorted(n for n in names if n != "x1.csv")
+
+
+def test_target_without_rows(spark, tmp_stage):
+    d = tmp_stage.removeprefix("file:")
+    empty = _write_in(f"{d}/in", "empty.csv", "")
+    tpl = LoadTemplate("ODD", "ODD", ODD_DDL)
+    assert load_files(spark, [empty], tpl, f"{tmp_stage}/t", "E").first().status == "LOADED"
+    assert read_target(spark, f"{tmp_stage}/t", ODD_DDL).count() == 0
+    assert load_files(spark, [f"{d}/none"], tpl, f"{tmp_stage}/t", "F").first().status == "LOAD_FAILED"
+
+
+def test_error_details_of_quoted_lines(spark, tmp_stage):
+    d = tmp_stage.removeprefix("file:")
+    paths = [_write_in(f"{d}/in", "n.csv", '1,"a,b",1.0,extra\n'), _write_in(f"{d}/in", "v.csv", '1,"a,b",oops\n')]
+    rows = {r.file_name[-5:]: r for r in load_files(spark, paths, LoadTemplate("O", "O", ODD_DDL), f"{tmp_stage}/t", "Q").collect()}
+    assert "(4)" in rows["n.csv"].first_error_message
+    assert rows["v.csv"].first_error_character_position == 9 and rows["v.csv"].first_error_col_name == "C"
+
+
+def test_landing_needs_no_sort(spark, tmp_stage):
+    from stagecraft.sources import loader
+    tpl = LoadTemplate("O", "O", ODD_DDL)
+    d = tmp_stage.removeprefix("file:")
+    load_files(spark, [_write_in(f"{d}/in", "n.csv", "1,b,1.0\n")], tpl, f"{tmp_stage}/t", "Q")
+    assert spark.conf.get("spark.sql.maxConcurrentOutputFileWriters") == loader.OPEN_WRITERS
+
+
+def _ingest_store(spark, d, tmp_stage, n=6):
+    paths = [_write_in(f"{d}/in", f"f{i}.csv", f"{i},r{i},1.0\n") for i in range(n)]
+    rows = [("file:" + p, "ODD", dt.datetime(2000, 1, 1 + i), "WAITING", None, None, 0, None, None, 10, None)
+            for i, p in enumerate(paths)]
+    store = ManifestStore.create(spark, f"{tmp_stage}/m", spark.createDataFrame(rows, control_schema()))
+    from stagecraft.sources.tables import templates_table
+    templates = templates_table(spark, [{"statement_name": "ODD", "schema_ddl": ODD_DDL, "effective": dt.datetime(1990, 1, 1)}])
+    return store, templates
+
+
+def test_kill_switch_stops_a_running_job(spark, tmp_stage):
+    from stagecraft.operators import transitions
+    d = tmp_stage.removeprefix("file:")
+    store, templates = _ingest_store(spark, d, tmp_stage)
+    ticks = []
+
+    def clock():
+        ticks.append(1)
+        if len(ticks) == 4:  # after the first wave's record time: another session suspends
+            ManifestStore.open(spark, f"{tmp_stage}/m").update(transitions.suspend)
+        return dt.datetime(2020, 1, 1)
+    kw = dict(target_root=f"{tmp_stage}/t", history_path=f"{tmp_stage}/h", files_at_once=2, wave_files=2)
+    run = file_ingest(spark, store, templates, clock=clock, run_id="r:1", **kw)
+    status = [r.ingestion_status for r in ManifestStore.open(spark, f"{tmp_stage}/m").read().collect()]
+    assert sorted(status) == ["LOADED"] * status.count("LOADED") + ["SUSPENDED"] * status.count("SUSPENDED")
+    assert 0 < status.count("LOADED") < 6 and run.summary.files_processed == status.count("LOADED")
+    store.update(transitions.resume)
+    file_ingest(spark, store, templates, run_id="r2", **kw)
+    got = read_target(spark, f"{tmp_stage}/t/ODD", ODD_DDL, read_history(spark, f"{tmp_stage}/h"))
+    assert sorted(r.a for r in got.collect()) == list(range(6))
+
+
+def test_rerun_after_a_failure_loads_each_row_once(spark, tmp_stage, monkeypatch):
+    from stagecraft.operators import transitions
+    from stagecraft.plans import ingest
+    d = tmp_stage.removeprefix("file:")
+    store, templates = _ingest_store(spark, d, tmp_stage, 4)
+    kw = dict(target_root=f"{tmp_stage}/t", history_path=f"{tmp_stage}/h", files_at_once=2, wave_files=2)
+    reset = lambda c: transitions.reset_stuck(c, F.lit(dt.datetime(2030, 1, 1)).cast("timestamp_ntz"))
+    for broken in ("write_history", "load_results"):  # before and after the commit of a wave's loads
+        with monkeypatch.context() as m:
+            m.setattr(ingest, broken, lambda *a: (_ for _ in ()).throw(RuntimeError("lost")))
+            run = file_ingest(spark, store, templates, run_id=f"bad-{broken}", **kw)
+            assert run.summary.termination_reason == "ERROR: lost"
+        store.update(reset)
+    file_ingest(spark, store, templates, run_id="good", **kw)
+    assert {r.ingestion_status for r in store.refresh().read().collect()} == {"LOADED"}
+    got = read_target(spark, f"{tmp_stage}/t/ODD", ODD_DDL, read_history(spark, f"{tmp_stage}/h"))
+    assert sorted(r.a for r in got.collect()) == [0, 1, 2, 3]

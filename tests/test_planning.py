@@ -31,11 +31,11 @@ def test_number_within_equals_row_number(spark):
     rng = random.Random(7)
     rows = [(rng.choice(["hot"] * 8 + ["a", "b", None]), rng.randint(0, 50), i) for i in range(3000)]
     df = spark.createDataFrame(rows, "g string, o int, k int").repartition(5)
-    ours = number_within(df, ["g"], [F.col("o").asc(), F.col("k").asc()], "rn", single_task_rows=0)
+    ours = number_within(df, ["g"], [F.col("o").asc(), F.col("k").asc()], "rn")
     w = Window.partitionBy("g").orderBy("o", "k")
     ref = df.withColumn("rn", F.row_number().over(w))
     assert sorted(map(repr, ours.collect())) == sorted(map(repr, ref.collect()))
-    glob = number_within(df, [], [F.col("o").desc(), F.col("k").asc()], "rn", single_task_rows=0)
+    glob = number_within(df, [], [F.col("o").desc(), F.col("k").asc()], "rn")
     ref2 = df.withColumn("rn", F.row_number().over(Window.orderBy(F.col("o").desc(), "k")))
     assert sorted(map(repr, glob.collect())) == sorted(map(repr, ref2.collect()))
 
@@ -72,12 +72,9 @@ def test_plan_equals_repeated_claims(spark):
         n = rng.choice([1, 3, 8])
         order = rng.choice(["ASC", "DESC"])
         expected = _loop(rows, 3, n, order)
-        # both numbering strategies: plain window and the skew-safe form
-        for single in (None, 0):
-            plan = batches.plan_batches(_manifest(spark, rows), tries=3, files_at_once=n, sort_order=order,
-                                        single_task_rows=single)
-            got = {r.file_path: r.batch_no for r in plan.collect()}
-            assert got == expected, (case, n, order, single)
+        plan = batches.plan_batches(_manifest(spark, rows), tries=3, files_at_once=n, sort_order=order)
+        got = {r.file_path: r.batch_no for r in plan.collect()}
+        assert got == expected, (case, n, order)
 
 
 def test_claim_next_is_first_planned_batch(spark):
@@ -150,12 +147,12 @@ def test_state_transitions_keep_files(spark):
         assert df.count() == m.count() and df.columns == CONTROL_COLUMNS
 
 
-def test_number_within_nulls_desc_and_few_groups(spark):
+def test_number_within_nulls_and_desc(spark):
     rng = random.Random(9)
     rows = [(rng.choice(["t1"] * 6 + ["t2", None]), None if rng.random() < 0.1 else rng.randint(0, 20), i)
             for i in range(2000)]
     df = spark.createDataFrame(rows, "g string, o int, k int").repartition(7)
     order = [F.col("o").desc_nulls_last(), F.col("k").asc()]
-    ours = number_within(df, ["g"], order, "rn", few_groups=True, single_task_rows=0)
+    ours = number_within(df, ["g"], order, "rn")
     ref = df.withColumn("rn", F.row_number().over(Window.partitionBy("g").orderBy(*order)))
     assert sorted(map(repr, ours.collect())) == sorted(map(repr, ref.collect()))

@@ -25,7 +25,7 @@ def _plan(df, mode="formatted") -> str:
 def test_skew_safe_numbering_range_partitions(spark):
     rng = random.Random(1)
     df = spark.createDataFrame([("hot" if rng.random() < 0.9 else "x", i) for i in range(500)], "g string, k int")
-    out = number_within(df, ["g"], [F.col("k").asc()], "rn", single_task_rows=0)
+    out = number_within(df, ["g"], [F.col("k").asc()], "rn")
     plan = _plan(out, "simple")
     # The rows (big side) are scanned from the numbered folder straight into a
     # broadcast join: no exchange on the group between the scan and the join.
