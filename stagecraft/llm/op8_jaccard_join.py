@@ -140,32 +140,37 @@ def _runs(batches, key: list[str]):
         yield held, np.array([0, len(held)])
 
 
-class _Forest:
-    def __init__(self, n: int):
-        self.up = list(range(n))
-
-    def root(self, i: int) -> int:
-        while self.up[i] != i:
-            self.up[i] = self.up[self.up[i]]
-            i = self.up[i]
-        return i
-
-    def join(self, i: int, j: int) -> bool:
-        a, b = self.root(i), self.root(j)
-        self.up[max(a, b)] = min(a, b)
-        return a != b
-
-
-def _forest_edges(pairs: np.ndarray, n: int) -> list[tuple[int, int]]:
-    forest = _Forest(n)
-    return [(i, j) for i, j in pairs.tolist() if forest.join(i, j)]
+def _labels(close: np.ndarray) -> np.ndarray:
+    """Least member of each row's component under a symmetric matrix."""
+    n = len(close)
+    label = np.arange(n)
+    reach = close | np.eye(n, dtype=bool)
+    while True:
+        near = np.where(reach, label[None, :], n).min(1)
+        near = near[near]
+        if (near == label).all():
+            return label
+        label = near
+
+
+def _forest(close: np.ndarray, left: np.ndarray, same: bool) -> np.ndarray:
+    """Edges (i, j) that connect what ``close`` connects in a unit.
+
+    Between two blocks, what is connected within either block (that block's
+    own unit says so) is not said again: a dense group of m texts has about m
+    edges, not one for each pair of blocks and text.
+    """
+    whole = _labels(close)
+    part = np.arange(len(close)) if same else _labels(close & (left[:, None] == left[None, :]))
+    own = np.flatnonzero(part == np.arange(len(close)))
+    own = own[whole[own] != own]
+    return np.stack([own, whole[own]], 1)
 
 
-def _cross(left: np.ndarray, same: bool, close: np.ndarray) -> np.ndarray:
-    """Pairs of a unit that ``close`` (a square matrix) admits: within the block, or between the two blocks."""
+def _allowed(left: np.ndarray, same: bool) -> np.ndarray:
+    """Pairs that a unit answers for: all of its one block, or those between its two blocks, each once."""
     n = len(left)
-    allowed = np.triu(np.ones((n, n), bool), 1) if same else left[:, None] & ~left[None, :]
-    return np.argwhere(close & allowed)
+    return np.triu(np.ones((n, n), bool), 1) if same else left[:, None] & ~left[None, :]
 
 
 def candidate_forest(reps: DataFrame) -> DataFrame:
@@ -191,8 +196,7 @@ def candidate_forest(reps: DataFrame) -> DataFrame:
                 close = np.empty((hi - lo, hi - lo), bool)
                 for i in range(hi - lo):
                     close[i] = (x == x[i]).mean(1) >= THRESHOLD - MARGIN
-                for i, j in _forest_edges(_cross(left[lo:hi], p[lo] == q[lo], close), hi - lo):
-                    out.append((ids[lo + i], ids[lo + j]))
+                out += [(ids[lo + i], ids[lo + j]) for i, j in _forest(close, left[lo:hi], p[lo] == q[lo])]
             a, b = zip(*out) if out else ((), ())
             yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
 
@@ -228,14 +232,12 @@ def verified(docs: DataFrame, groups: DataFrame) -> DataFrame:
             for lo, hi in zip(cuts.tolist(), ends.tolist()):
                 if hi - lo < 2:
                     continue
-                close = similar(grams[lo:hi], THRESHOLD)
+                close = similar(grams[lo:hi], THRESHOLD) & (ids[lo:hi][:, None] != ids[lo:hi][None, :])
                 side, same = left[lo:hi], p[lo] == q[lo]
-                pairs = _cross(side, same, close & (ids[lo:hi][:, None] != ids[lo:hi][None, :]))
-                n = np.zeros(hi - lo, np.int64)
-                np.add.at(n, pairs[:, 0], copies[lo + pairs[:, 1]])
-                np.add.at(n, pairs[:, 1], copies[lo + pairs[:, 0]])
+                pairs = close & _allowed(side, same)
+                n = pairs @ copies[lo:hi] + copies[lo:hi] @ pairs
                 some = np.flatnonzero(n)
-                forest = _forest_edges(pairs, hi - lo)
+                forest = _forest(close, side, same).tolist()
                 a += [*ids[lo + some].tolist(), *(int(ids[lo + i]) for i, _ in forest)]
                 b += [*[None] * len(some), *(int(ids[lo + j]) for _, j in forest)]
                 links += [*n[some].tolist(), *[None] * len(forest)]
