@@ -8,6 +8,7 @@ the seeding rule of ``staging``.
 
 from __future__ import annotations
 
+import datetime as dt
 from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import Column, functions as F
@@ -15,11 +16,12 @@ from pyspark.sql import Column, functions as F
 from . import fixtures as fx
 from . import staging
 from .operators.manifest import build_manifest, listing_from_stage
+from .operators.transitions import reset_stuck, resume, suspend
 from .plans.ingest import file_ingest
-from .session import work_dir
-from .sources.loader import LoadTemplate, load_results, load_stage, read_history, read_target
+from .session import work_dir, write_prefix
+from .sources.loader import LoadTemplate, load_files, load_results, load_stage, read_history, read_target
 from .sources.stage import list_stage, unload
-from .sources.tables import ManifestStore
+from .sources.tables import ManifestStore, clone_schema, empty_manifest, templates_table
 from .streaming.ingest import start_stream_ingest
 
 
@@ -66,28 +68,39 @@ select stage_dir, cast(1 as bigint) as files, cast(0 as bigint) as empty_files f
 _ORDER_COLS = "o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderdate, o_orderpriority"
 
 
-def _load_route(spark, sf, route):
-    root, stage = _stage(spark, sf, (route,))
-    tpl = _template(spark, route)
-    target = f"{root}/target/{tpl.target}"
-    load_stage(spark, f"{stage}/{route}", tpl, target, f"q-{route}")  # lands the rows eagerly
-    return read_target(spark, target, tpl.schema_ddl)
+# Template by staged directory: a route without its own template is loaded by that of its format.
+_TEMPLATE_OF = {"ORDERS": "ORDERS", "OTHER": "ORDERS", "JORDERS": "JORDERS", "ALLJSON": "JORDERS", "LINEITEM": "LINEITEM"}
+
+
+def _load_routes(spark, sf, routes):
+    """Stage the directories, load each with its template, and read the rows of all targets."""
+    root, stage = _stage(spark, sf, routes)
+    out = None
+    for route in routes:
+        tpl = _template(spark, _TEMPLATE_OF[route])
+        target = f"{root}/target/{route}"
+        load_stage(spark, f"{stage}/{route}", tpl, target, f"q-{route}")  # lands the rows eagerly
+        rows = read_target(spark, target, tpl.schema_ddl)
+        out = rows if out is None else out.unionByName(rows)
+    return out
 
 
 def q_load_files(spark, sf):
-    return _load_route(spark, sf, "ORDERS")
+    """All orders: CSV and JSON files, as the routes say."""
+    return _load_routes(spark, sf, ("ORDERS", "JORDERS", "OTHER"))
 
 
 O_LOAD_FILES = f"""
-select {_ORDER_COLS} from orders where o_orderpriority in ('1-URGENT', '5-LOW') and o_orderstatus <> 'P'
+select {_ORDER_COLS} from orders
+where not (o_orderstatus = 'P' and o_orderpriority in ('1-URGENT', '5-LOW', '2-HIGH'))
 """
 
 
 def q_load_json_files(spark, sf):
-    return _load_route(spark, sf, "JORDERS")
+    return _load_routes(spark, sf, ("ALLJSON",))
 
 
-O_LOAD_JSON_FILES = f"select {_ORDER_COLS} from orders where o_orderpriority = '2-HIGH' and o_orderstatus <> 'P'"
+O_LOAD_JSON_FILES = f"select {_ORDER_COLS} from orders where o_orderstatus <> 'P'"
 
 # ---------------------------------------------------------------- O04 / O05 results and history
 
@@ -96,8 +109,8 @@ def _history(spark, sf, routes):
     root, stage = _stage(spark, sf, tuple(routes))
 
     def load(route):
-        tpl = _template(spark, route)
-        return load_stage(spark, f"{stage}/{route}", tpl, f"{root}/target/{tpl.target}", f"q-{route}")
+        tpl = _template(spark, _TEMPLATE_OF[route])
+        return load_stage(spark, f"{stage}/{route}", tpl, f"{root}/target/{route}", f"q-{route}")
 
     # Different targets: the loads run side by side.
     with ThreadPoolExecutor(max_workers=len(routes)) as pool:
@@ -109,7 +122,7 @@ def _history(spark, sf, routes):
 
 
 def q_load_results(spark, sf):
-    res = load_results(_history(spark, sf, ["ORDERS", "JORDERS"]))
+    res = load_results(_history(spark, sf, ["ORDERS", "JORDERS", "OTHER", "LINEITEM"]))
     return res.select(_dir_key("file").alias("stage_dir"), "status", "first_error")
 
 
@@ -131,6 +144,10 @@ rows_ as (
          'Invalid JSON record', cast(null as varchar), cast(null as bigint)
   from orders where o_orderpriority = '2-HIGH'
   union all
+  select 'OTHER', 'TPCH/OTHER/month=' || {_D_MONTH_O}, o_orderkey, false,
+         cast(null as varchar), cast(null as varchar), cast(null as bigint)
+  from orders where o_orderpriority in ('3-MEDIUM', '4-NOT SPECIFIED')
+  union all
   select 'LINEITEM', 'TPCH/LINEITEM/month=' || {_D_MONTH_L}, l_orderkey * 8 + l_linenumber, false,
          cast(null as varchar), cast(null as varchar), cast(null as bigint)
   from lineitem),
@@ -153,12 +170,12 @@ history as (
 """
 
 O_LOAD_RESULTS = "with " + _D_FILE_ROWS + """
-select stage_dir, status, first_error_message as first_error from history where target in ('ORDERS', 'JORDERS')
+select stage_dir, status, first_error_message as first_error from history
 """
 
 
 def q_load_history(spark, sf):
-    hist = _history(spark, sf, ["ORDERS", "JORDERS", "LINEITEM"])
+    hist = _history(spark, sf, ["ORDERS", "JORDERS", "OTHER", "LINEITEM"])
     return hist.select(_dir_key("file_name").alias("stage_dir"), "status", "row_count", "row_parsed",
                        "first_error_message", "first_error_line_number", "first_error_character_position",
                        "first_error_col_name", "error_count")
@@ -234,7 +251,7 @@ O_INGEST_JOB = "with " + _D_FILE_ROWS + f"""
 select target as copy_into_name, status as ingestion_status, count(*) as files,
        cast(sum(row_parsed) as bigint) as row_parsed, cast(sum(row_count) as bigint) as row_count,
        cast(sum(error_count) as bigint) as error_count
-from history group by target, status
+from history where target <> 'OTHER' group by target, status
 union all
 select null, 'WAITING', count(distinct {_D_MONTH_O}), null, null, null
 from orders where o_orderpriority in ('3-MEDIUM', '4-NOT SPECIFIED')
@@ -250,7 +267,136 @@ def q_ingest_summary(spark, sf):
 O_INGEST_SUMMARY = "with " + _D_FILE_ROWS + """
 select cast(null as varchar) as Parameter_Error, cast(null as varchar) as Duplicate_Files_Error,
        'Processed_All_Waiting_Files' as Termination_Reason, count(*) as Files_Processed
-from history
+from history where target <> 'OTHER'
+"""
+
+# ---------------------------------------------------------------- O03/O04 odd names, missing and cut-off files
+
+
+def q_load_edge_paths(spark, sf):
+    """All orders in files whose names hold reader patterns and escapes, one that is
+    missing and one cut off, under a load id with colons: rows loaded per outcome."""
+    root = work_dir(spark, "edge")
+    orders = fx.base_table(spark, sf, "orders")
+    names = F.array(*[F.lit(n) for n in ("x[1]", "x1", "a b", "p+q", "100%41", "{s}", "w*", "q?")])
+    folder = F.element_at(names, (F.col("o_orderkey") % 8 + 1).cast("int")).alias("name")
+    (orders.select(staging.orders_csv_line(bad=False).alias("value"), folder)
+     .write.partitionBy("name").text(f"{root}/in"))
+    # A gzip file without its end: the first half of a whole one, written as bytes.
+    orders.select(staging.orders_csv_line(bad=False).alias("value")).coalesce(1).write.text(f"{root}/gz", compression="gzip")
+    whole = list_stage(spark, f"{root}/gz").where("path like '%.gz'").first()["path"]
+    cut = f"{root}/in/cut.csv.gz"
+    write_prefix(spark, whole, cut)
+    paths = [r["path"] for r in list_stage(spark, f"{root}/in").where("path not like '%.gz'").select("path").collect()]
+    tpl = staging.template("ORDERS")
+    hist = load_files(spark, [*paths, cut, f"{root}/in/missing.csv"], tpl, f"{root}/t", "2026-12-02T10:00:00")
+    landed = read_target(spark, f"{root}/t", tpl.schema_ddl).agg(F.count(F.lit(1)).alias("rows_landed"), F.sum("o_orderkey").alias("key_sum"))
+    return (hist.groupBy("status").agg(F.sum("row_count").cast("long").alias("row_count"),
+                                       F.sum("error_count").cast("long").alias("error_count"),
+                                       F.max(F.col("first_error_message").isNotNull()).alias("has_error"))
+            .crossJoin(F.broadcast(landed)))  # one row
+
+
+O_LOAD_EDGE_PATHS = """
+select 'LOADED' as status, count(*) as row_count, cast(0 as bigint) as error_count, false as has_error,
+       count(*) as rows_landed, cast(sum(o_orderkey) as bigint) as key_sum from orders
+union all
+select 'LOAD_FAILED', cast(0 as bigint), cast(0 as bigint), true, count(*), cast(sum(o_orderkey) as bigint) from orders
+"""
+
+# ---------------------------------------------------------------- O35/O51 rerun after a failure, O33/O34 in a run
+
+
+def _ingest_setup(spark, sf):
+    root, stage = _stage(spark, sf, ("ORDERS", "JORDERS", "LINEITEM"))
+    control = build_manifest(listing_from_stage(list_stage(spark, stage)), staging.STAGE_ROUTES)
+    store = ManifestStore.create(spark, f"{root}/manifest", control)
+    args = dict(target_root=f"{root}/target", history_path=f"{root}/history", files_to_process=1_000_000,
+                files_at_once=50, tries=3, owner_session=1)
+    return root, store, args
+
+
+def _target_rows(spark, root):
+    """Committed rows and a checksum of every target."""
+    hist = read_history(spark, f"{root}/history")
+    out = None
+    for name, key in (("ORDERS", "o_orderkey"), ("JORDERS", "o_orderkey"), ("LINEITEM", "l_orderkey")):
+        rows = (read_target(spark, f"{root}/target/{name}", staging.template(name).schema_ddl, hist)
+                .agg(F.lit(name).alias("target"), F.count(F.lit(1)).alias("n_rows"), F.sum(key).alias("key_sum")))
+        out = rows if out is None else out.unionByName(rows)
+    return out
+
+
+_O_TARGET_ROWS = """
+select 'ORDERS' as target, count(*) as n_rows, cast(sum(o_orderkey) as bigint) as key_sum from orders
+ where o_orderpriority in ('1-URGENT', '5-LOW') and o_orderstatus <> 'P'
+union all
+select 'JORDERS', count(*), cast(sum(o_orderkey) as bigint) from orders where o_orderpriority = '2-HIGH' and o_orderstatus <> 'P'
+union all
+select 'LINEITEM', count(*), cast(sum(l_orderkey) as bigint) from lineitem
+"""
+
+
+def q_ingest_rerun(spark, sf):
+    """A run fails after one template has landed; its files are reset and a second
+    run loads everything: every source row once."""
+    root, store, args = _ingest_setup(spark, sf)
+    broken = staging.template_rows()
+    for row in broken:
+        if row["statement_name"] == "LINEITEM":
+            row["schema_ddl"] = "l_orderkey not_a_type"
+    file_ingest(spark, store, templates_table(spark, broken), run_id="first", wave_files=100_000, **args)
+    later = F.lit("2100-01-01").cast("timestamp_ntz")
+    store.update(lambda control: reset_stuck(control, later))
+    file_ingest(spark, store, staging.load_templates(spark), run_id="second", wave_files=100_000, **args)
+    return _target_rows(spark, root)
+
+
+def q_ingest_suspend_resume(spark, sf):
+    """Another session suspends the files while a run is loading; after resume a
+    second run loads the rest: every source row once."""
+    root, store, args = _ingest_setup(spark, sf)
+    ticks = []
+
+    def clock():
+        ticks.append(1)
+        if len(ticks) == 3:  # the first wave has landed
+            ManifestStore.open(spark, store.root).update(suspend)
+        return dt.datetime(2100, 1, 1)
+
+    first = file_ingest(spark, store, staging.load_templates(spark), run_id="first", wave_files=100, clock=clock, **args)
+    store.update(resume)
+    second = file_ingest(spark, store, staging.load_templates(spark), run_id="second", wave_files=100_000, **args)
+    if not (first.summary.files_processed and second.summary.files_processed):
+        raise RuntimeError("the suspended run should load some files and leave some")
+    return _target_rows(spark, root)
+
+
+# ---------------------------------------------------------------- O07 / O08 / O09
+
+
+def q_clone_load(spark, sf):
+    """Load all staged orders into an empty clone of the orders table."""
+    orders = fx.base_table(spark, sf, "orders")
+    return clone_schema(spark, orders).unionByName(_load_routes(spark, sf, ("ORDERS", "JORDERS", "OTHER")))
+
+
+def q_reset_manifest(spark, sf):
+    """A manifest emptied and built again from a listing: files per route."""
+    root, store, _ = _ingest_setup(spark, sf)
+    listed = store.read()
+    store.replace(empty_manifest(spark, listed.schema["ingestion_order"].dataType))
+    if not store.read().isEmpty():
+        raise RuntimeError("a reset manifest has no files")
+    store.replace(listed)
+    return ManifestStore.open(spark, store.root).read().groupBy("copy_into_name").agg(F.count(F.lit(1)).alias("files"))
+
+
+O_RESET_MANIFEST = f"""
+select case when o_orderpriority = '2-HIGH' then 'JORDERS' else 'ORDERS' end as copy_into_name,
+       count(distinct {_D_MONTH_O}) as files from orders where o_orderpriority in ('1-URGENT', '5-LOW', '2-HIGH') group by 1
+union all
+select 'LINEITEM', count(distinct {_D_MONTH_L}) from lineitem
 """
 
 # ---------------------------------------------------------------- O50 stream
@@ -279,6 +425,11 @@ QUERIES = {
     "load_json_files": q_load_json_files,
     "load_results": q_load_results,
     "load_history": q_load_history,
+    "load_edge_paths": q_load_edge_paths,
+    "ingest_rerun": q_ingest_rerun,
+    "ingest_suspend_resume": q_ingest_suspend_resume,
+    "clone_load": q_clone_load,
+    "reset_manifest": q_reset_manifest,
     "unload_roundtrip": q_unload_roundtrip,
     "lineitem_roundtrip": q_lineitem_roundtrip,
     "ingest_job": q_ingest_job,
@@ -292,6 +443,11 @@ ORACLES = {
     "load_json_files": O_LOAD_JSON_FILES,
     "load_results": O_LOAD_RESULTS,
     "load_history": O_LOAD_HISTORY,
+    "load_edge_paths": O_LOAD_EDGE_PATHS,
+    "ingest_rerun": _O_TARGET_ROWS,
+    "ingest_suspend_resume": _O_TARGET_ROWS,
+    "clone_load": O_LOAD_FILES,
+    "reset_manifest": O_RESET_MANIFEST,
     "unload_roundtrip": O_UNLOAD_ROUNDTRIP,
     "lineitem_roundtrip": O_LINEITEM_ROUNDTRIP,
     "ingest_job": O_INGEST_JOB,

@@ -94,6 +94,17 @@ def remove_path(spark: SparkSession, path: str) -> None:
     fs.delete(jpath, True)
 
 
+def write_prefix(spark: SparkSession, source: str, target: str, share: float = 0.5) -> None:
+    """Copy the first part of a file: staged input that is cut off."""
+    jpath, fs = hadoop_path(spark, source)
+    out_path, out_fs = hadoop_path(spark, target)
+    size = int(fs.getFileStatus(jpath).getLen() * share)
+    reader, writer = fs.open(jpath), out_fs.create(out_path)
+    spark._jvm.org.apache.commons.io.IOUtils.copyLarge(reader, writer, 0, size)
+    reader.close()
+    writer.close()
+
+
 def default_file_system(spark: SparkSession) -> str:
     """Prefix of paths that name no file system, such as ``file://``."""
     return spark._jsparkSession.sessionState().newHadoopConf().get("fs.defaultFS", "file:///").rstrip("/")

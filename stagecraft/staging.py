@@ -7,6 +7,7 @@ Layout below ``root``:
     TPCH/JORDERS/month=YYYY-MM/part-*.json   orders with priority 2-HIGH, JSON lines
     TPCH/LINEITEM/month=YYYY-MM/part-*.csv   all of lineitem
     TPCH/OTHER/month=YYYY-MM/part-*.csv      other orders (no route matches)
+    TPCH/ALLJSON/month=YYYY-MM/part-*.json   all orders as JSON lines (on demand)
 
 Each month directory holds exactly one file with its lines sorted by key,
 so per-file results are reproducible. (No empty file is staged: Spark's
@@ -128,6 +129,8 @@ def stage_tables(spark: SparkSession, sf_dir: str, root: str,
     if "OTHER" in routes:
         other = orders.where(F.col("o_orderpriority").isin("3-MEDIUM", "4-NOT SPECIFIED"))
         jobs["OTHER"] = other.select(orders_csv_line(bad=False).alias("value"), month, key)
+    if "ALLJSON" in routes:
+        jobs["ALLJSON"] = orders.select(orders_json_line().alias("value"), month, key)
     if "LINEITEM" in routes:
         lineitem = fx.base_table(spark, sf_dir, "lineitem")
         li_key = F.col("l_orderkey") * 8 + F.col("l_linenumber")
