@@ -301,3 +301,32 @@ def one_of_each(docs: DataFrame) -> DataFrame:
     once = docs.join(again, "doc_id", "left_semi").join(gone, "doc_id", "left_anti").dropDuplicates(["doc_id", "text"])
     rest = docs.join(gone.union(again), "doc_id", "left_anti")
     return rest.select(*docs.columns).unionByName(once.select(*docs.columns))
+
+
+#: The same result by brute force over all shared n-grams, for DuckDB.
+ORACLE = r"""
+with recursive words as (
+  select doc_id, list_filter(regexp_split_to_array(coalesce(text, ''), '[ \t\n\r\f\v]+'), lambda x: x <> '') as w from documents),
+grams as (
+  select doc_id, list_sort(list_distinct(case
+    when len(w) = 0 then []
+    when len(w) < 5 then [array_to_string(w, ' ')]
+    else list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' ')) end)) as g from words),
+classes as (select g, min(doc_id) as copy_id, count(*) as copies from grams where len(g) > 0 group by g),
+singles as (select copy_id as id, len(g) as n, unnest(g) as s from classes),
+shared as (select a.id as a, b.id as b, count(*) as n_both, any_value(a.n) as na, any_value(b.n) as nb
+           from singles a join singles b on a.s = b.s and a.id < b.id group by 1, 2),
+links as (select a, b from shared where 5 * n_both >= 4 * (na + nb - n_both)),
+sides as (select a as id, b as other from links union all select b, a from links),
+reach as (select id, id as root from (select distinct id from sides)
+          union select s.other, r.root from reach r join sides s on s.id = r.id),
+roots as (select id, min(root) as class_id from reach group by id),
+counted as (select s.id, sum(c.copies) as links from sides s join classes c on c.copy_id = s.other group by s.id),
+member as (
+  select g.doc_id, c.copy_id, coalesce(r.class_id, c.copy_id) as class_id,
+         cast(coalesce(k.links, 0) + c.copies - 1 as bigint) as n_links
+  from grams g join classes c on c.g = g.g left join roots r on r.id = c.copy_id left join counted k on k.id = c.copy_id)
+select doc_id, class_id, copy_id, n_links from member
+union all
+select doc_id, doc_id, doc_id, cast(0 as bigint) from grams where len(g) = 0
+"""

@@ -70,4 +70,4 @@ QUERIES = {
 }
 
 #: DuckDB SQL for the queries that SQL can express; the others have brute-force tests.
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {"op8_jaccard_join": op8_jaccard_join.ORACLE}
