@@ -344,11 +344,17 @@ OPEN_WRITERS = "16"
 
 
 def _write_landing(df: DataFrame, target_path: str) -> None:
-    conf = df.sparkSession.conf
-    if conf.get("spark.sql.maxConcurrentOutputFileWriters", "0") == "0":
-        conf.set("spark.sql.maxConcurrentOutputFileWriters", OPEN_WRITERS)
-    (df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-     .partitionBy("_load_id", "_kind").parquet(target_path))
+    """Write a load's lines; the session's writer setting is put back afterwards."""
+    conf, name = df.sparkSession.conf, "spark.sql.maxConcurrentOutputFileWriters"
+    own = conf.get(name, "0") == "0"
+    if own:
+        conf.set(name, OPEN_WRITERS)
+    try:
+        (df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+         .partitionBy("_load_id", "_kind").parquet(target_path))
+    finally:
+        if own:
+            conf.unset(name)
 
 
 def landing_schema(schema: T.StructType) -> T.StructType:

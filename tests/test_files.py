@@ -368,12 +368,12 @@ def test_error_details_of_quoted_lines(spark, tmp_stage):
     assert rows["v.csv"].first_error_character_position == 9 and rows["v.csv"].first_error_col_name == "C"
 
 
-def test_landing_needs_no_sort(spark, tmp_stage):
-    from stagecraft.sources import loader
+def test_landing_puts_the_writer_setting_back(spark, tmp_stage):
     tpl = LoadTemplate("O", "O", ODD_DDL)
     d = tmp_stage.removeprefix("file:")
+    before = spark.conf.get("spark.sql.maxConcurrentOutputFileWriters")
     load_files(spark, [_write_in(f"{d}/in", "n.csv", "1,b,1.0\n")], tpl, f"{tmp_stage}/t", "Q")
-    assert spark.conf.get("spark.sql.maxConcurrentOutputFileWriters") == loader.OPEN_WRITERS
+    assert spark.conf.get("spark.sql.maxConcurrentOutputFileWriters") == before
 
 
 def _ingest_store(spark, d, tmp_stage, n=6):
