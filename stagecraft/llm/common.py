@@ -44,7 +44,8 @@ def text_slices(batches: Iterable[pa.RecordBatch], limit: int = SLICE_BYTES) ->
             yield part.column(0).to_pylist(), part.column(1).to_pylist()
 
 
-def per_text(docs: DataFrame, schema: str, make: Callable[[], Callable[[list, list[str]], list]]) -> DataFrame:
+def per_text(docs: DataFrame, schema: str, make: Callable[[], Callable[[list, list[str]], list]],
+             limit: int = SLICE_BYTES) -> DataFrame:
     """Apply ``make()(ids, texts) -> columns`` to slices of ``doc_id`` and ``text``.
 
     ``make`` runs once per task, so tables and caches are set up on the executor.
@@ -56,7 +57,7 @@ def per_text(docs: DataFrame, schema: str, make: Callable[[], Callable[[list, li
 
     def run(batches):
         step = make()
-        for ids, texts in text_slices(batches):
+        for ids, texts in text_slices(batches, limit):
             columns = step(ids, texts)
             yield pa.RecordBatch.from_arrays(
                 [pa.array(c, type=f.type) for c, f in zip(columns, target)], schema=target)

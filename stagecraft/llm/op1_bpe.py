@@ -29,9 +29,10 @@ from pyspark.sql import DataFrame, functions as F
 from .common import per_text
 from .word_bpe import WORD_END, WordBpe, load
 
-#: Chunks that a Python worker keeps (about 300 bytes each with their words).
-CACHE_CHUNKS = 400_000
-CACHE_PAIRS = 2_000_000
+#: Chunks (about 350 bytes each with their words) and pairs of tokens that a Python worker keeps, and bytes of a slice.
+CACHE_CHUNKS = 250_000
+CACHE_PAIRS = 400_000
+SLICE = 4 << 20
 
 
 def sizes_by_ending(tokens: dict[str, int]) -> dict[str, tuple[int, ...]]:
@@ -54,7 +55,7 @@ class TrieEncoder:
         self.made_from = {new: (rank, left, right) for (left, right), (rank, new) in bpe.merges.items()}
         self.pairs: dict[tuple[int, int], bool] = {}
         #: Caches: tokens of words, and ids and decoded strings of chunks.
-        self.words: dict[str, list[int]] = {}
+        self.words: dict[str, bytes] = {}
         self.ids: dict[str, bytes] = {}
         self.strings: dict[str, str] = {}
 
@@ -130,24 +131,32 @@ class TrieEncoder:
         return out
 
     def _add(self, chunks: set[str]) -> None:
-        bpe, ids, strings = self.bpe, self.ids, self.strings
+        bpe, ids, strings, words = self.bpe, self.ids, self.strings, self.words
         split = {c: bpe.words(c) for c in chunks if c not in bpe.specials}
-        made = self.encode_words({w for ws in split.values() for w in ws} - self.words.keys())
-        for w, tokens in made.items():
-            self.words[w] = tokens
+        for w, tokens in self.encode_words({w for ws in split.values() for w in ws} - words.keys()).items():
+            words[w] = struct.pack(f"<{len(tokens)}I", *tokens)
         for c in chunks:
-            tokens = [i for w in split[c] for i in self.words[w]] if c in split else [bpe.specials[c]]
-            ids[c] = struct.pack(f"<{len(tokens)}I", *tokens)
-            strings[c] = " ".join([bpe.strings[i] for i in tokens])
+            if c in split:
+                ws = split[c]
+                made = words[ws[0]] if len(ws) == 1 else b"".join([words[w] for w in ws])
+            else:
+                made = bpe.specials[c].to_bytes(4, "little")
+            ids[c] = made
+            strings[c] = " ".join([bpe.strings[i] for i in struct.unpack(f"<{len(made) // 4}I", made)])
+
+    def _shrink(self, needed: set[str]) -> None:
+        """Of a full cache only what the slice at hand needs stays: that is what is frequent, too."""
+        kept = needed & self.ids.keys()
+        self.ids, self.strings = {c: self.ids[c] for c in kept}, {c: self.strings[c] for c in kept}
+        self.words = {}
 
     def encode(self, texts: list[str]) -> tuple[list[bytes], list[str]]:
         """Ids (little-endian, 4 bytes each) and decoded string of each text."""
         pieces = [self.bpe.pieces(t) for t in texts]
+        needed = set(chain.from_iterable(pieces))
         if len(self.ids) >= CACHE_CHUNKS:
-            self.ids.clear()
-            self.strings.clear()
-            self.words.clear()
-        self._add(set(chain.from_iterable(pieces)) - self.ids.keys())
+            self._shrink(needed)
+        self._add(needed - self.ids.keys())
         ids, strings = self.ids.__getitem__, self.strings.__getitem__
         return [b"".join(map(ids, p)) for p in pieces], [" ".join(map(strings, p)) for p in pieces]
 
@@ -175,7 +184,7 @@ def bpe_encode_decode(docs: DataFrame, tokenizer: str) -> DataFrame:
             return [ids, [len(t) // 4 for t in tokens], tokens, decoded]
         return step
 
-    return per_text(docs, "doc_id long, n_tokens long, ids binary, decoded string", make)
+    return per_text(docs, "doc_id long, n_tokens long, ids binary, decoded string", make, SLICE)
 
 
 def bpe_decode(tokens: DataFrame, tokenizer: str, ids: str = "ids") -> DataFrame:

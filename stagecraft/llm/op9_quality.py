@@ -44,15 +44,18 @@ def trigrams(texts: list[str]):
     framed = [chr(START) * 2 + " ".join(t.split()) + chr(END) for t in texts]
     codes = np.frombuffer("".join(framed).encode("utf-32-le", "surrogatepass"), np.uint32)
     size = np.array([len(f) for f in framed])
-    seen = np.zeros(1 << _BITS, bool)
-    seen[codes] = True
-    letters = np.flatnonzero(seen).astype(np.int64)
-    small = np.zeros(1 << _BITS, np.int64)
+    letters = np.flatnonzero(np.bincount(codes, minlength=1)).astype(np.int64)
+    small = np.zeros(int(letters[-1]) + 1, np.int32)
     small[letters] = np.arange(len(letters))
     k, x = len(letters), small[codes]
-    unit = (x[:-2] * k + x[1:-1]) * k + x[2:]
-    doc = np.repeat(np.arange(len(texts)), size)
+    del codes
+    doc = np.repeat(np.arange(len(texts), dtype=np.int16), size)
     inside = doc[:-2] == doc[2:]
+    unit = x[:-2].astype(np.int64)
+    for next_ in (x[1:-1], x[2:]):
+        unit *= k
+        unit += next_
+    del x
 
     def name(number):
         return (letters[number // (k * k)] << 2 * _BITS) | (letters[number // k % k] << _BITS) | letters[number % k]

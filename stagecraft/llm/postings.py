@@ -1,7 +1,7 @@
 """Block postings: which texts of a block hold a unit, and how often, in few bytes.
 
 A block is what one Python step holds: at most ``BLOCK_DOCS`` texts and about
-``SLICE_BYTES`` of text. For each unit (a word, a character n-gram) of a block
+``BLOCK_BYTES`` of text. For each unit (a word, a character n-gram) of a block
 there is one row with the positions of its texts and the counts there, as
 variable-length integers. So a corpus reaches the join with its model table in
 about a third of its compressed size, a unit that is in every text has one row
@@ -20,9 +20,9 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, functions as F
 
-from .common import SLICE_BYTES
-
+#: Texts, and bytes of text, of a block; a step holds about 30 times these bytes.
 BLOCK_DOCS = 8192
+BLOCK_BYTES = 5 << 20
 SCALE = 1000
 #: Unit of the row that names a block's texts; no unit of a text has it.
 INDEX_TEXT, INDEX_NUMBER = "", -1
@@ -68,7 +68,9 @@ def unzigzag(v: np.ndarray) -> np.ndarray:
 
 def pack_pairs(unit: np.ndarray, doc: np.ndarray) -> tuple[np.ndarray, pa.Array]:
     """Occurrences (unit, text) to the distinct units and, for each, its binary postings."""
-    key = (unit.astype(np.uint64) << np.uint64(13)) | doc.astype(np.uint64)
+    key = unit.astype(np.uint64)
+    key <<= np.uint64(13)
+    key |= doc.astype(np.uint16)
     key.sort()
     first = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]])) if len(key) else np.zeros(0, np.int64)
     count = np.diff(np.concatenate([first, [len(key)]]))
@@ -119,7 +121,7 @@ def blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sizes = np.asarray(pc.fill_null(pc.binary_length(batch.column(1)), 0))
         start = 0
         while start < len(sizes):
-            n = max(1, int(np.searchsorted(np.cumsum(sizes[start:start + BLOCK_DOCS]), SLICE_BYTES, side="right")))
+            n = max(1, int(np.searchsorted(np.cumsum(sizes[start:start + BLOCK_DOCS]), BLOCK_BYTES, side="right")))
             yield batch.slice(start, n)
             start += n
 
