@@ -98,9 +98,12 @@ def q_shorten_paths(spark, sf):
     return paths.select("path", stage_path_shorten("path").alias("stage_path"))
 
 
-O_SHORTEN_PATHS = _with("listing", "history") + f"""
-select path, {_short('path')} as stage_path from (
-  select file_path as path from listing union all select file_name as path from history) p
+# The fixture knows each path's key: it is what was put behind a prefix.
+O_SHORTEN_PATHS = _with("listing", "history") + """
+select file_path as path, short_path as stage_path from listing
+union all
+select 's3://archive/' || l.short_path, l.short_path from listing l
+ where 's3://archive/' || l.short_path in (select file_name from history)
 """
 
 
@@ -154,8 +157,14 @@ def q_nodes_lookup(spark, sf):
 
 
 _D_NAMES = "[" + ", ".join(f"'{n}'" for n in _SIZE_NAMES) + "]"
+# Nodes double from size to size: the number before the X and the letter say which one it is.
+_D_SIZE = "replace(upper(warehouse_size), '-', '')"
+_D_NODES = f"""case when {_D_SIZE} in ('XS', 'XSMALL') then 1 when {_D_SIZE} in ('S', 'SMALL') then 2
+       when {_D_SIZE} in ('M', 'MEDIUM') then 4 when {_D_SIZE} in ('L', 'LARGE') then 8
+       when regexp_matches({_D_SIZE}, '^[2-6]?X(L|LARGE)$')
+       then cast(8 * pow(2, coalesce(try_cast(left({_D_SIZE}, 1) as integer), 1)) as integer) end"""
 O_NODES_LOOKUP = f"""
-select o_orderkey, warehouse_size, {nodes_per_warehouse_sql('warehouse_size')} as nodes from (
+select o_orderkey, warehouse_size, {_D_NODES} as nodes from (
   select o_orderkey,
          case when o_custkey % 2 = 0 then lower({_D_NAMES}[o_orderkey % {len(_SIZE_NAMES)} + 1])
               else {_D_NAMES}[o_orderkey % {len(_SIZE_NAMES)} + 1] end as warehouse_size
