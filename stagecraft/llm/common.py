@@ -2,8 +2,12 @@
 
 from __future__ import annotations
 
+import os
 import re
+import tempfile
+import zipfile
 from collections.abc import Callable, Iterable, Iterator
+from pathlib import Path
 
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -15,7 +19,22 @@ from ..session import shared_root, work_dir
 SLICE_BYTES = 8 << 20
 
 
+def ship(spark: SparkSession) -> None:
+    """Give the Python workers this package: they need not find it in their own path."""
+    context, root = spark.sparkContext, Path(__file__).resolve().parents[1]
+    if getattr(context, "_stagecraft_shipped", False) or not root.is_dir():
+        return
+    handle, name = tempfile.mkstemp(prefix="stagecraft-", suffix=".zip")  # Spark serves it to the executors
+    os.close(handle)
+    with zipfile.ZipFile(name, "w") as z:
+        for f in sorted(root.rglob("*.py")):
+            z.write(f, f.relative_to(root.parent))
+    context.addPyFile(name)
+    context._stagecraft_shipped = True
+
+
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    ship(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
