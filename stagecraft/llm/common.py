@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
 import os
 import re
 import tempfile
@@ -63,11 +65,22 @@ def text_slices(batches: Iterable[pa.RecordBatch], limit: int = SLICE_BYTES) ->
             yield part.column(0).to_pylist(), part.column(1).to_pylist()
 
 
+def give_back() -> None:
+    """Unused memory of the Arrow pool and of the C heap goes back to the system."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # where the C library has it
+    if trim:
+        trim(0)
+
+
 def per_text(docs: DataFrame, schema: str, make: Callable[[], Callable[[list, list[str]], list]],
-             limit: int = SLICE_BYTES) -> DataFrame:
+             limit: int = SLICE_BYTES, close: Callable[[], None] | None = None) -> DataFrame:
     """Apply ``make()(ids, texts) -> columns`` to slices of ``doc_id`` and ``text``.
 
-    ``make`` runs once per task, so tables and caches are set up on the executor.
+    ``make`` runs once per task, so tables and caches are set up on the executor;
+    ``close`` runs at the task's end. Workers serve later stages too, so what a
+    task no longer needs is given back.
     """
     from pyspark.sql.pandas.types import to_arrow_schema
     from pyspark.sql.types import _parse_datatype_string
@@ -76,10 +89,15 @@ def per_text(docs: DataFrame, schema: str, make: Callable[[], Callable[[list, li
 
     def run(batches):
         step = make()
-        for ids, texts in text_slices(batches, limit):
-            columns = step(ids, texts)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(c, type=f.type) for c, f in zip(columns, target)], schema=target)
+        try:
+            for ids, texts in text_slices(batches, limit):
+                columns = step(ids, texts)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(c, type=f.type) for c, f in zip(columns, target)], schema=target)
+        finally:
+            if close:
+                close()
+            give_back()
 
     return id_and_text(docs).mapInArrow(run, schema)
 

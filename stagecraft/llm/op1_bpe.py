@@ -11,8 +11,8 @@ computed once. A word's last symbol carries the word end, which is an edge of
 its own.
 
 The work is map-only: a text needs nothing from other texts, the vocabulary
-file has a fixed size, and no row is shuffled. Words already seen by the
-Python worker come from a cache of bounded size.
+file has a fixed size, and no row is shuffled. Words already seen by the task
+come from a cache of bounded size.
 
 Cases: a null or empty text has no tokens and decodes to ''. Repeated rows
 and ties of ``doc_id`` each give their own row. Other columns are not read.
@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame, functions as F
 from .common import per_text
 from .word_bpe import WORD_END, WordBpe, load
 
-#: Chunks (about 350 bytes each with their words) and pairs of tokens that a Python worker keeps, and bytes of a slice.
+#: Chunks (about 350 bytes each with their words) and pairs of tokens that a task keeps, and bytes of a slice.
 CACHE_CHUNKS = 250_000
 CACHE_PAIRS = 400_000
 SLICE = 4 << 20
@@ -150,6 +150,9 @@ class TrieEncoder:
         self.ids, self.strings = {c: self.ids[c] for c in kept}, {c: self.strings[c] for c in kept}
         self.words = {}
 
+    def forget(self) -> None:
+        self.ids, self.strings, self.words, self.pairs = {}, {}, {}, {}
+
     def encode(self, texts: list[str]) -> tuple[list[bytes], list[str]]:
         """Ids (little-endian, 4 bytes each) and decoded string of each text."""
         pieces = [self.bpe.pieces(t) for t in texts]
@@ -184,7 +187,8 @@ def bpe_encode_decode(docs: DataFrame, tokenizer: str) -> DataFrame:
             return [ids, [len(t) // 4 for t in tokens], tokens, decoded]
         return step
 
-    return per_text(docs, "doc_id long, n_tokens long, ids binary, decoded string", make, SLICE)
+    return per_text(docs, "doc_id long, n_tokens long, ids binary, decoded string", make, SLICE,
+                    lambda: encoder(tokenizer).forget())
 
 
 def bpe_decode(tokens: DataFrame, tokenizer: str, ids: str = "ids") -> DataFrame:

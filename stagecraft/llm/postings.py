@@ -20,6 +20,8 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, functions as F
 
+from .common import give_back
+
 #: Texts, and bytes of text, of a block; a step holds about 30 times these bytes.
 BLOCK_DOCS = 8192
 BLOCK_BYTES = 5 << 20
@@ -156,6 +158,8 @@ def block_postings(docs: DataFrame, unit_type: str, units: Callable[[list[str]],
                  pa.array([batch.column(0).to_pylist()], type=pa.list_(pa.int64())),
                  pa.array([batch.column(2).to_pylist()], type=pa.list_(pa.string()))],
                 names=["block", "unit", "post", "ids", "langs"])
+            del number, doc, name, post, found
+        give_back()
 
     return docs.select(
         F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"),
