@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, functions as F
 
 # Bar glyphs and the width of the padded count text
@@ -25,15 +27,18 @@ def progress_bar(percentage: Column | str, decimals: int = 2, segments: int = 10
         raise ValueError("decimals and segments must be >= 0")
     p = _col(percentage).cast("double")
     clamped = F.least(F.greatest(F.when(F.isnan(p), F.lit(0.0)).otherwise(p), F.lit(0.0)), F.lit(100.0))
-    units = rounded_units(clamped, int(decimals))
     scale = 10 ** int(decimals)
-    shown = F.format_string("%d", units) if not decimals else F.format_string(
-        f"%d.%0{int(decimals)}d", F.floor(units / scale).cast("long"), units % scale)
-    filled = F.round(F.lit(float(segments)) * shown.cast("double") / F.lit(100.0)).cast("int")
-    bar = F.concat(F.repeat(F.lit(FILLED), filled),
-                   F.repeat(F.lit(EMPTY), F.lit(int(segments)) - filled),
-                   F.lit(" "), shown, F.lit("%"))
-    return F.when(p.isNotNull(), bar)
+
+    def text(units: Column) -> Column:
+        return F.format_string("%d", units) if not decimals else F.format_string(
+            f"%d.%0{int(decimals)}d", F.floor(units / scale).cast("long"), units % scale)
+
+    def bar(shown: Column) -> Column:
+        filled = F.round(F.lit(float(segments)) * shown.cast("double") / F.lit(100.0)).cast("int")
+        return F.concat(F.repeat(F.lit(FILLED), filled), F.repeat(F.lit(EMPTY), F.lit(int(segments)) - filled),
+                        F.lit(" "), shown, F.lit("%"))
+
+    return F.when(p.isNotNull(), let(let(rounded_units(clamped, int(decimals)), text), bar))
 
 
 def rounded_units(value: Column, decimals: int) -> Column:
@@ -45,18 +50,27 @@ def rounded_units(value: Column, decimals: int) -> Column:
     middles go to the even unit.
     """
     scale = float(10 ** decimals)
-    wide = value * F.lit(134217729.0)
-    high = wide - (wide - value)
-    low = value - high
-
-    def beyond(units: Column) -> Column:
-        return (high * scale - units) + low * scale
-
-    near = F.floor(value * scale).cast("double")
-    base = F.when(beyond(near) < 0, near - 1).when(beyond(near + 1) >= 0, near + 1).otherwise(near)
-    half = beyond(base + 0.5)
-    up = (half > 0) | ((half == 0) & (base % 2 == 1))
-    return (base + F.when(up, F.lit(1.0)).otherwise(F.lit(0.0))).cast("long")
+
+    def with_value(v: Column) -> Column:
+        wide = v * F.lit(134217729.0)
+        high = wide - (wide - v)
+        return let(F.struct(high.alias("high"), (v - high).alias("low"), F.floor(v * scale).cast("double").alias("near")), with_halves)
+
+    def with_halves(p: Column) -> Column:
+        def beyond(units: Column) -> Column:
+            return (p["high"] * scale - units) + p["low"] * scale
+
+        near = p["near"]
+        base = F.when(beyond(near) < 0, near - 1).when(beyond(near + 1) >= 0, near + 1).otherwise(near)
+        return let(base, lambda b: let(beyond(b + 0.5), lambda half: (
+            b + F.when((half > 0) | ((half == 0) & (b % 2 == 1)), F.lit(1.0)).otherwise(F.lit(0.0))).cast("long")))
+
+    return let(value, with_value)
+
+
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` of ``value``, evaluated once however often the body uses it."""
+    return F.element_at(F.transform(F.array(value), body), 1)
 
 
 def progress_bar_sql(pct_sql: str, decimals: int = 2, segments: int = 10) -> str:
