@@ -15,6 +15,8 @@ landed lineage columns.
 from __future__ import annotations
 
 import re
+import threading
+from contextlib import contextmanager
 from dataclasses import dataclass, field
 from typing import Any
 
@@ -343,18 +345,39 @@ def _landing(parsed: DataFrame, schema: T.StructType, load_id: str, kind: Column
 OPEN_WRITERS = "16"
 
 
-def _write_landing(df: DataFrame, target_path: str) -> None:
-    """Write a load's lines; the session's writer setting is put back afterwards."""
-    conf, name = df.sparkSession.conf, "spark.sql.maxConcurrentOutputFileWriters"
-    own = conf.get(name, "0") == "0"
-    if own:
-        conf.set(name, OPEN_WRITERS)
+_landing_lock = threading.Lock()
+_landing_writes = 0
+
+
+@contextmanager
+def _open_writers(spark: SparkSession):
+    """Several open writers a task while any landing write of this process runs.
+
+    Loads run side by side, and a write must not see the setting change under
+    it, so the last one to end puts it back.
+    """
+    global _landing_writes
+    name = "spark.sql.maxConcurrentOutputFileWriters"
+    with _landing_lock:
+        if not _landing_writes and spark.conf.get(name, "0") != "0":
+            own = False  # the session has a setting of its own
+        else:
+            own, _landing_writes = True, _landing_writes + 1
+            spark.conf.set(name, OPEN_WRITERS)
     try:
-        (df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-         .partitionBy("_load_id", "_kind").parquet(target_path))
+        yield
     finally:
         if own:
-            conf.unset(name)
+            with _landing_lock:
+                _landing_writes -= 1
+                if not _landing_writes:
+                    spark.conf.unset(name)
+
+
+def _write_landing(df: DataFrame, target_path: str) -> None:
+    with _open_writers(df.sparkSession):
+        (df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+         .partitionBy("_load_id", "_kind").parquet(target_path))
 
 
 def landing_schema(schema: T.StructType) -> T.StructType:
