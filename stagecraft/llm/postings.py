@@ -68,8 +68,12 @@ def unzigzag(v: np.ndarray) -> np.ndarray:
     return (v >> 1) ^ -(v & 1)
 
 
-def pack_pairs(unit: np.ndarray, doc: np.ndarray) -> tuple[np.ndarray, pa.Array]:
-    """Occurrences (unit, text) to the distinct units and, for each, its binary postings."""
+def pack_pairs(unit: np.ndarray, doc: np.ndarray, bits: int = 1) -> tuple[np.ndarray, pa.Array]:
+    """Occurrences (unit, text) to the distinct units and, for each, its binary postings.
+
+    Counts below 2 ** ``bits`` share a number with their gap: 3 where units
+    are frequent (short gaps, many counts), 1 where they are rare.
+    """
     key = unit.astype(np.uint64)
     key <<= np.uint64(13)
     key |= doc.astype(np.uint16)
@@ -80,17 +84,18 @@ def pack_pairs(unit: np.ndarray, doc: np.ndarray) -> tuple[np.ndarray, pa.Array]
     unit, doc = (key >> np.uint64(13)).astype(np.int64), (key & np.uint64(8191)).astype(np.int64)
     new = np.concatenate([[True], unit[1:] != unit[:-1]]) if len(unit) else np.zeros(0, bool)
     gap = np.where(new, doc, doc - np.concatenate([[0], doc[:-1]])) if len(unit) else doc
-    # Of each unit: its number of texts, then gap and whether it counts more than one, then those counts.
-    row, more = np.cumsum(new) - 1, count > 1
+    # Of each unit: its number of texts (and bits), then gaps with counts, then the rest of large counts.
+    top = 1 << bits
+    row, more = np.cumsum(new) - 1, count >= top
     rows = int(new.sum())
     texts, many = np.bincount(row, minlength=rows), np.bincount(row[more], minlength=rows)
     start = np.cumsum(1 + texts + many) - (1 + texts + many)
     values = np.zeros(int((1 + texts + many).sum()), np.int64)
-    values[start] = texts
+    values[start] = texts * 2 + (bits == 3)
     place = np.arange(len(row)) - (np.cumsum(texts) - texts)[row]
-    values[start[row] + 1 + place] = gap * 2 + more
+    values[start[row] + 1 + place] = gap * top + np.minimum(count, top) - 1
     at = np.arange(int(more.sum())) - (np.cumsum(many) - many)[row[more]]
-    values[start[row[more]] + 1 + texts[row[more]] + at] = count[more] - 2
+    values[start[row[more]] + 1 + texts[row[more]] + at] = count[more] - top
     data, ends = put_varints(values)
     offsets = np.concatenate([[0], ends[start[1:] - 1], ends[-1:]]).astype(np.int32) if rows else np.zeros(1, np.int32)
     post = pa.Array.from_buffers(pa.binary(), rows, [None, pa.py_buffer(offsets.tobytes()), pa.py_buffer(data.tobytes())])
@@ -106,12 +111,14 @@ def unpack_pairs(column: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     row = np.searchsorted(offsets[1:] - offsets[0], ends, side="left")
     first = np.flatnonzero(np.concatenate([[True], row[1:] != row[:-1]])) if len(row) else np.zeros(0, np.int64)
     place = np.arange(len(row)) - np.repeat(first, np.diff(np.append(first, len(row))))
-    texts = np.repeat(values[first], np.diff(np.append(first, len(row))))
+    head = np.repeat(values[first], np.diff(np.append(first, len(row))))
+    texts = head >> 1
     is_gap = (place > 0) & (place <= texts)
     coded, of = values[is_gap], row[is_gap]
-    count = np.ones(len(coded), np.int64)
-    count[coded & 1 == 1] = values[place > texts] + 2
-    gap = coded >> 1
+    bits = np.where(head[is_gap] & 1, 3, 1)
+    count = (coded & ((1 << bits) - 1)) + 1
+    count[count == 1 << bits] += values[place > texts]
+    gap = coded >> bits
     total = np.cumsum(gap)
     new = np.flatnonzero(np.concatenate([[True], of[1:] != of[:-1]])) if len(of) else np.zeros(0, np.int64)
     return of, total - np.repeat((total - gap)[new], np.diff(np.append(new, len(of)))), count
@@ -144,7 +151,7 @@ def block_postings(docs: DataFrame, unit_type: str, units: Callable[[list[str]],
         for k, batch in enumerate(blocks(batches)):
             block, texts = (part << 32) | k, batch.column(1).to_pylist()
             number, doc, name = units(texts)
-            number, post = pack_pairs(number, doc)
+            number, post = pack_pairs(number, doc, 1 if unit_type == "string" else 3)
             found = pa.array(name(number), type=kind)
             n = len(found)
             for at in range(0, n, 20_000):

@@ -25,10 +25,11 @@ def test_varints_round_trip():
     assert postings.unzigzag(postings.zigzag(s)).tolist() == s.tolist()
 
 
-def test_postings_round_trip():
+@pytest.mark.parametrize("bits, texts", [(1, 500), (3, 500), (1, 9), (3, 9), (3, 8000)])
+def test_postings_round_trip(bits, texts):
     rng = np.random.default_rng(2)
-    unit, doc = rng.integers(0, 40, 2000), rng.integers(0, 500, 2000)
-    names, post = postings.pack_pairs(unit, doc)
+    unit, doc = rng.integers(0, 40, 2000), rng.integers(0, texts, 2000)
+    names, post = postings.pack_pairs(unit, doc, bits)
     row, d, count = postings.unpack_pairs(post)
     assert Counter(dict(zip(zip(names[row].tolist(), d.tolist()), count.tolist()))) == Counter(zip(unit.tolist(), doc.tolist()))
     row, d, _ = postings.unpack_pairs(post.slice(5, 7))  # a slice starts at its own offset
