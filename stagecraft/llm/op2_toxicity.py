@@ -38,6 +38,8 @@ STEM = 4
 CLEAR = 2.5
 FIT_ROWS = 50_000
 CUTOFF = 0.3
+#: Most words are rare: larger blocks have them in fewer rows.
+BLOCK_BYTES = 24 << 20
 _WORD = re.compile(r"[^\W\d_]+")
 
 
@@ -105,7 +107,7 @@ def evidence(counts: DataFrame) -> tuple[DataFrame, DataFrame, float]:
 
 def features(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """doc_id, n, llr and clear (sums over the words) of every row of ``docs``."""
-    postings = stored(block_postings(docs, "string", words), "toxic-postings")
+    postings = stored(block_postings(docs, "string", words, BLOCK_BYTES), "toxic-postings")
     group = (labels.where("toxic IS NOT NULL AND doc_id IS NOT NULL").where(fold(F.col("doc_id")).isin(0, 1))
              .groupBy(F.col("doc_id").cast("long").alias("doc_id")).agg(F.max("toxic").alias("toxic"))
              .select("doc_id", F.when(F.col("toxic") == 1, "a").otherwise("b").alias("group")))

@@ -1,7 +1,7 @@
 """Block postings: which texts of a block hold a unit, and how often, in few bytes.
 
 A block is what one Python step holds: at most ``BLOCK_DOCS`` texts and about
-``BLOCK_BYTES`` of text. For each unit (a word, a character n-gram) of a block
+``block_bytes`` of text. For each unit (a word, a character n-gram) of a block
 there is one row with the positions of its texts and the counts there, as
 variable-length integers. So a corpus reaches the join with its model table in
 about a third of its compressed size, a unit that is in every text has one row
@@ -124,18 +124,19 @@ def unpack_pairs(column: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return of, total - np.repeat((total - gap)[new], np.diff(np.append(new, len(of)))), count
 
 
-def blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def blocks(batches: Iterator[pa.RecordBatch], size: int = BLOCK_BYTES) -> Iterator[pa.RecordBatch]:
     """Batches cut to blocks; the second column is the text."""
     for batch in batches:
         sizes = np.asarray(pc.fill_null(pc.binary_length(batch.column(1)), 0))
         start = 0
         while start < len(sizes):
-            n = max(1, int(np.searchsorted(np.cumsum(sizes[start:start + BLOCK_DOCS]), BLOCK_BYTES, side="right")))
+            n = max(1, int(np.searchsorted(np.cumsum(sizes[start:start + BLOCK_DOCS]), size, side="right")))
             yield batch.slice(start, n)
             start += n
 
 
-def block_postings(docs: DataFrame, unit_type: str, units: Callable[[list[str]], tuple[np.ndarray, np.ndarray, Callable]]) -> DataFrame:
+def block_postings(docs: DataFrame, unit_type: str, units: Callable[[list[str]], tuple[np.ndarray, np.ndarray, Callable]],
+                   block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """Rows (block, unit, post, ids, langs): postings, and one index row a block with its texts' ids and languages.
 
     ``units(texts)`` gives number and text of each occurrence, and a function
@@ -148,7 +149,7 @@ def block_postings(docs: DataFrame, unit_type: str, units: Callable[[list[str]],
 
         kind = pa.string() if unit_type == "string" else pa.int64()
         part = TaskContext.get().partitionId()
-        for k, batch in enumerate(blocks(batches)):
+        for k, batch in enumerate(blocks(batches, block_bytes)):
             block, texts = (part << 32) | k, batch.column(1).to_pylist()
             number, doc, name = units(texts)
             number, post = pack_pairs(number, doc, 1 if unit_type == "string" else 3)
