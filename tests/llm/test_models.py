@@ -210,6 +210,17 @@ def test_cutoffs_hold_their_risk(spark):
     assert not any(lang == "xx" for lang, _ in got)  # one text proves nothing
 
 
+def test_small_strata_get_cutoffs(spark):
+    """Four languages of 297 good labels each have cutoffs; one label less has none."""
+    sizes = {"de": 297, "en": 2000, "es": 297, "fr": 296}
+    rows = [(10_000 * k + i, lang, 100, 500, 0, 0, 0, 10, 0, 20) for k, (lang, n) in enumerate(sizes.items()) for i in range(n)]
+    measured = spark.createDataFrame(rows, "doc_id long, lang string, " + ", ".join(f"{c} long" for c in op5._COLUMNS))
+    labels = spark.createDataFrame([(r[0], 1, 0) for r in rows], "doc_id long, quality int, toxic int")
+    got = {(r["lang"], r["rule"]): r["cutoff"] for r in op5.cutoffs(measured, labels).collect()}
+    assert {lang for lang, _ in got} == {"de", "en", "es"} and len(got) == 15
+    assert got[("es", "symbols")] == 0.0 and got[("es", "capitals")] == 0.02
+
+
 def test_rules_keep_and_reject(spark):
     docs = docs_of(spark, ["one two three four five six seven eight nine ten eleven", "short", None, "a b c d e " * 10])
     got = by_id(op5.apply_rules(docs, labels_of(spark, [(0, 1, 0)])), "base_failed", "kept")
