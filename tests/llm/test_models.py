@@ -246,6 +246,25 @@ def test_leaks_of_copies_and_new_parameters(spark):
     assert sorted(r["doc_id"] for r in left.collect()) == [2, 3, 4, 5]
 
 
+def test_leaks_of_edited_and_partial_copies(spark):
+    rng = random.Random(3)
+    words = ["".join(rng.choices("abcdefgh", k=6)) for _ in range(400)]
+    a, b, c = words[:20], words[20:37], words[40:99]
+    items = [" ".join(x) for x in (a, b, c)] + [ITEM]
+    texts = [" ".join([*words[100:120], *a[:10], "inserted", *a[10:], *words[120:140]]), " ".join([*a[:9], *a[10:]]),  # a word put in, left out
+             " ".join([*b[:8], "replaced", *b[9:]]), " ".join([*words[150:180], *c[20:45], *words[180:200]]),
+             ITEM.replace("Tom", "Mary Ann").replace("12", "5 000"),
+             " ".join([*words[200:230], *c[:9], *words[230:260]]), " ".join([*a[10:18], *words[300:330], *a[:8]])]
+    rows = op10.leaks(docs_of(spark, texts), bench(spark, *items)).collect()
+    # Nine words of 59, and two passages in the other order, are no copies.
+    assert {(r["doc_id"], r["item_id"]) for r in rows} == {(0, 0), (1, 0), (2, 1), (3, 2), (4, 3)}
+
+
+def test_chains_follow_small_changes_of_distance():
+    line = [(100 + i, i) for i in range(5)] + [(102 + i, i) for i in range(5, 9)] + [(500, 9)]
+    assert max(map(len, op10.chains(line))) == 9
+
+
 def test_leaks_name_all_items_of_a_template(spark):
     plain = ITEM.lower().replace("12", "some").replace("7", "a few")
     rows = op10.leaks(docs_of(spark, [plain]), bench(spark, plain, plain, "other words entirely " * 5)).collect()
