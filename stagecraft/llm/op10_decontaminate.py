@@ -21,8 +21,10 @@ Matching windows of a text and an item are chained in the order of both; from
 one to the next the distance of text and item may change by ``DRIFT`` words, so
 words put in, left out or replaced do not end a copy (``chains``). The longest
 chains and the windows at each exact distance are candidates. The slots (the
-words behind the placeholders) must be consistent: each value of the item has
-one value in the copy and the other way round. A text is contaminated by an
+words behind the placeholders) must be consistent: each value of the item, with
+its kind, has one value in the copy, in ``SLOTS`` of the places at least; two
+values of the item may become one (3 and 5: 4 and 4). One exception is let pass
+from seven slots on; in fewer it makes another question. A text is contaminated by an
 item if a consistent candidate holds ``SHARE`` of the item's windows, or covers
 ``WORDS`` of its words, or if ``RUN`` words of it lie in the text in a row with
 consistent slots, however long the item is. A copy without ``WINDOW`` unchanged
@@ -37,6 +39,7 @@ from __future__ import annotations
 
 import re
 from bisect import bisect_left
+from collections import Counter
 
 import numpy as np
 import pyarrow as pa
@@ -47,6 +50,7 @@ from .common import id_and_text, stored, text_slices
 from .op5_quality_rules import window_hash
 
 WINDOW, SHARE, WORDS, RUN, DRIFT, MERGED = 8, 0.5, 0.7, 20, 8, 4
+SLOTS = 0.85
 FILTER_BITS = 23
 #: Unit names (fixed values).
 UNITS = frozenset("mm cm m km in ft yd mi mg g kg t oz lb ml l s sec min h hr hours minutes seconds days weeks months years "
@@ -210,9 +214,15 @@ def chains(matches: list[tuple[int, int]]) -> list[list[int]]:
 
 
 def consistent(slots: dict) -> bool:
-    """Whether (place, item's kind and value) -> (place, copy's kind and value) is one-to-one by values."""
-    pairs = {(theirs, ours) for (_, theirs), (_, ours) in slots.items()}
-    return len(pairs) == len({x for x, _ in pairs}) == len({y for _, y in pairs})
+    """Whether each item's kind and value has one value in the copy, in ``SLOTS`` of all places at least.
+
+    ``slots``: (place, item's kind and value) -> (place, copy's kind and value).
+    """
+    pairs = Counter((theirs, ours) for (_, theirs), (_, ours) in slots.items())
+    most: dict[str, int] = {}
+    for (theirs, _), n in pairs.items():
+        most[theirs] = max(most.get(theirs, 0), n)
+    return sum(most.values()) >= SLOTS * len(slots)
 
 
 def longest_run(chain: list[dict]) -> int:

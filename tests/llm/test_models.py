@@ -260,6 +260,15 @@ def test_leaks_of_edited_and_partial_copies(spark):
     assert {(r["doc_id"], r["item_id"]) for r in rows} == {(0, 0), (1, 0), (2, 1), (3, 2), (4, 3)}
 
 
+def test_slots_of_a_copy_are_a_function_with_few_exceptions(spark):
+    few = "If there are 3 red boxes and 5 blue boxes on the table how many boxes are there"
+    long = "when Tom met Ann at noon, Tom gave 12 coins to Ann and then Tom asked Ann for 7 more so Ann told Tom no"
+    rows = op10.leaks(docs_of(spark, [few.replace("3", "4").replace("5", "4"), long.replace("Tom", "Tim", 1)]), bench(spark, few, long)).collect()
+    assert {(r["doc_id"], r["item_id"]) for r in rows} == {(0, 0), (1, 1)}
+    assert op10.consistent({(i, "3Tom"): (i, "3Tim" if i else "3Tom") for i in range(7)})
+    assert not op10.consistent({(i, "3Tom"): (i, "3Tim" if i else "3Tom") for i in range(6)})
+
+
 def test_chains_follow_small_changes_of_distance():
     line = [(100 + i, i) for i in range(5)] + [(102 + i, i) for i in range(5, 9)] + [(500, 9)]
     assert max(map(len, op10.chains(line))) == 9
