@@ -31,8 +31,9 @@ consistent slots, however long the item is. A copy without ``WINDOW`` unchanged
 words in a row is not found.
 
 Cases: null or empty texts and items, and items of fewer than ``WINDOW``
-words, have no windows and match nothing. Repeated ids are one text. Other
-columns are not read.
+words, have no windows and match nothing. ``leaks`` reports by id: repeated ids
+are one text there, and rows without id have no row. ``clean`` judges each row
+by its id and text, rows without id too. Other columns are not read.
 """
 
 from __future__ import annotations
@@ -299,4 +300,6 @@ def leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
 
 def clean(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """The rows of ``docs`` that no benchmark item contaminates."""
-    return docs.join(leaks(docs, benchmark).select("doc_id").distinct(), "doc_id", "left_anti").select(*docs.columns)
+    keyed = docs.withColumn("_key", F.xxhash64("doc_id", F.coalesce(F.col("text").cast("string"), F.lit(""))))
+    gone = leaks(keyed.select(F.col("_key").alias("doc_id"), "text"), benchmark).select(F.col("doc_id").alias("_key")).distinct()
+    return keyed.join(gone, "_key", "left_anti").select(*docs.columns)

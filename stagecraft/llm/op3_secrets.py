@@ -125,9 +125,10 @@ def report(found: DataFrame) -> DataFrame:
 
 def redact(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """``docs`` with every secret replaced by its kind in brackets; rows, ids and other columns stay."""
-    some = (scan(docs, labels).where(F.size("spans") > 0).where("doc_id IS NOT NULL")
-            .groupBy("doc_id", F.col("sign").alias("_sign")).agg(F.first("spans").alias("_spans")))
+    some = (scan(docs, labels).where(F.size("spans") > 0)
+            .groupBy(F.col("doc_id").alias("_id"), F.col("sign").alias("_of")).agg(F.first("spans").alias("_spans")))
     text = _text()
     changed = spans.replaced(text, F.coalesce("_spans", spans.none()), lambda s: F.concat(F.lit("["), s["kind"], F.lit("]")))
-    out = docs.withColumn("_sign", F.xxhash64(text)).join(some, ["doc_id", "_sign"], "left")
+    out = docs.withColumn("_sign", F.xxhash64(text))
+    out = out.join(some, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("_sign") == F.col("_of")), "left")
     return out.withColumn("text", F.when(F.col("_spans").isNull(), F.col("text")).otherwise(changed)).select(*docs.columns)

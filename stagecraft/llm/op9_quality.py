@@ -153,6 +153,10 @@ def classify(docs: DataFrame, labels: DataFrame) -> DataFrame:
 
 
 def keep(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """The rows of ``docs`` that the classifier keeps."""
-    gone = classify(docs, labels).where("NOT kept").select("doc_id").distinct()
-    return docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
+    """The rows of ``docs`` that the classifier keeps; each row is judged by its id, text and language, null ids too."""
+    keyed = docs.withColumn("_key", F.xxhash64("doc_id", *[F.coalesce(F.col(c).cast("string"), F.lit("")) for c in ("text", "lang")]))
+    trusted = labels.where("quality = 1 AND doc_id IS NOT NULL").select(F.col("doc_id").cast("long").alias("doc_id")).distinct()
+    good = keyed.select("_key", F.col("doc_id").cast("long").alias("doc_id")).join(trusted, "doc_id", "left_semi")
+    rows = classify(keyed.withColumn("doc_id", F.col("_key")).select(*docs.columns), good.select(F.col("_key").alias("doc_id"), F.lit(1).alias("quality")))
+    gone = rows.where("NOT kept").select(F.col("doc_id").alias("_key")).distinct()
+    return keyed.join(gone, "_key", "left_anti").select(*docs.columns)

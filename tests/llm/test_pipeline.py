@@ -42,3 +42,20 @@ def test_stages_take_effect(spark, tmp_path):
     library = Tokenizer.from_file(public_tokenizers.path("word_bpe_49k.json"))
     assert kept["tokens"] == {i: len(library.encode(t, add_special_tokens=False).ids) for i, t in kept["secrets"].items()}
     assert corpus_pipeline.run(spark, str(tmp_path)).count() == len(kept["tokens"])
+
+
+def test_null_and_repeated_ids_are_judged_by_row(spark, tmp_path):
+    texts = planted(spark, str(tmp_path))
+    rows = [r for r in spark.read.parquet(f"{tmp_path}/documents.parquet").collect() if r["doc_id"] < 80]
+    junk, passage, secret = texts[80], texts[83], texts[84]
+    # Each planted text once without an id and once under the id of a clean text.
+    rows += [(i, t, "en", "s", len(t)) for t, id_ in ((junk, 61), (passage, 62), (secret, 63)) for i in (None, id_)]
+    docs = spark.createDataFrame(rows, spark.read.parquet(f"{tmp_path}/documents.parquet").schema)
+    stages, kept = dict(corpus_pipeline.STAGES), {}
+    for name in ("quality", "decontaminate", "secrets"):
+        kept[name] = [(r["doc_id"], r["text"]) for r in stages[name](spark, docs, str(tmp_path)).collect()]
+    assert not any(t == junk for _, t in kept["quality"]) and {(None, passage), (61, texts[61])} <= set(kept["quality"])
+    assert len(kept["decontaminate"]) == 84 and not any(t == passage for _, t in kept["decontaminate"])
+    assert {(None, junk), (62, texts[62])} <= set(kept["decontaminate"])
+    assert len(kept["secrets"]) == 86 and not any("token=abc" in (t or "") for _, t in kept["secrets"])
+    assert {(63, texts[63]), (None, junk), (None, passage)} <= set(kept["secrets"])
