@@ -1,11 +1,11 @@
-"""The registered queries of this subpackage, over the whole ``documents`` table."""
+"""The registered queries of this subpackage, each over its whole table."""
 
 from __future__ import annotations
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import op1_bpe, op10_decontaminate, op2_toxicity, op3_secrets, op4_suffix_dedup, op5_quality_rules, op6_token_counts, op7_pii, op8_jaccard_join, op9_quality
+from . import op1_bpe, op10_decontaminate, op13_whitening, op2_toxicity, op3_secrets, op4_suffix_dedup, op5_quality_rules, op6_token_counts, op7_pii, op8_jaccard_join, op9_quality
 from .common import read_table
 
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
@@ -56,6 +56,10 @@ def op10_decontaminate_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op10_decontaminate.leaks(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
 
 
+def op13_whitening_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return op13_whitening.report(op13_whitening.whiten(read_table(spark, sf_dir, "embeddings"), components=4))
+
+
 QUERIES = {
     "op1_bpe_codec": op1_bpe_codec,
     "op2_toxicity": op2_toxicity_query,
@@ -67,6 +71,7 @@ QUERIES = {
     "op8_jaccard_join": op8_jaccard_join_query,
     "op9_quality": op9_quality_query,
     "op10_decontaminate": op10_decontaminate_query,
+    "op13_whitening": op13_whitening_query,
 }
 
 #: DuckDB SQL for the queries that SQL can express; the others have brute-force tests.
