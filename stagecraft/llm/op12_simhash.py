@@ -198,6 +198,8 @@ def _walk_pieces(leaf_limit: int):
 
     def links(tables: list[pa.Table]) -> Iterator[pa.RecordBatch]:
         rows = pa.concat_tables(tables)
+        if not rows.num_rows:
+            return
         piece = pa.concat_arrays(rows.column("piece").chunks).dictionary_encode().indices.to_numpy()
         depth, err, side = (rows.column(c).to_numpy() for c in ("depth", "err", "side"))
         leaf, fp = rows.column("leaf").to_numpy().view(np.uint64), rows.column("fp").to_numpy()
@@ -225,24 +227,41 @@ def _walk_pieces(leaf_limit: int):
         ready, held, open_rows, key, passing = [], 0, [], None, False  # finished pieces; rows of the piece under way
         try:
             for batch in batches:
-                table = pa.Table.from_batches([batch])
-                piece = batch.column(0)
-                cuts = _cuts(piece) if len(piece) else []
-                for begin, stop in zip(cuts, [*cuts[1:], len(piece)]):
-                    part = table.slice(begin, stop - begin)
-                    if piece[begin].as_py() != key:
-                        ready += open_rows
-                        held += sum(t.num_rows for t in open_rows)
-                        open_rows, key, passing = [], piece[begin].as_py(), False
-                        if held >= leaf_limit:
-                            yield from links(ready)
-                            ready, held = [], 0
-                    open_rows.append(part)
-                    if passing or sum(t.num_rows for t in open_rows) > leaf_limit and part.column("depth")[0].as_py() > 0:
-                        passing = True
-                        for t in open_rows:
-                            yield from hot(t)
-                        open_rows = []
+                if not batch.num_rows:
+                    continue
+                table, cuts = pa.Table.from_batches([batch]), _cuts(batch.column(0))
+                first = batch.column(0)[0].as_py()
+                if first != key:
+                    ready, held = ready + open_rows, held + sum(t.num_rows for t in open_rows)
+                    open_rows, passing = [], False
+                if len(cuts) > 1:  # the piece under way ends here, and others may lie within
+                    runs = np.diff(cuts)
+                    runs[0] += sum(t.num_rows for t in open_rows)
+                    large = (runs > leaf_limit) & (batch.column(1).to_numpy()[cuts[:-1]] > 0)
+                    large[0] |= passing
+                    if large.any():
+                        rows = np.repeat(large, np.diff(cuts))
+                        done = table.slice(0, cuts[-1])
+                        if large[0]:
+                            for t in open_rows:
+                                yield from hot(t)
+                            open_rows = []
+                        yield from hot(done.filter(pa.array(rows)))
+                        done = done.filter(pa.array(~rows))
+                    else:
+                        done = table.slice(0, cuts[-1])
+                    ready, held = [*ready, *open_rows, done], held + done.num_rows + sum(t.num_rows for t in open_rows)
+                    open_rows, passing = [], False
+                if held >= leaf_limit:
+                    yield from links(ready)
+                    ready, held = [], 0
+                key = batch.column(0)[cuts[-1]].as_py()
+                open_rows.append(table.slice(cuts[-1]))
+                if passing or sum(t.num_rows for t in open_rows) > leaf_limit and batch.column(1)[cuts[-1]].as_py() > 0:
+                    passing = True
+                    for t in open_rows:
+                        yield from hot(t)
+                    open_rows = []
             ready += open_rows
             if ready:
                 yield from links(ready)
