@@ -65,6 +65,14 @@ def text_slices(batches: Iterable[pa.RecordBatch], limit: int = SLICE_BYTES) ->
             yield part.column(0).to_pylist(), part.column(1).to_pylist()
 
 
+def arrow_schema(ddl: str) -> pa.Schema:
+    """The Arrow schema of a Spark schema text (on the driver: it is parsed by the session)."""
+    from pyspark.sql.pandas.types import to_arrow_schema
+    from pyspark.sql.types import _parse_datatype_string
+
+    return to_arrow_schema(_parse_datatype_string(ddl))
+
+
 def give_back() -> None:
     """Unused memory of the Arrow pool and of the C heap goes back to the system."""
     gc.collect()
@@ -82,10 +90,7 @@ def per_text(docs: DataFrame, schema: str, make: Callable[[], Callable[[list, li
     ``close`` runs at the task's end. Workers serve later stages too, so what a
     task no longer needs is given back.
     """
-    from pyspark.sql.pandas.types import to_arrow_schema
-    from pyspark.sql.types import _parse_datatype_string
-
-    target = to_arrow_schema(_parse_datatype_string(schema))
+    target = arrow_schema(schema)
 
     def run(batches):
         step = make()

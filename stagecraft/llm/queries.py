@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import op1_bpe, op10_decontaminate, op12_simhash, op13_whitening, op2_toxicity, op3_secrets, op4_suffix_dedup, op5_quality_rules, op6_token_counts, op7_pii, op8_jaccard_join, op9_quality
+from . import op1_bpe, op10_decontaminate, op11_repair, op12_simhash, op13_whitening, op2_toxicity, op3_secrets, op4_suffix_dedup, op5_quality_rules, op6_token_counts, op7_pii, op8_jaccard_join, op9_quality
 from .common import read_table
 
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
@@ -56,6 +56,10 @@ def op10_decontaminate_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op10_decontaminate.leaks(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
 
 
+def op11_repair_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return op11_repair.repair(op11_repair.damage(read_table(spark, sf_dir, "conversations")))
+
+
 def op12_simhash_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op12_simhash.report(op12_simhash.near_duplicates(read_table(spark, sf_dir, "documents")))
 
@@ -75,6 +79,7 @@ QUERIES = {
     "op8_jaccard_join": op8_jaccard_join_query,
     "op9_quality": op9_quality_query,
     "op10_decontaminate": op10_decontaminate_query,
+    "op11_repair": op11_repair_query,
     "op12_simhash": op12_simhash_query,
     "op13_whitening": op13_whitening_query,
 }
