@@ -22,6 +22,7 @@ Letters added to Unicode after the installed tables are cut by those tables.
 from __future__ import annotations
 
 import struct
+import sys
 from itertools import chain
 
 from pyspark.sql import DataFrame, functions as F
@@ -29,10 +30,12 @@ from pyspark.sql import DataFrame, functions as F
 from .common import per_text
 from .word_bpe import WORD_END, WordBpe, load
 
-#: Chunks (about 350 bytes each with their words) and pairs of tokens that a task keeps, and bytes of a slice.
-CACHE_CHUNKS = 250_000
-CACHE_PAIRS = 400_000
-SLICE = 4 << 20
+#: Chunks (about 200 bytes each) and pairs of tokens (about 110 each) that a task keeps, and bytes of a slice.
+CACHE_CHUNKS = 80_000
+CACHE_PAIRS = 150_000
+SLICE = 1 << 20
+PAIR_BITS = 32
+_LITTLE = sys.byteorder == "little"
 
 
 def sizes_by_ending(tokens: dict[str, int]) -> dict[str, tuple[int, ...]]:
@@ -53,11 +56,12 @@ class TrieEncoder:
         self.final = {t.removesuffix(WORD_END): i for t, i in bpe.vocab.items() if t.endswith(WORD_END)}
         self.inner_sizes, self.final_sizes = sizes_by_ending(self.inner), sizes_by_ending(self.final)
         self.made_from = {new: (rank, left, right) for (left, right), (rank, new) in bpe.merges.items()}
-        self.pairs: dict[tuple[int, int], bool] = {}
-        #: Caches: tokens of words, and ids and decoded strings of chunks.
-        self.words: dict[str, bytes] = {}
+        #: Caches: whether two tokens (left << PAIR_BITS | right) stay apart, and the ids of chunks.
+        #: (those of the last ``CACHE_CHUNKS`` or fewer chunks, and the generation before).
+        self.pairs: dict[int, bool] = {}
         self.ids: dict[str, bytes] = {}
-        self.strings: dict[str, str] = {}
+        self.older: dict[str, bytes] = {}
+        self.strings = [bpe.strings.get(i, "") for i in range(max(bpe.strings) + 1)]
 
     def _edge(self, token: int, side: int) -> list[tuple[int, float]]:
         """Tokens at one edge of ``token`` while it is being built, with the rank at which each is used up."""
@@ -73,7 +77,7 @@ class TrieEncoder:
         They merge across the border if some pair there has a rank below the
         ranks that use up its two sides; on equal ranks the leftmost goes first.
         """
-        known = self.pairs.get((left, right))
+        known = self.pairs.get(left << PAIR_BITS | right)
         if known is None:
             merges, starts = self.bpe.merges, self._edge(right, 1)
             known = True
@@ -87,7 +91,7 @@ class TrieEncoder:
                     break
             if len(self.pairs) >= CACHE_PAIRS:
                 self.pairs.clear()
-            self.pairs[left, right] = known
+            self.pairs[left << PAIR_BITS | right] = known
         return known
 
     def encode_words(self, words: set[str]) -> dict[str, list[int]]:
@@ -114,9 +118,9 @@ class TrieEncoder:
                     if token is not None:
                         if n == d:
                             break
-                        pair = last[d - n], token
-                        fits = pairs.get(pair)
-                        if fits or fits is None and apart(*pair):
+                        left = last[d - n]
+                        fits = pairs.get(left << PAIR_BITS | token)
+                        if fits or fits is None and apart(left, token):
                             break
                 last.append(token)
                 size.append(n)
@@ -131,37 +135,37 @@ class TrieEncoder:
         return out
 
     def _add(self, chunks: set[str]) -> None:
-        bpe, ids, strings, words = self.bpe, self.ids, self.strings, self.words
+        bpe, ids = self.bpe, self.ids
         split = {c: bpe.words(c) for c in chunks if c not in bpe.specials}
-        for w, tokens in self.encode_words({w for ws in split.values() for w in ws} - words.keys()).items():
-            words[w] = struct.pack(f"<{len(tokens)}I", *tokens)
+        words = {w: struct.pack(f"<{len(tokens)}I", *tokens)
+                 for w, tokens in self.encode_words({w for ws in split.values() for w in ws}).items()}
         for c in chunks:
             if c in split:
                 ws = split[c]
-                made = words[ws[0]] if len(ws) == 1 else b"".join([words[w] for w in ws])
+                ids[c] = words[ws[0]] if len(ws) == 1 else b"".join([words[w] for w in ws])
             else:
-                made = bpe.specials[c].to_bytes(4, "little")
-            ids[c] = made
-            strings[c] = " ".join([bpe.strings[i] for i in struct.unpack(f"<{len(made) // 4}I", made)])
-
-    def _shrink(self, needed: set[str]) -> None:
-        """Of a full cache only what the slice at hand needs stays: that is what is frequent, too."""
-        kept = needed & self.ids.keys()
-        self.ids, self.strings = {c: self.ids[c] for c in kept}, {c: self.strings[c] for c in kept}
-        self.words = {}
+                ids[c] = bpe.specials[c].to_bytes(4, "little")
 
     def forget(self) -> None:
-        self.ids, self.strings, self.words, self.pairs = {}, {}, {}, {}
+        self.ids, self.older, self.pairs = {}, {}, {}
+
+    def decode(self, ids: bytes) -> str:
+        """Token strings joined by spaces: the file names no decoder, so the library joins them as they are."""
+        return " ".join(map(self.strings.__getitem__, memoryview(ids).cast("I") if _LITTLE else struct.unpack(f"<{len(ids) // 4}I", ids)))
 
     def encode(self, texts: list[str]) -> tuple[list[bytes], list[str]]:
         """Ids (little-endian, 4 bytes each) and decoded string of each text."""
         pieces = [self.bpe.pieces(t) for t in texts]
         needed = set(chain.from_iterable(pieces))
-        if len(self.ids) >= CACHE_CHUNKS:
-            self._shrink(needed)
-        self._add(needed - self.ids.keys())
-        ids, strings = self.ids.__getitem__, self.strings.__getitem__
-        return [b"".join(map(ids, p)) for p in pieces], [" ".join(map(strings, p)) for p in pieces]
+        if len(self.ids) >= CACHE_CHUNKS:  # what is used again comes back from the older generation
+            self.ids, self.older = {}, self.ids
+        missing = needed - self.ids.keys()
+        again = missing & self.older.keys()
+        self.ids.update((c, self.older[c]) for c in again)
+        self._add(missing - again)
+        find = self.ids.__getitem__
+        ids = [b"".join(map(find, p)) for p in pieces]
+        return ids, list(map(self.decode, ids))
 
 
 _ENCODERS: dict[str, TrieEncoder] = {}

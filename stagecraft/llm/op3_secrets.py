@@ -1,22 +1,24 @@
 """Operator 3 [native]: secret scans by two character Markov models.
 
 Patterns find assignments, access keys and long hexadecimal strings. Beyond
-them, any run of ``LEAST`` or more key characters with a letter and a digit is
-a candidate. Two first-order Markov models over key characters, one of random
+them, any run of ``LEAST`` or more key characters with a letter is a candidate
+(numbers are no keys). Two first-order Markov models over key characters, one of random
 strings and one of ordinary identifiers, give the candidate's log-likelihood
 ratio; above ``RATIO`` in all and ``RATIO_PER_CHAR`` a character it is a
 secret too ("markov"), unless it touches a pattern's span, which always stays.
 
 Labelled samples: random strings are the values that the patterns matched, in
 all texts; identifiers are the words of ``ORDINARY_TEXTS`` labelled texts (a
-bounded sample, least hashes first) outside of the patterns' matches and of candidates.
+bounded sample, least hashes first) outside of the patterns' matches and of long
+runs of letters and digits.
 
 SQL functions only. The models are a table of at most 66 x 66 numbers, which
 is that small by its alphabet and enters the scan as a constant.
 
 Cases: a null or empty text has no spans. Repeated rows each give a row.
-Without random strings or identifiers, smoothing makes all characters equally
-likely in that model. Other columns are not read.
+A pair that a model has not seen has its second character's probability;
+without random strings or identifiers all characters are equally likely in
+that model. Other columns are not read.
 """
 
 from __future__ import annotations
@@ -36,10 +38,13 @@ HEX = "[0-9a-f]{24,}"         # [0-9a-f]+ of 24 or more
 ASSIGN_HIT = r"(?i)(?:password|passwd|secret|token|api_?key)[\"']?\x20*[:=]"
 
 KEY = "A-Za-z0-9+/_=-"
-LEAST, RATIO, RATIO_PER_CHAR = 16, 12.0, 0.5
-CANDIDATE = rf"(?<![{KEY}])(?=[0-9+/_=-]*[A-Za-z])(?=[A-Za-z+/_=-]*[0-9])[{KEY}]{{{LEAST},}}"
+LEAST, RATIO, RATIO_PER_CHAR = 12, 12.0, 0.5
+CANDIDATE = rf"(?<![{KEY}])(?=[0-9+/_=-]*+[A-Za-z])[{KEY}]{{{LEAST},}}+"
+#: Runs that are no sample of identifiers: long ones with letters and digits.
+MIXED = rf"(?<![{KEY}])(?=[0-9+/_=-]*[A-Za-z])(?=[A-Za-z+/_=-]*[0-9])[{KEY}]{{16,}}+"
 ORDINARY_TEXTS = 2000
-SMOOTH = 0.5
+#: Added to each character's count, and the weight of single characters in a pair's probability.
+SMOOTH, BACKOFF = 0.5, 20.0
 ALPHABET = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_=-"
 
 
@@ -54,14 +59,28 @@ def base_spans(text: Column) -> Column:
         spans.find(text, HEX, "hex", 2)))
 
 
+def _neighbours(value: Column, make) -> Column:
+    """``make(x, y)`` for neighbouring characters; the string is cut into characters once."""
+    return spans.once(F.split(value, ""), lambda c: F.zip_with(
+        F.slice(c, 1, F.greatest(F.size(c) - 1, F.lit(0))), F.slice(c, 2, F.greatest(F.size(c) - 1, F.lit(0))), make))
+
+
 def _pairs(strings: DataFrame) -> DataFrame:
     """(pair, n): neighbouring key characters of the strings of column ``s``."""
-    at = F.sequence(F.lit(1), F.length("s") - 1)
-    return (strings.where(F.length("s") > 1)
-            .select(F.explode(F.transform(at, lambda i: F.substring(F.col("s"), i, F.lit(2)))).alias("pair"))
+    return (strings.where(F.length("s") > 1).select(F.explode(_neighbours(F.col("s"), lambda x, y: F.concat(x, y))).alias("pair"))
             .where(F.col("pair").rlike(f"^[{KEY}]{{2}}$")).groupBy("pair").agg(F.count("*").alias("n")))
 
 
+def markov(counts: dict[str, int]) -> dict[str, float]:
+    """Log-probability of each character after another: pair counts, backed off to counts of the second alone."""
+    size = len(ALPHABET)
+    single = {y: sum(counts.get(x + y, 0) for x in ALPHABET) for y in ALPHABET}
+    total = sum(single.values())
+    alone = {y: (single[y] + SMOOTH) / (total + SMOOTH * size) for y in ALPHABET}
+    after = {x: sum(counts.get(x + y, 0) for y in ALPHABET) for x in ALPHABET}
+    return {x + y: math.log((counts.get(x + y, 0) + BACKOFF * alone[y]) / (after[x] + BACKOFF)) for x in ALPHABET for y in ALPHABET}
+
+
 def train(found: DataFrame, docs: DataFrame, labels: DataFrame) -> list[float]:
     """Log-ratios of all pairs of key characters, row by row of the alphabet.
 
@@ -71,30 +90,23 @@ def train(found: DataFrame, docs: DataFrame, labels: DataFrame) -> list[float]:
     ids = (labels.where("doc_id IS NOT NULL").select(F.col("doc_id").cast("long").alias("doc_id")).distinct()
            .orderBy(F.xxhash64("doc_id"), "doc_id").limit(ORDINARY_TEXTS))
     plain = docs.join(F.broadcast(ids), "doc_id", "left_semi").select(_text().alias("text"))  # at most ORDINARY_TEXTS ids
-    for pattern in (ASSIGN, ACCESS, HEX, CANDIDATE):
+    for pattern in (ASSIGN, ACCESS, HEX, MIXED):
         plain = plain.withColumn("text", F.regexp_replace("text", pattern, " "))
     ordinary = _pairs(plain.select(F.explode(F.regexp_extract_all("text", F.lit("[A-Za-z_][A-Za-z0-9_-]{3,}"), F.lit(0))).alias("s")))
     rows = secret.withColumnRenamed("n", "a").join(ordinary.withColumnRenamed("n", "b"), "pair", "full").fillna(0).collect()  # 66 x 66 at most
-    counts = {r["pair"]: (r["a"], r["b"]) for r in rows}
-    out, size = [], len(ALPHABET)
-    for x in ALPHABET:
-        sums = [sum(counts.get(x + y, (0, 0))[k] for y in ALPHABET) + SMOOTH * size for k in (0, 1)]
-        for y in ALPHABET:
-            a, b = counts.get(x + y, (0, 0))
-            out.append(round(math.log((a + SMOOTH) / sums[0]) - math.log((b + SMOOTH) / sums[1]), 6))
-    return out
+    random, plain_words = (markov({r["pair"]: r[k] for r in rows}) for k in ("a", "b"))
+    return [round(random[x + y] - plain_words[x + y], 6) for x in ALPHABET for y in ALPHABET]
 
 
 def log_ratio(value: Column, model: list[float]) -> Column:
     """Sum over neighbouring characters of the log of random over ordinary."""
     table = F.from_json(F.lit(json.dumps(model)), "array<double>")
-    at = F.sequence(F.lit(1), F.length(value) - 1)
 
-    def place(i: Column) -> Column:
-        return F.instr(F.lit(ALPHABET), F.substring(value, i, F.lit(1)))
+    def place(c: Column) -> Column:
+        return F.instr(F.lit(ALPHABET), c)
 
-    return F.aggregate(at, F.lit(0.0), lambda acc, i: acc + F.element_at(
-        table, ((place(i) - 1) * len(ALPHABET) + place(i + 1)).cast("int")))
+    cells = _neighbours(value, lambda x, y: (place(x) - 1) * len(ALPHABET) + place(y))
+    return F.aggregate(cells, F.lit(0.0), lambda acc, i: acc + F.element_at(table, i.cast("int")))
 
 
 def scan(docs: DataFrame, labels: DataFrame) -> DataFrame:

@@ -1,21 +1,22 @@
 """Operator 7 [native]: personal data, with information-theoretic sanitisation.
 
 Patterns find e-mail and IP addresses, card and phone numbers. Each value is a
-protected entity. Words near its mentions (``REACH`` characters to each side)
-are counted over the corpus: a term t reveals an entity e by
-PMI(e; t) = log2(N n(e, t) / (n(e) n(t))), at most the entity's information
-IC(e) = log2(N / n(e)), which t reaches if it occurs with e only. A term is a
-disclosure if PMI >= ``SHARE`` x IC(e), it is near e in ``LEAST_TEXTS``
-different texts at least (copies are one text), and IC(e) is not 0. Mentions
-of such terms near e become spans: "term", to be removed if nothing else is
-known of the word, "name" (to be generalised) if it is capitalised.
-
-SQL functions only. Counts of terms and entities are over all documents, added
-up before they are shuffled; only terms near an entity are joined.
-
-Cases: a null or empty text has no spans. Repeated rows each give a row. An
-entity of one text is protected but has no disclosing terms. Other columns
-are not read.
+protected entity. Terms (words of three letters or more, outside the patterns'
+matches) are counted with it over the whole corpus, text by text: a term t
+reveals an entity e by PMI(e; t) = log2(N n(e, t) / (n(e) n(t))), at most the
+entity's information IC(e) = log2(N / n(e)), which t reaches if it occurs with e
+only. A term is a disclosure if PMI >= ``SHARE`` x IC(e), it shares
+``LEAST_TEXTS`` different texts with e at least (copies are one text), and IC(e)
+is not 0. All mentions of such terms, in all texts, become spans: "term", to be
+removed if nothing else is known of the word, "name" (to be generalised) if it
+is capitalised.
+
+SQL functions only. Counts are over all rows and added up before they are
+shuffled; only texts of entities that several texts hold give pairs.
+
+Cases: a null or empty text has no spans. Repeated rows each give a row; spans
+follow the text alone, so rows with a null id have theirs too. An entity of one
+text is protected but has no disclosing terms. Other columns are not read.
 """
 
 from __future__ import annotations
@@ -28,14 +29,14 @@ from .common import stored
 LOCAL = "A-Za-z0-9._%+-"
 # Each starts where its run of characters starts (or where the last match ended):
 # later starts in a run cannot match if the first does not, so long runs cost one try.
-EMAIL = rf"(?:\G|(?<![{LOCAL}]))[{LOCAL}]++@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+"
+EMAIL = rf"(?:\G|(?<![{LOCAL}]))[{LOCAL}]++@[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)++"
 IP = r"(?<![0-9])[0-9]++(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)"
 CARD = r"[0-9](?:[\x20-]?[0-9])++"
 PHONE = r"\+[0-9][\x20().0-9-]+[0-9]"
 _PART = "0*(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[0-9]{1,2})"
 KINDS = ("email", "ip", "card", "phone")
-REACH, SHARE, LEAST_TEXTS = 60, 0.8, 3
-TERM = r"(?<=[^\p{L}])\p{L}{3,}(?=[^\p{L}])"
+SHARE, LEAST_TEXTS = 0.8, 3
+TERM = r"\p{L}{3,}"
 
 
 def _text() -> Column:
@@ -54,40 +55,32 @@ def base_spans(text: Column) -> Column:
         spans.find(text, PHONE, "phone", 3, 0, text.contains("+"), lambda v, m: F.length(digits(v)).between(9, 15))))
 
 
-def mentions(rows: DataFrame) -> DataFrame:
-    """(doc_id, sign, entity, at, near): each base span with the text around it; ``at`` is where that begins."""
-    s = F.col("s")
-    begin = F.greatest(s["start"] - REACH, F.lit(0))
-    # A blank in place of the entity and at both edges, so that cut words are no terms.
-    return rows.select("doc_id", "sign", "text", F.explode("base").alias("s")).select(
-        "doc_id", "sign", F.concat_ws(":", s["kind"], F.lower(s["value"])).alias("entity"),
-        begin.alias("left_at"), F.substring("text", (begin + 1).cast("int"), (s["start"] - begin).cast("int")).alias("left"),
-        s["end"].alias("right_at"), F.substring("text", (s["end"] + 1).cast("int"), F.lit(REACH)).alias("right"))
+def _terms(text: Column) -> Column:
+    return F.array_distinct(F.transform(F.regexp_extract_all(text, F.lit(TERM), F.lit(0)), lambda w: F.lower(w)))
 
 
-def near_terms(found: DataFrame) -> DataFrame:
-    """(doc_id, sign, entity, term, word, start, end)."""
-    def side(name: str) -> Column:
-        shift = F.col(f"{name}_at")
-        inside = spans.find(F.col(name), TERM, "term", 4)
-        return F.transform(inside, lambda s: F.struct((s["start"] + shift).alias("start"), (s["end"] + shift).alias("end"), s["value"].alias("word")))
+def _rows_and_texts(rows: DataFrame, *key: str) -> DataFrame:
+    """Rows and different texts of each key."""
+    return (rows.groupBy(*key, "sign").agg(F.count("*").alias("rows"))
+            .groupBy(*key).agg(F.sum("rows").alias("rows"), F.count("*").alias("texts")))
 
-    return (found.select("doc_id", "sign", "entity", F.explode(F.concat(side("left"), side("right"))).alias("t"))
-            .select("doc_id", "sign", "entity", F.lower("t.word").alias("term"), "t.*"))
 
+def disclosures(found: DataFrame, docs: DataFrame) -> DataFrame:
+    """(entity, term, share) of the terms that reveal an entity.
 
-def disclosures(near: DataFrame, found: DataFrame, docs: DataFrame) -> DataFrame:
-    """(entity, term, share) of the terms that reveal an entity."""
+    ``found``: rows with spans, their ``sign``, ``text`` and ``base``.
+    """
     total = docs.agg(F.count("*").cast("double").alias("total"))
-    # Rows and different texts of a pair; copies of a text are added up first.
-    def pairs(rows: DataFrame, *key: str) -> DataFrame:
-        return (rows.groupBy(*key, "sign").agg(F.count_distinct("doc_id").alias("docs"))
-                .groupBy(*key).agg(F.sum("docs").alias("docs"), F.count("*").alias("texts")))
-
-    together = pairs(near, "entity", "term").where(F.col("texts") >= LEAST_TEXTS).withColumnsRenamed({"docs": "n_both"})
-    entities = pairs(found, "entity").select("entity", F.col("docs").alias("n_entity"))
-    words = docs.select(F.explode(F.array_distinct(F.regexp_extract_all(F.lower(_text()), F.lit(r"\p{L}{3,}"), F.lit(0)))).alias("term"))
-    terms = words.groupBy("term").agg(F.count("*").alias("n_term"))  # joined below as one row a term
+    names = F.array_distinct(F.transform("base", lambda s: F.concat_ws(":", s["kind"], F.lower(s["value"]))))
+    mentions = found.select("sign", F.explode(names).alias("entity"))
+    entities = stored(_rows_and_texts(mentions, "entity").where(F.col("texts") >= LEAST_TEXTS)
+                      .select("entity", F.col("rows").alias("n_entity")), "pii-entities")
+    # Only texts of such an entity are cut into terms.
+    around = found.select("sign", "text", "base", F.explode(names).alias("entity")).join(entities.select("entity"), "entity", "left_semi")
+    pairs = around.select("sign", "entity", F.explode(_terms(spans.replaced(F.col("text"), F.col("base"), lambda s: F.lit(" ")))).alias("term"))
+    together = (_rows_and_texts(pairs, "entity", "term").where(F.col("texts") >= LEAST_TEXTS)
+                .select("entity", "term", F.col("rows").alias("n_both")))
+    terms = docs.select(F.explode(_terms(_text())).alias("term")).groupBy("term").agg(F.count("*").alias("n_term"))  # joined below as one row a term
     rows = together.join(entities, "entity").join(terms, "term").crossJoin(F.broadcast(total))
     information = F.log2(F.col("total") / F.col("n_entity"))
     pmi = F.log2(F.col("total") * F.col("n_both") / (F.col("n_entity") * F.col("n_term")))
@@ -95,24 +88,28 @@ def disclosures(near: DataFrame, found: DataFrame, docs: DataFrame) -> DataFrame
             .where(F.col("share") >= SHARE).select("entity", "term", "share"))
 
 
+def _mentions_of(known: DataFrame, docs: DataFrame) -> DataFrame:
+    """(sign, more): the spans of disclosing terms in every text that holds one."""
+    rows = docs.select(_text().alias("text"), F.xxhash64(_text()).alias("sign"))
+    listed = known.select("term").distinct()
+    hits = stored(rows.select("sign", F.explode(_terms(F.col("text"))).alias("term")).join(listed, "term", "left_semi")
+                  .groupBy("sign").agg(F.collect_set("term").alias("terms")), "pii-hits")
+    found = spans.find(F.col("text"), TERM, "term", 4, keep=lambda v, m: F.array_contains("terms", F.lower(v)))
+    named = F.transform(found, lambda s: F.struct(s["start"].alias("start"), s["ord"].alias("ord"), s["end"].alias("end"),
+                                                  F.when(s["value"].rlike(r"^\p{Lu}"), "name").otherwise("term").alias("kind"), s["value"].alias("value")))
+    return rows.join(hits, "sign").select("sign", named.cast(spans.SPAN).alias("more")).groupBy("sign").agg(F.first("more").alias("more"))
+
+
 def scan(docs: DataFrame) -> DataFrame:
     """doc_id, sign (of the text), base (the patterns' spans) and spans (all, sorted) of every row."""
     rows = docs.select("doc_id", _text().alias("text"))
     rows = rows.select("doc_id", F.xxhash64("text").alias("sign"), "text", base_spans(F.col("text")).alias("base"))
     base = stored(rows.select("doc_id", "sign", "base", F.when(F.size("base") > 0, F.col("text")).alias("text")), "pii-spans")
-    some = base.where(F.size("base") > 0)
-    found = mentions(some)
-    near = stored(near_terms(found), "pii-terms")
-    known = stored(disclosures(near, found.select("doc_id", "sign", "entity"), docs), "pii-disclosures")
-    kind = F.when(F.col("word").rlike(r"^\p{Lu}"), F.lit("name")).otherwise(F.lit("term"))
-    extra = (near.join(known, ["entity", "term"]).select("doc_id", "sign", F.struct(
-        "start", F.lit(4).alias("ord"), "end", kind.alias("kind"), F.col("word").alias("value")).alias("s"))
-        .groupBy("doc_id", "sign").agg(F.collect_set("s").cast(spans.SPAN).alias("more")))
+    known = stored(disclosures(base.where(F.size("base") > 0), docs), "pii-disclosures")
+    extra = stored(_mentions_of(known, docs), "pii-terms")
     clear = F.filter("more", lambda s: ~F.exists("base", lambda b: (b["start"] < s["end"]) & (s["start"] < b["end"])))
-    # Rows with spans only take part in the join.
-    joined = some.drop("text").join(extra, ["doc_id", "sign"], "left").withColumn(
-        "spans", F.array_sort(F.concat("base", F.coalesce(clear, spans.none())))).drop("more")
-    return joined.unionByName(base.where(F.size("base") == 0).drop("text").withColumn("spans", spans.none()))
+    return (base.drop("text").join(extra, "sign", "left")
+            .withColumn("spans", F.when(F.col("more").isNull(), F.col("base")).otherwise(F.array_sort(F.concat("base", clear)))).drop("more"))
 
 
 def report(found: DataFrame) -> DataFrame:
@@ -122,10 +119,9 @@ def report(found: DataFrame) -> DataFrame:
 
 def sanitise(docs: DataFrame) -> DataFrame:
     """``docs`` with entities and names generalised to their kind in brackets, and other disclosing terms removed."""
-    some = (scan(docs).where(F.size("spans") > 0).where("doc_id IS NOT NULL")
-            .groupBy("doc_id", F.col("sign").alias("_sign")).agg(F.first("spans").alias("_spans")))
+    some = scan(docs).where(F.size("spans") > 0).groupBy(F.col("sign").alias("_sign")).agg(F.first("spans").alias("_spans"))
     text = _text()
     changed = spans.replaced(text, F.coalesce("_spans", spans.none()),
                              lambda s: F.when(s["kind"] == "term", F.lit("")).otherwise(F.concat(F.lit("["), s["kind"], F.lit("]"))))
-    out = docs.withColumn("_sign", F.xxhash64(text)).join(some, ["doc_id", "_sign"], "left")
+    out = docs.withColumn("_sign", F.xxhash64(text)).join(some, "_sign", "left")
     return out.withColumn("text", F.when(F.col("_spans").isNull(), F.col("text")).otherwise(changed)).select(*docs.columns)

@@ -1,10 +1,14 @@
 """Operators 3 and 7 against Python's regular expressions, and their models' decisions."""
 
 import hashlib
+import math
 import random
 import re
+import string
+import time
 
 import pytest
+from pyspark.sql import functions as F
 
 from stagecraft.llm import op3_secrets, op7_pii
 
@@ -95,6 +99,62 @@ def test_terms_that_reveal_an_entity(spark):
     assert "term:" not in by_id(op7_pii.report(op7_pii.scan(copies)), "spans")[0]
 
 
+def test_terms_are_marked_wherever_they_stand(spark):
+    """A term reveals its entity at any distance, at a text's edges, in texts without the entity and in rows without an id."""
+    filler = [f"plain words about nothing {w} " for w in ("alpha", "beta", "gamma", "delta")]
+    texts = [f"zebrafish {filler[i] * 30} ann@x.org {filler[i]} Quixotic" for i in range(4)]
+    texts += [f"{filler[i]} number {i} zebrafish" for i in range(2)] + [f"{f} {i}" for i in range(40) for f in filler]
+    docs = docs_of(spark, texts).unionByName(docs_of(spark, [texts[0] + " again"]).selectExpr("cast(null AS long) doc_id", "text", "lang", "source", "n_chars"))
+    rows = op7_pii.report(op7_pii.scan(docs)).collect()
+    got = {r["doc_id"]: r["spans"] for r in rows}
+    n = len(filler[0] * 30) + 11
+    assert got[0].split(",")[0] == "term:0:9" and f"email:{n}:{n + 9}" in got[0] and got[0].split(",")[-1].startswith("name:")
+    assert all(got[i].startswith("term:") for i in (4, 5)) and all(got[i] == "" for i in range(6, 60))
+    assert "term:0:9" in got[None] and "email:" in got[None]
+    clean = op7_pii.sanitise(docs).collect()
+    assert len(clean) == len(rows) and not any("zebrafish" in r["text"] or "ann@" in r["text"] for r in clean)
+
+
+def test_markov_ratio_equals_plain_counts(spark):
+    """The ratio as SQL computes it, against dictionaries; keys of letters alone are found too."""
+    rng = random.Random(4)
+    counts = [{"".join(rng.choices(op3_secrets.ALPHABET[:n], k=2)): rng.randint(1, 50) for _ in range(300)} for n in (66, 30)]
+    models = [op3_secrets.markov(c) for c in counts]
+    for m in models:
+        for x in op3_secrets.ALPHABET:
+            assert abs(sum(math.exp(m[x + y]) for y in op3_secrets.ALPHABET) - 1) < 1e-9
+    table = [models[0][x + y] - models[1][x + y] for x in op3_secrets.ALPHABET for y in op3_secrets.ALPHABET]
+    strings = ["".join(rng.choices(op3_secrets.ALPHABET, k=rng.randint(2, 60))) for _ in range(50)]
+    df = spark.createDataFrame([(s,) for s in strings], "s string")
+    for r in df.select("s", op3_secrets.log_ratio(F.col("s"), table).alias("v")).collect():
+        assert abs(r["v"] - sum(models[0][a + b] - models[1][a + b] for a, b in zip(r["s"], r["s"][1:]))) < 1e-9
+
+    words = ["configuration", "identifier", "maximumnumber", "requesthandler", "connectionpool", "internationalisation", "version"]
+    letters = string.ascii_letters
+    texts = [f"{' '.join(rng.choices(words, k=30))} token={''.join(rng.choices(letters + string.digits, k=40))}" for _ in range(200)]
+    texts += [f"{' '.join(rng.choices(words, k=9))} {''.join(rng.choices(letters, k=24))} {words[3]}" for _ in range(40)]
+    found = by_id(op3_secrets.report(op3_secrets.scan(docs_of(spark, texts), labels_of(spark, [(i, 1, 0) for i in range(200)]))), "spans")
+    assert sum("markov:" in found[i] for i in range(200, 240)) >= 38
+    assert not any("markov:" in found[i] for i in range(200))
+
+
+def test_long_runs_and_many_matches_take_their_time_once(spark):
+    """A long chain of labels, a long run of key characters, many addresses: places equal the regular expressions', in seconds."""
+    rng = random.Random(7)
+    labels = "mail x@a" + ".b" * 100_000 + " end"
+    run = "".join(rng.choices("abcdefABCDEF0123456789_-", k=1_000_000))
+    many = " ".join(f"u{i}@ex.org" for i in range(50_000))
+    got = by_id(op7_pii.report(op7_pii.scan(docs_of(spark, [labels, many]))), "n_email", "base_sha256")
+    begun = time.time()
+    assert got[0] == (1, hashlib.sha256(f"email:5:{len(labels) - 4}".encode()).hexdigest())
+    assert got[1] == (50_000, hashlib.sha256(personal_base(many).encode()).hexdigest())
+    found = by_id(op3_secrets.report(op3_secrets.scan(docs_of(spark, [run, "a token=abcdef123 b"]), labels_of(spark, [(1, 1, 0)]))), "spans")
+    assert time.time() - begun < 60 and set(found) == {0, 1}
+    begun = time.time()
+    clean = by_id(op7_pii.sanitise(docs_of(spark, [many, "x " + labels])), "text")
+    assert clean[0] == " ".join(["[email]"] * 50_000) and clean[1] == "x mail [email] end" and time.time() - begun < 60
+
+
 @pytest.mark.parametrize("make", [odd_docs, empty_docs])
 def test_odd_tables(spark, make):
     docs, labels = make(spark), labels_of(spark, [(1, 1, 0), (None, None, None)])
