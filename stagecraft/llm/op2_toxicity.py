@@ -6,7 +6,7 @@ ordinary, has its own discounted counts of stems and of endings after a stem.
 What discounting leaves goes to distributions that both classes share: stems
 by their number of different endings, endings after a stem by the counts of
 both classes together. So a rare word is judged by its stem, and a word with a
-stem never seen says nearly nothing.
+stem never seen says nothing.
 
 Both log-likelihoods are sums over words, so a word's difference of the two is
 one number. Words seen in training have theirs in a table; for other words the
@@ -63,8 +63,8 @@ def fold(doc_id: Column) -> Column:
     return F.crc32(doc_id.cast("string").cast("binary")) % 4
 
 
-def evidence(counts: DataFrame) -> tuple[DataFrame, DataFrame, float]:
-    """Log-likelihood differences: by word, by stem for other words, and one for other stems.
+def evidence(counts: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Log-likelihood differences: by word, and by stem for other words.
 
     ``counts``: (unit, a, b), occurrences in toxic and in ordinary texts.
     """
@@ -102,7 +102,7 @@ def evidence(counts: DataFrame) -> tuple[DataFrame, DataFrame, float]:
 
     by_word = rows.select("unit", (F.col("of_stem") + F.log(ending_share("a") / ending_share("b"))).cast("float").alias("llr"))
     by_stem = stems.select("stem", (F.col("of_stem") + F.log(F.col("a_left") / F.col("b_left"))).cast("float").alias("llr"))
-    return by_word, by_stem, float(np.log(spare["a"] / spare["b"]))
+    return by_word, by_stem
 
 
 def features(docs: DataFrame, labels: DataFrame) -> DataFrame:
@@ -113,13 +113,13 @@ def features(docs: DataFrame, labels: DataFrame) -> DataFrame:
              .select("doc_id", F.when(F.col("toxic") == 1, "a").otherwise("b").alias("group")))
     bitmaps = stored(marks(index_rows(postings).join(group, "doc_id").select("block", "pos", "group")), "toxic-marks")
     counts = stored(marked_counts(postings, bitmaps, "string"), "toxic-counts")
-    by_word, by_stem, other = evidence(counts)
+    by_word, by_stem = evidence(counts)
     # Both joins read one shuffle of the postings; only words that training has not seen move on to their stems.
     rows = postings.where("ids IS NULL AND unit IS NOT NULL").select("block", "unit", "post")
     by_word = stored(by_word, "toxic-words").where("unit IS NOT NULL")
     known = rows.join(by_word, "unit").select("block", "post", "llr")
     rest = (rows.join(by_word, "unit", "left_anti").select("block", "post", F.substring("unit", 1, STEM).alias("stem"))
-            .join(by_stem, "stem", "left").select("block", "post", F.coalesce("llr", F.lit(other).cast("float")).alias("llr")))
+            .join(by_stem, "stem", "left").select("block", "post", "llr"))  # a stem never seen speaks for neither class: 0
     scored = known.unionByName(rest).withColumn("llr", F.coalesce("llr", F.lit(0.0)))
     scored = scored.withColumn("clear", F.greatest(F.col("llr") - CLEAR, F.lit(0.0)))
     return doc_sums(postings, scored, ["llr", "clear"])

@@ -292,15 +292,20 @@ def join(docs: DataFrame) -> DataFrame:
 
 
 def one_of_each(docs: DataFrame) -> DataFrame:
-    """One row of ``docs`` for each near-duplicate class: its least id.
+    """One row of ``docs`` for each near-duplicate class: its least id, ids that name one row before others.
 
-    Rows of a repeated id stay once if their texts are equal.
+    Rows are judged one by one: those without an id, or of an id that several
+    rows have, get numbers of their own above all ids. Rows without words all stay.
     """
-    gone = stored(join(docs).where("doc_id <> class_id").select("doc_id").distinct(), "jaccard-gone")
+    own = F.col("doc_id").cast("long")
     again = stored(docs.where("doc_id IS NOT NULL").groupBy("doc_id").agg(F.count("*").alias("m")).where("m > 1").select("doc_id"), "jaccard-again")
-    once = docs.join(again, "doc_id", "left_semi").join(gone, "doc_id", "left_anti").dropDuplicates(["doc_id", "text"])
-    rest = docs.join(gone.union(again), "doc_id", "left_anti")
-    return rest.select(*docs.columns).unionByName(once.select(*docs.columns))
+    unclear = docs.join(again, "doc_id", "left_semi").unionByName(docs.where("doc_id IS NULL"))
+    top = docs.agg(F.coalesce(F.max(own), F.lit(0)).alias("_top"))
+    numbered = stored(unclear.select(*docs.columns).withColumn("_row", F.monotonically_increasing_id()), "jaccard-rows")
+    keyed = numbered.crossJoin(F.broadcast(top)).withColumn("_key", F.col("_top") + 1 + F.col("_row"))  # one row
+    keyed = docs.where("doc_id IS NOT NULL").join(again, "doc_id", "left_anti").select(*docs.columns, own.alias("_key")).unionByName(keyed.select(*docs.columns, "_key"))
+    gone = stored(join(keyed.select(F.col("_key").alias("doc_id"), "text")).where("doc_id <> class_id").select(F.col("doc_id").alias("_key")), "jaccard-gone")
+    return keyed.join(gone, "_key", "left_anti").select(*docs.columns)
 
 
 #: The same result by brute force over all shared n-grams, for DuckDB.

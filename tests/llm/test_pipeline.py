@@ -59,3 +59,16 @@ def test_null_and_repeated_ids_are_judged_by_row(spark, tmp_path):
     assert {(None, junk), (62, texts[62])} <= set(kept["decontaminate"])
     assert len(kept["secrets"]) == 86 and not any("token=abc" in (t or "") for _, t in kept["secrets"])
     assert {(63, texts[63]), (None, junk), (None, passage)} <= set(kept["secrets"])
+
+
+def test_near_duplicates_keep_every_different_text(spark):
+    """Rows of one id with different texts, and rows without an id, are judged one by one."""
+    rng = random.Random(3)
+    a, b, c, d = (" ".join("".join(rng.choices("abcdefgh", k=5)) for _ in range(40)) for _ in range(4))
+    rows = [(1, a), (7, a), (7, b), (9, b), (7, c), (None, c), (None, d), (None, d), (None, None), (5, ""), (5, "")]
+    docs = spark.createDataFrame([(i, t, "en", "s", 1, "k") for i, t in rows], "doc_id long, text string, lang string, source string, n_chars long, sign string")
+    kept = dict(corpus_pipeline.STAGES)["near_duplicates"](spark, docs, "")
+    assert kept.columns == docs.columns
+    found = [(r["doc_id"], r["text"]) for r in kept.collect()]
+    assert sorted(t for _, t in found if t) == sorted([a, b, c, d])
+    assert (1, a) in found and (9, b) in found and found.count((5, "")) == 2 and (None, None) in found
