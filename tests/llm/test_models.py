@@ -121,11 +121,10 @@ def word_evidence(counts: dict[str, tuple[int, int]]):
     def difference(word):
         s = cut(word)[0]
         logs = []
+        if s not in kinds:
+            return 0.0  # a stem that training has not seen speaks for neither class
         for seen, d, stem, types, n in models:
             left = d * len(stem) / n
-            if s not in kinds:
-                logs.append(math.log(left))
-                continue
             p = max(stem[s] - d, 0) / n + left * kinds[s] / len(counts)
             back = d * types[s] / stem[s] if stem[s] else 1.0
             own = max(seen.get(word, 0) - d, 0) / stem[s] if stem[s] else 0.0
