@@ -15,6 +15,7 @@ from pyspark.sql import Column, functions as F
 
 from . import fixtures as fx
 from . import staging
+from .functions.paths import hidden_name
 from .operators.manifest import build_manifest, listing_from_stage
 from .operators.transitions import reset_stuck, resume, suspend
 from .plans.ingest import file_ingest
@@ -23,6 +24,7 @@ from .sources.loader import LoadTemplate, load_files, load_results, load_stage,
 from .sources.stage import list_stage, unload
 from .sources.tables import ManifestStore, clone_schema, empty_manifest, templates_table
 from .streaming.ingest import start_stream_ingest
+from .streaming.stage import drain_stage
 
 
 def _dir_key(c: Column | str) -> Column:
@@ -42,11 +44,14 @@ def _template(spark, name) -> LoadTemplate:
 # ---------------------------------------------------------------- O01 list stage
 
 def q_list_stage(spark, sf):
-    _, stage = _stage(spark, sf)
+    """Files, empty files and hidden names of every staged folder."""
+    root, stage = _stage(spark, sf)
+    staging.stage_odd_files(spark, sf, root)
     listing = list_stage(spark, stage)
     return (listing.groupBy(_dir_key("path").alias("stage_dir"))
             .agg(F.count(F.lit(1)).alias("files"),
-                 F.sum(F.when(F.col("length") == 0, 1).otherwise(0)).cast("long").alias("empty_files")))
+                 F.sum(F.when(F.col("length") == 0, 1).otherwise(0)).cast("long").alias("empty_files"),
+                 F.sum(hidden_name("path").cast("long")).alias("hidden_files")))
 
 
 _D_MONTH_O = "strftime(o_orderdate, '%Y-%m')"
@@ -54,13 +59,14 @@ _D_MONTH_L = "strftime(l_shipdate, '%Y-%m')"
 
 O_LIST_STAGE = f"""
 with dirs as (
-  select distinct 'TPCH/ORDERS/month=' || {_D_MONTH_O} as stage_dir from orders
+  select distinct 'TPCH/ORDERS/month=' || {_D_MONTH_O} as stage_dir, 1 as files, 0 as odd from orders
    where o_orderpriority in ('1-URGENT', '5-LOW')
-  union select distinct 'TPCH/JORDERS/month=' || {_D_MONTH_O} from orders where o_orderpriority = '2-HIGH'
-  union select distinct 'TPCH/OTHER/month=' || {_D_MONTH_O} from orders
+  union select distinct 'TPCH/JORDERS/month=' || {_D_MONTH_O}, 1, 0 from orders where o_orderpriority = '2-HIGH'
+  union select distinct 'TPCH/OTHER/month=' || {_D_MONTH_O}, 1, 0 from orders
    where o_orderpriority in ('3-MEDIUM', '4-NOT SPECIFIED')
-  union select distinct 'TPCH/LINEITEM/month=' || {_D_MONTH_L} from lineitem)
-select stage_dir, cast(1 as bigint) as files, cast(0 as bigint) as empty_files from dirs
+  union select distinct 'TPCH/LINEITEM/month=' || {_D_MONTH_L}, 1, 0 from lineitem
+  union select distinct 'TPCH/ODD/month=' || {_D_MONTH_O}, 3, 1 from orders)
+select stage_dir, cast(files as bigint) as files, cast(odd as bigint) as empty_files, cast(2 * odd as bigint) as hidden_files from dirs
 """
 
 # ---------------------------------------------------------------- O03 load
@@ -372,6 +378,62 @@ def q_ingest_suspend_resume(spark, sf):
     return _target_rows(spark, root)
 
 
+# ---------------------------------------------------------------- O01/O02/O35 odd files, a bad template
+
+
+def _odd_ingest(spark, sf, templates, **options):
+    """Staged orders and odd files, loaded by one run: history rows by route and status."""
+    root, stage = _stage(spark, sf, ("ORDERS", "JORDERS", "OTHER"))
+    staging.stage_odd_files(spark, sf, root)
+    control = build_manifest(listing_from_stage(list_stage(spark, stage)), ALL_ROUTES)
+    store = ManifestStore.create(spark, f"{root}/manifest", control)
+    run = file_ingest(spark, store, templates, target_root=f"{root}/target", history_path=f"{root}/history", files_to_process=1_000_000,
+                      files_at_once=50, tries=3, owner_session=1, run_id="odd", wave_files=100_000, **options)
+    if run.summary.termination_reason != "Processed_All_Waiting_Files":
+        raise RuntimeError(f"the run ended by {run.summary.termination_reason}")
+    rows = store.read().join(read_history(spark, run.history_path).withColumnRenamed("file_name", "file_path"), "file_path", "left")
+    return (rows.groupBy(_route_of("file_path"), "ingestion_status")
+            .agg(F.count(F.lit(1)).alias("files"), F.sum("row_count").alias("row_count"), F.sum("error_count").alias("error_count")))
+
+
+#: Every staged folder has a template; odd files are taken for orders.
+ALL_ROUTES = [*staging.STAGE_ROUTES, ("%/TPCH/OTHER/%", "ORDERS"), ("%/TPCH/ODD/%", "ORDERS")]
+
+
+def _route_of(column: str) -> Column:
+    return F.regexp_extract(column, "/TPCH/([A-Z]+)/", 1).alias("route")
+
+
+def q_ingest_odd_files(spark, sf):
+    """Empty files load with 0 rows; files that readers pass over are told so, never counted as loaded."""
+    return _odd_ingest(spark, sf, staging.load_templates(spark))
+
+
+def q_ingest_one_bad_template(spark, sf):
+    """The JSON template cannot be read: its files fail with the reason, all others load."""
+    rows = staging.template_rows()
+    for row in rows:
+        if row["statement_name"] == "JORDERS":
+            row["schema_ddl"] = "o_orderkey not_a_type"
+    return _odd_ingest(spark, sf, templates_table(spark, rows), on_template_error="continue")
+
+
+def _o_routes(bad_json: bool, status: str = "ingestion_status") -> str:
+    """Files and rows by route and status."""
+    failed = "true" if bad_json else "false"
+    return f"""
+with rows_ as (
+  select case when o_orderpriority in ('1-URGENT', '5-LOW') then 'ORDERS' when o_orderpriority = '2-HIGH' then 'JORDERS' else 'OTHER' end as route,
+         {_D_MONTH_O} as month, o_orderstatus = 'P' and o_orderpriority in ('1-URGENT', '5-LOW', '2-HIGH') as bad from orders),
+files_ as (
+  select route, month, count(*) as n, sum(bad::int) as errors, {failed} and route = 'JORDERS' as failed from rows_ group by route, month
+  union all select 'ODD', month, 0, 0, kind > 1 from (select distinct month from rows_) cross join (values (1), (2), (3)) k(kind))
+select route, case when failed then 'LOAD_FAILED' when errors = 0 then 'LOADED' when errors < n then 'PARTIALLY_LOADED' else 'LOAD_FAILED' end as {status},
+       count(*) as files, cast(sum(case when failed then 0 else n - errors end) as bigint) as row_count,
+       cast(sum(case when failed then 0 else errors end) as bigint) as error_count
+from files_ group by all
+"""
+
 # ---------------------------------------------------------------- O07 / O08 / O09
 
 
@@ -416,6 +478,21 @@ def q_stream_ingest(spark, sf):
     return read_target(spark, f"{root}/target/EVENTS", staging.EVENTS_DDL)
 
 
+def q_stream_all_routes(spark, sf):
+    """One stream over the whole stage, stopped and started again: every file once, by route and status."""
+    root, stage = _stage(spark, sf, ("ORDERS", "JORDERS"))
+
+    def drain():
+        drain_stage(spark, stage, ALL_ROUTES, staging.load_templates(spark), target_root=f"{root}/target", history_path=f"{root}/history",
+                    checkpoint_path=f"{root}/checkpoint", run_id="routes", max_files_per_trigger=100)
+    drain()
+    staging.stage_tables(spark, sf, root, ("OTHER",))  # more files come while no query runs
+    staging.stage_odd_files(spark, sf, root)
+    drain()
+    return (read_history(spark, f"{root}/history").groupBy(_route_of("file_name"), "status")
+            .agg(F.count(F.lit(1)).alias("files"), F.sum("row_count").alias("row_count"), F.sum("error_count").alias("error_count")))
+
+
 O_STREAM_INGEST = "select event_id, ts, user_id, event_type, value, props from events"
 
 
@@ -428,6 +505,8 @@ QUERIES = {
     "load_edge_paths": q_load_edge_paths,
     "ingest_rerun": q_ingest_rerun,
     "ingest_suspend_resume": q_ingest_suspend_resume,
+    "ingest_odd_files": q_ingest_odd_files,
+    "ingest_one_bad_template": q_ingest_one_bad_template,
     "clone_load": q_clone_load,
     "reset_manifest": q_reset_manifest,
     "unload_roundtrip": q_unload_roundtrip,
@@ -435,6 +514,7 @@ QUERIES = {
     "ingest_job": q_ingest_job,
     "ingest_summary": q_ingest_summary,
     "stream_ingest": q_stream_ingest,
+    "stream_all_routes": q_stream_all_routes,
 }
 
 ORACLES = {
@@ -446,6 +526,8 @@ ORACLES = {
     "load_edge_paths": O_LOAD_EDGE_PATHS,
     "ingest_rerun": _O_TARGET_ROWS,
     "ingest_suspend_resume": _O_TARGET_ROWS,
+    "ingest_odd_files": _o_routes(False),
+    "ingest_one_bad_template": _o_routes(True),
     "clone_load": O_LOAD_FILES,
     "reset_manifest": O_RESET_MANIFEST,
     "unload_roundtrip": O_UNLOAD_ROUNDTRIP,
@@ -453,4 +535,5 @@ ORACLES = {
     "ingest_job": O_INGEST_JOB,
     "ingest_summary": O_INGEST_SUMMARY,
     "stream_ingest": O_STREAM_INGEST,
+    "stream_all_routes": _o_routes(False, "status"),
 }

@@ -93,3 +93,15 @@ def path_key(path: Column | str, default_fs: str) -> Column:
     c = _col(path)
     full = F.when(c.startswith("/"), F.concat(F.lit(default_fs), c)).otherwise(c)
     return F.regexp_replace(full, "^([A-Za-z][A-Za-z0-9+.-]*):/+", "$1:/")
+
+
+def hidden_name(path: Column | str) -> Column:
+    """Whether Spark's file readers pass a file over for its name (fixed rule of Spark's file index)."""
+    name = F.regexp_extract(F.col(path) if isinstance(path, str) else path, "[^/]*$", 0)
+    return (name.startswith("_") & ~name.contains("=")) | name.startswith(".") | name.endswith("._COPYING_")
+
+
+def is_hidden(path: str) -> bool:
+    """``hidden_name`` of one path."""
+    name = path.rsplit("/", 1)[-1]
+    return name.startswith("_") and "=" not in name or name.startswith(".") or name.endswith("._COPYING_")

@@ -16,9 +16,10 @@ from __future__ import annotations
 
 import datetime as dt
 import math
-from concurrent.futures import ThreadPoolExecutor
 import time
 import uuid
+from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
@@ -29,7 +30,7 @@ from ..operators.manifest import count_duplicates
 from ..operators.transitions import claim_rows, recover_results
 from ..schemas import CONTROL_COLUMNS, RUN_SUMMARY_SCHEMA, WAITING
 from ..session import literal_rows, materialize
-from ..sources.loader import LoadTemplate, load_files, load_results, read_history, write_history
+from ..sources.loader import LoadTemplate, failed_history, load_files, load_results, read_history, write_history
 from ..sources.tables import ManifestStore
 
 # Argument rules and their messages (the first failing rule wins).
@@ -106,7 +107,7 @@ class IngestRun:
     batches: int = 0
 
 
-def _templates_at(templates: DataFrame, now: Column) -> dict[str, LoadTemplate]:
+def templates_at(templates: DataFrame, now: Column) -> dict[str, LoadTemplate]:
     """Templates in force, one per name. The template table is configuration
     (a row per load statement), so it is read on the driver."""
     return {r["statement_name"]: LoadTemplate.from_row(r) for r in valid_templates(templates, now).collect()}
@@ -116,7 +117,7 @@ def file_ingest(spark: SparkSession, store: ManifestStore, templates: DataFrame,
                 target_root: str, history_path: str, sort_order: str = "ASC",
                 files_to_process: int = 1000, files_at_once: int = 100, max_run_minutes: float = 60,
                 tries: int = 3, run_id: str | None = None, owner_session: int | None = None,
-                wave_files: int | None = None, clock=None) -> IngestRun:
+                wave_files: int | None = None, clock=None, on_template_error: str = "stop") -> IngestRun:
     """Run one ingest job over the manifest in ``store``; see the module text.
 
     ``wave_files`` bounds the files of one wave (default: one batch, or about
@@ -124,7 +125,12 @@ def file_ingest(spark: SparkSession, store: ManifestStore, templates: DataFrame,
     what others have recorded since it planned and leaves out files that are
     no longer WAITING (the kill switch). Change records are folded into a new
     base by ``ManifestStore.compact`` while no run is active. ``clock`` returns the current time (tests pass a fixed one).
+    ``on_template_error``: "stop" ends the run at the first template whose load
+    fails as a whole; "continue" marks that template's files of the wave
+    LOAD_FAILED with the error and goes on, so one bad template holds up no other.
     """
+    if on_template_error not in ("stop", "continue"):
+        raise ValueError("on_template_error must be 'stop' or 'continue'")
     clock = clock or _utc_now
     summary = RunSummary()
     run = IngestRun(summary, history_path, target_root)
@@ -152,7 +158,7 @@ def file_ingest(spark: SparkSession, store: ManifestStore, templates: DataFrame,
     if not control.where("exec_uuid IS NOT NULL").isEmpty() and not history.isEmpty():
         store.update(lambda c: recover_results(c, history, now))
         control = store.read()
-    live = _templates_at(templates, now)
+    live = templates_at(templates, now)
     if wave_files is None:
         wave_files = max(files_at_once, 4 * _cores(spark))
     per_wave = max(1, int(wave_files) // files_at_once)
@@ -174,7 +180,7 @@ def file_ingest(spark: SparkSession, store: ManifestStore, templates: DataFrame,
             lo, hi = done + 1, min(done + per_wave, n_batches)
             wave = _still_waiting(store, plan.where(F.col("_wave") == F.lit((lo - 1) // per_wave)), planned_at)
             try:
-                claimed = _run_wave(spark, store, wave, live, run, run_id, owner_session, clock, batch + lo)
+                claimed = _run_wave(spark, store, wave, live, run, run_id, owner_session, clock, batch + lo, on_template_error)
             except Exception as e:  # noqa: BLE001 - the run reports the error and stops
                 reason = "ERROR: " + str(e).split("\n")[0]
                 break
@@ -210,8 +216,41 @@ def _still_waiting(store: ManifestStore, wave: DataFrame, planned_at: int) -> Da
     return wave.join(taken, "file_path", "left_anti")
 
 
+def load_groups(spark: SparkSession, groups: dict[str, list[str]], live: dict[str, LoadTemplate], target_root: str,
+                load_id: Callable[[str], str], on_template_error: str = "stop") -> DataFrame:
+    """History rows of the files of several templates, whose loads run side by side.
+
+    Templates load into different targets, so a small one does not leave the
+    cluster idle. With "continue" the files of a template that is not in force,
+    or whose load fails as a whole, are LOAD_FAILED with the error.
+    """
+    def load(item):
+        name, paths = item
+        tpl = live.get(name) if on_template_error == "continue" else live[name]
+        if tpl is None:
+            return failed_history(spark, dict.fromkeys(paths, f"No template '{name}' is in force"), None, load_id(name))
+        try:
+            return load_files(spark, paths, tpl, f"{target_root}/{tpl.target}", load_id(name))
+        except Exception as e:
+            if on_template_error == "stop":
+                raise
+            lines = [x.strip() for x in str(e).splitlines() if x.strip()]
+            return failed_history(spark, dict.fromkeys(paths, lines[0] if lines else type(e).__name__), tpl.target, load_id(name))
+
+    items = list(groups.items())
+    if len(items) == 1:
+        histories = [load(items[0])]
+    else:
+        with ThreadPoolExecutor(max_workers=min(len(items), MAX_PARALLEL_TEMPLATES)) as pool:
+            histories = list(pool.map(load, items))
+    hist = histories[0]
+    for h in histories[1:]:
+        hist = hist.unionByName(h)
+    return hist
+
+
 def _run_wave(spark: SparkSession, store: ManifestStore, wave: DataFrame, live: dict[str, LoadTemplate],
-              run: IngestRun, run_id: str, owner_session, clock, first_batch: int) -> int:
+              run: IngestRun, run_id: str, owner_session, clock, first_batch: int, on_template_error: str) -> int:
     """Claim, load and record one wave; returns the number of files claimed."""
     claim_at = ntz_literal(clock())
     claimed = materialize(claim_rows(wave.select(*CONTROL_COLUMNS), run_id=run_id,
@@ -225,23 +264,7 @@ def _run_wave(spark: SparkSession, store: ManifestStore, wave: DataFrame, live:
         return 0
     store.append_changes(claimed)
 
-    def load(item):
-        name, paths = item
-        tpl = live[name]
-        load_id = f"{run_id}-b{first_batch:08d}-{name}"
-        return load_files(spark, paths, tpl, f"{run.target_root}/{tpl.target}", load_id)
-
-    # Templates of a wave load into different targets: run their jobs side by
-    # side so a small template does not leave the cluster idle.
-    items = list(by_template.items())
-    if len(items) == 1:
-        histories = [load(items[0])]
-    else:
-        with ThreadPoolExecutor(max_workers=min(len(items), MAX_PARALLEL_TEMPLATES)) as pool:
-            histories = list(pool.map(load, items))
-    hist = histories[0]
-    for h in histories[1:]:
-        hist = hist.unionByName(h)
+    hist = load_groups(spark, by_template, live, run.target_root, lambda name: f"{run_id}-b{first_batch:08d}-{name}", on_template_error)
     # The history rows are final (per-file figures were written by the loads).
     # Writing them commits the wave's loads.
     write_history(hist, run.history_path)

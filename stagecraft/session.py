@@ -105,6 +105,15 @@ def write_prefix(spark: SparkSession, source: str, target: str, share: float = 0
     writer.close()
 
 
+def write_text(spark: SparkSession, path: str, text: str) -> None:
+    """One small file with a name of its own, empty or not."""
+    jpath, fs = hadoop_path(spark, path)
+    writer = fs.create(jpath)
+    if text:
+        writer.write(bytearray(text.encode()))
+    writer.close()
+
+
 def default_file_system(spark: SparkSession) -> str:
     """Prefix of paths that name no file system, such as ``file://``."""
     return spark._jsparkSession.sessionState().newHadoopConf().get("fs.defaultFS", "file:///").rstrip("/")

@@ -23,7 +23,7 @@ from typing import Any
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F, types as T
 
 from ..schemas import LOAD_FAILED, LOAD_HISTORY_SCHEMA, LOADED, PARTIALLY_LOADED
-from ..functions.paths import path_key
+from ..functions.paths import hidden_name, is_hidden, path_key
 from ..session import default_file_system, literal_rows, materialize, partition_folder, path_exists
 
 ON_ERROR_MODES = ("continue", "skip_file", "abort_statement")
@@ -264,28 +264,32 @@ KIND_SKIPPED = "skipped"      # good rows of files (or batches) an on_error rule
 KIND_BLANK = "blank"
 
 
+#: Error of files that Spark's readers pass over: they are reported, never taken for empty ones.
+HIDDEN_FILE = "Name begins with '_' or '.': Spark's file readers pass it over"
+
+
 def load_files(spark: SparkSession, paths: list[str], tpl: LoadTemplate, target_path: str,
                load_id: str) -> DataFrame:
     """Load ``paths`` with ``tpl`` into ``target_path`` (partition ``_load_id=load_id``).
 
     Returns one load-history row per requested file (files with no rows
-    included; missing and unreadable files are LOAD_FAILED with their error,
-    and the others load). A repeated call with the same ``load_id`` replaces that
+    included; missing, unreadable and hidden-named files are LOAD_FAILED with
+    their error, and the others load). A repeated call with the same ``load_id`` replaces that
     partition, so a retried batch never adds rows twice.
     """
     if not paths:
         return spark.createDataFrame([], LOAD_HISTORY_SCHEMA)
     schema_of(spark, tpl.schema_ddl)  # a template that cannot be read is no file's fault
-    failed = {p: "File not found" for p in paths if not path_exists(spark, p)}
+    failed = {p: HIDDEN_FILE if is_hidden(p) else "File not found" for p in paths if is_hidden(p) or not path_exists(spark, p)}
     while True:
         good = [p for p in paths if p not in failed]
         if not good:
-            return _failures(spark, failed, tpl, load_id)
+            return failed_history(spark, failed, tpl.target, load_id)
         # One array literal exploded on the JVM: no Python workers for the list.
         requested = spark.range(1).select(F.explode(F.lit(good).cast("array<string>")).alias("file_name"))
         try:
             history = load_parsed(parse_staged(spark, good, tpl), requested, tpl, target_path, load_id)
-            return history.unionByName(_failures(spark, failed, tpl, load_id)) if failed else history
+            return history.unionByName(failed_history(spark, failed, tpl.target, load_id)) if failed else history
         except Exception as e:
             # Nothing was committed. Leave out the files that cannot be read; any other error is the caller's.
             unreadable = unreadable_files(spark, good, tpl)
@@ -306,13 +310,14 @@ def unreadable_files(spark: SparkSession, paths: list[str], tpl: LoadTemplate) -
     except Exception as e:  # noqa: BLE001 - any error of a single file is that file's error
         if len(paths) == 1:
             lines = [x.strip() for x in str(e).splitlines() if x.strip()]
-            return {paths[0]: lines[0][:500] if lines else type(e).__name__}
+            return {paths[0]: lines[0] if lines else type(e).__name__}
     half = len(paths) // 2
     return {**unreadable_files(spark, paths[:half], tpl), **unreadable_files(spark, paths[half:], tpl)}
 
 
-def _failures(spark: SparkSession, failed: dict[str, str], tpl: LoadTemplate, load_id: str) -> DataFrame:
-    rows = [(p, LOAD_FAILED, 0, 0, message, None, None, None, 0, load_id, tpl.target) for p, message in failed.items()]
+def failed_history(spark: SparkSession, failed: dict[str, str], target: str | None, load_id: str) -> DataFrame:
+    """History rows of files that no load has read, with their errors."""
+    rows = [(p, LOAD_FAILED, 0, 0, message, None, None, None, 0, load_id, target) for p, message in failed.items()]
     return literal_rows(spark, rows, LOAD_HISTORY_SCHEMA)
 
 
@@ -322,8 +327,14 @@ def load_stage(spark: SparkSession, prefix: str, tpl: LoadTemplate, target_path:
     stage listing as a DataFrame: no file list passes through the driver."""
     from .stage import list_stage
     # Written before the load starts: the report and the load see the same files.
-    requested = materialize(list_stage(spark, prefix).select(F.col("path").alias("file_name")), f"load-list-{tpl.name}")
-    return load_parsed(parse_staged(spark, prefix, tpl), requested, tpl, target_path, load_id)
+    listed = materialize(list_stage(spark, prefix).select(F.col("path").alias("file_name")), f"load-list-{tpl.name}")
+    history = load_parsed(parse_staged(spark, prefix, tpl), listed.where(~hidden_name("file_name")), tpl, target_path, load_id)
+    values = {"file_name": F.col("file_name"), "status": F.lit(LOAD_FAILED), "first_error_message": F.lit(HIDDEN_FILE),
+              "load_id": F.lit(load_id), "target": F.lit(tpl.target)}
+    hidden = listed.where(hidden_name("file_name")).select([
+        values.get(f.name, F.lit(0 if f.name in ("row_count", "row_parsed", "error_count") else None)).cast(f.dataType).alias(f.name)
+        for f in LOAD_HISTORY_SCHEMA.fields])
+    return history.unionByName(hidden)
 
 
 def _landing(parsed: DataFrame, schema: T.StructType, load_id: str, kind: Column) -> DataFrame:

@@ -10,9 +10,8 @@ Layout below ``root``:
     TPCH/ALLJSON/month=YYYY-MM/part-*.json   all orders as JSON lines (on demand)
 
 Each month directory holds exactly one file with its lines sorted by key,
-so per-file results are reproducible. (No empty file is staged: Spark's
-file scans skip zero-length files, so a listing never shows one; an empty
-file named explicitly in a load is reported as LOADED with 0 rows.) Bad lines are seeded by a rule on the
+so per-file results are reproducible. ``stage_odd_files`` adds
+``TPCH/ODD/month=YYYY-MM/`` with an empty file and two hidden-named ones. Bad lines are seeded by a rule on the
 data (status 'P'): in ORDERS, 1-URGENT rows lose all but two fields and
 5-LOW rows get the total price 'n/a'; in JORDERS the JSON text is cut off.
 """
@@ -26,6 +25,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from . import fixtures as fx
 from .sources.loader import LoadTemplate
+from .session import write_text
 from .sources.tables import templates_table
 
 ORDERS_DDL = ("o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double, "
@@ -142,6 +142,19 @@ def stage_tables(spark: SparkSession, sf_dir: str, root: str,
     return stage
 
 
+def stage_odd_files(spark: SparkSession, sf_dir: str, root: str) -> str:
+    """For every month of orders a folder with an empty file and two whose names readers pass over.
+
+    Test input: one folder a month, written by the driver.
+    """
+    months = fx.base_table(spark, sf_dir, "orders").select(F.date_format("o_orderdate", "yyyy-MM").alias("m")).distinct()
+    for r in months.collect():
+        folder = f"{root.rstrip('/')}/TPCH/ODD/month={r['m']}"
+        for name, text in (("empty.csv", ""), ("_note.csv", r["m"]), (".draft.csv", r["m"])):
+            write_text(spark, f"{folder}/{name}", text)
+    return f"{root.rstrip('/')}/TPCH"
+
+
 def stage_events(spark: SparkSession, sf_dir: str, root: str) -> str:
     """Events as CSV files, one per day directory (input of the stream run)."""
     ev = fx.base_table(spark, sf_dir, "events")

@@ -2,13 +2,14 @@
 
 import io
 import random
+import re
 from contextlib import redirect_stdout
 
 from pyspark.sql import functions as F
 
 from stagecraft import fixtures as fx
 from stagecraft.operators.ranking import number_within
-from stagecraft.session import work_dir
+from stagecraft.session import materialize, work_dir
 from stagecraft.sources.loader import read_target
 from stagecraft.sources.stage import list_stage
 
@@ -27,14 +28,14 @@ def test_skew_safe_numbering_range_partitions(spark):
     df = spark.createDataFrame([("hot" if rng.random() < 0.9 else "x", i) for i in range(500)], "g string, k int")
     out = number_within(df, ["g"], [F.col("k").asc()], "rn")
     plan = _plan(out, "simple")
-    # The rows (big side) are scanned from the numbered folder straight into a
-    # broadcast join: no exchange on the group between the scan and the join.
-    big_side = plan[plan.index("BroadcastHashJoin"):plan.index("BroadcastExchange")]
-    assert "FileScan parquet" in big_side and "numbered-" in big_side
-    assert "Exchange" not in big_side
-    # The only shuffle on the group is over the pre-aggregated offset table.
-    small_side = plan[plan.index("BroadcastExchange"):]
-    assert small_side.index("Exchange hashpartitioning(g") < small_side.index("partial_min")
+    # Whatever the planner broadcasts: the numbered rows are read back from their folder,
+    # and no exchange deals rows by the group alone; a group's counts are pre-aggregated.
+    assert "numbered-" in plan and "FileScan parquet" in plan
+    exchanges = re.findall(r"Exchange hashpartitioning\(([^)]*)\)", plan)
+    by_group = [e for e in exchanges if re.match(r"g#\d+, \d+$", e)]
+    for e in by_group:
+        below = plan[plan.index(f"Exchange hashpartitioning({e})"):]
+        assert re.search(r"partial_(min|count)", below)
     assert sorted(r.rn for r in out.where("g = 'hot'").collect()) == list(range(1, out.where("g = 'hot'").count() + 1))
 
 
@@ -46,8 +47,8 @@ def test_projection_reads_only_needed_columns(spark):
 
 
 def test_listing_reads_no_content(spark):
-    plan = _plan(list_stage(spark, SF))
-    assert "content" not in plan.split("ReadSchema:")[1].split("\n")[0]
+    plan = _plan(list_stage(spark, SF), "simple")
+    assert "BatchScan stage_listing" in plan and "content" not in plan and "binaryFile" not in plan
 
 
 def test_target_read_prunes_kinds(spark):
@@ -78,13 +79,9 @@ def test_claim_is_distributed_top_k(spark):
 
 def test_path_key_join_drops_keyless_rows_first(spark):
     from stagecraft.operators.monitor import load_log
-    out = load_log(fx.fixture(spark, SF, "control"), fx.fixture(spark, SF, "history"))
-    plan = _plan(out, "simple")
-    join_at = plan.index("HashJoin")
-    # both inputs are filtered on a non-null key below the join (pushed into the scans)
-    below = plan[join_at:]
-    filters = [ln for ln in below.splitlines() if "Filter" in ln and "isnotnull(CASE WHEN RLIKE" in ln
-               and "DataFilters" not in ln]
-    assert len(filters) >= 2
-    assert "DataFilters: [isnotnull(CASE WHEN RLIKE" in below
+    tables = [materialize(fx.fixture(spark, SF, name), f"plan-{name}") for name in ("control", "history")]
+    out = load_log(*tables)
+    plan = _plan(out)
+    # Paths without "/" have no key: the plain test goes into the scan of both sides.
+    assert "StringContains(file_path,/)" in plan and "StringContains(file_name,/)" in plan
     assert out.where("file_name is null").count() == 0
