@@ -645,9 +645,11 @@ ORACLES: dict[str, str] = {
 
 
 def _merge_file_queries():
-    from . import catalog_files
+    from . import catalog_files, catalog_live
     QUERIES.update(catalog_files.QUERIES)
     ORACLES.update(catalog_files.ORACLES)
+    QUERIES.update(catalog_live.QUERIES)  # the same results as the scans they stand beside
+    ORACLES.update(live_load_stats=O_LOAD_STATS, live_progress_eta=O_PROGRESS_ETA, live_stuck_files=O_STUCK_FILES)
 
 
 _merge_file_queries()

@@ -123,7 +123,11 @@ def progress_eta(control: DataFrame, now: Column, segments: int = 12) -> DataFra
     One pass over the manifest (conditional aggregates) instead of one
     scalar subquery per figure.
     """
-    parts = _percent_complete_parts(control)
+    return eta_columns(_percent_complete_parts(control), now, segments)
+
+
+def eta_columns(parts: DataFrame, now: Column, segments: int) -> DataFrame:
+    """The figures of ``progress_eta`` from loaded bytes, all bytes and the first start."""
     pct = F.try_divide(F.col("_loaded"), F.col("_all")) * F.lit(100.0)
     secs = seconds_between(F.col("_first_start"), now).cast("double")
     running = F.round(secs / F.lit(60.0))

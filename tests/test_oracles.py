@@ -9,9 +9,9 @@ import pytest
 import __spark_entry__ as entry
 from compare import compare
 from conftest import SF_ORACLE, SF_SMALL
-from stagecraft import catalog, catalog_files
+from stagecraft import catalog, catalog_files, catalog_live
 
-FILE_QUERIES = set(catalog_files.QUERIES)
+FILE_QUERIES = set(catalog_files.QUERIES) | set(catalog_live.QUERIES)
 NAMES = sorted(catalog.QUERIES)  # the optional training-data queries have tests of their own
 
 
