@@ -15,7 +15,7 @@ from . import fixtures as fx
 from .functions.paths import (last_modified_to_timestamp, stage_path_shorten, stage_path_shorten_sql)
 from .functions.text import progress_bar, progress_bar_sql
 from .functions.warehouse import NODES_BY_SIZE, nodes_per_warehouse, nodes_per_warehouse_sql
-from .operators import batches, manifest, monitor, sizing, transitions
+from .operators import batches, manifest, monitor, routing, sizing, transitions
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 
@@ -183,6 +183,30 @@ select file_path, {_route_sql('file_path')} as copy_into_name from listing
 """
 
 
+#: A table of rules as large as the part table: four kinds of patterns, one of wildcards only, numbers out of order.
+_RULES = """
+select cast((p_partkey * 7919) % 1000003 as bigint) as rule_no,
+       case p_partkey % 4 when 0 then concat('%/data_', cast(p_partkey as {TEXT}), '%')
+            when 1 then concat('%S/data\\_', cast(p_partkey * 7 as {TEXT}), '.csv')
+            when 2 then concat('s3://%_', cast(p_partkey as {TEXT}), '.csv')
+            else concat('stages_____%', cast(p_partkey % 10 as {TEXT}), '.c%v') end as pattern,
+       concat('T', cast(p_partkey as {TEXT})) as copy_into_name
+from part union all select 2000000, '%/TPCH/ORDERS/%', 'ORDERS' union all select 2000001, concat(repeat('_', 36), '%'), 'LONG'
+"""
+
+
+def q_route_many_rules(spark, sf):
+    fx.base_table(spark, sf, "part").createOrReplaceTempView("part")
+    rules = spark.sql(_RULES.replace("{TEXT}", "string").replace("\\", "\\\\"))
+    return routing.route_by_rules(_fix(spark, sf, "listing").select("file_path"), rules)
+
+
+O_ROUTE_MANY_RULES = _with("listing", extra="rules as (" + _RULES.replace("{TEXT}", "varchar") + ")") + """
+select l.file_path, (select arg_min(r.copy_into_name, (r.rule_no, r.pattern)) from rules r where l.file_path like r.pattern escape '\\') as copy_into_name
+from listing l
+"""
+
+
 def q_build_manifest(spark, sf):
     return manifest.build_manifest(_fix(spark, sf, "listing_text"), fx.ROUTES)
 
@@ -579,6 +603,7 @@ QUERIES: dict[str, QueryFn] = {
     "progress_bar": q_progress_bar,
     "nodes_lookup": q_nodes_lookup,
     "route_files": q_route_files,
+    "route_many_rules": q_route_many_rules,
     "build_manifest": q_build_manifest,
     "duplicate_check": q_duplicate_check,
     "duplicate_files": q_duplicate_files,
@@ -614,6 +639,7 @@ ORACLES: dict[str, str] = {
     "progress_bar": O_PROGRESS_BAR,
     "nodes_lookup": O_NODES_LOOKUP,
     "route_files": O_ROUTE_FILES,
+    "route_many_rules": O_ROUTE_MANY_RULES,
     "build_manifest": O_BUILD_MANIFEST,
     "duplicate_check": O_DUPLICATE_CHECK,
     "duplicate_files": O_DUPLICATE_FILES,

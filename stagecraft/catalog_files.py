@@ -147,7 +147,7 @@ rows_ as (
   from orders where o_orderpriority in ('1-URGENT', '5-LOW')
   union all
   select 'JORDERS', 'TPCH/JORDERS/month=' || {_D_MONTH_O}, o_orderkey, o_orderstatus = 'P',
-         'Invalid JSON record', cast(null as varchar), cast(null as bigint)
+         'Invalid JSON record', 'O_ORDERKEY', length('{{"o_orderkey":' || cast(o_orderkey as varchar) || ',') + 1
   from orders where o_orderpriority = '2-HIGH'
   union all
   select 'OTHER', 'TPCH/OTHER/month=' || {_D_MONTH_O}, o_orderkey, false,

@@ -23,6 +23,7 @@ from typing import Any
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F, types as T
 
 from ..schemas import LOAD_FAILED, LOAD_HISTORY_SCHEMA, LOADED, PARTIALLY_LOADED
+from ..functions.json_places import json_error
 from ..functions.paths import hidden_name, is_hidden, path_key
 from ..session import default_file_system, literal_rows, materialize, partition_folder, path_exists
 
@@ -224,7 +225,9 @@ def parse_lines(lines: DataFrame, tpl: LoadTemplate, schema: T.StructType | None
         rows = rows.withColumn("_raw", F.when(F.col("_bad"), _raw_fields(tpl, schema)))
         msg, col, pos = _error_details(tpl, schema)
     else:
-        msg, col, pos = F.lit("Invalid JSON record"), F.lit(None).cast("string"), F.lit(None).cast("long")
+        texts = T.StructType([T.StructField(f.name, T.StringType()) for f in schema.fields])
+        rows = rows.withColumn("_raw", F.when(F.col("_bad"), F.from_json(F.when(F.col("_bad"), F.col("value")), texts, {**opts, "mode": "PERMISSIVE"})))
+        msg, col, pos = json_error(F.col("value"), F.col("_row"), F.col("_raw"), schema)
     err = F.when(F.col("_bad"), F.struct(msg.alias("message"), col.alias("col_name"), pos.alias("position")))
     return rows.withColumn("_err", err).drop("_raw")
 
