@@ -35,7 +35,10 @@ CARD = r"[0-9](?:[\x20-]?[0-9])++"
 PHONE = r"\+[0-9][\x20().0-9-]+[0-9]"
 _PART = "0*(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[0-9]{1,2})"
 KINDS = ("email", "ip", "card", "phone")
-SHARE, LEAST_TEXTS = 0.8, 3
+#: As mentions are marked wherever they stand, a term must say nearly all: 0.95 is n(e, t) / n(t) >= (n(e) / N) ** 0.05.
+SHARE, LEAST_TEXTS = 0.95, 3
+#: Rows of an entity that are counted in one group; an entity of more is split by text.
+SPLIT_ROWS = 2000
 TERM = r"\p{L}{3,}"
 
 
@@ -60,9 +63,9 @@ def _terms(text: Column) -> Column:
 
 
 def _rows_and_texts(rows: DataFrame, *key: str) -> DataFrame:
-    """Rows and different texts of each key."""
-    return (rows.groupBy(*key, "sign").agg(F.count("*").alias("rows"))
-            .groupBy(*key).agg(F.sum("rows").alias("rows"), F.count("*").alias("texts")))
+    """Rows and different texts of each key; ``rows`` of a text are added up first."""
+    return (rows.groupBy(*key, "sign").agg(F.sum("n").alias("n"))
+            .groupBy(*key).agg(F.sum("n").alias("rows"), F.count("*").alias("texts")))
 
 
 def disclosures(found: DataFrame, docs: DataFrame) -> DataFrame:
@@ -72,14 +75,19 @@ def disclosures(found: DataFrame, docs: DataFrame) -> DataFrame:
     """
     total = docs.agg(F.count("*").cast("double").alias("total"))
     names = F.array_distinct(F.transform("base", lambda s: F.concat_ws(":", s["kind"], F.lower(s["value"]))))
-    mentions = found.select("sign", F.explode(names).alias("entity"))
+    mentions = found.select("sign", F.explode(names).alias("entity"), F.lit(1).alias("n"))
     entities = stored(_rows_and_texts(mentions, "entity").where(F.col("texts") >= LEAST_TEXTS)
                       .select("entity", F.col("rows").alias("n_entity")), "pii-entities")
-    # Only texts of such an entity are cut into terms.
-    around = found.select("sign", "text", "base", F.explode(names).alias("entity")).join(entities.select("entity"), "entity", "left_semi")
-    pairs = around.select("sign", "entity", F.explode(_terms(spans.replaced(F.col("text"), F.col("base"), lambda s: F.lit(" ")))).alias("term"))
-    together = (_rows_and_texts(pairs, "entity", "term").where(F.col("texts") >= LEAST_TEXTS)
-                .select("entity", "term", F.col("rows").alias("n_both")))
+    # Only texts of such an entity are cut into terms, and they travel as one row a text and entity.
+    # An entity of many rows is split by text, so all copies of a text stay together.
+    around = found.select("sign", "text", "base", F.explode(names).alias("entity")).join(entities, "entity")
+    around = around.select("entity", "sign", F.pmod(F.col("sign"), F.ceil(F.col("n_entity") / SPLIT_ROWS)).alias("part"),
+                           (F.col("n_entity") <= SPLIT_ROWS).alias("alone"),
+                           _terms(spans.replaced(F.col("text"), F.col("base"), lambda s: F.lit(" "))).alias("terms"))
+    pairs = around.repartition("entity", "part").select("entity", "part", "alone", "sign", F.explode("terms").alias("term"), F.lit(1).alias("n"))
+    parts = _rows_and_texts(pairs, "entity", "part", "alone", "term").where(F.col("texts") >= F.when(F.col("alone"), LEAST_TEXTS).otherwise(1))
+    together = (parts.groupBy("entity", "term").agg(F.sum("rows").alias("n_both"), F.sum("texts").alias("texts"))
+                .where(F.col("texts") >= LEAST_TEXTS).drop("texts"))
     terms = docs.select(F.explode(_terms(_text())).alias("term")).groupBy("term").agg(F.count("*").alias("n_term"))  # joined below as one row a term
     rows = together.join(entities, "entity").join(terms, "term").crossJoin(F.broadcast(total))
     information = F.log2(F.col("total") / F.col("n_entity"))
@@ -91,7 +99,7 @@ def disclosures(found: DataFrame, docs: DataFrame) -> DataFrame:
 def _mentions_of(known: DataFrame, docs: DataFrame) -> DataFrame:
     """(sign, more): the spans of disclosing terms in every text that holds one."""
     rows = docs.select(_text().alias("text"), F.xxhash64(_text()).alias("sign"))
-    listed = known.select("term").distinct()
+    listed = stored(known.select("term").distinct(), "pii-listed")
     hits = stored(rows.select("sign", F.explode(_terms(F.col("text"))).alias("term")).join(listed, "term", "left_semi")
                   .groupBy("sign").agg(F.collect_set("term").alias("terms")), "pii-hits")
     found = spans.find(F.col("text"), TERM, "term", 4, keep=lambda v, m: F.array_contains("terms", F.lower(v)))
