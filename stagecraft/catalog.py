@@ -15,7 +15,10 @@ from . import fixtures as fx
 from .functions.paths import (last_modified_to_timestamp, stage_path_shorten, stage_path_shorten_sql)
 from .functions.text import progress_bar, progress_bar_sql
 from .functions.warehouse import NODES_BY_SIZE, nodes_per_warehouse, nodes_per_warehouse_sql
-from .operators import batches, manifest, monitor, routing, sizing, transitions
+from .operators import asof, batches, manifest, monitor, routing, sizing, transitions
+from .session import work_dir
+from .sources import buckets
+from .sources.tables import write_templates
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 
@@ -321,6 +324,49 @@ from control c join valid_templates t on c.copy_into_name = t.statement_name
 """
 
 
+def q_template_at_start(spark, sf):
+    """The template in force at each file's own start (not at one time for all)."""
+    found = asof.template_at(_fix(spark, sf, "control"), _fix(spark, sf, "templates"))
+    return found.select("file_path", "copy_into_name", "start_time", F.col("version.statement_text").alias("statement_text"))
+
+
+O_TEMPLATE_AT_START = _with("control", "templates") + """
+select c.file_path, c.copy_into_name, c.start_time, t.statement_text
+from control c left join templates t on t.statement_name = c.copy_into_name and t.effective <= c.start_time
+  and (t.superseded is null or t.superseded > c.start_time)
+qualify row_number() over (partition by c.file_path order by t.effective desc nulls last) = 1
+"""
+
+
+def q_template_table(spark, sf):
+    """A template for each route of the manifest, written, replaced as a whole and read again: its files and bytes."""
+    path = work_dir(spark, "templates")
+    c = _fix(spark, sf, "control").where("copy_into_name IS NOT NULL")
+
+    def routes(kind, since):
+        return c.groupBy(F.col("copy_into_name").alias("statement_name")).agg(F.min("ingestion_order").alias("first")).select(
+            "statement_name", F.concat(F.lit("RAW_"), "statement_name").alias("target"), F.lit(kind).alias("file_format"),
+            F.lit("o_orderkey bigint").alias("schema_ddl"), F.create_map(F.lit("sep"), F.lit("|")).alias("options"),
+            F.lit("continue").alias("on_error"), F.expr(since).alias("effective"), F.lit(None).cast("timestamp_ntz").alias("superseded"))
+
+    write_templates(routes("json", "first"), path)
+    write_templates(routes("csv", "first + interval 1 day"), path)
+    live = spark.read.parquet(path)
+    return (c.join(live, (F.col("copy_into_name") == F.col("statement_name")) & (F.col("ingestion_order") >= F.col("effective")))
+            .groupBy("statement_name", "target", "file_format", "on_error", F.col("options")["sep"].alias("sep"))
+            .agg(F.min("effective").alias("effective"), F.count(F.lit(1)).alias("files"), F.sum("file_size").alias("bytes")))
+
+
+O_TEMPLATE_TABLE = _with("control", extra="""
+live as (select copy_into_name as statement_name, min(ingestion_order) + interval 1 day as effective
+         from control where copy_into_name is not null group by 1)""") + """
+select t.statement_name, 'RAW_' || t.statement_name as target, 'csv' as file_format, 'continue' as on_error, '|' as sep,
+       min(t.effective) as effective, count(*) as files, cast(sum(c.file_size) as bigint) as bytes
+from control c join live t on c.copy_into_name = t.statement_name and c.ingestion_order >= t.effective
+group by t.statement_name
+"""
+
+
 def q_claim_next(spark, sf):
     return batches.claim_next(_fix(spark, sf, "control"), tries=TRIES, files_at_once=FILES_AT_ONCE,
                               sort_order=SORT, run_id=RUN_ID, owner_session=OWNER, now=_now(),
@@ -345,9 +391,22 @@ O_CLAIM_NEXT = _with("control", "templates", extra=_D_VALID_TEMPLATES + "," + _D
     f"select {_CONTROL_COLS} from claimed"
 
 
-def _plan(spark, sf):
+def q_claim_next_desc(spark, sf):
+    return batches.claim_next(_fix(spark, sf, "control"), tries=TRIES, files_at_once=FILES_AT_ONCE,
+                              sort_order="DESC", run_id=RUN_ID, owner_session=OWNER, now=_now(),
+                              templates=_fix(spark, sf, "templates"))
+
+
+def _descending(sql: str) -> str:
+    return sql.replace(ORDER_SQL, "ingestion_order desc nulls last, file_path asc")
+
+
+O_CLAIM_NEXT_DESC = _descending(O_CLAIM_NEXT)
+
+
+def _plan(spark, sf, sort_order=SORT):
     return batches.plan_batches(_fix(spark, sf, "control"), tries=TRIES, files_at_once=FILES_AT_ONCE,
-                                sort_order=SORT, templates=_fix(spark, sf, "templates"), now=_now())
+                                sort_order=sort_order, templates=_fix(spark, sf, "templates"), now=_now())
 
 
 def q_plan_batches(spark, sf):
@@ -358,6 +417,13 @@ _D_PLAN_ALL = _D_VALID_TEMPLATES + "," + _D_ROUTABLE + "," + _D_PLAN
 O_PLAN_BATCHES = _with("control", "templates", extra=_D_PLAN_ALL) + "select * from plan"
 
 
+def q_plan_batches_desc(spark, sf):
+    return _plan(spark, sf, "DESC")
+
+
+O_PLAN_BATCHES_DESC = _descending(O_PLAN_BATCHES)
+
+
 def q_batch_file_list(spark, sf):
     return batches.batch_file_lists(_plan(spark, sf), _fix(spark, sf, "templates"), _now())
 
@@ -498,6 +564,32 @@ from control c join history h on ({_short('c.file_path')}) = ({_short('h.file_na
 """
 
 
+#: Buckets of the fixtures' stored tables; both sides of a join have the same number.
+BUCKETS = 16
+
+
+def q_load_log_bucketed(spark, sf):
+    """The load log from stored tables that were filled in two parts each."""
+    root = work_dir(spark, "buckets")
+    tables = []
+    for name, path_col in (("control", "file_path"), ("history", "file_name")):
+        rows = buckets.keyed_rows(_fix(spark, sf, name), path_col)
+        table = buckets.path_table(spark, f"{root}/{name}", rows, BUCKETS)
+        for part in (0, 1):
+            table.append(rows.where(F.pmod(F.hash(path_col), F.lit(2)) == part), f"p{part}")
+        tables.append(table)
+    return buckets.bucketed_load_log(*tables)
+
+
+def q_duplicate_files_bucketed(spark, sf):
+    """Files of a second listing that the stored first one holds already, or that come twice."""
+    known = buckets.KnownPaths(spark, work_dir(spark, "known"), BUCKETS)
+    c = _fix(spark, sf, "control")
+    known.add(c, "first")
+    again = c.where(F.col("ingestion_status") == "LOADING").select("file_path")
+    return known.duplicates(again)
+
+
 def _targets(spark, sf):
     return {"ORDERS": fx.base_table(spark, sf, "orders"),
             "LINEITEM": fx.base_table(spark, sf, "lineitem"),
@@ -631,6 +723,12 @@ QUERIES: dict[str, QueryFn] = {
     "progress_eta": q_progress_eta,
     "recommend_batch": q_recommend_batch,
     "size_profile": q_size_profile,
+    "template_at_start": q_template_at_start,
+    "template_table": q_template_table,
+    "claim_next_desc": q_claim_next_desc,
+    "plan_batches_desc": q_plan_batches_desc,
+    "load_log_bucketed": q_load_log_bucketed,
+    "duplicate_files_bucketed": q_duplicate_files_bucketed,
 }
 
 ORACLES: dict[str, str] = {
@@ -667,6 +765,12 @@ ORACLES: dict[str, str] = {
     "progress_eta": O_PROGRESS_ETA,
     "recommend_batch": O_RECOMMEND_BATCH,
     "size_profile": O_SIZE_PROFILE,
+    "template_at_start": O_TEMPLATE_AT_START,
+    "template_table": O_TEMPLATE_TABLE,
+    "claim_next_desc": O_CLAIM_NEXT_DESC,
+    "plan_batches_desc": O_PLAN_BATCHES_DESC,
+    "load_log_bucketed": O_LOAD_LOG,
+    "duplicate_files_bucketed": O_DUPLICATE_FILES,
 }
 
 

@@ -205,6 +205,21 @@ def q_unload_roundtrip(spark, sf):
 
 O_UNLOAD_ROUNDTRIP = f"select {_ORDER_COLS} from orders"
 
+#: Bytes of a file of a sized unload: small, so that the fixtures fill several.
+UNLOAD_BYTES = 256 * 1024
+
+
+def q_unload_sized(spark, sf):
+    """Orders unloaded to files of a given size; every file's length must be within twice of it either way."""
+    path = work_dir(spark, "unload") + "/TPCH/ORDERS"
+    orders = fx.base_table(spark, sf, "orders")
+    unload(orders, path, "csv", target_bytes=UNLOAD_BYTES)
+    sizes = list_stage(spark, path).agg(F.count(F.lit(1)).alias("n"), F.min("length").alias("least"), F.max("length").alias("most")).first()
+    if sizes["most"] > 2 * UNLOAD_BYTES or (sizes["n"] > 1 and 2 * sizes["least"] < UNLOAD_BYTES):
+        raise RuntimeError(f"files of {sizes['least']} to {sizes['most']} bytes, not about {UNLOAD_BYTES}")
+    return (spark.read.schema(staging.ORDERS_DDL)
+            .option("timestampNTZFormat", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS").csv(path))
+
 def q_lineitem_roundtrip(spark, sf):
     """Unload lineitem to CSV in parallel (O06), list the stage (O01) and load
     every listed file back with the LINEITEM template (O03)."""
@@ -510,6 +525,7 @@ QUERIES = {
     "clone_load": q_clone_load,
     "reset_manifest": q_reset_manifest,
     "unload_roundtrip": q_unload_roundtrip,
+    "unload_sized": q_unload_sized,
     "lineitem_roundtrip": q_lineitem_roundtrip,
     "ingest_job": q_ingest_job,
     "ingest_summary": q_ingest_summary,
@@ -531,6 +547,7 @@ ORACLES = {
     "clone_load": O_LOAD_FILES,
     "reset_manifest": O_RESET_MANIFEST,
     "unload_roundtrip": O_UNLOAD_ROUNDTRIP,
+    "unload_sized": O_UNLOAD_ROUNDTRIP,
     "lineitem_roundtrip": O_LINEITEM_ROUNDTRIP,
     "ingest_job": O_INGEST_JOB,
     "ingest_summary": O_INGEST_SUMMARY,

@@ -81,11 +81,15 @@ LOG_CONTROL_COLUMNS = ["ingestion_order", "ingestion_status", "owner_session", "
 
 def load_log(control: DataFrame, history: DataFrame) -> DataFrame:
     """Manifest rows beside their load history rows."""
-    j = _keyed(control, history)
+    return log_columns(_keyed(control, history), history.columns)
+
+
+def log_columns(joined: DataFrame, known: list[str]) -> DataFrame:
+    """The load log's columns of manifest rows "C" joined with history rows "L"; those not ``known`` are null."""
     types = {f.name: f.dataType for f in LOAD_HISTORY_SCHEMA.fields}
-    hist_cols = [F.col(f"L.{c}") if c in history.columns else F.lit(None).cast(types[c]).alias(c)
+    hist_cols = [F.col(f"L.{c}") if c in known else F.lit(None).cast(types[c]).alias(c)
                  for c in LOG_HISTORY_COLUMNS]
-    return j.select(F.col("C.file_path"), *hist_cols, *[F.col(f"C.{c}") for c in LOG_CONTROL_COLUMNS])
+    return joined.select(F.col("C.file_path"), *hist_cols, *[F.col(f"C.{c}") for c in LOG_CONTROL_COLUMNS])
 
 
 def target_counts(targets: Mapping[str, DataFrame]) -> DataFrame:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+import math
 import re
 from collections.abc import Mapping, Sequence
 
@@ -85,15 +86,34 @@ def _name_pattern(glob: str) -> str:
 
 def unload(df: DataFrame, stage_path: str, file_format: str = "csv",
            options: Mapping[str, str] | None = None, partition_by: Sequence[str] = (),
-           mode: str = "overwrite") -> None:
+           mode: str = "overwrite", target_bytes: int | None = None) -> None:
     """Write a table to a stage prefix, one file per task (the unload is parallel).
 
-    CSV is written without a header; timestamps keep microseconds.
+    CSV is written without a header; timestamps keep microseconds. With
+    ``target_bytes`` (CSV and JSON) the rows are dealt over as many writers as
+    make files of about that size, whatever the splits of the input: one pass
+    adds up the bytes of all lines, and a round-robin shuffle shares the rows
+    out evenly. Sizes are those before compression; one row is never split.
     """
     opts = {"timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS",
             "timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX"} if file_format == "csv" else {}
     opts.update(options or {})
+    if target_bytes is not None:
+        if partition_by:
+            raise ValueError("target_bytes is for unloads without partition_by")
+        df = df.repartition(writers_for(df, file_format, opts, target_bytes))
     writer = df.write.mode(mode).format(file_format).options(**opts)
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     writer.save(stage_path)
+
+
+def writers_for(df: DataFrame, file_format: str, options: Mapping[str, str], target_bytes: int) -> int:
+    """Files of ``target_bytes`` that the rows fill as lines of text, at least one."""
+    if file_format not in ("csv", "json"):
+        raise ValueError("target_bytes is for csv and json")
+    if int(target_bytes) < 1:
+        raise ValueError("target_bytes must be positive")
+    line = (F.to_csv if file_format == "csv" else F.to_json)(F.struct(*[F.col("`" + c.replace("`", "``") + "`") for c in df.columns]), dict(options))
+    total = df.select((F.octet_length(line) + 1).cast("long").alias("bytes")).agg(F.sum("bytes")).first()[0]
+    return max(1, math.ceil((total or 0) / int(target_bytes)))
