@@ -111,11 +111,11 @@ O_LOAD_JSON_FILES = f"select {_ORDER_COLS} from orders where o_orderstatus <> 'P
 # ---------------------------------------------------------------- O04 / O05 results and history
 
 
-def _history(spark, sf, routes):
+def _history(spark, sf, routes, on_error="continue"):
     root, stage = _stage(spark, sf, tuple(routes))
 
     def load(route):
-        tpl = _template(spark, _TEMPLATE_OF[route])
+        tpl = staging.template(_TEMPLATE_OF[route], on_error)
         return load_stage(spark, f"{stage}/{route}", tpl, f"{root}/target/{route}", f"q-{route}")
 
     # Different targets: the loads run side by side.
@@ -193,6 +193,22 @@ select stage_dir, status, row_count, row_parsed, first_error_message, first_erro
 from history
 """
 
+
+
+def q_load_skip_file(spark, sf):
+    """Files with any bad row load nothing at all."""
+    hist = _history(spark, sf, ["ORDERS", "JORDERS", "OTHER", "LINEITEM"], "skip_file")
+    return hist.select(_dir_key("file_name").alias("stage_dir"), "status", "row_count", "row_parsed",
+                       "first_error_message", "first_error_line_number", "error_count")
+
+
+O_LOAD_SKIP_FILE = "with " + _D_FILE_ROWS + """
+select stage_dir, case when error_count > 0 then 'LOAD_FAILED' else 'LOADED' end as status,
+       case when error_count > 0 then cast(0 as bigint) else row_count end as row_count, row_parsed,
+       first_error_message, first_error_line_number, error_count
+from history
+"""
+
 # ---------------------------------------------------------------- O06 unload
 
 
@@ -303,9 +319,9 @@ def q_load_edge_paths(spark, sf):
     folder = F.element_at(names, (F.col("o_orderkey") % 8 + 1).cast("int")).alias("name")
     (orders.select(staging.orders_csv_line(bad=False).alias("value"), folder)
      .write.partitionBy("name").text(f"{root}/in"))
-    # A gzip file without its end: the first half of a whole one, written as bytes.
-    orders.select(staging.orders_csv_line(bad=False).alias("value")).coalesce(1).write.text(f"{root}/gz", compression="gzip")
-    whole = list_stage(spark, f"{root}/gz").where("path like '%.gz'").first()["path"]
+    # A gzip file without its end: the first half of the largest of the parts, written as bytes.
+    orders.select(staging.orders_csv_line(bad=False).alias("value")).write.text(f"{root}/gz", compression="gzip")
+    whole = list_stage(spark, f"{root}/gz").where("path like '%.gz'").orderBy(F.col("length").desc(), "path").first()["path"]
     cut = f"{root}/in/cut.csv.gz"
     write_prefix(spark, whole, cut)
     paths = [r["path"] for r in list_stage(spark, f"{root}/in").where("path not like '%.gz'").select("path").collect()]
@@ -329,8 +345,8 @@ select 'LOAD_FAILED', cast(0 as bigint), cast(0 as bigint), true, count(*), cast
 
 
 def _ingest_setup(spark, sf):
-    root, stage = _stage(spark, sf, ("ORDERS", "JORDERS", "LINEITEM"))
-    control = build_manifest(listing_from_stage(list_stage(spark, stage)), staging.STAGE_ROUTES)
+    root, stage = _stage(spark, sf)
+    control = build_manifest(listing_from_stage(list_stage(spark, stage)), ALL_ROUTES)
     store = ManifestStore.create(spark, f"{root}/manifest", control)
     args = dict(target_root=f"{root}/target", history_path=f"{root}/history", files_to_process=1_000_000,
                 files_at_once=50, tries=3, owner_session=1)
@@ -350,7 +366,7 @@ def _target_rows(spark, root):
 
 _O_TARGET_ROWS = """
 select 'ORDERS' as target, count(*) as n_rows, cast(sum(o_orderkey) as bigint) as key_sum from orders
- where o_orderpriority in ('1-URGENT', '5-LOW') and o_orderstatus <> 'P'
+ where o_orderpriority in ('3-MEDIUM', '4-NOT SPECIFIED') or o_orderpriority in ('1-URGENT', '5-LOW') and o_orderstatus <> 'P'
 union all
 select 'JORDERS', count(*), cast(sum(o_orderkey) as bigint) from orders where o_orderpriority = '2-HIGH' and o_orderstatus <> 'P'
 union all
@@ -470,10 +486,13 @@ def q_reset_manifest(spark, sf):
 
 
 O_RESET_MANIFEST = f"""
-select case when o_orderpriority = '2-HIGH' then 'JORDERS' else 'ORDERS' end as copy_into_name,
-       count(distinct {_D_MONTH_O}) as files from orders where o_orderpriority in ('1-URGENT', '5-LOW', '2-HIGH') group by 1
-union all
-select 'LINEITEM', count(distinct {_D_MONTH_L}) from lineitem
+with dirs as (
+  select distinct case when o_orderpriority = '2-HIGH' then 'JORDERS' else 'ORDERS' end as copy_into_name,
+         case when o_orderpriority = '2-HIGH' then 'JORDERS' when o_orderpriority in ('1-URGENT', '5-LOW') then 'ORDERS' else 'OTHER' end as route,
+         {_D_MONTH_O} as month from orders
+  union all
+  select distinct 'LINEITEM', 'LINEITEM', {_D_MONTH_L} from lineitem)
+select copy_into_name, count(*) as files from dirs group by 1
 """
 
 # ---------------------------------------------------------------- O50 stream
@@ -517,6 +536,7 @@ QUERIES = {
     "load_json_files": q_load_json_files,
     "load_results": q_load_results,
     "load_history": q_load_history,
+    "load_skip_file": q_load_skip_file,
     "load_edge_paths": q_load_edge_paths,
     "ingest_rerun": q_ingest_rerun,
     "ingest_suspend_resume": q_ingest_suspend_resume,
@@ -539,6 +559,7 @@ ORACLES = {
     "load_json_files": O_LOAD_JSON_FILES,
     "load_results": O_LOAD_RESULTS,
     "load_history": O_LOAD_HISTORY,
+    "load_skip_file": O_LOAD_SKIP_FILE,
     "load_edge_paths": O_LOAD_EDGE_PATHS,
     "ingest_rerun": _O_TARGET_ROWS,
     "ingest_suspend_resume": _O_TARGET_ROWS,

@@ -26,6 +26,7 @@ from ..schemas import LOAD_FAILED, LOAD_HISTORY_SCHEMA, LOADED, PARTIALLY_LOADED
 from ..functions.json_places import json_error
 from ..functions.paths import hidden_name, is_hidden, path_key
 from ..session import default_file_system, literal_rows, materialize, partition_folder, path_exists
+from .probe import MISSING, can_probe, failing_files
 
 ON_ERROR_MODES = ("continue", "skip_file", "abort_statement")
 TEXT_FORMATS = ("csv", "json")
@@ -160,7 +161,7 @@ def parse_staged(spark: SparkSession, paths: list[str] | str, tpl: LoadTemplate)
 
     ``paths`` is an explicit file list, or one prefix read recursively."""
     schema = schema_of(spark, tpl.schema_ddl)
-    prefix = _prefix_option(paths)
+    prefix = _read_options(paths)
     paths = literal_path(paths) if isinstance(paths, str) else [literal_path(p) for p in paths]
     if reads_lines(tpl):
         reader = spark.read.options(**prefix)
@@ -203,8 +204,10 @@ def _flag(tpl: LoadTemplate, name: str) -> bool:
     return str(value).lower() == "true"
 
 
-def _prefix_option(paths) -> dict[str, str]:
-    return {"recursiveFileLookup": "true"} if isinstance(paths, str) else {}
+def _read_options(paths) -> dict[str, str]:
+    """A file that is gone or broken must fail a read, whatever the session says: it is never taken for an empty one."""
+    strict = {"ignoreMissingFiles": "false", "ignoreCorruptFiles": "false"}
+    return {**strict, "recursiveFileLookup": "true"} if isinstance(paths, str) else strict
 
 
 def parse_lines(lines: DataFrame, tpl: LoadTemplate, schema: T.StructType | None = None) -> DataFrame:
@@ -283,7 +286,7 @@ def load_files(spark: SparkSession, paths: list[str], tpl: LoadTemplate, target_
     if not paths:
         return spark.createDataFrame([], LOAD_HISTORY_SCHEMA)
     schema_of(spark, tpl.schema_ddl)  # a template that cannot be read is no file's fault
-    failed = {p: HIDDEN_FILE if is_hidden(p) else "File not found" for p in paths if is_hidden(p) or not path_exists(spark, p)}
+    failed = {p: HIDDEN_FILE for p in paths if is_hidden(p)}
     while True:
         good = [p for p in paths if p not in failed]
         if not good:
@@ -302,11 +305,27 @@ def load_files(spark: SparkSession, paths: list[str], tpl: LoadTemplate, target_
 
 
 def unreadable_files(spark: SparkSession, paths: list[str], tpl: LoadTemplate) -> dict[str, str]:
-    """Files that cannot be read to their end, with the error's first line.
+    """Files that are missing or cannot be read to their end, with the error's first line.
 
-    Only called after a failed load. Halves the list until the bad files are
-    alone: few jobs for few bad files.
+    Only called after a failed load. One job reads each file by itself on the
+    executors (``sources.probe``); if it finds none, or cannot judge these
+    files, missing ones are looked for by name and the rest by halving.
     """
+    default_fs = default_file_system(spark)
+    named = {_with_file_system(p, default_fs): p for p in paths}
+    found = {named[r["path"]]: r["error"] for r in failing_files(spark, list(named), tpl.file_format).collect()}
+    if found:
+        return found
+    missing = {p: MISSING for p in paths if not can_probe(_with_file_system(p, default_fs), tpl.file_format) and not path_exists(spark, p)}
+    return missing or _halved(spark, paths, tpl)
+
+
+def _with_file_system(path: str, default_fs: str) -> str:
+    return default_fs + path if path.startswith("/") else path
+
+
+def _halved(spark: SparkSession, paths: list[str], tpl: LoadTemplate) -> dict[str, str]:
+    """Halves the list until the bad files are alone: few jobs for few bad files."""
     try:
         parse_staged(spark, paths, tpl).agg(F.count("_row"), F.sum(F.col("_bad").cast("int"))).collect()
         return {}
@@ -315,7 +334,7 @@ def unreadable_files(spark: SparkSession, paths: list[str], tpl: LoadTemplate) -
             lines = [x.strip() for x in str(e).splitlines() if x.strip()]
             return {paths[0]: lines[0] if lines else type(e).__name__}
     half = len(paths) // 2
-    return {**unreadable_files(spark, paths[:half], tpl), **unreadable_files(spark, paths[half:], tpl)}
+    return {**_halved(spark, paths[:half], tpl), **_halved(spark, paths[half:], tpl)}
 
 
 def failed_history(spark: SparkSession, failed: dict[str, str], target: str | None, load_id: str) -> DataFrame:
