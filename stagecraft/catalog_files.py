@@ -409,6 +409,20 @@ def q_ingest_suspend_resume(spark, sf):
     return _target_rows(spark, root)
 
 
+def q_ingest_two_runs(spark, sf):
+    """Two runs over one manifest at the same time: every source row once."""
+    root, store, args = _ingest_setup(spark, sf)
+    templates = staging.load_templates(spark)
+
+    def run(name):
+        done = file_ingest(spark, ManifestStore.open(spark, store.root), templates, run_id=name, wave_files=200, **args)
+        if str(done.summary.termination_reason).startswith("ERROR"):
+            raise RuntimeError(done.summary.termination_reason)
+    with ThreadPoolExecutor(max_workers=2) as pool:
+        list(pool.map(run, ("one", "two")))
+    return _target_rows(spark, root)
+
+
 # ---------------------------------------------------------------- O01/O02/O35 odd files, a bad template
 
 
@@ -540,6 +554,7 @@ QUERIES = {
     "load_edge_paths": q_load_edge_paths,
     "ingest_rerun": q_ingest_rerun,
     "ingest_suspend_resume": q_ingest_suspend_resume,
+    "ingest_two_runs": q_ingest_two_runs,
     "ingest_odd_files": q_ingest_odd_files,
     "ingest_one_bad_template": q_ingest_one_bad_template,
     "clone_load": q_clone_load,
@@ -563,6 +578,7 @@ ORACLES = {
     "load_edge_paths": O_LOAD_EDGE_PATHS,
     "ingest_rerun": _O_TARGET_ROWS,
     "ingest_suspend_resume": _O_TARGET_ROWS,
+    "ingest_two_runs": _O_TARGET_ROWS,
     "ingest_odd_files": _o_routes(False),
     "ingest_one_bad_template": _o_routes(True),
     "clone_load": O_LOAD_FILES,

@@ -180,7 +180,7 @@ def file_ingest(spark: SparkSession, store: ManifestStore, templates: DataFrame,
             lo, hi = done + 1, min(done + per_wave, n_batches)
             wave = _still_waiting(store, plan.where(F.col("_wave") == F.lit((lo - 1) // per_wave)), planned_at)
             try:
-                claimed = _run_wave(spark, store, wave, live, run, run_id, owner_session, clock, batch + lo, on_template_error)
+                claimed = _run_wave(spark, store, wave, live, run, run_id, owner_session, clock, batch + lo, on_template_error, planned_at)
             except Exception as e:  # noqa: BLE001 - the run reports the error and stops
                 reason = "ERROR: " + str(e).split("\n")[0]
                 break
@@ -216,6 +216,25 @@ def _still_waiting(store: ManifestStore, wave: DataFrame, planned_at: int) -> Da
     return wave.join(taken, "file_path", "left_anti")
 
 
+def _lost(store: ManifestStore, claimed: DataFrame, planned_at: int) -> set[str]:
+    """Files that another run has taken out of WAITING between the last look and this run's claim, just recorded.
+
+    The earlier record stands: it is recorded again, over this run's claim.
+    Runs whose claims are written at the very same time may both miss the
+    other's; then both load the file, and ``read_target`` counts one load.
+    """
+    mine = store.seq
+    before = (store.refresh().changes(planned_at).where(F.col("seq") < mine)
+              .join(claimed.select("file_path"), "file_path", "left_semi")
+              .groupBy("file_path").agg(F.max_by(F.struct(*[c for c in CONTROL_COLUMNS if c != "file_path"]), "seq").alias("_c"))
+              .where(F.col("_c.ingestion_status") != WAITING))
+    taken = materialize(before.select("file_path", "_c.*"), "ingest-lost")
+    lost = {r["file_path"] for r in taken.select("file_path").collect()}  # of one wave
+    if lost:
+        store.append_changes(taken)
+    return lost
+
+
 def load_groups(spark: SparkSession, groups: dict[str, list[str]], live: dict[str, LoadTemplate], target_root: str,
                 load_id: Callable[[str], str], on_template_error: str = "stop") -> DataFrame:
     """History rows of the files of several templates, whose loads run side by side.
@@ -250,7 +269,7 @@ def load_groups(spark: SparkSession, groups: dict[str, list[str]], live: dict[st
 
 
 def _run_wave(spark: SparkSession, store: ManifestStore, wave: DataFrame, live: dict[str, LoadTemplate],
-              run: IngestRun, run_id: str, owner_session, clock, first_batch: int, on_template_error: str) -> int:
+              run: IngestRun, run_id: str, owner_session, clock, first_batch: int, on_template_error: str, planned_at: int) -> int:
     """Claim, load and record one wave; returns the number of files claimed."""
     claim_at = ntz_literal(clock())
     claimed = materialize(claim_rows(wave.select(*CONTROL_COLUMNS), run_id=run_id,
@@ -263,6 +282,10 @@ def _run_wave(spark: SparkSession, store: ManifestStore, wave: DataFrame, live:
     if not by_template:
         return 0
     store.append_changes(claimed)
+    lost = _lost(store, claimed, planned_at)
+    by_template = {name: left for name, paths in by_template.items() if (left := [p for p in paths if p not in lost])}
+    if not by_template:
+        return 0
 
     hist = load_groups(spark, by_template, live, run.target_root, lambda name: f"{run_id}-b{first_batch:08d}-{name}", on_template_error)
     # The history rows are final (per-file figures were written by the loads).

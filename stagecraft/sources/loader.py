@@ -523,6 +523,16 @@ def read_history(spark: SparkSession, history_path: str) -> DataFrame:
     return spark.read.schema(LOAD_HISTORY_SCHEMA).parquet(history_path).select(*names)
 
 
+def surplus_loads(history: DataFrame, default_fs: str) -> DataFrame:
+    """(_again, _key): loads of a file into a target beside the one that counts, which is the one with most rows
+    (of those, with the least id)."""
+    loads = history.where("row_count > 0").select("target", path_key("file_name", default_fs).alias("_key"), F.col("load_id").alias("_again"), "row_count")
+    kept = (loads.groupBy("target", "_key").agg(F.count(F.lit(1)).alias("_n"), F.min(F.struct(-F.col("row_count"), F.col("_again"))).alias("_best"))
+            .where("_n > 1").select("target", "_key", F.col("_best._again").alias("_kept")))
+    # Only files with several loads are kept, so the join has few rows to look for.
+    return (loads.join(kept, ["target", "_key"]).where(F.col("_again") != F.col("_kept")).select("_again", "_key").distinct())
+
+
 def write_history(rows: DataFrame, history_path: str) -> None:
     """Record loads: their rows count as committed from here on.
 
@@ -537,7 +547,8 @@ def read_target(spark: SparkSession, target_path: str, schema_ddl: str | None =
                 history: DataFrame | None = None) -> DataFrame:
     """Rows loaded into a target. ``_kind`` is a partition column, so the other
     kinds of lines are never read. With ``history``, committed loads only:
-    what a load that failed later has left behind is not seen."""
+    what a load that failed later has left behind is not seen, and of a file
+    that several loads hold (two runs had claimed it) one load counts."""
     if schema_ddl:
         schema = schema_of(spark, schema_ddl)
         df = _target(spark, target_path, schema)
@@ -547,6 +558,9 @@ def read_target(spark: SparkSession, target_path: str, schema_ddl: str | None =
     if history is not None:
         committed = history.select(F.col("load_id").alias("_load_id")).distinct()
         df = df.withColumn("_load_id", F.col("_load_id").cast("string")).join(committed, "_load_id", "left_semi")
+        default_fs = default_file_system(spark)
+        again = surplus_loads(history, default_fs)  # none, or few: no row is shuffled for the planner's choice then
+        df = df.join(again, (df["_load_id"] == again["_again"]) & (path_key("_source_file", default_fs) == again["_key"]), "left_anti")
     if schema_ddl:
         df = df.select(*[f.name for f in schema.fields])
     return df
