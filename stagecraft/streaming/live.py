@@ -1,8 +1,8 @@
 """Live figures of a manifest: statistics and stuck files from its change records, never from a scan.
 
 ``start_live_stats`` reads a store's base and change records, and the load
-history, as streams. A stateful operator keeps one state a path key: the files
-of that key with their latest record, and the history rows that join them. What
+history, as streams. A stateful operator keeps, by path key, the files of that
+key with their latest record, and the history rows that join them. What
 a new record changes goes out as differences: the old contribution is taken
 back, the new one added. A step's differences are added up by status and size
 (and by start time) and written under the step's number, so a step that is run
@@ -10,9 +10,13 @@ again replaces itself; every ``FOLD`` steps the sums so far are written as one
 table. ``live_load_stats`` and ``live_progress_eta`` read those sums: they equal
 ``load_stats`` and ``progress_eta`` over the manifest at the last step.
 
-``start_stuck_alerts`` keeps one state a file with a timer at the moment from
-which the file counts as stuck. The timer fires when the stream's time, which
-clock ticks carry on, has passed it; a later record of the file clears it.
+``start_stuck_alerts`` keeps each file's start and the moment from which it
+counts as stuck. A timer fires when the stream's time, which clock ticks carry
+on, has passed that; a later record of the file clears it.
+
+Keys are dealt into ``BUCKETS`` buckets. A bucket is one state (packed columns)
+and one call a step, which handles all its new records at once: a call for each
+key costs more than the work on it.
 
 A record with a lower number than the one known for its file changes nothing,
 so the order in which records arrive does not matter.
@@ -20,11 +24,12 @@ so the order in which records arrive does not matter.
 
 from __future__ import annotations
 
-import datetime as dt
-import json
 import sys
 
+import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 from pyspark.sql.streaming.state import GroupStateTimeout
@@ -38,6 +43,8 @@ from ..sources.tables import ManifestStore
 
 #: Steps after which the sums are written as one table.
 FOLD = 50
+#: States that the keys are dealt into. A checkpoint belongs to one number of them.
+BUCKETS = 512
 _SUMS = ("files", "pairs", "row_count", "row_count_n", "row_parsed", "row_parsed_n", "error_count", "error_count_n")
 _DELTA = "ingestion_status string, file_size long, start_time timestamp_ntz, " + ", ".join(f"{c} long" for c in _SUMS)
 _KEYS = ("ingestion_status", "file_size", "start_time")
@@ -72,54 +79,87 @@ def history_stream(spark: SparkSession, history_path: str, max_files_per_trigger
     return reader.parquet(_folder(spark, history_path)).select("file_name", "load_id", *_HISTORY)
 
 
-def contributions(files: dict, history: dict) -> dict:
-    """Sums by (status, size, start) of one path key's files and of their pairs with its history rows."""
-    out: dict = {}
-    rows = list(history.values())
-    for status, size, _, start, joins in files.values():
-        at = out.setdefault((status, size, start), [0] * len(_SUMS))
-        at[0] += 1
-        if joins:
-            at[1] += len(rows)
-            for k in range(len(_HISTORY)):
-                known = [r[k] for r in rows if r[k] is not None]
-                at[2 + 2 * k] += sum(known)
-                at[3 + 2 * k] += len(known)
-    return out
-
-
-def _whole(value):
-    return None if value is None or pd.isna(value) else int(value)
-
-
-def _text(value):
-    return None if value is None or (isinstance(value, float) and pd.isna(value)) else value
-
-
-def follow_key(key, frames, state):
-    """New records of one path key: the differences that they make."""
-    files, history = json.loads(state.get[0]) if state.exists else ({}, {})
-    old = contributions(files, history)
-    for frame in frames:
-        for r in frame.itertuples(index=False):
-            if r.is_file:
-                name = json.dumps(_text(r.file_path))
-                if name not in files or files[name][2] < r.seq:
-                    start = None if pd.isna(r.start_time) else pd.Timestamp(r.start_time).isoformat()
-                    files[name] = [_text(r.ingestion_status), _whole(r.file_size), int(r.seq), start, bool(r.joins)]
-            else:
-                history[json.dumps([_text(r.file_path), _text(r.load_id)])] = [_whole(getattr(r, c)) for c in _HISTORY]
-    new = contributions(files, history)
-    state.update((json.dumps([files, history]),))
-    rows = []
-    for at in {**old, **new}:
-        change = [n - o for n, o in zip(new.get(at, [0] * len(_SUMS)), old.get(at, [0] * len(_SUMS)))]
-        if any(change):
-            rows.append((at[0], at[1], None if at[2] is None else dt.datetime.fromisoformat(at[2]), *change))
-    frame = pd.DataFrame(rows, columns=[*_KEYS, *_SUMS])
-    frame["file_size"] = frame["file_size"].astype("Int64")
-    frame["start_time"] = pd.to_datetime(frame["start_time"])
-    yield frame
+_FILES = pa.schema([("_key", pa.string()), ("file_path", pa.string()), ("ingestion_status", pa.string()), ("file_size", pa.int64()),
+                    ("start_time", pa.timestamp("us")), ("seq", pa.int64()), ("joins", pa.bool_())])
+_LOADS = pa.schema([("_key", pa.string()), ("file_path", pa.string()), ("load_id", pa.string()), *[(c, pa.int64()) for c in _HISTORY]])
+_WATCHED = pa.schema([("file_path", pa.string()), ("seq", pa.int64()), ("start_time", pa.timestamp("us")), ("told", pa.bool_())])
+
+
+def _packed(table: pa.Table) -> bytes:
+    sink = pa.BufferOutputStream()
+    with pa.ipc.new_stream(sink, table.schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as writer:
+        writer.write_table(table.combine_chunks())
+    return sink.getvalue().to_pybytes()
+
+
+def _unpacked(data: bytes) -> pa.Table:
+    return pa.ipc.open_stream(data).read_all()
+
+
+def _arrived(frames: list[pd.DataFrame], schema: pa.Schema) -> pa.Table:
+    return pa.concat_tables([schema.empty_table(), *[pa.Table.from_pandas(f[schema.names], schema, preserve_index=False) for f in frames]])
+
+
+def _first_of(table: pa.Table, keys: list[str]) -> pa.Table:
+    """The first row of each key (null is a key)."""
+    numbered = table.append_column("_at", pa.array(np.arange(table.num_rows)))
+    return table.take(numbered.group_by(keys, use_threads=False).aggregate([("_at", "min")])["_at_min"])
+
+
+def _newest(table: pa.Table) -> pa.Table:
+    """Each file's row with the highest number; of equal ones the first."""
+    return _first_of(table.take(pc.sort_indices(table, [("seq", "descending")])), ["file_path"])
+
+
+def _split(table: pa.Table, column: str, values) -> tuple[pa.Table, pa.Table]:
+    """Rows with and without one of the values."""
+    hit = pc.is_in(table[column], value_set=pc.unique(values))
+    return table.filter(hit), table.filter(pc.invert(hit))
+
+
+def contributions(files: pa.Table, loads: pa.Table) -> pa.Table:
+    """Sums by (status, size, start) of files and of their pairs with the history rows of their key."""
+    per_key = loads.group_by("_key", use_threads=False).aggregate(
+        [([], "count_all"), *[(c, how) for c in _HISTORY for how in ("sum", "count")]])
+    rows = files.join(per_key, "_key", join_type="left outer", use_threads=False)
+
+    def paired(name: str) -> pa.ChunkedArray:
+        return pc.if_else(rows["joins"], pc.fill_null(rows[name], 0), 0).cast(pa.int64())
+
+    sums = {"files": pa.array(np.ones(rows.num_rows, dtype="int64")), "pairs": paired("count_all")}
+    for c in _HISTORY:
+        sums[c], sums[f"{c}_n"] = paired(f"{c}_sum"), paired(f"{c}_count")
+    return pa.table({**{k: rows[k] for k in _KEYS}, **sums})
+
+
+def follow_bucket(bucket, frames, state):
+    """New records of one bucket of path keys: the differences that they make."""
+    files, loads = (_unpacked(s) for s in state.get) if state.exists else (_FILES.empty_table(), _LOADS.empty_table())
+    frames = list(frames)
+    new_files = _arrived([f[f["is_file"].astype(bool)] for f in frames], _FILES)
+    new_loads = _arrived([f[~f["is_file"].astype(bool)] for f in frames], _LOADS)
+    touched = pa.chunked_array([*new_files["_key"].chunks, *new_loads["_key"].chunks], pa.string())
+    old_files, other_files = _split(files, "_key", touched)
+    old_loads, other_loads = _split(loads, "_key", touched)
+    new_files = _newest(pa.concat_tables([old_files, new_files]))
+    # A load's row that comes again stands for the earlier one.
+    new_loads = pa.concat_tables([old_loads, new_loads])
+    new_loads = _first_of(new_loads.take(pa.array(np.arange(new_loads.num_rows)[::-1])), ["file_path", "load_id"])
+    state.update((_packed(pa.concat_tables([other_files, new_files])), _packed(pa.concat_tables([other_loads, new_loads]))))
+
+    back = contributions(old_files, old_loads)
+    for c in _SUMS:
+        back = back.set_column(back.column_names.index(c), c, pc.negate(back[c]))
+    change = (pa.concat_tables([contributions(new_files, new_loads), back]).group_by(list(_KEYS), use_threads=False)
+              .aggregate([(c, "sum") for c in _SUMS]))
+    change = change.select([*_KEYS, *[f"{c}_sum" for c in _SUMS]]).rename_columns([*_KEYS, *_SUMS])
+    frame = change.to_pandas(integer_object_nulls=True)
+    frame = frame[(frame[list(_SUMS)] != 0).any(axis=1)]
+    yield frame.assign(file_size=frame["file_size"].astype("Int64"), start_time=pd.to_datetime(frame["start_time"]))
+
+
+def _bucket(key: str) -> Column:
+    return F.pmod(F.xxhash64(key), F.lit(BUCKETS)).cast("int")
 
 
 def stat_changes(changes: DataFrame, history: DataFrame) -> DataFrame:
@@ -134,8 +174,8 @@ def stat_changes(changes: DataFrame, history: DataFrame) -> DataFrame:
     theirs = history.where(key("file_name").isNotNull()).select(
         key("file_name").alias("_key"), F.lit(False).alias("is_file"), F.lit(False).alias("joins"), F.col("file_name").alias("file_path"),
         *[F.lit(None).cast(t).alias(c) for c, t in none.items()], "load_id", *_HISTORY)
-    return mine.unionByName(theirs).groupBy("_key").applyInPandasWithState(
-        follow_key, _DELTA, "state string", "Update", GroupStateTimeout.NoTimeout)
+    return mine.unionByName(theirs).withColumn("_bucket", _bucket("_key")).groupBy("_bucket").applyInPandasWithState(
+        follow_bucket, _DELTA, "files binary, loads binary", "Update", GroupStateTimeout.NoTimeout)
 
 
 def _summed(rows: DataFrame) -> DataFrame:
@@ -217,35 +257,39 @@ def live_progress_eta(spark: SparkSession, stats_path: str, now: Column, segment
 _ALERT = "file_path string, stuck boolean, start_time timestamp_ntz, seq long"
 
 
-def _watch_file(minutes: int):
-    """One file's records and timer; the state holds its last number, its start, and whether it was told as stuck."""
-
-    def run(key, frames, state):
-        seq, start, told = state.get if state.exists else (-1, None, False)
-        rows = []
-        if state.hasTimedOut:
-            rows.append((key[0], True, start, seq))
-            state.update((seq, start, True))
-        else:
-            for frame in frames:
-                for r in frame.sort_values("seq").itertuples(index=False):
-                    if r.seq <= seq:
-                        continue
-                    if told:
-                        rows.append((key[0], False, None, int(r.seq)))
-                    begun = r.ingestion_status == "LOADING" and not pd.isna(r.start_time)
-                    seq, start, told = int(r.seq), (pd.Timestamp(r.start_time).to_pydatetime() if begun else None), False
-            # Minutes are counted by their borders: more than `minutes` of them lie behind from `at` on.
-            at = None if start is None else (pd.Timestamp(start).value // 60_000_000_000 + minutes + 1) * 60_000
-            if at is not None and not told and at <= state.getCurrentWatermarkMs():
-                rows.append((key[0], True, start, seq))
-                told = True
-            state.update((seq, start, told))
-            if at is not None and not told:
-                state.setTimeoutTimestamp(int(at) - 1)
-        frame = pd.DataFrame(rows, columns=["file_path", "stuck", "start_time", "seq"])
-        frame["start_time"] = pd.to_datetime(frame["start_time"])
-        yield frame
+def _watch_bucket(minutes: int):
+    """Records and timer of one bucket of files; the state holds each file's last number, its start, and whether it was told as stuck."""
+
+    def run(bucket, frames, state):
+        known, rows = _unpacked(state.get[0]) if state.exists else _WATCHED.empty_table(), []
+        if not state.hasTimedOut:
+            new = pd.concat(list(frames))
+            new = new[new["_file"] != ""]  # clock ticks and files without a name
+            begun = (new["ingestion_status"] == "LOADING") & new["start_time"].notna()
+            new = _arrived([new.assign(file_path=new["_file"], start_time=pd.to_datetime(new["start_time"]).where(begun), told=False)], _WATCHED)
+            old, other = _split(known, "file_path", new["file_path"])
+            before = old.select(["file_path", "seq", "told"]).rename_columns(["file_path", "_seq", "_told"])
+            new = new.join(before, "file_path", join_type="left outer", use_threads=False)
+            new = new.filter(pc.greater(new["seq"], pc.fill_null(new["_seq"], -1)))
+            cleared = new.filter(pc.fill_null(new["_told"], False)).group_by("file_path", use_threads=False).aggregate([("seq", "min")])
+            rows.append(pd.DataFrame({"file_path": cleared["file_path"].to_pandas(), "stuck": False, "start_time": pd.NaT,
+                                      "seq": cleared["seq_min"].to_pandas()}))
+            new = _newest(new.select(_WATCHED.names))
+            known = pa.concat_tables([other, _split(old, "file_path", new["file_path"])[1], new])
+        # Minutes are counted by their borders: more than `minutes` of them lie behind from `at` on.
+        start = known["start_time"].cast(pa.int64()).fill_null(0).to_numpy()
+        at = (start // 60_000_000 + minutes + 1) * 60_000
+        told = known["told"].to_numpy(zero_copy_only=False).astype(bool)
+        waits = known["start_time"].is_valid().to_numpy(zero_copy_only=False).astype(bool) & ~told
+        due = waits & (at <= state.getCurrentWatermarkMs())
+        alerts = known.filter(pa.array(due, pa.bool_())).to_pandas()
+        rows.append(alerts.assign(stuck=True)[["file_path", "stuck", "start_time", "seq"]])
+        state.update((_packed(known.set_column(known.column_names.index("told"), "told", pa.array(told | due, pa.bool_()))),))
+        if (waits & ~due).any():
+            state.setTimeoutTimestamp(int(at[waits & ~due].min()) - 1)
+        for frame in rows:
+            if len(frame):
+                yield frame.assign(start_time=pd.to_datetime(frame["start_time"]))
 
     return run
 
@@ -262,9 +306,8 @@ def stuck_alerts(changes: DataFrame, ticks: DataFrame, minutes: int = 60) -> Dat
     time = F.expr("timestamp_micros(timestampdiff(MICROSECOND, timestamp_ntz'1970-01-01', at))")  # wall clock, whatever the session's zone
     clock = ticks.select(F.lit("").alias("_file"), time.alias("at"), F.lit("").alias("ingestion_status"),
                          F.lit(None).cast("timestamp_ntz").alias("start_time"), F.lit(0).cast("long").alias("seq"))
-    return (records.unionByName(clock).withWatermark("at", "0 seconds").groupBy("_file").applyInPandasWithState(
-        _watch_file(minutes), _ALERT, "seq long, start timestamp_ntz, told boolean", "Update", GroupStateTimeout.EventTimeTimeout)
-        .where("file_path <> ''"))
+    return (records.unionByName(clock).withColumn("_bucket", _bucket("_file")).withWatermark("at", "0 seconds").groupBy("_bucket")
+            .applyInPandasWithState(_watch_bucket(minutes), _ALERT, "files binary", "Update", GroupStateTimeout.EventTimeTimeout))
 
 
 def start_stuck_alerts(spark: SparkSession, store: ManifestStore, ticks: DataFrame, alerts_path: str, *, checkpoint_path: str,

@@ -107,3 +107,30 @@ def test_stuck_alerts_equal_the_scan_at_given_times(spark, tmp_path):
             query.stop()
         at_ = ntz_literal(at)
         assert plain(live.live_stuck_files(spark, f"{tmp_path}/a", at_)) == plain(stuck_files(store.read(), at_, 20)), minutes
+
+
+def test_states_are_buckets_not_keys(spark, tmp_path, monkeypatch):
+    """A step's calls and states are bounded by the buckets, however many keys come."""
+    monkeypatch.setattr(live, "BUCKETS", 3)
+    rng = random.Random(5)
+    rows = files(rng, 200)
+    store = ManifestStore.create(spark, f"{tmp_path}/m", spark.createDataFrame(rows + [rows[7], (None, *rows[0][1:])], control_schema()))
+    write_history(history(spark, rng, rows, "load"), f"{tmp_path}/h")
+    query = live.start_live_stats(spark, store, f"{tmp_path}/h", f"{tmp_path}/s", checkpoint_path=f"{tmp_path}/c", available_now=True)
+    drained(query)
+    assert 0 < query.lastProgress["stateOperators"][0]["numRowsTotal"] <= 3
+    # Of equal numbers one record of a file counts; a file without a path is one as well.
+    assert live._read_sums(spark, f"{tmp_path}/s").agg(F.sum("files")).first()[0] == 202
+
+    at = T0 + dt.timedelta(hours=3)
+    store.append_changes(spark.createDataFrame([("", *r[1:3], "LOADING", 1, "u", 1, T0, *r[8:]) for r in rows[:1]]
+                                               + [(*r[:3], "LOADING", 1, "u", 1, T0, *r[8:]) for r in rows], control_schema()))
+    spark.createDataFrame([(at,)], "at timestamp_ntz").write.parquet(f"{tmp_path}/ticks")
+    query = live.start_stuck_alerts(spark, store, spark.readStream.schema("at timestamp_ntz").parquet(f"{tmp_path}/ticks"), f"{tmp_path}/a",
+                                    checkpoint_path=f"{tmp_path}/c2", minutes=20, processing_time="0 seconds")
+    try:
+        query.processAllAvailable()
+        assert 0 < max(p["stateOperators"][0]["numRowsTotal"] for p in query.recentProgress) <= 3
+    finally:
+        query.stop()
+    assert live.live_stuck_files(spark, f"{tmp_path}/a", ntz_literal(at)).count() == 201
