@@ -5,14 +5,20 @@ each of millions of files are not. Here each rule is filed under one piece of
 its literal text, the piece that the fewest rules have, and a path is looked up
 by its own pieces: an equi-join, then the exact LIKE on the pairs that meet, and
 the least rule number of those that hold. Rules of wildcards only say no more
-than a length, and are filed under that. Nothing is broadcast by hand and no
-product of files and rules is made.
+than a length, and are filed under that. No product of files and rules is made.
+
+The planner takes exploded rows for as few as their source, so joins whose sides
+grow with files or rules are told not to broadcast; only the table of lengths is.
+Pieces meet by their hash and paths follow by theirs: what is shuffled for each
+piece is two numbers, and the exact LIKE drops pairs that met by chance.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from ..session import materialize
+
 #: Letters of a piece; a shorter run of literal text is one piece.
 PIECE = 8
 RULES_SCHEMA = "rule_no long, pattern string, copy_into_name string"
@@ -35,7 +41,7 @@ def rule_index(rules: DataFrame) -> DataFrame:
     pieces = F.array_distinct(F.flatten(F.transform("runs", lambda r: _pieces(r, F.lit(PIECE)))))
     cut = runs.select("rule_no", "pattern", "copy_into_name", F.explode_outer(F.when(F.size("runs") > 0, pieces)).alias("piece"))
     often = cut.where("piece IS NOT NULL").groupBy("piece").agg(F.count("*").alias("n"))
-    return (cut.join(often, "piece", "left").groupBy("rule_no", "pattern", "copy_into_name")
+    return (cut.hint("merge").join(often, "piece", "left").groupBy("rule_no", "pattern", "copy_into_name")
             .agg(F.min_by("piece", F.struct("n", -F.length("piece"), "piece")).alias("piece")))
 
 
@@ -45,13 +51,17 @@ def route_by_rules(files: DataFrame, rules: DataFrame, path_col: str = "file_pat
     ``rules``: ``rule_no, pattern, copy_into_name``; of equal numbers the least pattern goes first.
     """
     paths = files.select(F.col(path_col).alias("_path")).where("_path IS NOT NULL").distinct()
-    index = rule_index(rules)
+    # Of rules with one pattern the first alone can be the answer.
+    first = rules.groupBy("pattern").agg(F.min(F.struct("rule_no", "copy_into_name")).alias("r")).select("r.rule_no", "pattern", "r.copy_into_name")
+    index = materialize(rule_index(first), "rule-index")
     filed = index.where("piece IS NOT NULL")
     # At most PIECE lengths; a path is cut into pieces of those only.
     lengths = sorted(r[0] for r in filed.select(F.length("piece")).distinct().collect())
     cuts = F.array_distinct(F.concat(*[F.when(F.length("_path") >= n, _pieces(F.col("_path"), F.lit(n))).otherwise(F.array().cast("array<string>")) for n in lengths])) \
         if lengths else F.array().cast("array<string>")
-    met = paths.select("_path", F.explode(cuts).alias("piece")).join(filed, "piece").where(F.expr("_path LIKE pattern"))
+    cut = paths.select(F.xxhash64("_path").alias("_id"), F.explode(F.transform(cuts, lambda c: F.xxhash64(c))).alias("_piece"))
+    near = cut.join(filed.withColumn("_piece", F.xxhash64("piece")).hint("shuffle_hash"), "_piece")
+    met = near.hint("merge").join(paths.withColumn("_id", F.xxhash64("_path")), "_id").where(F.expr("_path LIKE pattern"))
 
     # Wildcards only: "%" among them asks for a least length, else for one length.
     loose = (index.where("piece IS NULL").select("rule_no", "pattern", "copy_into_name", F.col("pattern").contains("%").alias("open"),
@@ -61,10 +71,10 @@ def route_by_rules(files: DataFrame, rules: DataFrame, path_col: str = "file_pat
     top = sizes.agg(F.max("size").alias("top"))
     fits = loose.crossJoin(F.broadcast(top)).where("n <= top").select(  # one row; then one row a length
         F.explode(F.when(F.col("open"), F.sequence("n", "top")).otherwise(F.array("n"))).alias("size"), "r").groupBy("size").agg(F.min("r").alias("r"))
-    by_size = paths.withColumn("size", F.length("_path")).join(fits, "size").select("_path", "r.*")
+    by_size = paths.withColumn("size", F.length("_path")).join(F.broadcast(fits), "size").select("_path", "r.*")
     best = (met.select("_path", "rule_no", "pattern", "copy_into_name").unionByName(by_size)
             .groupBy("_path").agg(F.min(F.struct("rule_no", "pattern", "copy_into_name")).alias("_rule")))
-    return files.join(best, files[path_col] == best["_path"], "left").select(
+    return files.hint("merge").join(best, files[path_col] == best["_path"], "left").select(
         *[files[c] for c in files.columns if c != out_col], F.col("_rule.copy_into_name").alias(out_col))
 
 

@@ -96,3 +96,17 @@ def test_json_error_of_a_very_long_line(spark):
     begun = time.time()
     got = json_history(spark, [long, '{"b":"' + "[" * 100_000], "a bigint, b string, c double")
     assert got[0] == ("Invalid JSON record", "C", len(long) + 1) and got[1] == ("Invalid JSON record", "B", 6) and time.time() - begun < 60
+
+
+def test_no_side_that_grows_is_broadcast(spark):
+    """However small the planner takes them for, pieces, rules and paths are shuffled; only the table of lengths is not."""
+    rules = spark.createDataFrame([(n, f"%/f_{n % 7}.c%", f"T{n}") for n in range(40)] + [(50, "%", None), (51, "%", "late")], RULES_SCHEMA)
+    files = spark.createDataFrame([(f"s3://b/f-{n}.csv",) for n in range(9)] + [(None,)], "file_path string")
+
+    def plan(df):
+        return df._jdf.queryExecution().executedPlan().toString()
+    assert "Broadcast" not in plan(rule_index(rules))
+    got = route_by_rules(files, rules)
+    assert plan(got).count("BroadcastExchange") <= 2
+    names = {r["file_path"]: r["copy_into_name"] for r in got.collect()}
+    assert names == {**{f"s3://b/f-{n}.csv": f"T{n}" for n in range(7)}, **{f"s3://b/f-{n}.csv": None for n in (7, 8)}, None: None}
