@@ -16,7 +16,7 @@ from .functions.paths import (last_modified_to_timestamp, stage_path_shorten, st
 from .functions.text import progress_bar, progress_bar_sql
 from .functions.warehouse import NODES_BY_SIZE, nodes_per_warehouse, nodes_per_warehouse_sql
 from .operators import asof, batches, manifest, monitor, routing, sizing, transitions
-from .session import work_dir
+from .session import materialize, work_dir
 from .sources import buckets
 from .sources.tables import write_templates
 
@@ -573,7 +573,8 @@ def q_load_log_bucketed(spark, sf):
     root = work_dir(spark, "buckets")
     tables = []
     for name, path_col in (("control", "file_path"), ("history", "file_name")):
-        rows = buckets.keyed_rows(_fix(spark, sf, name), path_col)
+        # Built once: each part reads its rows twice.
+        rows = materialize(buckets.keyed_rows(_fix(spark, sf, name), path_col), f"keyed-{name}")
         table = buckets.path_table(spark, f"{root}/{name}", rows, BUCKETS)
         for part in (0, 1):
             table.append(rows.where(F.pmod(F.hash(path_col), F.lit(2)) == part), f"p{part}")
