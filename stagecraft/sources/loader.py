@@ -25,7 +25,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F,
 from ..schemas import LOAD_FAILED, LOAD_HISTORY_SCHEMA, LOADED, PARTIALLY_LOADED
 from ..functions.json_places import json_error
 from ..functions.paths import hidden_name, is_hidden, path_key
-from ..session import default_file_system, literal_rows, materialize, partition_folder, path_exists
+from ..session import default_file_system, literal_rows, materialize, partition_folder, path_exists, remove_path, work_dir
 from .probe import MISSING, can_probe, failing_files
 
 ON_ERROR_MODES = ("continue", "skip_file", "abort_statement")
@@ -60,8 +60,11 @@ def schema_of(spark: SparkSession, ddl: str) -> T.StructType:
 
 
 def _decoded_path(c: Column) -> Column:
-    """``_metadata.file_path`` is URL-encoded; listings are not. Keep '+' literal."""
-    return F.url_decode(F.regexp_replace(c, r"\+", "%2B"))
+    """``_metadata.file_path`` is URL-encoded; listings are not. Keep '+' literal.
+
+    Every row carries its path, and most paths have nothing to decode.
+    """
+    return F.when(c.contains("%"), F.url_decode(F.regexp_replace(c, r"\+", "%2B"))).otherwise(c)
 
 
 def _raw_fields(tpl: LoadTemplate, schema: T.StructType) -> Column:
@@ -243,13 +246,15 @@ def file_statistics(lines: DataFrame, with_line_numbers: bool = True, line_offse
     offset in its own split. Only per-split rows are windowed (a handful per
     file), never the lines themselves.
     """
-    first_bad = F.min(F.when(F.col("_bad"), F.struct(F.col("_mid"), F.col("_err"))))
+    # A least struct is found by sorting: of bad lines only, while all lines are counted by hash.
+    first_bad = (lines.where("_bad").groupBy("_file", "_block")
+                 .agg(F.min(F.struct(F.col("_mid"), F.col("_err"))).alias("_fb")))
     blocks = (lines.groupBy("_file", "_block")
               .agg(F.count(F.lit(1)).alias("_lines"),
                    F.sum(F.when(~F.col("_blank"), 1).otherwise(0)).alias("_parsed"),
                    F.sum(F.when(F.col("_bad"), 1).otherwise(0)).alias("_errors"),
-                   F.min("_mid").alias("_first_mid"),
-                   first_bad.alias("_fb")))
+                   F.min("_mid").alias("_first_mid"))
+              .join(first_bad, ["_file", "_block"], "left"))
     w = Window.partitionBy("_file").orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
     before = F.coalesce(F.sum("_lines").over(w), F.lit(0))
     line_no = (before + F.col("_fb._mid") - F.col("_first_mid") + F.lit(1 + line_offset)) if with_line_numbers \
@@ -449,7 +454,8 @@ def load_parsed(parsed: DataFrame, requested: DataFrame | None, tpl: LoadTemplat
     lines as markers) to ``_load_id=<id>/_kind=<kind>``, and the per-file
     figures are then computed from a narrow columnar read of what was written.
     ``skip_file`` and ``abort_statement`` must know every file's errors before
-    deciding what is loaded, so they count first and land in a second pass.
+    deciding what is loaded: their lines land in a folder of this load first, are
+    counted there, and go to the target from there. The text is parsed once.
     ``requested`` lists the files to report (None: the files that had lines).
     """
     spark = parsed.sparkSession
@@ -467,17 +473,23 @@ def load_parsed(parsed: DataFrame, requested: DataFrame | None, tpl: LoadTemplat
                                             with_line_numbers=not multiline, line_offset=offset),
                             f"load-stats-{tpl.name}")
     else:
-        stats = materialize(file_statistics(parsed, with_line_numbers=not multiline, line_offset=offset),
+        first_path = work_dir(spark, f"landing-{tpl.name}")
+        _write_landing(_landing(parsed, schema, load_id, kind), first_path)
+        stats = materialize(file_statistics(_landed_lines(spark, first_path, load_id, schema),
+                                            with_line_numbers=not multiline, line_offset=offset),
                             f"load-stats-{tpl.name}")
+        landed, good = _target(spark, first_path, schema), F.col("_kind") == KIND_LOADED
         if mode == "skip_file":
             failed = stats.where(F.col("error_count") > 0).select(F.col("_file").alias("_failed"))
-            parsed = parsed.join(failed, parsed["_file"] == failed["_failed"], "left")
-            kind = F.when(F.col("_failed").isNotNull() & (kind == KIND_LOADED), F.lit(KIND_SKIPPED)).otherwise(kind)
+            landed = landed.join(failed, landed["_source_file"] == failed["_failed"], "left")
+            good = good & F.col("_failed").isNull()
         else:
             abort = stats.where(F.col("error_count") > 0).limit(1).count() > 0
-            if abort:
-                kind = F.when(kind == KIND_LOADED, F.lit(KIND_SKIPPED)).otherwise(kind)
-        _write_landing(_landing(parsed, schema, load_id, kind), target_path)
+            good = good & F.lit(not abort)
+        settled = F.when((F.col("_kind") == KIND_LOADED) & ~good, F.lit(KIND_SKIPPED)).otherwise(F.col("_kind"))
+        _write_landing(landed.select(*[settled.alias(c) if c == "_kind" else F.lit(load_id).alias(c) if c == "_load_id" else F.col(c)
+                                       for c in landing_schema(schema).fieldNames()]), target_path)
+        remove_path(spark, first_path)
 
     if requested is None:
         requested = stats.select(F.col("_file").alias("file_name"))

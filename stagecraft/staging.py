@@ -100,6 +100,11 @@ def lineitem_csv_line() -> Column:
                        F.date_format("l_shipdate", TS_TEXT))
 
 
+def _month(c: str) -> Column:
+    """Year and month, cut from the text that the line has already."""
+    return F.substring_index(F.date_format(c, TS_TEXT), "-", 2).alias("month")
+
+
 def _write_dirs(lines: DataFrame, path: str) -> None:
     """One file per month directory, lines in key order.
 
@@ -116,7 +121,7 @@ def stage_tables(spark: SparkSession, sf_dir: str, root: str,
     """Write the staged layout (the given route directories) below ``root``;
     returns the stage prefix. The route directories are written side by side."""
     orders = fx.base_table(spark, sf_dir, "orders")
-    month = F.date_format("o_orderdate", "yyyy-MM").alias("month")
+    month = _month("o_orderdate")
     key = F.col("o_orderkey").alias("_key")
     stage = f"{root.rstrip('/')}/TPCH"
     jobs = {}
@@ -135,7 +140,7 @@ def stage_tables(spark: SparkSession, sf_dir: str, root: str,
         lineitem = fx.base_table(spark, sf_dir, "lineitem")
         li_key = F.col("l_orderkey") * 8 + F.col("l_linenumber")
         jobs["LINEITEM"] = lineitem.select(lineitem_csv_line().alias("value"),
-                                           F.date_format("l_shipdate", "yyyy-MM").alias("month"),
+                                           _month("l_shipdate"),
                                            li_key.alias("_key"))
     with ThreadPoolExecutor(max_workers=max(1, len(jobs))) as pool:
         list(pool.map(lambda kv: _write_dirs(kv[1], f"{stage}/{kv[0]}"), jobs.items()))

@@ -425,3 +425,35 @@ def test_rerun_after_a_failure_loads_each_row_once(spark, tmp_stage, monkeypatch
     assert {r.ingestion_status for r in store.refresh().read().collect()} == {"LOADED"}
     got = read_target(spark, f"{tmp_stage}/t/ODD", ODD_DDL, read_history(spark, f"{tmp_stage}/h"))
     assert sorted(r.a for r in got.collect()) == [0, 1, 2, 3]
+
+
+@pytest.mark.parametrize("mode", ["continue", "skip_file", "abort_statement"])
+def test_lines_are_parsed_once_and_never_sorted(spark, tmp_stage, mode, monkeypatch):
+    """The text is read by one pass, and counting lines sorts none of the good ones."""
+    from stagecraft.sources import loader
+    d, plans = local_path(tmp_stage), []
+    _write(f"{d}/in/bad.csv", BAD_CSV)
+    _write(f"{d}/in/good.csv", "7,2,F,3.0,1998-01-01T00:00:00.000,LOW\n\n")
+    _write(f"{d}/in/two%20words +.csv", "8,2,F,3.0,1998-01-01T00:00:00.000,LOW\nz\n")
+
+    def seen(df):
+        plans.append(df._jdf.queryExecution().executedPlan().toString())
+    write, keep = loader._write_landing, loader.materialize
+    monkeypatch.setattr(loader, "_write_landing", lambda df, path: (seen(df), write(df, path)))
+    monkeypatch.setattr(loader, "materialize", lambda df, name: (seen(df), keep(df, name))[1])
+    tpl = LoadTemplate("ORDERS", "ORDERS", staging.ORDERS_DDL, on_error=mode)
+    paths = [f"file:{d}/in/{n}.csv" for n in ("bad", "good", "two%20words +")]
+    hist = {r.file_name.rsplit("/", 1)[1]: r for r in load_files(spark, paths, tpl, f"{tmp_stage}/t", "L1").collect()}
+    assert sum("FileScan text" in p for p in plans) == 1
+    assert not any("SortAggregate" in p and "Filter" not in p for p in plans)
+    bad, two = hist["bad.csv"], hist["two%20words +.csv"]
+    assert (bad.row_parsed, bad.error_count, bad.first_error_line_number) == (3, 2, 1)
+    assert (two.row_parsed, two.error_count, two.first_error_line_number) == (2, 1, 2)
+    want = {"continue": [1, 7, 8], "skip_file": [7], "abort_statement": []}[mode]
+    assert sorted(r.o_orderkey for r in read_target(spark, f"{tmp_stage}/t", staging.ORDERS_DDL).collect()) == want
+    kinds = {(r._kind, r.n) for r in spark.read.parquet(f"{tmp_stage}/t").groupBy("_kind").agg(F.count("*").alias("n")).collect()}
+    left = {"continue": set(), "skip_file": {("skipped", 2)}, "abort_statement": {("skipped", 3)}}[mode]
+    assert kinds == left | {("rejected", 3), ("blank", 1)} | ({("loaded", len(want))} if want else set())
+    if mode != "abort_statement":
+        done = read_target(spark, f"{tmp_stage}/t", staging.ORDERS_DDL, load_files(spark, paths, tpl, f"{tmp_stage}/t", "L1"))
+        assert sorted(r.o_orderkey for r in done.collect()) == want
