@@ -137,8 +137,12 @@ class TrieEncoder:
     def _add(self, chunks: set[str]) -> None:
         bpe, ids = self.bpe, self.ids
         split = {c: bpe.words(c) for c in chunks if c not in bpe.specials}
-        words = {w: struct.pack(f"<{len(tokens)}I", *tokens)
-                 for w, tokens in self.encode_words({w for ws in split.values() for w in ws}).items()}
+        needed = {w for ws in split.values() for w in ws}
+        # A word of plain letters that was a chunk itself ("word" before "Word,") has its ids already.
+        words = {w: known[w] for known in (self.older, ids) for w in needed & known.keys()
+                 if w.isascii() and w.isalpha() and w not in bpe.specials}
+        for w, tokens in self.encode_words(needed - words.keys()).items():
+            words[w] = struct.pack(f"<{len(tokens)}I", *tokens)
         for c in chunks:
             if c in split:
                 ws = split[c]

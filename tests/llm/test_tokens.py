@@ -81,3 +81,13 @@ def test_whole_tokens_are_one_token():
     whole = op6_token_counts.whole_tokens(PATH)
     assert len(whole) > 10_000
     assert all(len(bpe.merge(bpe.symbols(w))) == 1 for w in random.Random(1).sample(sorted(whole), 200))
+
+
+def test_a_known_word_is_not_encoded_again(library, monkeypatch):
+    enc, asked = op1_bpe.TrieEncoder(load(PATH)), []
+    encode_words = op1_bpe.TrieEncoder.encode_words
+    monkeypatch.setattr(op1_bpe.TrieEncoder, "encode_words", lambda self, words: (asked.append(set(words)), encode_words(self, words))[1])
+    for text in ["unknowable plain é Ã©", "Unknowable, plain! É Ã© plain<|endoftext|>"]:
+        ids, _ = enc.encode([text])
+        assert np.frombuffer(ids[0], "<u4").tolist() == library.encode(text, add_special_tokens=False).ids
+    assert "unknowable" in asked[0] and not {"unknowable", "plain"} & asked[1]
