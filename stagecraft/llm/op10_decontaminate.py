@@ -47,12 +47,14 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, functions as F
 
-from .common import id_and_text, stored, text_slices
+from .common import give_back, id_and_text, stored, text_slices
 from .op5_quality_rules import window_hash
 
 WINDOW, SHARE, WORDS, RUN, DRIFT, MERGED = 8, 0.5, 0.7, 20, 8, 4
 SLOTS = 0.85
 FILTER_BITS = 23
+#: Bytes of text of a slice: a step holds about 30 times as much.
+SLICE = 2 << 20
 #: Unit names (fixed values).
 UNITS = frozenset("mm cm m km in ft yd mi mg g kg t oz lb ml l s sec min h hr hours minutes seconds days weeks months years "
                   "meters metres kilometers kilometres miles feet inches grams kilograms pounds liters litres dollars euros percent".split())
@@ -163,14 +165,20 @@ def window_rows(texts: DataFrame, bits: bytes | None = None) -> DataFrame:
             at = h >> np.uint64(64 - FILTER_BITS)
             return (bitmap[(at >> np.uint64(3)).astype(np.int64)] >> (at & np.uint64(7)).astype(np.uint8)) & 1 == 1
 
-        for ids, slice_ in text_slices(batches):
+        def rows(ids, slice_):  # a function of its own: its arrays are gone before the next slice
             doc, place, h, slots, span = windows(slice_, keep if bits is not None else None)
             words = np.array([len(t.split()) for t in slice_]) if bits is None else np.zeros(len(slice_), np.int64)
-            yield pa.RecordBatch.from_arrays(
+            return pa.RecordBatch.from_arrays(
                 [pa.array(np.array([i if i is not None else -1 for i in ids], np.int64)[doc], mask=np.array([i is None for i in ids], bool)[doc]),
                  pa.array(place, type=pa.int32()), pa.array(h), pa.array(slots, type=pa.list_(pa.string())), pa.array(span, type=pa.int32()), pa.array(words[doc], type=pa.int32())],
                 names=["id", "place", "hash", "slots", "span", "n_words"])
 
+        try:
+            for part in text_slices(batches, SLICE):
+                yield rows(*part)
+        finally:
+            give_back()
+
     return texts.mapInArrow(run, _WINDOWS)
 
 

@@ -68,38 +68,50 @@ def unzigzag(v: np.ndarray) -> np.ndarray:
     return (v >> 1) ^ -(v & 1)
 
 
-def pack_pairs(unit: np.ndarray, doc: np.ndarray, bits: int = 1) -> tuple[np.ndarray, pa.Array]:
-    """Occurrences (unit, text) to the distinct units and, for each, its binary postings.
-
-    Counts below 2 ** ``bits`` share a number with their gap: 3 where units
-    are frequent (short gaps, many counts), 1 where they are rare.
-    """
+def pair_counts(unit: np.ndarray, doc: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Occurrences (unit, text) to the distinct pairs, as sorted numbers unit << 13 | text, and how often each occurs."""
     key = unit.astype(np.uint64)
     key <<= np.uint64(13)
     key |= doc.astype(np.uint16)
     key.sort()
     first = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]])) if len(key) else np.zeros(0, np.int64)
-    count = np.diff(np.concatenate([first, [len(key)]]))
-    key = key[first]
+    return key[first], np.diff(np.concatenate([first, [len(key)]]))
+
+
+def pack_pairs(unit: np.ndarray, doc: np.ndarray, bits: int = 1) -> tuple[np.ndarray, pa.Array]:
+    """Occurrences (unit, text) to the distinct units and, for each, its binary postings."""
+    return pack_counts(*pair_counts(unit, doc), bits)
+
+
+def pack_counts(key: np.ndarray, count: np.ndarray, bits: int = 1) -> tuple[np.ndarray, pa.Array]:
+    """Counted pairs (see ``pair_counts``) to the distinct units and, for each, its binary postings.
+
+    Counts below 2 ** ``bits`` share a number with their gap: 3 where units
+    are frequent (short gaps, many counts), 1 where they are rare.
+    """
     unit, doc = (key >> np.uint64(13)).astype(np.int64), (key & np.uint64(8191)).astype(np.int64)
     new = np.concatenate([[True], unit[1:] != unit[:-1]]) if len(unit) else np.zeros(0, bool)
-    gap = np.where(new, doc, doc - np.concatenate([[0], doc[:-1]])) if len(unit) else doc
+    unit = unit[new]
+    gap = np.where(new, doc, doc - np.concatenate([[0], doc[:-1]])) if len(doc) else doc
+    del doc
     # Of each unit: its number of texts (and bits), then gaps with counts, then the rest of large counts.
     top = 1 << bits
     row, more = np.cumsum(new) - 1, count >= top
-    rows = int(new.sum())
+    rows = len(unit)
     texts, many = np.bincount(row, minlength=rows), np.bincount(row[more], minlength=rows)
     start = np.cumsum(1 + texts + many) - (1 + texts + many)
     values = np.zeros(int((1 + texts + many).sum()), np.int64)
     values[start] = texts * 2 + (bits == 3)
     place = np.arange(len(row)) - (np.cumsum(texts) - texts)[row]
     values[start[row] + 1 + place] = gap * top + np.minimum(count, top) - 1
+    del place, gap
     at = np.arange(int(more.sum())) - (np.cumsum(many) - many)[row[more]]
     values[start[row[more]] + 1 + texts[row[more]] + at] = count[more] - top
+    del row, more, at
     data, ends = put_varints(values)
     offsets = np.concatenate([[0], ends[start[1:] - 1], ends[-1:]]).astype(np.int32) if rows else np.zeros(1, np.int32)
     post = pa.Array.from_buffers(pa.binary(), rows, [None, pa.py_buffer(offsets.tobytes()), pa.py_buffer(data.tobytes())])
-    return unit[new], post
+    return unit, post
 
 
 def unpack_pairs(column: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -152,7 +164,10 @@ def block_postings(docs: DataFrame, unit_type: str, units: Callable[[list[str]],
         for k, batch in enumerate(blocks(batches, block_bytes)):
             block, texts = (part << 32) | k, batch.column(1).to_pylist()
             number, doc, name = units(texts)
-            number, post = pack_pairs(number, doc, 1 if unit_type == "string" else 3)
+            # One step at a time: what a step read is gone before the next.
+            number, count = pair_counts(number, doc)
+            del doc
+            number, post = pack_counts(number, count, 1 if unit_type == "string" else 3)
             found = pa.array(name(number), type=kind)
             n = len(found)
             for at in range(0, n, 20_000):
@@ -166,7 +181,7 @@ def block_postings(docs: DataFrame, unit_type: str, units: Callable[[list[str]],
                  pa.array([batch.column(0).to_pylist()], type=pa.list_(pa.int64())),
                  pa.array([batch.column(2).to_pylist()], type=pa.list_(pa.string()))],
                 names=["block", "unit", "post", "ids", "langs"])
-            del number, doc, name, post, found
+            del number, count, name, post, found
         give_back()
 
     return docs.select(
