@@ -12,6 +12,7 @@ import json
 import re
 import unicodedata
 from functools import lru_cache
+from heapq import heapify, heappop, heappush
 
 import regex
 
@@ -20,6 +21,8 @@ from .common import SPACE, space_chunks
 #: The vocabulary's own pre-token pattern (fixed value; white space spelled out).
 PRE_TOKEN = regex.compile(rf"'s|'t|'re|'ve|'m|'ll|'d|\p{{L}}+|\p{{N}}|[^{SPACE}\p{{L}}\p{{N}}]+")
 WORD_END = "</w>"
+#: Symbols of a word up to which plain merging is faster than a heap.
+PLAIN = 64
 
 
 def byte_letters() -> list[str]:
@@ -79,8 +82,10 @@ class WordBpe:
         return [v[c] for c in word[:-1]] + [v[word[-1] + WORD_END]]
 
     def merge(self, ids: list[int]) -> list[int]:
-        """Plain merging: the lowest rank first, leftmost on ties."""
+        """The lowest rank first, leftmost on ties: plainly in short words, from a heap of pairs in long ones."""
         ids, merges = list(ids), self.merges
+        if len(ids) > PLAIN:
+            return self._merge_long(ids)
         while len(ids) > 1:
             best = min(((merges[p][0], i) for i, p in enumerate(zip(ids, ids[1:])) if p in merges), default=None)
             if best is None:
@@ -89,6 +94,27 @@ class WordBpe:
             ids[i:i + 2] = [merges[ids[i], ids[i + 1]][1]]
         return ids
 
+    def _merge_long(self, ids: list[int | None]) -> list[int]:
+        """The same in about n log n steps: places keep their numbers, merged ones are None and skipped."""
+        merges, n = self.merges, len(ids)
+        after, before = list(range(1, n + 1)), list(range(-1, n - 1))
+        heap = [(merges[p][0], i) for i, p in enumerate(zip(ids, ids[1:])) if p in merges]
+        heapify(heap)
+        while heap:
+            rank, i = heappop(heap)
+            j = after[i]
+            m = merges.get((ids[i], ids[j])) if j < n else None
+            if m is None or m[0] != rank:  # the pair is gone; a merged place is None, which no pair has
+                continue
+            ids[i], ids[j], after[i] = m[1], None, after[j]
+            if after[i] < n:
+                before[after[i]] = i
+            for k in (before[i], i):
+                m = merges.get((ids[k], ids[after[k]])) if k >= 0 and after[k] < n else None
+                if m:
+                    heappush(heap, (m[0], k))
+        return [t for t in ids if t is not None]
+
 
 _CONTROL = {b: c for b, c in enumerate(byte_letters()) if b < 128 and chr(b) != c}
 

@@ -2,13 +2,14 @@
 
 import hashlib
 import random
+import time
 
 import numpy as np
 import public_tokenizers
 import pytest
 from tokenizers import Tokenizer
 
-from stagecraft.llm import op1_bpe, op6_token_counts
+from stagecraft.llm import op1_bpe, op6_token_counts, word_bpe
 from stagecraft.llm.word_bpe import load
 
 from .util import by_id, docs_of, empty_docs, odd_docs
@@ -91,3 +92,14 @@ def test_a_known_word_is_not_encoded_again(library, monkeypatch):
         ids, _ = enc.encode([text])
         assert np.frombuffer(ids[0], "<u4").tolist() == library.encode(text, add_special_tokens=False).ids
     assert "unknowable" in asked[0] and not {"unknowable", "plain"} & asked[1]
+
+
+def test_long_words_merge_as_short_ones(monkeypatch):
+    bpe, rng = load(PATH), random.Random(8)
+    words = ["".join(rng.choices(letters, k=n)) for letters in ("x", "ab", "etaoins") for n in (3, 63, 64, 65, 66, 300, 701)]
+    fast = [bpe.merge(bpe.symbols(w)) for w in words]
+    began = time.process_time()
+    assert sum(len(bpe.strings[t].removesuffix("</w>")) for t in bpe.merge(bpe.symbols("x" * 30_000))) == 30_000
+    assert time.process_time() - began < 10  # steps grow with n log n, not with its square
+    monkeypatch.setattr(word_bpe, "PLAIN", 10_000)
+    assert fast == [bpe.merge(bpe.symbols(w)) for w in words]
