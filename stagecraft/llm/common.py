@@ -84,7 +84,7 @@ def give_back() -> None:
 
 def per_text(docs: DataFrame, schema: str, make: Callable[[], Callable[[list, list[str]], list]],
              limit: int = SLICE_BYTES, close: Callable[[], None] | None = None) -> DataFrame:
-    """Apply ``make()(ids, texts) -> columns`` to slices of ``doc_id`` and ``text``.
+    """Apply ``make()(ids, texts) -> columns`` (lists or Arrow arrays) to slices of ``doc_id`` and ``text``.
 
     ``make`` runs once per task, so tables and caches are set up on the executor;
     ``close`` runs at the task's end. Workers serve later stages too, so what a
@@ -98,7 +98,8 @@ def per_text(docs: DataFrame, schema: str, make: Callable[[], Callable[[list, li
             for ids, texts in text_slices(batches, limit):
                 columns = step(ids, texts)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(c, type=f.type) for c, f in zip(columns, target)], schema=target)
+                    [c.cast(f.type) if isinstance(c, pa.Array) else pa.array(c, type=f.type)
+                     for c, f in zip(columns, target)], schema=target)
         finally:
             if close:
                 close()

@@ -22,20 +22,23 @@ Letters added to Unicode after the installed tables are cut by those tables.
 from __future__ import annotations
 
 import struct
-import sys
 from itertools import chain
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, functions as F
 
 from .common import per_text
-from .word_bpe import WORD_END, WordBpe, load
+from .word_bpe import WORD_END, WordBpe, load, pre_tokens
 
-#: Chunks (about 200 bytes each) and pairs of tokens (about 110 each) that a task keeps, and bytes of a slice.
-CACHE_CHUNKS = 80_000
+#: Words (about 200 bytes each) and pairs of tokens (about 110 each) that a task keeps, and bytes of a slice.
+CACHE_WORDS = 160_000
 CACHE_PAIRS = 150_000
 SLICE = 1 << 20
 PAIR_BITS = 32
-_LITTLE = sys.byteorder == "little"
+#: Letters of a word up to which a state may wait for those before it.
+DEEP = 64
 
 
 def sizes_by_ending(tokens: dict[str, int]) -> dict[str, tuple[int, ...]]:
@@ -55,13 +58,17 @@ class TrieEncoder:
         self.inner = {t: i for t, i in bpe.vocab.items() if not t.endswith(WORD_END)}
         self.final = {t.removesuffix(WORD_END): i for t, i in bpe.vocab.items() if t.endswith(WORD_END)}
         self.inner_sizes, self.final_sizes = sizes_by_ending(self.inner), sizes_by_ending(self.final)
+        #: Rank of each merge by its left, then its right token.
+        self.ranks: dict[int, dict[int, int]] = {}
+        for (left, right), (rank, _) in bpe.merges.items():
+            self.ranks.setdefault(left, {})[right] = rank
         self.made_from = {new: (rank, left, right) for (left, right), (rank, new) in bpe.merges.items()}
-        #: Caches: whether two tokens (left << PAIR_BITS | right) stay apart, and the ids of chunks.
-        #: (those of the last ``CACHE_CHUNKS`` or fewer chunks, and the generation before).
+        #: Caches: whether two tokens (left << PAIR_BITS | right) stay apart, and the ids of words
+        #: (those of the last ``CACHE_WORDS`` or fewer words, and the generation before).
         self.pairs: dict[int, bool] = {}
         self.ids: dict[str, bytes] = {}
         self.older: dict[str, bytes] = {}
-        self.strings = [bpe.strings.get(i, "") for i in range(max(bpe.strings) + 1)]
+        self.strings = pa.array([bpe.strings.get(i, "") for i in range(max(bpe.strings) + 1)])
 
     def _edge(self, token: int, side: int) -> list[tuple[int, float]]:
         """Tokens at one edge of ``token`` while it is being built, with the rank at which each is used up."""
@@ -77,99 +84,130 @@ class TrieEncoder:
         They merge across the border if some pair there has a rank below the
         ranks that use up its two sides; on equal ranks the leftmost goes first.
         """
-        known = self.pairs.get(left << PAIR_BITS | right)
-        if known is None:
-            merges, starts = self.bpe.merges, self._edge(right, 1)
-            known = True
-            for x, x_used in self._edge(left, 2):
-                for y, y_used in starts:
-                    m = merges.get((x, y))
-                    if m is not None and m[0] < x_used and m[0] <= y_used:
-                        known = False
-                        break
-                if not known:
-                    break
-            if len(self.pairs) >= CACHE_PAIRS:
-                self.pairs.clear()
-            self.pairs[left << PAIR_BITS | right] = known
+        known, starts = True, self._edge(right, 1)
+        for x, x_used in self._edge(left, 2):
+            ranks = self.ranks.get(x)
+            if ranks and any(y in ranks and ranks[y] < x_used and ranks[y] <= y_used for y, y_used in starts):
+                known = False
+                break
+        if len(self.pairs) >= CACHE_PAIRS:
+            self.pairs.clear()
+        self.pairs[left << PAIR_BITS | right] = known
         return known
 
     def encode_words(self, words: set[str]) -> dict[str, list[int]]:
-        """Encodings of distinct words (strings of byte letters), depth first over their trie."""
+        """Encodings of distinct words (strings of byte letters), depth first over their trie.
+
+        A node's state is found when a longer prefix asks for it: most nodes are
+        inside tokens and are never asked for.
+        """
         inner, final, pairs, apart = self.inner, self.final, self.pairs, self.stay_apart
+        inner_sizes, final_sizes = self.inner_sizes, self.final_sizes
         out, path = {}, ""
-        last: list[int] = [-1]   # last[d]: last token of the path's prefix of d letters
+        last: list[int] = [-1]   # last[d]: last token of the path's prefix of d letters (-1: not asked for yet)
         size: list[int] = [0]    # and its number of letters
+
+        def state(d: int) -> int:
+            ending = word[d - 3 if d > 3 else 0:d]
+            for n in inner_sizes.get(ending) or inner_sizes.get(ending[1:]) or (1,):
+                if n > d:
+                    continue
+                token = inner.get(word[d - n:d])
+                if token is not None:
+                    if n == d:
+                        break
+                    left = last[d - n]
+                    if left < 0:
+                        left = state(d - n)
+                    fits = pairs.get(left << PAIR_BITS | token)
+                    if fits or fits is None and apart(left, token):
+                        break
+            last[d], size[d] = token, n
+            return token
+
         for word in sorted(words):
-            length, common = len(word), 0
+            token, length, common = final.get(word), len(word), 0
+            if token is not None:
+                out[word] = [token]
+                continue
             limit = min(len(path), length - 1)
             while common < limit and path[common] == word[common]:
                 common += 1
-            del last[common + 1:], size[common + 1:]
-            path, tokens, sizes = word[:-1], inner, self.inner_sizes
-            for d in range(common + 1, length + 1):
-                if d == length:
-                    tokens, sizes = final, self.final_sizes
-                ending = word[d - 3 if d > 3 else 0:d]
-                for n in sizes.get(ending) or sizes.get(ending[1:]) or (1,):
-                    if n > d:
-                        continue
-                    token = tokens.get(word[d - n:d])
-                    if token is not None:
-                        if n == d:
-                            break
-                        left = last[d - n]
-                        fits = pairs.get(left << PAIR_BITS | token)
-                        if fits or fits is None and apart(left, token):
-                            break
-                last.append(token)
-                size.append(n)
-            ids, d = [], length
+            fresh = length - 1 - common
+            last[common + 1:], size[common + 1:] = [-1] * fresh, [0] * fresh
+            path = word[:-1]
+            if length > DEEP:  # in order, so that no state waits for a long row of others
+                for d in range(1, length):
+                    if last[d] < 0:
+                        state(d)
+            ending = word[-3:]
+            for n in final_sizes.get(ending) or final_sizes.get(ending[1:]) or (1,):
+                if n >= length:
+                    continue
+                token = final.get(word[length - n:])
+                if token is not None:
+                    left = last[length - n]
+                    if left < 0:
+                        left = state(length - n)
+                    fits = pairs.get(left << PAIR_BITS | token)
+                    if fits or fits is None and apart(left, token):
+                        break
+            ids, d = [token], length - n
             while d:
+                if last[d] < 0:
+                    state(d)
                 ids.append(last[d])
                 d -= size[d]
-            last.pop()
-            size.pop()
             ids.reverse()
             out[word] = ids
         return out
 
-    def _add(self, chunks: set[str]) -> None:
-        bpe, ids = self.bpe, self.ids
-        split = {c: bpe.words(c) for c in chunks if c not in bpe.specials}
-        needed = {w for ws in split.values() for w in ws}
-        # A word of plain letters that was a chunk itself ("word" before "Word,") has its ids already.
-        words = {w: known[w] for known in (self.older, ids) for w in needed & known.keys()
-                 if w.isascii() and w.isalpha() and w not in bpe.specials}
-        for w, tokens in self.encode_words(needed - words.keys()).items():
-            words[w] = struct.pack(f"<{len(tokens)}I", *tokens)
-        for c in chunks:
-            if c in split:
-                ws = split[c]
-                ids[c] = words[ws[0]] if len(ws) == 1 else b"".join([words[w] for w in ws])
+    def _pieces(self, text: str) -> list[str]:
+        """Pre-tokens and special strings (after a blank, which no pre-token has), in order."""
+        bpe = self.bpe
+        if not bpe.has_special(text):
+            return pre_tokens(text)
+        return [w for part in bpe.parts(text)
+                for w in ([" " + part] if part in bpe.specials else pre_tokens(part))]
+
+    def _find(self, pieces: set[str]) -> dict[str, bytes]:
+        """Ids of distinct pieces: from the two generations of the cache, or encoded now."""
+        bpe = self.bpe
+        if len(self.ids) >= CACHE_WORDS:  # what is used again comes back from the older generation
+            self.ids, self.older = {}, self.ids
+        ids, older = self.ids, self.older
+        missing = pieces - ids.keys()
+        again = missing & older.keys()
+        ids.update((w, older[w]) for w in again)
+        spelt = {}
+        for w in missing - again:
+            if w[0] == " ":
+                ids[w] = bpe.specials[w[1:]].to_bytes(4, "little")
             else:
-                ids[c] = bpe.specials[c].to_bytes(4, "little")
+                spelt[bpe.letters(w)] = w
+        for letters, tokens in self.encode_words(set(spelt)).items():
+            ids[spelt[letters]] = struct.pack(f"<{len(tokens)}I", *tokens)
+        return ids
 
     def forget(self) -> None:
         self.ids, self.older, self.pairs = {}, {}, {}
 
-    def decode(self, ids: bytes) -> str:
-        """Token strings joined by spaces: the file names no decoder, so the library joins them as they are."""
-        return " ".join(map(self.strings.__getitem__, memoryview(ids).cast("I") if _LITTLE else struct.unpack(f"<{len(ids) // 4}I", ids)))
+    def encode_texts(self, texts: list[str]) -> list[bytes]:
+        """Ids of each text, little-endian, 4 bytes each."""
+        pieces = [self._pieces(t) for t in texts]
+        find = self._find(set(chain.from_iterable(pieces))).__getitem__
+        return [b"".join(map(find, p)) for p in pieces]
+
+    def decode_texts(self, ids: list[bytes]) -> pa.Array:
+        """Token strings of each text joined by spaces: the file names no decoder, so the library joins them as they are."""
+        tokens = np.frombuffer(b"".join(ids), "<u4").astype(np.int64)
+        ends = np.cumsum([0, *(len(i) // 4 for i in ids)], dtype=np.int32)
+        return pc.binary_join(pa.ListArray.from_arrays(pa.array(ends), self.strings.take(pa.array(tokens))), " ")
 
     def encode(self, texts: list[str]) -> tuple[list[bytes], list[str]]:
-        """Ids (little-endian, 4 bytes each) and decoded string of each text."""
-        pieces = [self.bpe.pieces(t) for t in texts]
-        needed = set(chain.from_iterable(pieces))
-        if len(self.ids) >= CACHE_CHUNKS:  # what is used again comes back from the older generation
-            self.ids, self.older = {}, self.ids
-        missing = needed - self.ids.keys()
-        again = missing & self.older.keys()
-        self.ids.update((c, self.older[c]) for c in again)
-        self._add(missing - again)
-        find = self.ids.__getitem__
-        ids = [b"".join(map(find, p)) for p in pieces]
-        return ids, list(map(self.decode, ids))
+        """Ids and decoded string of each text."""
+        ids = self.encode_texts(texts)
+        return ids, self.decode_texts(ids).to_pylist()
 
 
 _ENCODERS: dict[str, TrieEncoder] = {}
@@ -191,8 +229,8 @@ def bpe_encode_decode(docs: DataFrame, tokenizer: str) -> DataFrame:
         enc = encoder(tokenizer)
 
         def step(ids, texts):
-            tokens, decoded = enc.encode(texts)
-            return [ids, [len(t) // 4 for t in tokens], tokens, decoded]
+            tokens = enc.encode_texts(texts)
+            return [ids, [len(t) // 4 for t in tokens], tokens, enc.decode_texts(tokens)]
         return step
 
     return per_text(docs, "doc_id long, n_tokens long, ids binary, decoded string", make, SLICE,

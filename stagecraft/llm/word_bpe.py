@@ -20,6 +20,8 @@ from .common import SPACE, space_chunks
 
 #: The vocabulary's own pre-token pattern (fixed value; white space spelled out).
 PRE_TOKEN = regex.compile(rf"'s|'t|'re|'ve|'m|'ll|'d|\p{{L}}+|\p{{N}}|[^{SPACE}\p{{L}}\p{{N}}]+")
+#: The same for texts of ASCII characters alone.
+ASCII_TOKEN = re.compile(r"[a-z]+|'(?:s|t|re|ve|m|ll|d)|[0-9]|[^\t-\r a-z0-9]+")
 WORD_END = "</w>"
 #: Symbols of a word up to which plain merging is faster than a heap.
 PLAIN = 64
@@ -37,6 +39,20 @@ def byte_letters() -> list[str]:
     return letters
 
 
+def normalised(text: str) -> str:
+    """Composed (NFC) and in lower case letter by letter: a final sigma stays a plain one.
+
+    Neither reaches over white space, so whole texts and their chunks give the same.
+    """
+    return text.lower() if text.isascii() else unicodedata.normalize("NFC", text).replace("Σ", "σ").lower()
+
+
+def pre_tokens(text: str) -> list[str]:
+    """Pre-tokens of a whole text without special strings, normalised; none reaches over white space."""
+    plain = normalised(text)
+    return (ASCII_TOKEN if plain.isascii() else PRE_TOKEN).findall(plain)
+
+
 class WordBpe:
     """Vocabulary and merges. Symbols of a word are byte letters; the last one carries the word end."""
 
@@ -54,13 +70,27 @@ class WordBpe:
         self._special = re.compile("(" + "|".join(map(re.escape, sorted(self.specials, key=len, reverse=True))) + ")")
         self._letters = byte_letters()
 
+    def has_special(self, text: str) -> bool:
+        return any(s in text for s in self.specials)
+
+    def parts(self, text: str) -> list[str]:
+        """Special strings and the texts between them, in order."""
+        return self._special.split(text)
+
     def pieces(self, text: str) -> list[str]:
         """Special strings and the chunks between white space, in order."""
-        if not any(s in text for s in self.specials):
+        if not self.has_special(text):
             return space_chunks(text)
-        return [c for part in self._special.split(text)
+        return [c for part in self.parts(text)
                 for c in ([part] if part in self.specials else space_chunks(part))]
 
+    def letters(self, word: str) -> str:
+        """A normalised pre-token as a string of byte letters."""
+        if word.isascii() and word.isprintable():
+            return word
+        letters = self._letters
+        return "".join([letters[b] for b in word.encode("utf-8")])
+
     def words(self, chunk: str) -> list[str]:
         """Pre-tokens of one chunk, as strings of byte letters.
 
@@ -71,7 +101,7 @@ class WordBpe:
             if chunk.isalpha():
                 return [chunk.lower()]
             return [w.translate(_CONTROL) if not w.isprintable() else w for w in PRE_TOKEN.findall(chunk.lower())]
-        plain = unicodedata.normalize("NFC", chunk).replace("Σ", "σ").lower()
+        plain = normalised(chunk)
         letters = self._letters
         if plain.isalpha():
             return ["".join([letters[b] for b in plain.encode("utf-8")])]

@@ -103,3 +103,31 @@ def test_long_words_merge_as_short_ones(monkeypatch):
     assert time.process_time() - began < 10  # steps grow with n log n, not with its square
     monkeypatch.setattr(word_bpe, "PLAIN", 10_000)
     assert fast == [bpe.merge(bpe.symbols(w)) for w in words]
+
+
+def test_a_word_is_encoded_once_whatever_stands_around_it(library, monkeypatch):
+    enc, asked = op1_bpe.TrieEncoder(load(PATH)), []
+    encode_words = op1_bpe.TrieEncoder.encode_words
+    monkeypatch.setattr(op1_bpe.TrieEncoder, "encode_words", lambda self, words: (asked.append(set(words)), encode_words(self, words))[1])
+    for text in ["(Unknowabled, überqueren!", "UNKNOWABLED'S; Überqueren? unknowabled/überqueren"]:
+        ids, _ = enc.encode([text])
+        assert np.frombuffer(ids[0], "<u4").tolist() == library.encode(text, add_special_tokens=False).ids
+    assert "unknowabled" in asked[0] and not {w for w in asked[1] if "unknow" in w or "berqueren" in w}
+
+
+def test_whole_texts_are_normalised_as_their_parts(library):
+    texts = ["<|ENDOFTEXT|> <|endoftext|>É<|startoftext|>é <|EndOfText|>", "ΑΣ Σ ΟΔΟΣ's", "a ́b　̸= ≮", "ᄀ ᅡ 가",
+             " x `;", "İ İ", "a\x1cb\x1fc \x85d\x0be", " \t\n", "it's IT'S 'LL 'll'd 'dog ''s'", "١٢ ²½Ⅷ 一二",
+             *("".join(chr(c) + t for c in range(128)) for t in ("", "a", "'s", " "))]
+    ids, decoded = op1_bpe.encoder(PATH).encode(texts)
+    for t, i, d in zip(texts, ids, decoded):
+        want = library.encode(t, add_special_tokens=False).ids
+        assert np.frombuffer(i, "<u4").tolist() == want
+        assert d == library.decode(want, skip_special_tokens=False)
+
+
+def test_long_words_in_the_trie():
+    bpe, rng = load(PATH), random.Random(9)
+    words = {"".join(rng.choices(letters, k=n)) for letters in ("x", "ab", "etaoins") for n in (63, 64, 65, 66, 300, 5_000)}
+    words |= {w + "s" for w in words} | {w[:-1] for w in words}
+    assert op1_bpe.encoder(PATH).encode_words(words) == {w: bpe.merge(bpe.symbols(w)) for w in words}
