@@ -183,13 +183,15 @@ def window_rows(texts: DataFrame, bits: bytes | None = None) -> DataFrame:
 
 
 def bitmap(bench: DataFrame) -> bytes:
-    """The benchmark's hashes as a bitmap of 2 ** FILTER_BITS bits: 1 MB at the driver at most."""
-    rows = (bench.select(F.shiftrightunsigned("hash", 64 - FILTER_BITS).alias("bit")).distinct()
-            .groupBy(F.shiftright("bit", 13).alias("page")).agg(F.collect_list(F.col("bit").bitwiseAND(F.lit(8191)).cast("int")).alias("bits")))
-    out = np.zeros(1 << FILTER_BITS, np.uint8)
-    for page, places in rows.toLocalIterator():  # 1024 pages at most
-        out[np.array(places) + (page << 13)] = 1
-    return np.packbits(out, bitorder="little").tobytes()
+    """The benchmark's hashes as a bitmap of 2 ** FILTER_BITS bits, set in words of 64 bits: 2 MB of rows at the driver at most.
+
+    One job, however many partitions the words are in.
+    """
+    words = (bench.select(F.shiftrightunsigned("hash", 64 - FILTER_BITS).alias("bit"))
+             .groupBy(F.shiftright("bit", 6).alias("word")).agg(F.expr("bit_or(shiftleft(1L, cast(bit & 63 AS int)))").alias("bits"))).toArrow()
+    out = np.zeros(1 << FILTER_BITS - 6, "<i8")
+    out[words["word"].to_numpy()] = words["bits"].to_numpy()
+    return out.tobytes()
 
 
 def chains(matches: list[tuple[int, int]]) -> list[list[int]]:

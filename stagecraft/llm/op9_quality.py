@@ -62,55 +62,67 @@ def trigrams(texts: list[str]):
     return unit[inside], doc[:-2][inside], name
 
 
-def _discounts(counts: DataFrame, column: str, prefix: str) -> DataFrame:
-    """One row: the three discounts of one order, from its counts of counts."""
-    n = counts.agg(*[F.sum(F.when(F.col(column) == i, 1).otherwise(0)).cast("double").alias(f"n{i}") for i in (1, 2, 3, 4)])
-    y = "n1 / nullif(n1 + 2 * n2, 0)"
+def _discounts(order: int) -> list[str]:
+    """The three discounts of one order, from its counts of counts (columns n<order><1 to 4>)."""
+    n1, n2, n3, n4 = (f"n{order}{i}" for i in (1, 2, 3, 4))
+    y = f"{n1} / nullif({n1} + 2 * {n2}, 0)"
 
-    def discount(i: int) -> str:
-        raw = f"{i} - {i + 1} * ({y}) * n{i + 1} / nullif(n{i}, 0)"  # null: too few counts to tell
-        return f"CASE WHEN ({raw}) IS NULL THEN 0.5 ELSE least(greatest({raw}, 0.05), {i} - 0.05) END AS {prefix}{i}"
+    def discount(i: int, n: str, more: str) -> str:
+        raw = f"{i} - {i + 1} * ({y}) * {more} / nullif({n}, 0)"  # null: too few counts to tell
+        return f"CASE WHEN ({raw}) IS NULL THEN 0.5 ELSE least(greatest({raw}, 0.05), {i} - 0.05) END AS d{order}{i}"
 
-    return n.selectExpr(*map(discount, (1, 2, 3)))
+    return [discount(1, n1, n2), discount(2, n2, n3), discount(3, n3, n4)]
 
 
-def _discount(count: Column, prefix: str) -> Column:
-    return F.when(count == 1, F.col(f"{prefix}1")).when(count == 2, F.col(f"{prefix}2")).otherwise(F.col(f"{prefix}3"))
+def _share(count: str, total: str, order: int) -> Column:
+    """The discounted share of an n-gram among those of its history; null if it was never seen."""
+    n, d = F.col(count), [F.col(f"d{order}{i}") for i in (1, 2, 3)]
+    return (n - F.when(n == 1, d[0]).when(n == 2, d[1]).otherwise(d[2])) / F.col(total)
 
 
-def _order(counts: DataFrame, count: str, history: str, prefix: str) -> tuple[DataFrame, DataFrame]:
-    """Discounted shares of one order, and the mass each history leaves to the order below.
+def _left(order: int) -> Column:
+    """The mass that a history leaves to the order below; null for a history never seen."""
+    return sum(F.col(f"{k}{order}") * F.col(f"d{order}{i}") for i, k in ((1, "ones"), (2, "twos"), (3, "more"))) / F.col(f"total{order}")
 
-    The discounts are one row (a plain aggregate without keys), joined to all.
-    """
-    d = _discounts(counts, count, "d")
-    c = counts.crossJoin(F.broadcast(d)).withColumn("cut", _discount(F.col(count), "d"))
-    total = c.groupBy(history).agg(F.sum(count).alias("total"), (F.sum("cut") / F.sum(count)).alias(f"left{prefix}"))
-    shares = c.join(total, history).select(*counts.columns, ((F.col(count) - F.col("cut")) / F.col("total")).alias(f"p{prefix}"))
-    return shares, total.select(history, f"left{prefix}")
+
+def _sums(order: int, n: Column) -> list[Column]:
+    """Sum of the counts ``n`` of one order, and how many are 1, 2 and more; nulls are left out."""
+    return [F.sum(n).alias(f"total{order}"), F.count(F.when(n == 1, 1)).alias(f"ones{order}"),
+            F.count(F.when(n == 2, 1)).alias(f"twos{order}"), F.count(F.when(n > 2, 1)).alias(f"more{order}")]
 
 
 def log_probabilities(corpus: DataFrame, counts: DataFrame) -> DataFrame:
-    """(unit, nll) of every n-gram of ``corpus`` (unit) under the model of ``counts`` (unit, a)."""
+    """(unit, nll) of every n-gram of ``corpus`` (unit) under the model of ``counts`` (unit, a).
+
+    The lower orders and what the whole model shares (one row: discounts, the
+    lowest order's sums, the number of characters) are stored first: in one
+    plan each would be counted again wherever it is used, and the driver would
+    hold some forty shuffles and broadcasts at once.
+    """
     mask = (1 << 2 * _BITS) - 1
     parts = {"ab": F.shiftright("unit", _BITS), "bc": F.col("unit").bitwiseAND(F.lit(mask)),
              "b": F.shiftright("unit", _BITS).bitwiseAND(F.lit((1 << _BITS) - 1)), "c": F.col("unit").bitwiseAND(F.lit((1 << _BITS) - 1))}
-    tri = counts.where("a > 0").select("unit", "a").withColumns(parts)
+    tri = counts.where("a > 0").select("unit", F.col("a").alias("n")).withColumns(parts)
     # Lower orders count the different n-grams that continue them.
-    two = tri.groupBy("bc", "b", "c").agg(F.count("*").alias("n"))
-    one = two.groupBy("c").agg(F.count("*").alias("n"))
-    p3, left3 = _order(tri.select("unit", "ab", "a"), "a", "ab", "3")
-    p2, left2 = _order(two.select("bc", "b", "n"), "n", "b", "2")
-    p1, left1 = _order(one.select("c", "n", F.lit(0).alias("root")), "n", "root", "1")
+    two = stored(tri.groupBy("bc", "b", "c").agg(F.count("*").alias("n")), "quality-two")
+    one = stored(two.groupBy("c").agg(F.count("*").alias("n")), "quality-one")
     units = corpus.withColumns(parts)
+    every = (tri.select(F.lit(3).alias("order"), "n").unionByName(two.select(F.lit(2).alias("order"), "n"))
+             .unionByName(one.select(F.lit(1).alias("order"), "n")))
+    sizes = every.agg(*[F.sum(F.when((F.col("order") == k) & (F.col("n") == i), 1).otherwise(0)).cast("double").alias(f"n{k}{i}")
+                        for k in (1, 2, 3) for i in (1, 2, 3, 4)], *_sums(1, F.when(F.col("order") == 1, F.col("n"))))
     letters = units.agg((F.count_distinct("c") + 1).alias("letters"))
-    rows = (units.join(p3.select("unit", "p3"), "unit", "left").join(left3, "ab", "left")
-            .join(p2.select("bc", "p2"), "bc", "left").join(left2, "b", "left")
-            .join(p1.select("c", "p1"), "c", "left")
-            .crossJoin(F.broadcast(left1.select("left1"))).crossJoin(F.broadcast(letters)))
-    low = F.coalesce("p1", F.lit(0.0)) + F.col("left1") / F.col("letters")
-    mid = F.coalesce("p2", F.lit(0.0)) + F.coalesce("left2", F.lit(1.0)) * low
-    top = F.coalesce("p3", F.lit(0.0)) + F.coalesce("left3", F.lit(1.0)) * mid
+    fixed = sizes.where("total1 IS NOT NULL").selectExpr("total1", "ones1", "twos1", "more1", *(d for k in (1, 2, 3) for d in _discounts(k)))
+    fixed = F.broadcast(stored(fixed.crossJoin(F.broadcast(letters)), "quality-fixed"))  # one row; none without trusted text
+    low = F.coalesce(_share("n1", "total1", 1), F.lit(0.0)) + _left(1) / F.col("letters")
+    mid = F.coalesce(_share("n2", "total2", 2), F.lit(0.0)) + F.coalesce(_left(2), F.lit(1.0)) * low
+    lower = (units.select("bc", "b", "c").distinct().join(two.select("bc", F.col("n").alias("n2")), "bc", "left")
+             .join(two.groupBy("b").agg(*_sums(2, F.col("n"))), "b", "left")
+             .join(one.select("c", F.col("n").alias("n1")), "c", "left").crossJoin(fixed))
+    lower = stored(lower.select("bc", mid.alias("mid")), "quality-lower")
+    top = F.coalesce(_share("n3", "total3", 3), F.lit(0.0)) + F.coalesce(_left(3), F.lit(1.0)) * F.col("mid")
+    rows = (units.select("unit", "ab", "bc").join(tri.select("unit", F.col("n").alias("n3")), "unit", "left")
+            .join(tri.groupBy("ab").agg(*_sums(3, F.col("n"))), "ab", "left").join(lower, "bc").crossJoin(fixed))
     return rows.select("unit", (-F.log(top)).alias("nll"))
 
 
