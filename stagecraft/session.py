@@ -13,6 +13,7 @@ import os
 import re
 import tempfile
 import uuid
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
@@ -94,6 +95,18 @@ def remove_path(spark: SparkSession, path: str) -> None:
     fs.delete(jpath, True)
 
 
+@contextmanager
+def shuffles_dropped(spark: SparkSession):
+    """Within it a query's shuffle files go when the query has ended, not when the driver collects its garbage."""
+    key = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(key, None)
+    spark.conf.set(key, "true")
+    try:
+        yield
+    finally:
+        spark.conf.unset(key) if before is None else spark.conf.set(key, before)
+
+
 def write_prefix(spark: SparkSession, source: str, target: str, share: float = 0.5) -> None:
     """Copy the first part of a file: staged input that is cut off."""
     jpath, fs = hadoop_path(spark, source)

@@ -6,6 +6,7 @@ import time
 import pytest
 from pyspark.sql import functions as F
 
+from stagecraft.operators import routing
 from stagecraft.operators.manifest import route_files
 from stagecraft.operators.routing import RULES_SCHEMA, route_by_rules, rule_index
 from stagecraft.session import work_dir
@@ -110,3 +111,63 @@ def test_no_side_that_grows_is_broadcast(spark):
     assert plan(got).count("BroadcastExchange") <= 2
     names = {r["file_path"]: r["copy_into_name"] for r in got.collect()}
     assert names == {**{f"s3://b/f-{n}.csv": f"T{n}" for n in range(7)}, **{f"s3://b/f-{n}.csv": None for n in (7, 8)}, None: None}
+
+
+def test_odd_letters_and_gaps(spark):
+    """Marks of the index, letters of several bytes, line breaks and gaps of any width in paths and patterns."""
+    parts = ["a", "b", "\u0001", "\u0002", "\u0003", "\n", "é", "\U0001f600", "%", "_", "abcdefghijklmnop", "1.csv"]
+    rng = random.Random(7)
+    paths = ["".join(rng.choices(parts, k=rng.randint(0, 8))) for _ in range(250)] + ["", None, "\u0002", "\u0003a", "a" * 5000]
+    odd = ["%\u0002%", "\u0001%", "\u0002\u0003", "%\u0003", "a_b_c%", "%a____________b%", "_%a", "%_a_%", "a_%", "%_\n_%", "__é%", "%\\%\\_%",
+           "%a_____________________p%", "abcdefghijklmnop", "%_____________b_____________%", "%ijklmnop_bcdefgh%", "%\U0001f600_", "_\U0001f600%a"]
+    odd += ["%" + "".join(rng.choices(["a", "b", "_", "é", "\n", "\U0001f600", "abcdefghijklmnop", "%"], k=rng.randint(1, 5))) + rng.choice(["", "%"]) for _ in range(60)]
+    rules = [(rng.randint(0, 60), p, f"T{i}") for i, p in enumerate(dict.fromkeys(odd))]
+    files = spark.createDataFrame([(p,) for p in paths], "file_path string")
+    want = case_form(spark, files, rules)
+    for r in route_by_rules(files, spark.createDataFrame(rules, RULES_SCHEMA)).collect():
+        assert r["copy_into_name"] == want.get(r["file_path"]), r
+
+
+def shuffled_rows(plan):
+    """Rows written by the shuffles of a plan that has run."""
+    kind = plan.getClass().getSimpleName()
+    if kind == "AdaptiveSparkPlanExec":
+        return shuffled_rows(plan.executedPlan())
+    if kind.endswith("QueryStageExec"):
+        return shuffled_rows(plan.plan())
+    own = plan.metrics().apply("shuffleRecordsWritten").value() if kind == "ShuffleExchangeExec" else 0
+    return own + sum(shuffled_rows(plan.children().apply(i)) for i in range(plan.children().size()))
+
+
+def test_pieces_that_no_rule_has_are_not_shuffled(spark):
+    """Rules of many lengths: a path has some hundred pieces of these, and few of them are a rule's."""
+    rules = spark.range(2_000).selectExpr("id AS rule_no", "concat('%/data_', id * id, if(id % 2 = 0, '%', '.csv')) AS pattern", "concat('T', id) AS copy_into_name")
+    files = spark.range(5_000).selectExpr("concat('s3://bucket/TPCH/ORDERS/data_', id, '.csv') AS file_path")
+    got = route_by_rules(files, rules)
+    assert sum(r["copy_into_name"] is not None for r in got.collect()) > 70
+    assert shuffled_rows(got._jdf.queryExecution().executedPlan()) < 12 * 5_000
+
+
+def test_slices(spark, monkeypatch):
+    """In slices every row comes once, as in one go; the listing kept for them and their shuffles are gone then."""
+    rules = spark.createDataFrame([(n, f"%/d_{n}.c%", f"T{n}") for n in range(40)] + [(90, "%7.csv", "seven"), (91, "__%", "two")], RULES_SCHEMA)
+    rows = [(f"s3://b/d-{n % 60}.csv", n) for n in range(200)] + [(None, 200), (None, 201), ("", 202), ("x", 203)]
+    files = spark.createDataFrame(rows, "file_path string, k int")
+    want = sorted(route_by_rules(files, rules).collect(), key=lambda r: r["k"])
+    made = []
+    monkeypatch.setattr(routing, "work_dir", lambda *a: made.append(work_dir(*a)) or made[-1])
+    monkeypatch.setattr(routing, "SLICE", 50)
+    store = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+
+    def shuffles():
+        return {x for x in store.getAllBlocks().mkString(" ").split() if x.startswith("shuffle_")}
+    before = shuffles()
+    got = route_by_rules(files, rules)
+    until = time.time() + 30
+    while shuffles() - before and time.time() < until:
+        time.sleep(0.2)
+    assert not shuffles() - before
+    assert sorted(got.collect(), key=lambda r: r["k"]) == want and got.columns == ["file_path", "k", "copy_into_name"] and len(want) == 204
+    assert [routing.path_exists(spark, p) for p in made] == [False, True]
+    monkeypatch.setattr(routing, "SLICES", 2)
+    assert sorted(route_by_rules(files.select("file_path"), rules).collect(), key=str) == sorted([(r[0], r[2]) for r in want], key=str)
