@@ -63,8 +63,9 @@ def rule_index(rules: DataFrame) -> DataFrame:
     letters = F.length(F.replace("piece", F.lit(ANY), F.lit("")))
     shape = F.translate(F.regexp_replace("piece", f"(?s)[^{ANY}{FIRST}{LAST}]", "x"), f"{ANY}{FIRST}{LAST}", "_^$")
     return (cut.hint("merge").join(often, "piece", "left").groupBy("rule_no", "pattern", "copy_into_name")
-            .agg(F.min_by("piece", F.struct("n", -letters, "piece")).alias("piece"))
-            .select("rule_no", "pattern", "copy_into_name", "piece", shape.alias("shape")))
+            .agg(F.min(F.struct("n", (-letters).alias("letters"), "piece")).alias("rarest"))
+            .select("rule_no", "pattern", "copy_into_name", F.col("rarest.piece").alias("piece"))
+            .select("*", shape.alias("shape")))
 
 
 def _route(files: DataFrame, index: DataFrame, look, path_col: str, out_col: str) -> DataFrame:
